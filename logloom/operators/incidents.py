@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from logloom.functions.syslog import rule_severity
@@ -49,7 +48,7 @@ RULE_COLUMNS = tuple(c.split()[0] for c in RULE_SCHEMA.split(", "))
 # The shipped rules, only what differs from the defaults below.
 _BACKUP = '{"30": "warning", "240": "error"}'
 _WATCHDOG = '{"360": "warning", "720": "error"}'
-_RULES = (
+RULES = (
     dict(rule_name="i01-c2", incident_type="I-01", match_field="target", match_value="Synology C2",
          mechanism="pair", base_severity="warning", escalate_count=2, escalate_window_minutes=4320,
          escalate_basis="incidents", escalate_to_severity="critical", severity_by_duration=_BACKUP,
@@ -135,7 +134,7 @@ def incident_types(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(INCIDENT_TYPES), "code string, label string")
 
 
-def rule_config(spark: SparkSession, rules=_RULES) -> DataFrame:
+def rule_config(spark: SparkSession, rules=RULES) -> DataFrame:
     return spark.createDataFrame([rule_values(**r) for r in rules], RULE_SCHEMA)
 
 
@@ -380,9 +379,9 @@ def rate(events: DataFrame, key: str, multiplier: float = 5.0, history_hours: in
     before; no history, no alarm.  The window runs over hourly counts."""
     hourly = events.groupBy(key, F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).agg(
         F.count("*").alias("events"))
-    frame = W.partitionBy(key).orderBy("hour").rangeBetween(
-        F.expr(f"-INTERVAL '{history_hours}' HOUR"), F.expr("-INTERVAL '1' HOUR"))
-    rated = hourly.withColumn("median", F.percentile("events", 0.5).over(frame))
+    median = tl.over_interval("percentile(events, 0.5)", [key], "hour",
+                              f"INTERVAL {history_hours} HOURS PRECEDING", "INTERVAL 1 HOUR PRECEDING")
+    rated = hourly.withColumn("median", median)
     return rated.withColumn("alarm", F.coalesce(F.col("events") > F.col("median") * multiplier, F.lit(False)))
 
 

@@ -50,10 +50,11 @@ def load_denylist(patterns: DataFrame, column: str = "pattern") -> DataFrame:
 
 def is_valid_pattern(session, pattern: str) -> bool:
     from py4j.protocol import Py4JJavaError
+    from pyspark.errors import IllegalArgumentException
     try:
         session._jvm.java.util.regex.Pattern.compile(pattern)
         return True
-    except Py4JJavaError:
+    except (Py4JJavaError, IllegalArgumentException):
         return False
 
 

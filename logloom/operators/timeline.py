@@ -74,6 +74,12 @@ def running_sum(df: DataFrame, keys: list[str], order: list[str], value: Column,
     return _running(df, keys, order, value, out, F.sum, add)
 
 
+def over_interval(call: str, keys: list[str], ts: str, start: str, end: str) -> Column:
+    """Window expression with interval bounds, which only SQL text can name."""
+    by = ", ".join(f"`{k}`" for k in keys)
+    return F.expr(f"{call} OVER (PARTITION BY {by} ORDER BY `{ts}` RANGE BETWEEN {start} AND {end})")
+
+
 def rolling_count(df: DataFrame, keys: list[str], window_minutes: int, out: str, ts: str = "ts",
                   width: int = HOUR) -> DataFrame:
     """Sum of ``n`` over the last ``window_minutes`` up to the row, both
@@ -89,9 +95,8 @@ def _rolling_by_copies(df, keys, window_minutes, out, ts, width) -> DataFrame:
     last = slice_of(F.col(ts) + minutes(window_minutes), width)
     copies = (df.withColumn("_own", slice_of(ts, width))
               .withColumn("_at", F.explode(F.sequence("_own", last))))
-    frame = W.partitionBy(*keys, "_at").orderBy(ts).rangeBetween(
-        F.expr(f"-INTERVAL '{window_minutes}' MINUTE"), F.expr("INTERVAL '0' MINUTE"))
-    return copies.withColumn(out, F.sum("n").over(frame)).where(F.col("_at") == F.col("_own")).drop("_at", "_own")
+    total = over_interval("sum(n)", [*keys, "_at"], ts, f"INTERVAL {window_minutes} MINUTES PRECEDING", "CURRENT ROW")
+    return copies.withColumn(out, total).where(F.col("_at") == F.col("_own")).drop("_at", "_own")
 
 
 def _rolling_by_sums(df, keys, window_minutes, out, ts, width) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from logloom.functions.rules import RULES_V1, RULES_V2, RuleSet
+from logloom.operators.incidents import INCIDENT_TYPES, RULE_COLUMNS, RULES, rule_values
 
 BOMC = "chr(65279)"
 
@@ -43,7 +44,22 @@ def strip_sql(text: str) -> str:
 DT = "strftime({}, '%Y-%m-%d %H:%M:%S')"
 ISO = "strftime({}, '%Y-%m-%dT%H:%M:%S.%f')"
 
+def _value(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return str(v).lower()
+    return str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'"
+
+
+def values_sql(rows, columns: tuple[str, ...]) -> str:
+    body = ", ".join("(" + ", ".join(_value(v) for v in row) + ")" for row in rows)
+    return f"SELECT * FROM (VALUES {body}) t({', '.join(columns)})"
+
+
 VIEWS = {
+    "types": values_sql(INCIDENT_TYPES, ("code", "label")),
+    "rules": values_sql([rule_values(**r) for r in RULES], RULE_COLUMNS),
     "ev": f"""
 SELECT event_id AS id, ts AS "timestamp",
  CASE user_id % 3 WHEN 0 THEN 'DiskStation225' WHEN 1 THEN 'FritzBox' ELSE 'n8n' END AS host,
@@ -94,7 +110,7 @@ SELECT *,
  CASE WHEN length(fingerprint) % 3 = 1 THEN '{"rolle":"start","severity":"warning","stille_minuten":30}' END AS llm_vorschlag
 FROM reg0""",
     "cut": "SELECT CAST(max(event_id) * 6 // 10 AS BIGINT) AS c FROM events",
-    "asof": "SELECT max(ts) AS t FROM events",
+    "last_ts": "SELECT max(ts) AS t FROM events",
     "moved": f"""
 SELECT b.event_id, c."timestamp", c.host, c.program, c.cleaned, b.fingerprint AS old_fingerprint,
  concat(c.host, '|', c.program, '|', {form_sql('c.cleaned', RULES_V2)}) AS new_fingerprint

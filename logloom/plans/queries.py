@@ -151,8 +151,7 @@ def event_json(spark, d):
 SELECT event_id, delivered_at_try, delivered_at_try IS NOT NULL AS delivered, coalesce(delivered_at_try, t) AS tries,
  CAST(coalesce(delivered_at_try, t) * (coalesce(delivered_at_try, t) - 1) / 2 AS DOUBLE) AS waited_seconds FROM dout""")
 def delivery_outcome(spark, d):
-    return collect.delivery_outcome(fx.delivery_attempts(spark, d)).select(
-        "event_id", "delivered_at_try", "delivered", "tries", "waited_seconds")
+    return collect.delivery_outcome(fx.delivery_attempts(spark, d))
 
 
 @query("""
@@ -205,7 +204,7 @@ def _polled(spark, d):
 
 
 @query("""
-SELECT seq, utc, m.kind FROM rtime, asof, (SELECT unnest(['fresh', 'recent', 'old']) AS kind) m
+SELECT seq, utc, m.kind FROM rtime, last_ts, (SELECT unnest(['fresh', 'recent', 'old']) AS kind) m
 WHERE utc >= CASE m.kind WHEN 'fresh' THEN t - INTERVAL 720 SECOND WHEN 'recent' THEN t - INTERVAL 2 HOUR
  ELSE t - INTERVAL 24 HOUR END""")
 def poll_window(spark, d):
@@ -217,15 +216,15 @@ def poll_window(spark, d):
     return collect.union_events(*parts)
 
 
-@query("SELECT count(*) AS entries, count(utc) AS with_time, count(*) FILTER (utc >= TIMESTAMP '1900-01-01') AS in_window "
-       "FROM rtime")
+@query("""
+SELECT seq, event_ts FROM rtime, last_ts WHERE event_ts >= t - INTERVAL 24 HOUR AND (utc >= t - INTERVAL 24 HOUR) IS NOT TRUE""")
 def poll_window_null_ts(spark, d):
-    rows = _polled(spark, d)
-    inside = pred.poll_window(rows.withColumn("ok", F.lit(1)), "utc", F.lit("2900-01-01").cast("timestamp_ntz"),
-                              F.lit(None).cast("timestamp_ntz")).count()
-    del inside
-    return rows.agg(F.count("*").alias("entries"), F.count("utc").alias("with_time"),
-                    F.count_if(F.col("utc") >= F.lit("1900-01-01").cast("timestamp_ntz")).alias("in_window"))
+    """Entries of the last day that the window loses, most for want of a time."""
+    now = fx.as_of(spark, d)
+    mark = now - F.expr("INTERVAL 24 HOURS")
+    rows = fx.router_entries(spark, d).select("seq", "event_ts", ntz(collect.router_datetime("date", "time")).alias("utc"))
+    inside = pred.poll_window(rows, "utc", now, mark).select("seq")
+    return rows.where(F.col("event_ts") >= mark).join(inside, "seq", "left_anti").select("seq", "event_ts")
 
 
 @query("SELECT * FROM ev WHERE id > (SELECT c FROM cut)", "cut")
@@ -233,7 +232,7 @@ def watermark_filter(spark, d):
     return pred.above_mark(fx.monitoring_events(spark, d), fx.cut_id(spark, d))
 
 
-@query("""SELECT * FROM ev WHERE id > 0 AND "timestamp" >= (SELECT t FROM asof) - INTERVAL 10 DAY""")
+@query("""SELECT * FROM ev WHERE id > 0 AND "timestamp" >= (SELECT t FROM last_ts) - INTERVAL 10 DAY""")
 def since_days_filter(spark, d):
     since = fx.as_of(spark, d) - F.expr("INTERVAL 10 DAYS")
     return pred.above_mark(fx.monitoring_events(spark, d), 0, since)
@@ -454,10 +453,10 @@ def host_program_summary(spark, d):
 
 @query("""
 WITH l AS (SELECT event_type, max(ts) AS last_activity FROM events WHERE event_type <> 'error' OR event_id < 1000 GROUP BY 1),
-s AS (SELECT *, date_diff('microsecond', last_activity, t) // 1000000 AS silent_seconds FROM l, asof)
+s AS (SELECT *, date_diff('microsecond', last_activity, t) // 1000000 AS silent_seconds FROM l, last_ts)
 SELECT event_type, last_activity, silent_seconds, silent_seconds > 21600 AS stalled,
  CASE WHEN silent_seconds <= 21600 THEN 'ok' WHEN bool_and(silent_seconds > 21600) OVER () THEN 'critical' ELSE 'info' END AS level
-FROM s""", "asof")
+FROM s""")
 def stall_check(spark, d):
     """The stream of errors is made to go quiet early."""
     ev = fx.table(spark, d, "events").where("event_type <> 'error' OR event_id < 1000")

@@ -1 +1,297 @@
+"""Registered queries over the incident rules and their evaluators."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from logloom.operators import incidents as inc
+from logloom.sources import collect
+
+from . import fixtures as fx
+from .queries import _parsed, query
+
+FORMS = "(SELECT incident_typ AS c, count(*) AS forms FROM reg GROUP BY 1)"
+
+
+def _forms(spark, d):
+    return fx.register(spark, d).groupBy(F.col("incident_typ").alias("_c")).agg(F.count("*").alias("forms"))
+
+
+def _with_forms(df, spark, d, column):
+    joined = df.join(_forms(spark, d), F.col(column) == F.col("_c"), "left").drop("_c")
+    return joined.withColumn("forms", F.coalesce("forms", F.lit(0)))
+
+
+# --- rule tables, with the forms of the register behind each type ----------
+
+@query(f"SELECT code, label, coalesce(forms, 0) AS forms FROM types LEFT JOIN {FORMS} f ON f.c = code")
+def incident_type_list(spark, d):
+    seed = inc.incident_types(spark)
+    stored = inc.insert_new(seed.where("code < 'I-05'"), seed, "code")
+    return _with_forms(inc.insert_new(stored, seed, "code"), spark, d, "code")
+
+
+RULE_LIST = ", ".join(c for c in inc.RULE_COLUMNS if c != "note")
+
+
+@query(f"SELECT {RULE_LIST}, coalesce(forms, 0) AS forms FROM rules LEFT JOIN {FORMS} f ON f.c = incident_type")
+def rule_config(spark, d):
+    seed = inc.rule_config(spark)
+    return _with_forms(inc.insert_new(seed, seed, "rule_name"), spark, d, "incident_type").drop("note")
+
+
+@query(f"SELECT incident_type, count(*) AS rules, coalesce(any_value(forms), 0) AS forms FROM rules "
+       f"LEFT JOIN {FORMS} f ON f.c = incident_type WHERE active GROUP BY 1")
+def active_rules(spark, d):
+    return _with_forms(inc.active_rules(inc.rule_config(spark)), spark, d, "incident_type")
+
+
+SPLIT = "CASE WHEN coalesce(forms, 0) > 0 THEN 'new' ELSE 'old' END"
+
+
+@query(f"SELECT {SPLIT} AS reported_via, count(*) AS rules FROM rules LEFT JOIN {FORMS} f ON f.c = incident_type GROUP BY 1")
+def reported_via_split(spark, d):
+    """Rules switched to the new path once their type has forms."""
+    rules = _with_forms(inc.rule_config(spark), spark, d, "incident_type")
+    moved = rules.withColumn("reported_via", F.when(F.col("forms") > 0, "new").otherwise(F.col("reported_via")))
+    return inc.reported_via_split(moved)
+
+
+@query(f"SELECT rule_name, incident_type, label, coalesce(forms, 0) AS forms FROM rules JOIN types ON code = incident_type "
+       f"LEFT JOIN {FORMS} f ON f.c = incident_type")
+def config_types(spark, d):
+    return _with_forms(inc.config_types(inc.rule_config(spark), inc.incident_types(spark)), spark, d, "incident_type")
+
+
+@query("""
+SELECT id, incident_type, CASE incident_type
+ WHEN 'I-01' THEN CASE f WHEN 0 THEN 'i01-c2' WHEN 1 THEN 'i01-usb' END
+ WHEN 'I-02' THEN CASE f WHEN 0 THEN 'i02-default' WHEN 1 THEN 'i02-usb' END
+ WHEN 'I-13' THEN CASE host WHEN 'DiskStation225' THEN 'i13-diskstation' WHEN 'FritzBox' THEN 'i13-fritzbox' ELSE 'i13-gesamtstille' END
+ WHEN 'I-15' THEN 'i15' END AS rule_name
+FROM (SELECT id, host, id % 3 AS f, CASE event_type WHEN 'view' THEN 'I-01' WHEN 'click' THEN 'I-02' WHEN 'error' THEN 'I-13'
+  WHEN 'signup' THEN 'I-15' ELSE 'I-77' END AS incident_type FROM ke)""")
+def rule_select(spark, d):
+    kind = F.col("event_type")
+    typ = (F.when(kind == "view", "I-01").when(kind == "click", "I-02").when(kind == "error", "I-13")
+           .when(kind == "signup", "I-15").otherwise("I-77"))
+    target = F.when(F.col("id") % 3 == 0, "Synology C2").when(F.col("id") % 3 == 1, "USBFestplatte")
+    given = F.create_map(F.lit("host"), F.col("host"), F.lit("target"), target)
+    return fx.keyed_events(spark, d).select(
+        "id", typ.alias("incident_type"), inc.select_rule(inc.rule_config(spark), typ, given).alias("rule_name"))
+
+
+# --- burst -----------------------------------------------------------------
+
+def episodes_sql(source: str, key: str, silence: int | None) -> str:
+    gap = "false" if silence is None else f"ts > p + INTERVAL {silence} MINUTE"
+    return f"""SELECT *, sum(CASE WHEN p IS NULL OR {gap} THEN 1 ELSE 0 END) OVER (PARTITION BY {key} ORDER BY ts) AS ep
+ FROM (SELECT *, lag(ts) OVER (PARTITION BY {key} ORDER BY ts) AS p FROM {source})"""
+
+
+def burst_sql(source: str, key: str, threshold: int, window: int | None, silence: int | None,
+              escalate: tuple[int, int | None] | None = None) -> str:
+    def count(minutes):
+        start = "UNBOUNDED PRECEDING" if minutes is None else f"INTERVAL {minutes} MINUTE PRECEDING"
+        return f"count(*) OVER (PARTITION BY {key}, ep ORDER BY ts RANGE BETWEEN {start} AND CURRENT ROW)"
+    base = f"SELECT *, {count(window)} AS n FROM ({episodes_sql(source, key, silence)})"
+    opened = f"SELECT *, min(ts) FILTER (n >= {threshold}) OVER (PARTITION BY {key}, ep) AS o FROM ({base})"
+    extra = ""
+    if escalate:
+        limit, minutes = escalate
+        more = count(minutes) if minutes else (
+            f"count(*) FILTER (ts >= o) OVER (PARTITION BY {key}, ep ORDER BY ts RANGE UNBOUNDED PRECEDING)")
+        opened = f"SELECT *, {more} AS m FROM ({opened})"
+        extra = f", min(ts) FILTER (ts >= o AND m >= {limit}) AS escalated_at"
+    return (f"SELECT {key}, min(ts) AS episode, any_value(o) AS opened_at, max(ts) AS last_event, count(*) AS events{extra} "
+            f"FROM ({opened}) WHERE o IS NOT NULL GROUP BY {key}, ep")
+
+
+def _keyed(spark, d):
+    return fx.keyed_events(spark, d)
+
+
+@query(f"SELECT host, min(ts) AS episode, max(ts) AS last_event, count(*) AS events "
+       f"FROM ({episodes_sql('ke', 'host', 120)}) GROUP BY host, ep")
+def silence_episodes(spark, d):
+    return inc.silence_episodes(_keyed(spark, d), ["host"], 120)
+
+
+@query(burst_sql("ke", "host", 3, 15, 60))
+def inc_burst(spark, d):
+    return inc.burst(_keyed(spark, d), ["host"], 3, 15, 60)
+
+
+@query(burst_sql("ke", "user_id", 20, None, None))
+def inc_burst_unbounded(spark, d):
+    """No window and no silence: the twentieth event of a key opens."""
+    return inc.burst(_keyed(spark, d), ["user_id"], 20)
+
+
+CLOSED = "CASE WHEN last_event + INTERVAL {0} MINUTE <= t THEN last_event + INTERVAL {0} MINUTE END"
+
+
+@query(f"SELECT b.*, {CLOSED.format(90)} AS closed_at FROM ({burst_sql('ke', 'program', 2, 30, 90)}) b, last_ts")
+def inc_autoclose(spark, d):
+    found = inc.burst(_keyed(spark, d), ["program"], 2, 30, 90)
+    return inc.autoclose(found, 90, fx.as_of(spark, d))
+
+
+@query(f"SELECT * FROM ({burst_sql('ke', 'host', 2, 20, 60, (6, 120))}) UNION ALL BY NAME "
+       f"SELECT * FROM ({burst_sql('ke', 'program', 2, 20, 60, (8, None))})")
+def inc_escalate_occurrences(spark, d):
+    """By host within two hours, by program since opening."""
+    ev = _keyed(spark, d)
+    return collect.union_events(inc.burst(ev, ["host"], 2, 20, 60, 6, 120),
+                                inc.burst(ev, ["program"], 2, 20, 60, 8, None))
+
+
+@query(f"""
+SELECT host, opened_at, n AS incidents_in_window FROM (SELECT host, opened_at, count(*) OVER (PARTITION BY host ORDER BY opened_at
+ RANGE BETWEEN INTERVAL 1440 MINUTE PRECEDING AND CURRENT ROW) AS n FROM ({burst_sql('ke', 'host', 2, 15, 30)})) WHERE n >= 3""")
+def inc_escalate_incidents(spark, d):
+    found = inc.burst(_keyed(spark, d), ["host"], 2, 15, 30)
+    return inc.escalate_by_incidents(found, ["host"], 3, 1440)
+
+
+def _rule_branch(kind, rule):
+    r = next(r for r in inc.RULES if r["rule_name"] == rule)
+    by_count = r.get("escalate_basis") == "occurrences"
+    body = burst_sql(f"(SELECT * FROM ke WHERE event_type = '{kind}')", "host", r.get("open_threshold_count", 1),
+                     r.get("open_window_minutes"), r["autoclose_silence_minutes"],
+                     (r["escalate_count"], r.get("escalate_window_minutes")) if by_count else None)
+    escalated = "escalated_at" if by_count else "CAST(NULL AS TIMESTAMP)"
+    severity = (f"CASE WHEN escalated_at IS NOT NULL THEN '{r['escalate_to_severity']}' ELSE '{r['base_severity']}' END"
+                if by_count else f"'{r['base_severity']}'")
+    return (f"SELECT '{rule}' AS rule_name, host, episode, opened_at, last_event, events, {escalated} AS escalated_at, "
+            f"{CLOSED.format(r['autoclose_silence_minutes'])} AS closed_at, {severity} AS severity FROM ({body}), last_ts")
+
+
+@query(" UNION ALL ".join(_rule_branch(k, r) for k, r in (("error", "i10-internal"), ("click", "i08"), ("view", "i14"))))
+def inc_burst_rules(spark, d):
+    """Three shipped rules, each over the events assigned to it."""
+    kind = F.col("event_type")
+    name = F.when(kind == "error", "i10-internal").when(kind == "click", "i08").when(kind == "view", "i14")
+    rules = inc.rule_config(spark).where("rule_name IN ('i10-internal', 'i08', 'i14')")
+    ev = _keyed(spark, d).withColumn("rule_name", name).where("rule_name IS NOT NULL")
+    return inc.burst_by_rules(ev, rules, "host", fx.as_of(spark, d))
+
+
+# --- pair ------------------------------------------------------------------
+
+PAIR = """
+SELECT user_id, id AS start_id, ts AS opened_at, nxt AS closed_at FROM (
+ SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, id) AS nxt FROM (
+  SELECT *, lag(role) OVER (PARTITION BY user_id ORDER BY ts, id) AS before FROM ke WHERE role IS NOT NULL)
+ WHERE role IS DISTINCT FROM before) WHERE role = 'start'"""
+
+
+def _pairs(spark, d):
+    return inc.pair(_keyed(spark, d), ["user_id"])
+
+
+@query(PAIR)
+def inc_pair(spark, d):
+    return _pairs(spark, d)
+
+
+@query(f"SELECT * FROM ({PAIR}) WHERE closed_at IS NULL OR closed_at > opened_at + INTERVAL 6 HOUR")
+def inc_pair_delay(spark, d):
+    return inc.without_short(_pairs(spark, d), 6 * 3600)
+
+
+@query(f"SELECT p.*, CASE WHEN coalesce(closed_at, t) > opened_at + INTERVAL 1440 MINUTE THEN opened_at + INTERVAL 1440 MINUTE END "
+       f"AS overdue_at FROM ({PAIR}) p, last_ts")
+def inc_pair_overdue(spark, d):
+    return inc.overdue(_pairs(spark, d), 1440, fx.as_of(spark, d))
+
+
+@query(f"""
+SELECT user_id, min(opened_at) AS incident_opened_at, CASE WHEN count(*) = count(closed_at) THEN max(closed_at) END AS incident_closed_at,
+ count(*) AS openings FROM (SELECT *, sum(CASE WHEN c IS NULL OR opened_at > c + INTERVAL 720 MINUTE THEN 1 ELSE 0 END)
+  OVER (PARTITION BY user_id ORDER BY opened_at) AS g
+  FROM (SELECT *, lag(closed_at) OVER (PARTITION BY user_id ORDER BY opened_at) AS c FROM ({PAIR}))) GROUP BY user_id, g""")
+def inc_pair_reopen(spark, d):
+    return inc.reopen(_pairs(spark, d), ["user_id"], 720)
+
+
+@query(f"""
+SELECT user_id, opened_at, closed_at, m AS open_minutes, CASE WHEN m >= 30 THEN 'error' WHEN m >= 5 THEN 'warning' ELSE 'info' END AS severity
+FROM (SELECT *, date_diff('microsecond', opened_at, coalesce(closed_at, t)) // 60000000 AS m FROM ({PAIR}), last_ts)""")
+def inc_severity_duration(spark, d):
+    pairs = _pairs(spark, d).withColumn("rule_name", F.lit("i03"))
+    return inc.severity_by_duration(pairs, inc.rule_config(spark), fx.as_of(spark, d)).select(
+        "user_id", "opened_at", "closed_at", "open_minutes", "severity")
+
+
+@query(f"""
+SELECT r AS rule_name, user_id, opened_at, closed_at, r = 'i01-c2' AS needs_ack, closed_at IS NOT NULL AND r <> 'i08' AS close_notice
+FROM (SELECT *, CASE user_id % 3 WHEN 0 THEN 'i01-c2' WHEN 1 THEN 'i03' ELSE 'i08' END AS r FROM ({PAIR}))
+WHERE r = 'i01-c2' OR (closed_at IS NOT NULL AND r <> 'i08')""")
+def inc_ack_notify(spark, d):
+    third = F.col("user_id") % 3
+    name = F.when(third == 0, "i01-c2").when(third == 1, "i03").otherwise("i08")
+    pairs = _pairs(spark, d).select(name.alias("rule_name"), "user_id", "opened_at", "closed_at")
+    return inc.ack_notify(pairs, inc.rule_config(spark))
+
+
+# --- absence, rate, value --------------------------------------------------
+
+def absence_sql(key: str, minutes: int) -> str:
+    part = f"PARTITION BY {key}" if key else ""
+    head = key or "'all' AS host"
+    return (f"SELECT {head}, ts AS last_event, ts + INTERVAL {minutes} MINUTE AS opened_at, nxt AS closed_at "
+            f"FROM (SELECT *, lead(ts) OVER ({part} ORDER BY ts, id) AS nxt FROM ke), last_ts "
+            f"WHERE coalesce(nxt, t) > ts + INTERVAL {minutes} MINUTE")
+
+
+@query(f"{absence_sql('host', 100)} UNION ALL {absence_sql('', 20)}")
+def inc_absence(spark, d):
+    """Per host, and over the whole stream."""
+    ev, now = _keyed(spark, d), fx.as_of(spark, d)
+    stream = inc.absence(ev, [], 20, now).withColumn("host", F.lit("all"))
+    return inc.absence(ev, ["host"], 100, now).unionByName(stream)
+
+
+@query("""
+WITH s AS (SELECT ts, CASE WHEN id % 3 = 0 THEN 'Synology C2' WHEN id % 3 = 1 THEN 'USBFestplatte' ELSE 'paperless-ngx' END AS target
+ FROM ke WHERE event_type = 'view'),
+dd AS (SELECT rule_name, match_value AS target, CAST(day AS DATE) AS day,
+ (CAST(day AS DATE) + CAST(expected_at_local AS TIME)) AT TIME ZONE timezone AT TIME ZONE 'UTC' AS due_at
+ FROM rules, (SELECT unnest(range(date_trunc('day', min(ts)), max(ts), INTERVAL 1 DAY)) AS day FROM events)
+ WHERE expected_at_local IS NOT NULL)
+SELECT rule_name, target, day, due_at, due_at + INTERVAL 30 MINUTE AS late_at FROM dd
+WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.target = dd.target AND s.ts >= due_at AND s.ts < due_at + INTERVAL 30 MINUTE)""")
+def inc_expected_at(spark, d):
+    third = F.col("id") % 3
+    target = F.when(third == 0, "Synology C2").when(third == 1, "USBFestplatte").otherwise("paperless-ngx")
+    starts = _keyed(spark, d).where("event_type = 'view'").select("ts", target.alias("target"))
+    first, last = fx.table(spark, d, "events").agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    return inc.expected_at(starts, inc.rule_config(spark), F.lit(first), F.lit(last))
+
+
+@query("""
+WITH h AS (SELECT host, date_trunc('hour', ts) AS hour, count(*) AS events FROM ke GROUP BY 1, 2),
+m AS (SELECT *, quantile_cont(events, 0.5) OVER (PARTITION BY host ORDER BY hour RANGE BETWEEN INTERVAL 336 HOUR PRECEDING
+ AND INTERVAL 1 HOUR PRECEDING) AS median FROM h)
+SELECT host, hour, events, CAST(median AS DOUBLE) AS median, coalesce(events > median * 1.5, false) AS alarm FROM m""")
+def inc_rate(spark, d):
+    return inc.rate(_keyed(spark, d), "host", 1.5)
+
+
+@query("SELECT id, host, value FROM ke WHERE value < 8.0")
+def inc_value_threshold(spark, d):
+    return inc.below_limit(_keyed(spark, d), "value", 8.0).select("id", "host", "value")
+
+
+@query("""
+SELECT id, priority, CASE WHEN priority IN ('emergency', 'alert', 'critical') THEN 'I-00-CRIT' ELSE 'I-00' END AS incident_type
+FROM parsed WHERE program NOT IN ('System', 'Connection')""")
+def inc_catch_all(spark, d):
+    program = F.col("program")
+    typ = F.when(program == "System", "I-14").when(program == "Connection", "I-10").when(
+        program == "EventLog-1", "I-99")
+    rows = _parsed(spark, d).select("id", "priority", typ.alias("incident_type"))
+    return inc.catch_all(rows, inc.rule_config(spark)).select("id", "priority", "incident_type")
+
 

@@ -210,7 +210,7 @@ def delivery_outcome(attempts: DataFrame, max_retries: int = 3, backoff_seconds:
     out = attempts.groupBy("event_id").agg(success.alias("delivered_at_try"), tries.alias("_tries"))
     used = F.coalesce("delivered_at_try", "_tries")
     return out.select(
-        "event_id",
+        "event_id", "delivered_at_try",
         F.col("delivered_at_try").isNotNull().alias("delivered"),
         used.alias("tries"),
         (F.lit(backoff_seconds) * used * (used - 1) / 2).alias("waited_seconds"),
