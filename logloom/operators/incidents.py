@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from logloom.functions.syslog import rule_severity
@@ -216,16 +217,6 @@ def silence_episodes(events: DataFrame, keys: list[str], silence_minutes: int |
     return pts.groupBy(*keys, "episode").agg(F.max("ts").alias("last_event"), F.sum("n").alias("events"))
 
 
-def _counted(pts: DataFrame, keys: list[str], window_minutes: int | None, out: str, width: int) -> DataFrame:
-    """Events of the episode so far, or within the window."""
-    if window_minutes is not None:
-        return tl.rolling_count(pts, [*keys, "episode"], window_minutes, out, "ts", width)
-    summed = tl.running_sum(pts, keys, ["ts"], F.col("n"), "_all")
-    base = F.when(F.col("ts") == F.col("episode"), F.col("_all") - F.col("n"))
-    return tl.running_max(summed, keys, ["ts"], base, "_base").withColumn(
-        out, F.col("_all") - F.col("_base")).drop("_all", "_base")
-
-
 def burst(events: DataFrame, keys: list[str], threshold: int | None = 1, window_minutes: int | None = None,
           silence_minutes: int | None = None, escalate_count: int | None = None,
           escalate_window_minutes: int | None = None, width: int = tl.HOUR) -> DataFrame:
@@ -236,23 +227,27 @@ def burst(events: DataFrame, keys: list[str], threshold: int | None = 1, window_
     escalation window (without one: since opening) reaches that limit.
     """
     pts = tl.with_episodes(tl.points(events, keys, "ts", width), keys, silence_minutes)
-    pts = _counted(pts, keys, window_minutes, "_count", width)
-    if escalate_count is not None:
-        pts = _counted(pts, keys, escalate_window_minutes, "_more", width)
-    reached = F.when(F.col("_count") >= (threshold or 1), F.col("ts"))
+    windows = {"_open": window_minutes, "_more": escalate_window_minutes if escalate_count else None}
+    pts = tl.rolling_counts(pts, keys, {name: m for name, m in windows.items() if m is not None}, width)
+    # A window that reaches back past the episode counts the episode only.
+    count = F.least("_open", "so_far") if window_minutes is not None else F.col("so_far")
+    reached = F.when(count >= (threshold or 1), F.col("ts"))
     group = [*keys, "episode"]
     opened = pts.groupBy(*group).agg(
-        F.min(reached).alias("opened_at"), F.max("ts").alias("last_event"), F.sum("n").alias("events"))
+        F.min(reached).alias("opened_at"), F.max("ts").alias("last_event"), F.sum("n").alias("events"),
+        F.min(F.when(reached.isNotNull(), F.col("so_far") - F.col("n"))).alias("_before"))
     opened = opened.where(F.col("opened_at").isNotNull())
     if escalate_count is None:
-        return opened
-    later = pts.join(opened.select(*group, "opened_at"), group).where(F.col("ts") >= F.col("opened_at"))
-    if escalate_window_minutes is None:
-        before = later.where(F.col("ts") == F.col("opened_at")).select(
-            *group, (F.col("_more") - F.col("n")).alias("_before"))
-        later = later.join(before, group).withColumn("_more", F.col("_more") - F.col("_before"))
-    escalated = later.where(F.col("_more") >= escalate_count).groupBy(*group).agg(F.min("ts").alias("escalated_at"))
-    return opened.join(escalated, group, "left")
+        return opened.drop("_before")
+    # Only rows that could escalate meet their episode's opening; a hot
+    # episode in this join is split by AQE like any skewed key.
+    more = F.least("_more", "so_far") if escalate_window_minutes is not None else F.col("so_far")
+    able = pts.select(*group, "ts", more.alias("_count")).where(F.col("_count") >= escalate_count)
+    since = F.col("_count") - (F.lit(0) if escalate_window_minutes is not None else F.col("_before"))
+    escalated = able.join(opened.select(*group, "opened_at", "_before"), group).where(
+        (F.col("ts") >= F.col("opened_at")) & (since >= escalate_count)
+    ).groupBy(*group).agg(F.min("ts").alias("escalated_at"))
+    return opened.drop("_before").join(escalated, group, "left")
 
 
 def autoclose(incidents: DataFrame, silence_minutes: int | None, as_of: Column) -> DataFrame:
@@ -286,7 +281,7 @@ def escalate_by_incidents(incidents: DataFrame, keys: list[str], count: int, win
                           width: int = 24 * tl.HOUR) -> DataFrame:
     """Incidents whose key opened ``count`` of them within the window."""
     opened = tl.points(incidents.select(*keys, F.col("opened_at").alias("ts")), keys, "ts", width)
-    rolled = tl.rolling_count(opened, keys, window_minutes, "incidents_in_window", "ts", width)
+    rolled = tl.rolling_counts(opened, keys, {"incidents_in_window": window_minutes}, width)
     hits = rolled.where(F.col("incidents_in_window") >= count)
     return hits.select(*keys, F.col("ts").alias("opened_at"), "incidents_in_window")
 
@@ -301,12 +296,21 @@ def pair(events: DataFrame, keys: list[str], width: int = tl.HOUR) -> DataFrame:
     where the role changes matter, and they alternate.
     """
     order = ["ts", "id"]
-    rows = tl.sliced(events.where(F.col("role").isin("start", "end")).select(*keys, *order, "role"), "ts", width)
-    rows = tl.previous(rows, keys, order, F.col("role"), "_before")
-    turns = rows.where(~F.col("role").eqNullSafe(F.col("_before"))).drop("_before")
-    turns = tl.following(turns, keys, order, F.col("ts"), "closed_at")
-    return turns.where(F.col("role") == "start").select(
-        *keys, F.col("id").alias("start_id"), F.col("ts").alias("opened_at"), "closed_at")
+    roles = tl.on_timeline(events.where(F.col("role").isin("start", "end")), keys)
+    rows = tl.sliced(roles.select(*keys, *order, "role"), "ts", width)
+    here = tl.local(keys, *order)
+    end_ts = F.when(F.col("role") == "end", F.col("ts"))
+    rows = rows.withColumn("_role_before", F.lag("role").over(here)).withColumn(
+        "_end_after", F.min(end_ts).over(here.rowsBetween(W.currentRow, W.unboundedFollowing)))
+    rows = tl.with_carry(
+        rows, keys,
+        border={"_last_role": F.max_by("role", F.struct(*order)), "_first_end": F.min(end_ts)},
+        carry={"_role_slice": F.lag("_last_role").over(tl.slices_of(keys)),
+               "_end_slice": F.min("_first_end").over(tl.later_slices(keys))})
+    idle = F.coalesce("_role_before", "_role_slice", F.lit("end")) == "end"
+    return rows.where(idle & (F.col("role") == "start")).select(
+        *keys, F.col("id").alias("start_id"), F.col("ts").alias("opened_at"),
+        F.coalesce("_end_after", "_end_slice").alias("closed_at"))
 
 
 def without_short(incidents: DataFrame, delay_seconds: int) -> DataFrame:

@@ -22,8 +22,10 @@ def minutes(n: int | Column) -> Column:
 
 
 def slice_of(ts: Column | str, width: int = HOUR) -> Column:
+    """Slice number; never null, so that a join on it adds no filter that
+    would keep Spark from seeing its two sides as the same shuffle."""
     ts = F.col(ts) if isinstance(ts, str) else ts
-    return F.floor(F.unix_seconds(ts.cast("timestamp")) / width)
+    return F.coalesce(F.floor(F.unix_seconds(ts.cast("timestamp")) / width), F.lit(0).cast("bigint"))
 
 
 def sliced(df: DataFrame, ts: str = "ts", width: int = HOUR) -> DataFrame:
@@ -31,8 +33,13 @@ def sliced(df: DataFrame, ts: str = "ts", width: int = HOUR) -> DataFrame:
 
 
 def points(events: DataFrame, keys: list[str], ts: str = "ts", width: int = HOUR) -> DataFrame:
-    """Events per (key, instant), counted before the shuffle."""
-    return sliced(events.groupBy(*keys, ts).agg(F.count("*").alias("n")), ts, width)
+    """Events per (key, instant), counted before the shuffle.  An event
+    without the key, or without a time, belongs to no timeline."""
+    return sliced(on_timeline(events, keys, ts).groupBy(*keys, ts).agg(F.count("*").alias("n")), ts, width)
+
+
+def on_timeline(events: DataFrame, keys: list[str], ts: str = "ts") -> DataFrame:
+    return events.dropna(subset=[*keys, ts])
 
 
 def _neighbour(df: DataFrame, keys: list[str], order: list[str], value: Column, out: str, ahead: bool) -> DataFrame:
@@ -80,46 +87,109 @@ def over_interval(call: str, keys: list[str], ts: str, start: str, end: str) ->
     return F.expr(f"{call} OVER (PARTITION BY {by} ORDER BY `{ts}` RANGE BETWEEN {start} AND {end})")
 
 
-def rolling_count(df: DataFrame, keys: list[str], window_minutes: int, out: str, ts: str = "ts",
-                  width: int = HOUR) -> DataFrame:
-    """Sum of ``n`` over the last ``window_minutes`` up to the row, both
-    bounds included.  Rows are unique per (keys, ts)."""
-    if window_minutes * 60 <= width:
-        return _rolling_by_copies(df, keys, window_minutes, out, ts, width)
-    return _rolling_by_sums(df, keys, window_minutes, out, ts, width)
+def rolling_counts(df: DataFrame, keys: list[str], windows: dict[str, int], width: int = HOUR) -> DataFrame:
+    """Per name in ``windows``, the sum of ``n`` over that many minutes up to
+    the row, both bounds included.  Rows are unique per (keys, ts)."""
+    short = {name: m for name, m in windows.items() if m * 60 <= width}
+    if short:
+        df = _rolling_by_copies(df, keys, short, width)
+    for name, window_minutes in windows.items():
+        if name not in short:
+            df = _rolling_by_sums(df, keys, window_minutes, name, width)
+    return df
 
 
-def _rolling_by_copies(df, keys, window_minutes, out, ts, width) -> DataFrame:
+def _rolling_by_copies(df: DataFrame, keys: list[str], windows: dict[str, int], width: int) -> DataFrame:
     """Short windows reach at most into the next slice: a row is copied there,
-    feeds the frame, and its copy is dropped again."""
-    last = slice_of(F.col(ts) + minutes(window_minutes), width)
-    copies = (df.withColumn("_own", slice_of(ts, width))
+    feeds the frames, and its copy is dropped again."""
+    last = slice_of(F.col("ts") + minutes(max(windows.values())), width)
+    copies = (df.withColumn("_own", slice_of("ts", width))
               .withColumn("_at", F.explode(F.sequence("_own", last))))
-    total = over_interval("sum(n)", [*keys, "_at"], ts, f"INTERVAL {window_minutes} MINUTES PRECEDING", "CURRENT ROW")
-    return copies.withColumn(out, total).where(F.col("_at") == F.col("_own")).drop("_at", "_own")
+    frames = {name: over_interval("sum(n)", [*keys, "_at"], "ts", f"INTERVAL {m} MINUTES PRECEDING", "CURRENT ROW")
+              for name, m in windows.items()}
+    return copies.withColumns(frames).where(F.col("_at") == F.col("_own")).drop("_at", "_own")
 
 
-def _rolling_by_sums(df, keys, window_minutes, out, ts, width) -> DataFrame:
+def _rolling_by_sums(df: DataFrame, keys: list[str], window_minutes: int, out: str, width: int) -> DataFrame:
     """Long windows: the count up to the row less the count before the window
     began.  The latter is read off by probe rows placed at that instant, so
     slices stay as short as they are."""
-    rows = df.select(*keys, F.col(ts).alias("_row"), F.col(ts).alias("_t"), F.col("n"), F.lit(1).alias("_kind"))
+    rows = df.select(*keys, F.col("ts").alias("_row"), F.col("ts").alias("_t"), "n", F.lit(1).alias("_kind"))
     probes = rows.select(*keys, "_row", (F.col("_t") - minutes(window_minutes)).alias("_t"),
                          F.lit(0).cast("bigint").alias("n"), F.lit(0).alias("_kind"))
     both = sliced(rows.unionByName(probes), "_t", width)
     summed = running_sum(both, keys, ["_t", "_kind"], F.col("n"), "_sum")
     signed = F.when(F.col("_kind") == 1, F.col("_sum")).otherwise(-F.col("_sum"))
-    counts = summed.groupBy(*keys, F.col("_row").alias(ts)).agg(F.sum(signed).alias(out))
-    return df.join(counts, [*keys, ts])
-
-
-def with_episodes(df: DataFrame, keys: list[str], silence_minutes: int | None, ts: str = "ts") -> DataFrame:
-    """Add ``episode``, the first instant of the stretch without a silence
-    above the limit.  No limit means one episode per key."""
-    if silence_minutes is None:
-        gap = F.lit(False)
-    else:
-        gap = F.col(ts) > F.col("_prev") + minutes(silence_minutes)
-    out = previous(df, keys, [ts], F.col(ts), "_prev")
-    start = F.when(F.col("_prev").isNull() | gap, F.col(ts))
-    return running_max(out, keys, [ts], start, "episode").drop("_prev")
+    counts = summed.groupBy(*keys, F.col("_row").alias("ts")).agg(F.sum(signed).alias(out))
+    return df.join(counts, [*keys, "ts"])
+
+
+def with_carry(df: DataFrame, keys: list[str], border: dict[str, Column], carry: dict[str, Column]) -> DataFrame:
+    """Join what other slices say onto each row.
+
+    ``border`` are aggregates per (key, slice); ``carry`` are expressions
+    over those, windowed per key in slice order.  ``df`` is read twice with
+    the same columns, so Spark runs and shuffles it once and reuses it.
+    """
+    by = [*keys, SLICE]
+    slices = df.groupBy(*by).agg(*[c.alias(n) for n, c in border.items()])
+    for name, column in carry.items():
+        slices = slices.withColumn(name, column)
+    return df.join(slices.select(*by, *carry), by)
+
+
+def local(keys: list[str], *order: str):
+    return W.partitionBy(*keys, SLICE).orderBy(*order)
+
+
+def slices_of(keys: list[str]):
+    return W.partitionBy(*keys).orderBy(SLICE)
+
+
+def earlier_slices(keys: list[str]):
+    return slices_of(keys).rowsBetween(W.unboundedPreceding, -1)
+
+
+def later_slices(keys: list[str]):
+    return slices_of(keys).rowsBetween(1, W.unboundedFollowing)
+
+
+def with_episodes(pts: DataFrame, keys: list[str], silence_minutes: int | None) -> DataFrame:
+    """Add to points ``(keys, ts, n)``: ``episode``, the first instant of the
+    stretch without a silence above the limit (no limit: one per key), and
+    ``so_far``, the events of the episode up to the row."""
+    here = local(keys, "ts")
+    upto = here.rowsBetween(W.unboundedPreceding, W.currentRow)
+    limit = None if silence_minutes is None else minutes(silence_minutes)
+
+    def opens(before: Column) -> Column:
+        late = F.lit(False) if limit is None else F.col("ts") > before + limit
+        return before.isNull() | late
+
+    rows = pts.withColumn("_before", F.lag("ts").over(here)).withColumn("_sum", F.sum("n").over(upto))
+    # Starts that are certain without looking outside the slice.
+    inner = F.when(F.col("_before").isNotNull() & opens(F.col("_before")), F.col("ts"))
+    inner_base = F.when(inner.isNotNull(), F.col("_sum") - F.col("n"))
+    first_gap = F.col("_last_before").isNull()
+    if limit is not None:
+        first_gap = first_gap | (F.col("_first") > F.col("_last_before") + limit)
+    past = earlier_slices(keys)
+    rows = with_carry(
+        rows, keys,
+        border={"_first": F.min("ts"), "_last": F.max("ts"), "_n": F.sum("n"),
+                "_start": F.max(inner), "_base": F.max(inner_base)},
+        carry={
+            "_last_before": F.lag("_last").over(slices_of(keys)),
+            "_total": F.coalesce(F.sum("_n").over(past), F.lit(0)),
+            "_slice_start": F.coalesce("_start", F.when(first_gap, F.col("_first"))),
+            "_slice_base": F.col("_total") + F.coalesce("_base", F.when(first_gap, F.lit(0))),
+            "_episode_before": F.max("_slice_start").over(past),
+            "_base_before": F.max("_slice_base").over(past),
+        })
+    start = opens(F.coalesce("_before", "_last_before"))
+    count = F.col("_total") + F.col("_sum")
+    began = F.max(F.when(start, F.col("ts"))).over(upto)
+    base = F.max(F.when(start, count - F.col("n"))).over(upto)
+    return rows.select(
+        *keys, "ts", "n", SLICE, F.coalesce(began, "_episode_before").alias("episode"),
+        (count - F.coalesce(base, "_base_before")).alias("so_far"))
