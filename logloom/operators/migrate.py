@@ -183,11 +183,11 @@ def migrate_bridge(bridge: DataFrame, moved: DataFrame, ruleset: RuleSet) -> Dat
     """Bridge re-tagged with new form and versions; quality flags stay."""
     target = moved.select("event_id", "new_fingerprint")
     hit = F.col("new_fingerprint").isNotNull()
-    return bridge.join(target, "event_id", "left").select(
-        "event_id", F.coalesce("new_fingerprint", "fingerprint").alias("fingerprint"),
-        F.when(hit, ruleset.cleaner_ver).otherwise(F.col("cleaner_ver")).alias("cleaner_ver"),
-        F.when(hit, ruleset.normalizer_ver).otherwise(F.col("normalizer_ver")).alias("normalizer_ver"),
-        "computed_at", "bom_missing", "bom_missing_unverified")
+    return bridge.join(target, "event_id", "left").withColumns({
+        "fingerprint": F.coalesce("new_fingerprint", "fingerprint"),
+        "cleaner_ver": F.when(hit, ruleset.cleaner_ver).otherwise(F.col("cleaner_ver")),
+        "normalizer_ver": F.when(hit, ruleset.normalizer_ver).otherwise(F.col("normalizer_ver")),
+    }).drop("new_fingerprint")
 
 
 def bom_backfill(bridge: DataFrame, events: DataFrame) -> DataFrame:

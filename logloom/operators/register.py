@@ -24,12 +24,12 @@ DELTA_COLUMNS = ("fingerprint", "host", "program", "beispiel_roh", "erstmals", "
 # --- bridge ----------------------------------------------------------------
 
 def bridge_rows(fingerprinted: DataFrame, ruleset: RuleSet = RULES_V1,
-                computed_at: Column | None = None) -> DataFrame:
+                computed_at: Column | None = None, keep: tuple[Column, ...] = ()) -> DataFrame:
     return fingerprinted.select(
         F.col("id").alias("event_id"), "fingerprint",
         F.lit(ruleset.cleaner_ver).alias("cleaner_ver"), F.lit(ruleset.normalizer_ver).alias("normalizer_ver"),
         (F.col("timestamp") if computed_at is None else computed_at).alias("computed_at"),
-        "bom_missing", "bom_missing_unverified")
+        "bom_missing", "bom_missing_unverified", *keep)
 
 
 def id_watermark(bridge: DataFrame) -> DataFrame:
