@@ -53,24 +53,26 @@ def parse_lines(lines: DataFrame, line: str, received_at: str) -> DataFrame:
     A line that does not match is kept whole and marked, with the time it was
     received; that time is a column so that a rerun gives the same rows.
     """
-    raw = strip_space(line)
-    ok = raw.rlike(LINE_PATTERN)
-    part = lambda n: F.regexp_extract(F.col("_raw"), LINE_PATTERN, n)
-    pri = part(1).try_cast("int")
+    raw = F.col("_raw")
+    # One match rewrites the line to its fields.  They hold no whitespace, so
+    # a line feed separates them; the message comes last and may hold any.
+    parts = F.split(F.regexp_replace(raw, LINE_PATTERN, "$1\n$3\n$4\n$5\n$6\n$7\n$8"), "\n", 7)
+    part = lambda n: F.get(F.col("_parts"), F.lit(n))
     dash = lambda c: F.when(c == "-", "").otherwise(c)
-    known = F.col("parsed")
-    unknown = F.lit("unknown")
+    pri, known, unknown = part(0).try_cast("int"), F.col("parsed"), F.lit("unknown")
     keep = [c for c in lines.columns if c not in (line, received_at)]
-    staged = lines.select(*keep, F.col(received_at).alias("_at"), raw.alias("_raw"), ok.alias("parsed"))
+    at = F.col(received_at).alias("_at")
+    staged = lines.select(*keep, at, strip_space(line).alias("_raw"))
+    staged = staged.select(*keep, "_at", "_raw", raw.rlike(LINE_PATTERN).alias("parsed"), parts.alias("_parts"))
     return staged.select(
         *keep,
-        F.when(known, part(3)).otherwise(F.col("_at")).alias("timestamp"),
-        F.when(known, part(4)).otherwise(unknown).alias("host"),
+        F.when(known, part(1)).otherwise(F.col("_at")).alias("timestamp"),
+        F.when(known, part(2)).otherwise(unknown).alias("host"),
         F.when(known, facility_name(pri)).otherwise(unknown).alias("facility"),
         F.when(known, severity_name(pri)).otherwise(unknown).alias("priority"),
-        F.when(known, part(5)).otherwise(unknown).alias("program"),
-        F.when(known, dash(part(6))).otherwise("").alias("pid"),
-        F.when(known, dash(part(7))).otherwise("").alias("msgid"),
-        F.when(known, strip_space(part(8))).otherwise(F.col("_raw")).alias("message"),
+        F.when(known, part(3)).otherwise(unknown).alias("program"),
+        F.when(known, dash(part(4))).otherwise("").alias("pid"),
+        F.when(known, dash(part(5))).otherwise("").alias("msgid"),
+        F.when(known, strip_space(part(6))).otherwise(F.col("_raw")).alias("message"),
         known,
     )

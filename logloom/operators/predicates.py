@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -59,12 +60,16 @@ def is_valid_pattern(session, pattern: str) -> bool:
 
 
 def is_denylisted(message: Column | str, patterns=DENYLIST) -> Column:
-    """Any pattern found anywhere in the message.  Literal patterns are
-    compiled once per task; the first hit ends the test."""
+    """Any pattern found anywhere in the message: one search for their
+    alternation, compiled once per task.  Patterns with back references keep
+    their own search, because joining them would renumber their groups."""
     message = F.col(message) if isinstance(message, str) else message
     if not patterns:
         return F.lit(False)
-    return F.coalesce(reduce(Column.__or__, [message.rlike("(?U)" + p) for p in patterns]), F.lit(False))
+    alone = [p for p in patterns if re.search(r"\\[1-9k]", p)]
+    joined = "|".join(f"(?:{p})" for p in patterns if p not in alone)
+    searches = [message.rlike("(?U)" + p) for p in ([joined] if joined else []) + alone]
+    return F.coalesce(reduce(Column.__or__, searches), F.lit(False))
 
 
 def denylist_counters(lines: DataFrame, by: str, message: str = "message", patterns=DENYLIST) -> DataFrame:

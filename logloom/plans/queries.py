@@ -681,7 +681,7 @@ def dq_not_null(spark, d):
     return dq.missing_required(_broken(spark, d), "fingerprint", dq.REGISTER_REQUIRED)
 
 
-@query("SELECT fingerprint, vorkommen, vorkommen - count(*) FILTER (event_id % 101 = 0) AS bridge_rows "
+@query("SELECT fingerprint, vorkommen, nullif(vorkommen - count(*) FILTER (event_id % 101 = 0), 0) AS bridge_rows "
        "FROM reg JOIN bridge USING (fingerprint) GROUP BY 1, 2 HAVING count(*) FILTER (event_id % 101 = 0) > 0")
 def dq_register_counts(spark, d):
     return dq.count_mismatch(fx.register(spark, d), fx.bridge(spark, d).where("event_id % 101 <> 0"))

@@ -41,8 +41,9 @@ def run_fingerprints(events: DataFrame, store: Store, run: str, checkpoint: str,
     """
     def one(batch: DataFrame, batch_id: int) -> None:
         # Every tick is recorded, also one that finds nothing new.
+        pending = batch.count()
         processed = jobs.process_batch(store, batch, run, batch_id, ruleset, unique_ids)
-        jobs.record_tick(store, run, batch_id, processed, processed)
+        jobs.record_tick(store, run, batch_id, pending, processed)
 
     return (events.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or EVERY)).start())

@@ -39,9 +39,11 @@ def rows_of(columns, rows):
 
 def compare(spark, con, fn, sql, sf_dir) -> str:
     df = fn(spark, sf_dir)
+    began = time.time()
     got = rows_of(df.columns, [tuple(r) for r in df.collect()])
     if sql is None:
         return f"rows-only {len(got)}"
+    spark_seconds, began = time.time() - began, time.time()
     rel = con.sql(sql)
     want = rows_of(rel.columns, rel.fetchall())
     if sorted(df.columns) != sorted(rel.columns):
@@ -51,7 +53,7 @@ def compare(spark, con, fn, sql, sf_dir) -> str:
         return f"FAIL {len(got)} vs {len(want)} rows, first {odd}"
     odd_types = {"interval", "struct", "timestamp"}
     bad = [f.name for f in df.schema.fields if f.dataType.typeName() in odd_types]
-    return f"ok {len(got)}" + (f" (types: {bad})" if bad else "")
+    return f"ok {len(got)} (collect {spark_seconds:.2f}s, check {time.time() - began:.2f}s)" + (f" (types: {bad})" if bad else "")
 
 
 def main(argv) -> int:
