@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from logloom.functions.syslog import rule_severity
+from logloom.session import materialize
 
 from . import timeline as tl
 
@@ -231,8 +232,13 @@ def burst(events: DataFrame, keys: list[str], threshold: int | None = 1, window_
     pts = tl.rolling_counts(pts, keys, {name: m for name, m in windows.items() if m is not None}, width)
     # A window that reaches back past the episode counts the episode only.
     count = F.least("_open", "so_far") if window_minutes is not None else F.col("so_far")
-    reached = F.when(count >= (threshold or 1), F.col("ts"))
     group = [*keys, "episode"]
+    if escalate_count is not None:
+        # Read three times below; written once instead of computed thrice.
+        more = F.least("_more", "so_far") if escalate_window_minutes is not None else F.col("so_far")
+        pts = materialize(pts.select(*group, "ts", "n", "so_far", count.alias("_count"), more.alias("_more")), "counted")
+        count = F.col("_count")
+    reached = F.when(count >= (threshold or 1), F.col("ts"))
     opened = pts.groupBy(*group).agg(
         F.min(reached).alias("opened_at"), F.max("ts").alias("last_event"), F.sum("n").alias("events"),
         F.min(F.when(reached.isNotNull(), F.col("so_far") - F.col("n"))).alias("_before"))
@@ -241,9 +247,8 @@ def burst(events: DataFrame, keys: list[str], threshold: int | None = 1, window_
         return opened.drop("_before")
     # Only rows that could escalate meet their episode's opening; a hot
     # episode in this join is split by AQE like any skewed key.
-    more = F.least("_more", "so_far") if escalate_window_minutes is not None else F.col("so_far")
-    able = pts.select(*group, "ts", more.alias("_count")).where(F.col("_count") >= escalate_count)
-    since = F.col("_count") - (F.lit(0) if escalate_window_minutes is not None else F.col("_before"))
+    able = pts.select(*group, "ts", "_more").where(F.col("_more") >= escalate_count)
+    since = F.col("_more") - (F.lit(0) if escalate_window_minutes is not None else F.col("_before"))
     escalated = able.join(opened.select(*group, "opened_at", "_before"), group).where(
         (F.col("ts") >= F.col("opened_at")) & (since >= escalate_count)
     ).groupBy(*group).agg(F.min("ts").alias("escalated_at"))

@@ -12,7 +12,7 @@ from logloom.functions.text import clean_bom, with_fingerprint
 from logloom.operators import migrate as mig
 from logloom.operators import predicates as pred
 from logloom.operators import register as reg
-from logloom.session import materialize
+from logloom.session import materialize, spread
 from logloom.streaming.store import Store
 
 SMALL_FORMS = 100_000
@@ -53,7 +53,7 @@ def process_batch(store: Store, events: DataFrame, run: str, batch: int, ruleset
     state = store.state()
     if state["batches"].get(run, -1) >= batch:
         return 0
-    source = events if unique_ids else reg.distinct_ids(events)
+    source = spread(events if unique_ids else reg.distinct_ids(events))
     fresh = reg.new_events(source, store.bridge())
     folder = store.bridge_folder(state, run, batch)
     # The event time is kept beside the bridge columns, so counts and times

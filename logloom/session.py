@@ -39,11 +39,14 @@ def spread(df: DataFrame) -> DataFrame:
     """Use all cores for a table that arrives in fewer splits than that.
 
     Large tables have more splits than cores and pass through unshuffled.
+    Only plain scans are looked at; a plan with shuffles of its own already
+    has its parallelism set by those.
     """
-    session = df.sparkSession
-    cores = session.sparkContext.defaultParallelism
-    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
-    return df.repartition(cores) if splits < cores else df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        return df
+    return df.repartition(cores) if plan.execute().getNumPartitions() < cores else df
 
 
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
