@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -218,6 +216,9 @@ def silence_episodes(events: DataFrame, keys: list[str], silence_minutes: int |
     return pts.groupBy(*keys, "episode").agg(F.max("ts").alias("last_event"), F.sum("n").alias("events"))
 
 
+LIMITS = ("_threshold", "_window", "_quiet", "_limit_count", "_limit_window")
+
+
 def burst(events: DataFrame, keys: list[str], threshold: int | None = 1, window_minutes: int | None = None,
           silence_minutes: int | None = None, escalate_count: int | None = None,
           escalate_window_minutes: int | None = None, width: int = tl.HOUR) -> DataFrame:
@@ -227,30 +228,48 @@ def burst(events: DataFrame, keys: list[str], threshold: int | None = 1, window_
     ``escalated_at`` the first event from then on whose count within the
     escalation window (without one: since opening) reaches that limit.
     """
-    pts = tl.with_episodes(tl.points(events, keys, "ts", width), keys, silence_minutes)
-    windows = {"_open": window_minutes, "_more": escalate_window_minutes if escalate_count else None}
-    pts = tl.rolling_counts(pts, keys, {name: m for name, m in windows.items() if m is not None}, width)
-    # A window that reaches back past the episode counts the episode only.
-    count = F.least("_open", "so_far") if window_minutes is not None else F.col("so_far")
+    values = (threshold or 1, window_minutes, silence_minutes, escalate_count, escalate_window_minutes)
+    pts = tl.points(events, keys, "ts", width).withColumns(
+        {name: F.lit(v).cast("int") for name, v in zip(LIMITS, values)})
+    windows = {m for m in (window_minutes, escalate_window_minutes if escalate_count else None) if m is not None}
+    return _burst(pts, keys, windows, escalate_count is not None, width)
+
+
+def _within(window: Column, windows: set[int]) -> Column:
+    """Count within the row's own window, of the episode only; no window
+    means the episode so far."""
+    count = F.col("so_far")
+    for m in sorted(windows):
+        count = F.when(window == m, F.least(f"_in_{m}", "so_far")).otherwise(count)
+    return count
+
+
+def _burst(pts: DataFrame, keys: list[str], windows: set[int], escalates: bool, width: int) -> DataFrame:
+    """Points with their limits as columns; ``windows`` lists the distinct
+    window lengths among them, which are counted in one pass."""
+    pts = tl.with_episodes(pts, keys, F.col("_quiet"), keep=LIMITS)
+    pts = tl.rolling_counts(pts, keys, {f"_in_{m}": m for m in sorted(windows)}, width)
     group = [*keys, "episode"]
-    if escalate_count is not None:
+    pts = pts.select(*group, "ts", "n", "so_far", "_threshold", "_limit_count", "_limit_window",
+                     _within(F.col("_window"), windows).alias("_count"),
+                     _within(F.col("_limit_window"), windows).alias("_more"))
+    if escalates:
         # Read three times below; written once instead of computed thrice.
-        more = F.least("_more", "so_far") if escalate_window_minutes is not None else F.col("so_far")
-        pts = materialize(pts.select(*group, "ts", "n", "so_far", count.alias("_count"), more.alias("_more")), "counted")
-        count = F.col("_count")
-    reached = F.when(count >= (threshold or 1), F.col("ts"))
+        pts = materialize(pts, "counted")
+    reached = F.when(F.col("_count") >= F.col("_threshold"), F.col("ts"))
     opened = pts.groupBy(*group).agg(
         F.min(reached).alias("opened_at"), F.max("ts").alias("last_event"), F.sum("n").alias("events"),
         F.min(F.when(reached.isNotNull(), F.col("so_far") - F.col("n"))).alias("_before"))
     opened = opened.where(F.col("opened_at").isNotNull())
-    if escalate_count is None:
+    if not escalates:
         return opened.drop("_before")
     # Only rows that could escalate meet their episode's opening; a hot
     # episode in this join is split by AQE like any skewed key.
-    able = pts.select(*group, "ts", "_more").where(F.col("_more") >= escalate_count)
-    since = F.col("_more") - (F.lit(0) if escalate_window_minutes is not None else F.col("_before"))
+    able = pts.where(F.col("_more") >= F.col("_limit_count")).select(
+        *group, "ts", "_more", "_limit_count", "_limit_window")
+    since = F.col("_more") - F.when(F.col("_limit_window").isNull(), F.col("_before")).otherwise(0)
     escalated = able.join(opened.select(*group, "opened_at", "_before"), group).where(
-        (F.col("ts") >= F.col("opened_at")) & (since >= escalate_count)
+        (F.col("ts") >= F.col("opened_at")) & (since >= F.col("_limit_count"))
     ).groupBy(*group).agg(F.min("ts").alias("escalated_at"))
     return opened.drop("_before").join(escalated, group, "left")
 
@@ -264,22 +283,27 @@ def autoclose(incidents: DataFrame, silence_minutes: int | None, as_of: Column)
 
 
 def burst_by_rules(events: DataFrame, rules: DataFrame, key: str, as_of: Column, width: int = tl.HOUR) -> DataFrame:
-    """All burst rules over events ``(rule_name, key, ts)`` already assigned
-    to a rule; one branch per rule of the checked rule list."""
-    parts = []
-    for rule in rule_rows(rules.where("active AND mechanism = 'burst'")):
-        mine = events.where(F.col("rule_name") == rule.rule_name)
-        by_count = rule.escalate_basis == "occurrences"
-        found = burst(mine, ["rule_name", key], rule.open_threshold_count, rule.open_window_minutes,
-                      rule.autoclose_silence_minutes, rule.escalate_count if by_count else None,
-                      rule.escalate_window_minutes, width)
-        if not (by_count and rule.escalate_count is not None):
-            found = found.withColumn("escalated_at", F.lit(None).cast("timestamp_ntz"))
-        severity = F.when(F.col("escalated_at").isNotNull(), rule.escalate_to_severity).otherwise(rule.base_severity)
-        parts.append(autoclose(found, rule.autoclose_silence_minutes, as_of).withColumn("severity", severity))
-    if not parts:
-        raise ValueError("no active burst rule")
-    return reduce(DataFrame.unionByName, parts)
+    """All burst rules at once over events ``(rule_name, key, ts)`` already
+    assigned to a rule: one pass, however many rules there are."""
+    found = rule_rows(rules.where("active AND mechanism = 'burst'"))
+    limits = []
+    for r in found:
+        by_count = r.escalate_basis == "occurrences" and r.escalate_count is not None
+        limits.append((r.rule_name, r.open_threshold_count or 1, r.open_window_minutes, r.autoclose_silence_minutes,
+                       r.escalate_count if by_count else None, r.escalate_window_minutes if by_count else None,
+                       r.base_severity, r.escalate_to_severity))
+    table = events.sparkSession.createDataFrame(
+        limits, "rule_name string, " + ", ".join(f"{c} int" for c in LIMITS) + ", _base string, _raised string")
+    # The table's length was checked above.
+    pts = tl.points(events, ["rule_name", key], "ts", width).join(F.broadcast(table.drop("_base", "_raised")), "rule_name")
+    windows = {m for row in limits for m in (row[2], row[5]) if m is not None}
+    out = _burst(pts, ["rule_name", key], windows, any(row[4] is not None for row in limits), width)
+    if "escalated_at" not in out.columns:
+        out = out.withColumn("escalated_at", F.lit(None).cast("timestamp_ntz"))
+    end = F.col("last_event") + tl.minutes(F.col("_quiet"))
+    return out.join(F.broadcast(table.select("rule_name", "_quiet", "_base", "_raised")), "rule_name").select(
+        *out.columns, F.when(end <= as_of, end).alias("closed_at"),
+        F.when(F.col("escalated_at").isNotNull(), F.col("_raised")).otherwise(F.col("_base")).alias("severity"))
 
 
 def escalate_by_incidents(incidents: DataFrame, keys: list[str], count: int, window_minutes: int,

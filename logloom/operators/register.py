@@ -40,15 +40,16 @@ def pending_count(events: DataFrame, mark: Column | int) -> DataFrame:
     return events.where(F.col("id") > mark).agg(F.count("*").alias("pending"))
 
 
-def new_events(events: DataFrame, bridge: DataFrame) -> DataFrame:
-    """Events the bridge does not know.
+def new_events(events: DataFrame, bridge: DataFrame, top: int | None = None) -> DataFrame:
+    """Events the bridge does not know.  ``top`` is the bridge's highest id
+    where the caller has it at hand.
 
     Ids above the bridge's highest id are new without looking; only late ids
     at or below it meet the bridge in an anti join, and both sides of that
     join are cut to the same id range first, so a replay of a recent batch
     touches the recent end of the bridge only.
     """
-    top = bridge.agg(F.max("event_id")).scalar()
+    top = bridge.agg(F.max("event_id")).scalar() if top is None else F.lit(top)
     ahead = events.where((F.col("id") > top) | top.isNull())
     late = events.where(F.col("id") <= top)
     oldest = late.agg(F.min("id")).scalar()

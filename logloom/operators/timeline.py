@@ -154,42 +154,42 @@ def later_slices(keys: list[str]):
     return slices_of(keys).rowsBetween(1, W.unboundedFollowing)
 
 
-def with_episodes(pts: DataFrame, keys: list[str], silence_minutes: int | None) -> DataFrame:
+def with_episodes(pts: DataFrame, keys: list[str], silence_minutes: int | Column | None,
+                  keep: tuple[str, ...] = ()) -> DataFrame:
     """Add to points ``(keys, ts, n)``: ``episode``, the first instant of the
     stretch without a silence above the limit (no limit: one per key), and
-    ``so_far``, the events of the episode up to the row."""
+    ``so_far``, the events of the episode up to the row.  A limit given as a
+    column has one value per key."""
     here = local(keys, "ts")
     upto = here.rowsBetween(W.unboundedPreceding, W.currentRow)
-    limit = None if silence_minutes is None else minutes(silence_minutes)
+    silence = silence_minutes if isinstance(silence_minutes, Column) else F.lit(silence_minutes).cast("int")
 
-    def opens(before: Column) -> Column:
-        late = F.lit(False) if limit is None else F.col("ts") > before + limit
-        return before.isNull() | late
+    def opens(at: Column, before: Column, limit: Column) -> Column:
+        return before.isNull() | F.coalesce(at > before + minutes(limit), F.lit(False))
 
-    rows = pts.withColumn("_before", F.lag("ts").over(here)).withColumn("_sum", F.sum("n").over(upto))
+    rows = pts.withColumns({"_silence": silence, "_before": F.lag("ts").over(here), "_sum": F.sum("n").over(upto)})
+    limit = F.col("_silence")
     # Starts that are certain without looking outside the slice.
-    inner = F.when(F.col("_before").isNotNull() & opens(F.col("_before")), F.col("ts"))
+    inner = F.when(F.col("_before").isNotNull() & opens(F.col("ts"), F.col("_before"), limit), F.col("ts"))
     inner_base = F.when(inner.isNotNull(), F.col("_sum") - F.col("n"))
-    first_gap = F.col("_last_before").isNull()
-    if limit is not None:
-        first_gap = first_gap | (F.col("_first") > F.col("_last_before") + limit)
+    first_opens = opens(F.col("_first"), F.col("_last_before"), F.col("_limit"))
     past = earlier_slices(keys)
     rows = with_carry(
         rows, keys,
-        border={"_first": F.min("ts"), "_last": F.max("ts"), "_n": F.sum("n"),
+        border={"_first": F.min("ts"), "_last": F.max("ts"), "_n": F.sum("n"), "_limit": F.max(limit),
                 "_start": F.max(inner), "_base": F.max(inner_base)},
         carry={
             "_last_before": F.lag("_last").over(slices_of(keys)),
             "_total": F.coalesce(F.sum("_n").over(past), F.lit(0)),
-            "_slice_start": F.coalesce("_start", F.when(first_gap, F.col("_first"))),
-            "_slice_base": F.col("_total") + F.coalesce("_base", F.when(first_gap, F.lit(0))),
+            "_slice_start": F.coalesce("_start", F.when(first_opens, F.col("_first"))),
+            "_slice_base": F.col("_total") + F.coalesce("_base", F.when(first_opens, F.lit(0))),
             "_episode_before": F.max("_slice_start").over(past),
             "_base_before": F.max("_slice_base").over(past),
         })
-    start = opens(F.coalesce("_before", "_last_before"))
+    start = opens(F.col("ts"), F.coalesce("_before", "_last_before"), limit)
     count = F.col("_total") + F.col("_sum")
     began = F.max(F.when(start, F.col("ts"))).over(upto)
     base = F.max(F.when(start, count - F.col("n"))).over(upto)
     return rows.select(
-        *keys, "ts", "n", SLICE, F.coalesce(began, "_episode_before").alias("episode"),
+        *keys, "ts", "n", *keep, SLICE, F.coalesce(began, "_episode_before").alias("episode"),
         (count - F.coalesce(base, "_base_before")).alias("so_far"))

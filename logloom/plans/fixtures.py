@@ -61,8 +61,13 @@ def monitoring_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(*monitoring_columns())
 
 
+def spread_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same on all cores, for the CPU-heavy operators."""
+    return spread(table(spark, sf_dir, "events")).select(*monitoring_columns())
+
+
 def fingerprinted(spark: SparkSession, sf_dir: str, ruleset: RuleSet = RULES_V1) -> DataFrame:
-    return with_fingerprint(spread(monitoring_events(spark, sf_dir)), ruleset)
+    return with_fingerprint(spread_events(spark, sf_dir), ruleset)
 
 
 def bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +106,7 @@ def syslog_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                   F.when(eid % 4 == 0, "-").otherwise(eid.cast("string")), " - ",
                   F.when(eid % 7 == 0, '[a b="c"]').otherwise("-"), " ")
     line = F.when(eid % 50 == 0, F.col("message")).otherwise(F.concat(header, F.col("message")))
-    return monitoring_events(spark, sf_dir).select("id", line.alias("line"), _cat(ts, "+00:00").alias("received_at"))
+    return spread_events(spark, sf_dir).select("id", line.alias("line"), _cat(ts, "+00:00").alias("received_at"))
 
 
 def syslog_captures(spark: SparkSession, sf_dir: str, lines_per_file: int = 300) -> DataFrame:

@@ -54,7 +54,7 @@ def process_batch(store: Store, events: DataFrame, run: str, batch: int, ruleset
     if state["batches"].get(run, -1) >= batch:
         return 0
     source = spread(events if unique_ids else reg.distinct_ids(events))
-    fresh = reg.new_events(source, store.bridge())
+    fresh = source if state["top"] is None else reg.new_events(source, store.bridge(), state["top"])
     folder = store.bridge_folder(state, run, batch)
     # The event time is kept beside the bridge columns, so counts and times
     # never need the events again.
@@ -62,9 +62,10 @@ def process_batch(store: Store, events: DataFrame, run: str, batch: int, ruleset
                              keep=(F.col("timestamp").alias("event_ts"),))
     staged.write.mode("overwrite").parquet(folder)
     written = store.spark.read.parquet(folder)
-    recorded = written.count()
+    recorded, top = written.agg(F.count("*"), F.max("event_id")).first()
     new_state = state | {"batches": state["batches"] | {run: batch}}
     if recorded:
+        new_state["top"] = max(top, state["top"] if state["top"] is not None else top)
         register = store.register()
         merged = reg.register_upsert(register, delta_of_bridge(written, register, source, ruleset))
         new_state["register"] = f"register/{run}-{batch}-{state['version'] + 1}"
@@ -81,7 +82,7 @@ def record_tick(store: Store, run: str, batch: int, pending: int, processed: int
 
 def admitted(store: Store, events: DataFrame, mode: str, now: datetime | None = None, forced: bool = False) -> str:
     """Decision for a job about to start: process, idle, defer or refuse."""
-    mark = store.bridge().agg(F.max("event_id")).first()[0]
+    mark = store.state()["top"]
     waiting = events if mark is None else pred.above_mark(events, mark)
     clock = F.lit(now or utc_now()).cast("timestamp_ntz")
     word = pred.admission(F.col("pending"), pred.in_blackout(clock), mode, forced)
@@ -98,10 +99,11 @@ def backfill(store: Store, events: DataFrame, since_days: int | None = 90, rules
     decision = admitted(store, events, "backfill", now, forced)
     if decision != "process":
         return decision, 0
-    mark = store.bridge().agg(F.coalesce(F.max("event_id"), F.lit(-1))).first()[0]
+    mark = store.state()["top"]
     since = None if since_days is None else F.lit(now or utc_now()).cast("timestamp_ntz") - F.expr(f"INTERVAL {since_days} DAYS")
     batch = store.committed("backfill") + 1
-    done = process_batch(store, pred.above_mark(events, mark, since), "backfill", batch, ruleset, now=now)
+    waiting = pred.above_mark(events, F.lit(-1) if mark is None else mark, since)
+    done = process_batch(store, waiting, "backfill", batch, ruleset, now=now)
     return decision, done
 
 

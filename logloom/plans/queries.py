@@ -44,7 +44,7 @@ PARSED = "id, \"timestamp\", host, facility, priority, program, pid, msgid, mess
 
 
 def _parsed(spark, d):
-    return syslog.parse_lines(spread(fx.syslog_lines(spark, d)), "line", "received_at")
+    return syslog.parse_lines(fx.syslog_lines(spark, d), "line", "received_at")
 
 
 @query(f"SELECT {PARSED} FROM parsed")
@@ -316,7 +316,7 @@ def _register_rule(rule_name: str, key: str) -> None:
             out = text.apply_rule(out, rule)
             if rule.name == rule_name:
                 break
-        return spread(fx.monitoring_events(spark, d)).select("id", out.alias("text"))
+        return fx.spread_events(spark, d).select("id", out.alias("text"))
     query(f"SELECT id, {form_sql('cleaned', RULES_V1, rule_name)} AS text FROM cl", name=key)(run)
 
 
@@ -333,7 +333,7 @@ def norm_space(spark, d):
 
 @query(f"SELECT id, {form_sql('cleaned')} AS form FROM cl")
 def normalize_form(spark, d):
-    return spread(fx.monitoring_events(spark, d)).select(
+    return fx.spread_events(spark, d).select(
         "id", text.normalize_form(text.clean_bom("message")).alias("form"))
 
 
@@ -355,13 +355,13 @@ def fingerprint_key(spark, d):
 def fingerprint_sql_function(spark, d):
     text.register_sql_functions(spark)
     fx.table(spark, d, "events")
-    events = spread(fx.monitoring_events(spark, d))
+    events = fx.spread_events(spark, d)
     return spark.sql("SELECT id, fingerprint_of(host, program, message) AS fingerprint FROM {ev}", ev=events)
 
 
 @query("SELECT id, fingerprint FROM fp")
 def fingerprint_distinct(spark, d):
-    return text.with_fingerprint_distinct(spread(fx.monitoring_events(spark, d))).select("id", "fingerprint")
+    return text.with_fingerprint_distinct(fx.spread_events(spark, d)).select("id", "fingerprint")
 
 
 @query("SELECT id, bom_missing, bom_missing_unverified FROM fp")
@@ -524,7 +524,7 @@ def triage_heartbeat(spark, d):
 
 
 def _moved(spark, d):
-    return mig.moved_events(fx.bridge(spark, d), spread(fx.monitoring_events(spark, d)), RULES_V2, (1, 1))
+    return mig.moved_events(fx.bridge(spark, d), fx.spread_events(spark, d), RULES_V2, (1, 1))
 
 
 def _moves(spark, d):

@@ -39,11 +39,11 @@ class Store:
         return sorted(s.getPath().getName() for s in self._fs.listStatus(at)) if self._fs.exists(at) else []
 
     def state(self) -> dict:
-        """Latest commit: register folder, bridge folder, and the last
-        committed batch of each run."""
+        """Latest commit: register folder, bridge folder, the bridge's highest
+        event id, and the last committed batch of each run."""
         names = [n for n in self._names("commits") if n.endswith(".json")]
         if not names:
-            return {"version": 0, "register": None, "bridge": "bridge-0", "batches": {}}
+            return {"version": 0, "register": None, "bridge": "bridge-0", "batches": {}, "top": None}
         stream = self._fs.open(self._hadoop.Path(f"{self.path}/commits/{names[-1]}"))
         try:
             text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
