@@ -222,3 +222,14 @@ def dead_letters(outcome: DataFrame, events: DataFrame) -> DataFrame:
     failed = outcome.where(~F.col("delivered")).select("event_id", "tries")
     return events.join(failed, events["id"] == failed["event_id"]).select(
         "event_id", "tries", F.substring("message", 1, 100).alias("report_text"))
+
+
+# --- co-located tables -----------------------------------------------------
+
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, partition_by: tuple[str, ...] = ()) -> None:
+    """Save as a table bucketed and sorted by an id, so that joins on that id
+    with another table of as many buckets need no shuffle."""
+    writer = df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(table)

@@ -8,8 +8,11 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    from pyspark.sql import SparkSession
+
     from logloom.session import local_session
+    SparkSession.builder.config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
     session = local_session("4", "logloom-tests")
     session.conf.set("spark.sql.shuffle.partitions", "4")
     session.sparkContext.setLogLevel("ERROR")

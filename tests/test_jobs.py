@@ -106,6 +106,24 @@ def test_stream_of_many_files_equals_batch(spark, events, whole, tmp_path):
     assert beat.mode == "follow" and beat.last_batch_size > 0
 
 
+def test_bucketed_tables_join_without_shuffle(spark, sf_dir, events):
+    from logloom.sources.collect import write_bucketed
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, df, key in (("t_events", events, "id"), ("t_bridge", fx.bridge(spark, sf_dir), "event_id")):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+            write_bucketed(df, name, key, 4)
+        moved = mig.moved_events(spark.table("t_bridge"), spark.table("t_events"), RULES_V2, (1, 1))
+        plan = moved._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert moved.count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        for name in ("t_events", "t_bridge"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 # --- migration -------------------------------------------------------------
 
 OLD = RuleSet(1, 1, (TokenRule("keep", "<K>", r"\bKK\b"),))
