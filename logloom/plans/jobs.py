@@ -22,7 +22,8 @@ def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def delta_of_bridge(part: DataFrame, register: DataFrame, events: DataFrame, ruleset: RuleSet) -> DataFrame:
+def delta_of_bridge(part: DataFrame, register: DataFrame, events: DataFrame, ruleset: RuleSet,
+                    work: str | None = None) -> DataFrame:
     """Register delta of bridge rows already written.
 
     Counts and times come from the bridge's own columns by hash aggregation.
@@ -31,7 +32,7 @@ def delta_of_bridge(part: DataFrame, register: DataFrame, events: DataFrame, rul
     """
     forms = materialize(part.groupBy("fingerprint").agg(
         F.count("*").alias("vorkommen"), F.min("event_ts").alias("erstmals"),
-        F.max("event_ts").alias("zuletzt"), F.min("event_id").alias("first_id")), "forms")
+        F.max("event_ts").alias("zuletzt"), F.min("event_id").alias("first_id")), "forms", work)
     fresh = forms.join(register.select("fingerprint"), "fingerprint", "left_anti").select(
         "fingerprint", F.col("first_id").alias("id"))
     ids = F.broadcast(fresh) if forms.count() <= SMALL_FORMS else fresh
@@ -67,7 +68,8 @@ def process_batch(store: Store, events: DataFrame, run: str, batch: int, ruleset
     if recorded:
         new_state["top"] = max(top, state["top"] if state["top"] is not None else top)
         register = store.register()
-        merged = reg.register_upsert(register, delta_of_bridge(written, register, source, ruleset))
+        merged = reg.register_upsert(register, delta_of_bridge(
+            written, register, source, ruleset, f"{store.path}/work/{run}-forms"))
         new_state["register"] = f"register/{run}-{batch}-{state['version'] + 1}"
         merged.write.mode("overwrite").parquet(f"{store.path}/{new_state['register']}")
     store.commit(new_state)
@@ -116,12 +118,12 @@ def migrate(store: Store, events: DataFrame, ruleset: RuleSet, version: tuple[in
     old = mig.old_version(bridge, ruleset, version)
     if old is None:
         return None
-    moved = materialize(mig.moved_events(bridge, events, ruleset, old), "moved")
-    moves = materialize(mig.moves_of(moved), "moves")
+    moved = materialize(mig.moved_events(bridge, events, ruleset, old), "moved", f"{store.path}/work/moved")
+    moves = materialize(mig.moves_of(moved), "moves", f"{store.path}/work/moves")
     if dry_run:
         return mig.dry_run(moves)
     register, state = store.register(), store.state()
-    outcome = materialize(mig.migrate_outcome(moves, register), "outcome")
+    outcome = materialize(mig.migrate_outcome(moves, register), "outcome", f"{store.path}/work/outcome")
     nxt = state["version"] + 1
     tagged = mig.migrate_bridge(bridge, moved, ruleset)
     new = {"bridge": f"bridge-{nxt}", "register": f"register/migrate-{nxt}", "batches": state["batches"] | {"migrate": nxt}}

@@ -150,8 +150,10 @@ def stream_session(spark, d):
 @query("""
 SELECT host, ts AS last_event, ts + INTERVAL 90 MINUTE AS opened_at
 FROM (SELECT *, lead(ts) OVER (PARTITION BY host ORDER BY ts) AS nxt FROM ke), last_ts
-WHERE nxt > ts + INTERVAL 90 MINUTE AND nxt < t - INTERVAL 11 MINUTE""")
+WHERE (nxt IS NULL OR nxt > ts + INTERVAL 90 MINUTE) AND ts + INTERVAL 90 MINUTE < t - INTERVAL 10 MINUTE""")
 def stream_absence(spark, d):
+    """Alarms whose limit event time (the watermark) has passed, whether or
+    not the next event has come."""
     previous = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass",
                    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")

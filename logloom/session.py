@@ -49,9 +49,12 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if plan.execute().getNumPartitions() < cores else df
 
 
-def materialize(df: DataFrame, purpose: str) -> DataFrame:
+def materialize(df: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
     """Write a small intermediate table once and read it back, so that the
-    plans built on it do not repeat the work; survives lost executors."""
-    path = shared_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    plans built on it do not repeat the work; survives lost executors.
+
+    A job names a ``path`` of its own, which its next run overwrites.
+    """
+    path = path or shared_dir(df.sparkSession, purpose)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
