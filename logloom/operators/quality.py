@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .register import FINAL_REVIEWER
+from .register import FINAL_REVIEWER, duplicate_keys  # noqa: F401
 
 # Domains of the register and of the rule table.
 KLASSEN = ("rauschen", "betrieb", "relevant", "kritisch", "unklar")
@@ -44,10 +44,6 @@ def bad_review_pair(register: DataFrame) -> DataFrame:
         "fingerprint", "bewertet_am", "bewertet_von")
 
 
-def duplicate_keys(table: DataFrame, key: str) -> DataFrame:
-    return table.groupBy(key).agg(F.count("*").alias("copies")).where("copies > 1")
-
-
 def orphan_forms(bridge: DataFrame, register: DataFrame) -> DataFrame:
     """Forms the bridge uses and the register lacks, with their event count.
     Counting first leaves one row per form for the join."""

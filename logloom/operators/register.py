@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from logloom.functions.rules import RULES_V1, RuleSet
 
+from .timeline import SLICE, slice_of, sliced
+
 # Fixed value: reviewer whose verdict is final.
 FINAL_REVIEWER = "axel"
 
@@ -58,10 +60,18 @@ def new_events(events: DataFrame, bridge: DataFrame, top: int | None = None) ->
 
 
 def distinct_ids(events: DataFrame) -> DataFrame:
-    """One row per event id, for sources that may resend a row."""
+    """One row per event id, for sources that may resend a row.  Whether any
+    id repeats is asked first, on the ids alone; moving and sorting whole
+    messages is left to batches that need it."""
+    if duplicate_keys(events, "id").isEmpty():
+        return events
     return events.dropDuplicates(["id"])
 
 
+def duplicate_keys(table: DataFrame, key: str) -> DataFrame:
+    return table.groupBy(key).agg(F.count("*").alias("copies")).where("copies > 1")
+
+
 # --- register --------------------------------------------------------------
 
 def register_delta(fingerprinted: DataFrame, ruleset: RuleSet = RULES_V1) -> DataFrame:
@@ -238,23 +248,27 @@ def delivery_watermark(attempts: DataFrame, by: str, old_marks: DataFrame | None
     """Where the delivery mark of each source stands.
 
     In (ts, id) order the mark moves over successes and sticks at the first
-    failure.  That is the latest success before the first failure, which
-    needs two small aggregates and no ordering of the deliveries.
+    failure, so it is the latest success before that failure.  Whole hours
+    before it count by their own maximum; only the hour of the failure is
+    looked at row by row, so a busy source is never ordered or gathered.
     ``attempts`` has ``by, ts, id, ok``; ``old_marks`` has ``by, mark``.
     """
-    fail = F.when(~F.col("ok"), F.col("ts"))
-    first_fail = attempts.groupBy(by).agg(F.min(fail).alias("fail_ts"))
-    # One row per source; the planner broadcasts it when it is small.
-    near = attempts.join(first_fail, by)
+    hours = sliced(attempts, "ts")
+    fail, done = F.when(~F.col("ok"), F.col("ts")), F.when(F.col("ok"), F.col("ts"))
+    per_hour = hours.groupBy(by, SLICE).agg(F.min(fail).alias("_fail"), F.max(done).alias("_done"))
+    first = per_hour.groupBy(by).agg(F.min("_fail").alias("fail_ts")).withColumn(
+        "_fail_hour", F.when(F.col("fail_ts").isNotNull(), slice_of("fail_ts")))
+    clear = F.col("_fail_hour").isNull() | (F.col(SLICE) < F.col("_fail_hour"))
+    before = per_hour.join(first, by).groupBy(by).agg(F.max(F.when(clear, F.col("_done"))).alias("_before"))
+    failed = first.where(F.col("fail_ts").isNotNull()).select(by, F.col("_fail_hour").alias(SLICE), "fail_ts")
     tie = F.col("ts") == F.col("fail_ts")
-    before = F.col("ok") & (F.col("fail_ts").isNull() | (F.col("ts") < F.col("fail_ts")))
-    out = near.groupBy(by).agg(
-        F.max(F.when(before, F.col("ts"))).alias("_mark"),
-        F.min("fail_ts").alias("_fail_ts"),
+    near = hours.join(failed, [by, SLICE]).groupBy(by).agg(
+        F.max(F.when(F.col("ok") & (F.col("ts") < F.col("fail_ts")), F.col("ts"))).alias("_near"),
+        F.min("fail_ts").alias("_at"),
         F.min(F.when(tie & F.col("ok"), F.col("id"))).alias("_ok_id"),
         F.min(F.when(tie & ~F.col("ok"), F.col("id"))).alias("_fail_id"))
-    mark = F.when(F.col("_ok_id") < F.col("_fail_id"), F.col("_fail_ts")).otherwise(F.col("_mark"))
-    out = out.select(by, mark.alias("mark"))
+    mark = F.coalesce(F.when(F.col("_ok_id") < F.col("_fail_id"), F.col("_at")), "_near", "_before")
+    out = before.join(near, by, "left").select(by, mark.alias("mark"))
     if old_marks is None:
         return out
     return out.join(old_marks.select(by, F.col("mark").alias("_old")), by, "left").select(

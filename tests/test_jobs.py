@@ -228,3 +228,34 @@ def test_migrate_job(spark, sf_dir, events, tmp_path):
     assert store.bridge().where("normalizer_ver = 2").count() == 1000
     assert jobs.migrate(store, events, RULES_V2) is None
     assert jobs.process_batch(store, events, "t", 1, RULES_V2) == 0      # still known after the move
+
+
+# --- delivery mark ---------------------------------------------------------
+
+@pytest.mark.parametrize("seed", range(4))
+def test_delivery_watermark(spark, seed):
+    rng, rows = random.Random(seed), []
+    for source in "abcd":
+        for i in range(60):
+            at = T + timedelta(minutes=rng.randint(0, 400) // 20 * 20)
+            rows.append((source, at, i, source == "d" or rng.random() > (0.9 if source == "c" else 0.03)))
+    old = [("a", T - timedelta(days=1)), ("c", T - timedelta(days=1)), ("x", T)]
+    want = {}
+    for source in "abcd":
+        mark = dict(old).get(source)
+        for _, at, _, ok in sorted(r for r in rows if r[0] == source):
+            if not ok:
+                break
+            mark = at
+        want[source] = mark
+    df = spark.createDataFrame(rows, "source string, ts timestamp_ntz, id int, ok boolean")
+    marks = spark.createDataFrame(old, "source string, mark timestamp_ntz")
+    assert {r.source: r.mark for r in reg.delivery_watermark(df, "source", marks).collect()} == want
+
+
+@pytest.mark.parametrize("width", [None, 7, 50])
+def test_batch_ranges(spark, width):
+    ids = sorted(random.Random(2).sample(range(1000), 333))
+    df = spark.createDataFrame([(i,) for i in ids], "id long").repartition(3)
+    want = {(n, b[0], b[-1], len(b)) for n, b in enumerate(ids[k:k + 40] for k in range(0, 333, 40))}
+    assert {tuple(r) for r in reg.batch_ranges(df, 40, width).collect()} == want
