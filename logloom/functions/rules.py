@@ -61,7 +61,7 @@ RULES_V1 = RuleSet(1, 1, (
     TokenRule("version", "<VER>", r"\bv?\d+(?:\.\d+){1,3}\b"),
     TokenRule("id", "<ID>",
               r"\b(?=[A-Za-z0-9_-]*[A-Za-z])(?=[A-Za-z0-9_-]*\d[A-Za-z0-9_-]*\d)[A-Za-z0-9_-]{8,}\b",
-              jvm=r"(?=[A-Za-z0-9_-]{8})\b(?=[0-9_-]*+[A-Za-z])"
+              jvm=r"\b(?=[A-Za-z0-9_-]{8})(?=[0-9_-]*+[A-Za-z])"
                   r"(?=[A-Za-z_-]*+\d[A-Za-z_-]*+\d)[A-Za-z0-9_-]{8,}\b"),
     TokenRule("int", "<N>", r"\b\d+\b", jvm=r"(?=\d)\b\d++\b"),
 ))
