@@ -60,7 +60,7 @@ def process_batch(store: Store, events: DataFrame, run: str, batch: int, ruleset
     # The event time is kept beside the bridge columns, so counts and times
     # never need the events again.
     staged = reg.bridge_rows(with_fingerprint(fresh, ruleset), ruleset, F.lit(now or utc_now()).cast("timestamp_ntz"),
-                             keep=(F.col("timestamp").alias("event_ts"),))
+                             keep=(F.col("timestamp").cast("timestamp_ntz").alias("event_ts"),))
     staged.write.mode("overwrite").parquet(folder)
     written = store.spark.read.parquet(folder)
     recorded, top = written.agg(F.count("*"), F.max("event_id")).first()

@@ -49,6 +49,13 @@ def test_random_splits_give_the_register_of_one_batch(spark, events, whole, tmp_
     assert dq.orphan_forms(store.bridge(), store.register()).count() == 0
 
 
+def test_instants_are_accepted_as_event_times(spark, events, whole, tmp_path):
+    store = Store(spark, str(tmp_path))
+    instants = events.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    assert jobs.process_batch(store, instants, "t", 0) == 1000
+    assert rows_of(store.register(), *reg.DELTA_COLUMNS) == whole
+
+
 def test_late_and_resent_ids(spark, events, tmp_path):
     store = Store(spark, str(tmp_path))
     assert jobs.process_batch(store, events.where("id % 2 = 0"), "t", 0) == 500
