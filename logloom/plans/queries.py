@@ -18,7 +18,7 @@ from logloom.session import materialize, spread
 from logloom.sources import collect
 
 from . import fixtures as fx
-from .oracle import DT, ISO, form_sql, sql, strip_sql
+from .oracle import form_sql, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -613,8 +613,6 @@ def overlap_dedup(spark, d):
 
 # --- quality ---------------------------------------------------------------
 
-BROKEN = """
-SELECT *, row_number() OVER (ORDER BY fingerprint) AS k FROM reg"""
 BROKEN_SQL = """(SELECT * REPLACE (
  CASE WHEN vorkommen % 7 = 1 THEN 'wichtig' ELSE klasse END AS klasse,
  CASE WHEN vorkommen % 7 = 2 THEN 'I-14' WHEN vorkommen % 7 = 3 THEN 'X-1' ELSE incident_typ END AS incident_typ,

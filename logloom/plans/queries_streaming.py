@@ -11,7 +11,6 @@ from logloom.streaming import streams
 from logloom.streaming.store import Store
 
 from . import fixtures as fx
-from .oracle import sql  # noqa: F401
 from .queries import query
 
 
