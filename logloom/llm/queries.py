@@ -5,14 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .minhash import near_duplicates
+from .mixing import ADDED, mixed
+from .pieces import encoded_digest
+from .quality import COUNTS, judged
 from .work import table
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = judged(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return made.select("doc_id", *COUNTS, "base_failed", "kept", "anomaly")
+
+
+def op4_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded_digest(table(spark, sf_dir, "documents"))
+
+
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(table(spark, sf_dir, "documents")).select("doc_id", "source", "lang", *ADDED)
+
+
 QUERIES = {
+    "op2_quality_rules": op2_quality_rules,
+    "op4_piece_encoding": op4_piece_encoding,
     "op5_minhash_dedup": op5_minhash_dedup,
+    "op10_source_mixing": op10_source_mixing,
 }
 ORACLE: dict[str, str] = {}
