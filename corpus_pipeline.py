@@ -11,17 +11,38 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from logloom.llm.minhash import near_duplicates
+from logloom.llm.mixing import mixed
+from logloom.llm.pieces import encoded
+from logloom.llm.quality import judged
 from logloom.llm.work import staged, table
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules reject go."""
+    return judged(docs, table(spark, sf_dir, "labels")).where("kept").select(*docs.columns)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest id."""
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """One document of each group of near copies stays: the one with the smallest id. Rows without id stay."""
+    gone = near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The sample whose sources, languages and topics have their target weights."""
+    return mixed(docs).where("sampled").select(*docs.columns)
+
+
+def piece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Two distinct sampled encodings of each document."""
+    return encoded(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality rules", quality_rules),
     ("MinHash near-dedup", near_dedup),
+    ("mixing sources to target weights", source_mixing),
+    ("SentencePiece encoding and decoding", piece_encoding),
 ]
 
 #: The models of the stages are not expressible in SQL; the tests compare with brute force.
