@@ -1,14 +1,31 @@
-"""Registered queries of the subpackage: each runs its operator over the whole table with production settings."""
+"""Registered queries of the subpackage: each runs its operator over the whole table with production settings.
+
+``ORACLE`` has check SQL where SQL can express the operator; the other queries
+are held against brute force in the tests.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .article import extracted
+from .chat import CONTROL, formatted, read_back
+from .licences import scanned
 from .minhash import near_duplicates
 from .mixing import ADDED, mixed
 from .pieces import encoded_digest
 from .quality import COUNTS, judged
-from .work import table
+from .topk import top_k
+from .warc import round_trip
+from .wordpiece import token_counts
+from .work import staged, table
+
+EXTRA_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors.where("vec_id % 20 = 0"), vectors)
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +33,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", *COUNTS, "base_failed", "kept", "anomaly")
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted(table(spark, sf_dir, "pages"))
+
+
 def op4_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_digest(table(spark, sf_dir, "documents"))
 
@@ -24,14 +45,79 @@ def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-1, 0, "user", EXTRA_TEXT), (-1, 1, "assistant", EXTRA_TEXT)], turns.schema)
+    return read_back(staged(formatted(turns.union(extra)), "chat"))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
+def op8_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
+def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scanned(table(spark, sf_dir, "documents"))
+
+
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents")).select("doc_id", "source", "lang", *ADDED)
 
 
-QUERIES = {
-    "op2_quality_rules": op2_quality_rules,
-    "op4_piece_encoding": op4_piece_encoding,
-    "op5_minhash_dedup": op5_minhash_dedup,
-    "op10_source_mixing": op10_source_mixing,
-}
+QUERIES = {f.__name__: f for f in (
+    op1_exact_topk, op2_quality_rules, op3_html_extraction, op4_piece_encoding, op5_minhash_dedup, op6_chat_format,
+    op7_token_counts, op8_warc_archive, op9_licence_scan, op10_source_mixing)}
+
 ORACLE: dict[str, str] = {}
+
+ORACLE["op1_exact_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 20
+"""
+
+_escapes = " + ".join(f"(length(t) - length(replace(t, '{c.decode()}', ''))) // {len(c)}" for c in (b"\\", *CONTROL))
+
+ORACLE["op6_chat_format"] = f"""
+WITH r AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS t FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{EXTRA_TEXT}' UNION ALL SELECT -1, 1, 'assistant', '{EXTRA_TEXT}'),
+a AS (
+  SELECT conv_id, count(*) AS n_turns,
+    string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn NULLS FIRST, role, t) AS turns,
+    coalesce(string_agg(t, '' ORDER BY turn NULLS FIRST, role, t) FILTER (role = 'assistant'), '') AS loss,
+    sum(length(t) + {_escapes}
+        + CASE role WHEN 'user' THEN 18 WHEN 'assistant' THEN 6 WHEN 'system' THEN 13
+          ELSE 16 + 2 * strlen(role) END) AS formatted
+  FROM r GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+  CAST(formatted AS BIGINT) AS formatted_chars
+FROM a
+"""
+
+_nibbles = "".join(f"{i:04b}" for i in range(16))
+_five = " + ".join(f"{1 << (4 - k)} * CAST(substr(bits, 5 * i + {k + 1}, 1) AS INTEGER)" for k in range(5))
+
+ORACLE["op8_warc_archive"] = f"""
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+b AS (
+  SELECT *, max(page_id) OVER (PARTITION BY hex) AS top, array_to_string(list_transform(string_split(hex, ''),
+    lambda c: substr('{_nibbles}', 4 * (strpos('0123456789abcdef', c) - 1) + 1, 4)), '') AS bits
+  FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, array_to_string(list_transform(range(32),
+    lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + {_five}, 1)), '') AS payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
+FROM b
+"""
