@@ -12,7 +12,8 @@ Bands of the sketch give candidates, full sets confirm them:
 1. Documents of equal sets are one node, named by the smallest id.
 2. Nodes that share a band meet its smallest node; confirmed links join them.
 3. Bands that still hold several components compare the rest in blocks, by
-   sketch first, until no unconfirmed pair of different components is left.
+   size and sketch first; what passes is confirmed against the other component's
+   members in chunks, until no pair of different components is left open.
 
 Results: an empty or null text has no shingles, links with nothing and is
 kept. A row without id stands alone and is kept; its component is null. Rows
@@ -24,7 +25,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,8 +37,10 @@ WIDTH = 5
 PERCENT = 75
 COORDINATES = 128
 BAND_ROWS = 4
-#: Members of a band that are compared with each other in one task.
+#: Members of a band that are compared by sketch in one task, members of a
+#: component and their visitors that are compared by full sets in one task.
 BLOCK = 512
+CHUNK = 256
 #: Similarity by sketch below which a pair is not looked at: five deviations
 #: of 128 coordinates under the threshold.
 SKETCH_FLOOR = 0.55
@@ -157,20 +159,102 @@ def similar(left: Texts, skip: int, right: Texts, percent: int) -> np.ndarray:
     return (common > 0) & (100 * common >= percent * (size - common))
 
 
-def block_pairs(floor: float):
-    """Pairs of different components inside one pair of blocks that their sketches allow."""
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates("id").sort_values("id")
-        sketch, ids = np.stack(rows["sketch"].to_numpy()), rows["id"].to_numpy()
-        component, block = rows["component"].to_numpy(), rows["block"].to_numpy()
-        one, two = rows["one"].iat[0], rows["two"].iat[0]
-        found = []
+def groups_of(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Runs of rows that agree in the first ``keys`` integer columns of a sorted partition; one run is held at a time."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        table = pa.Table.from_batches(held).combine_chunks()
+        values = np.stack([table.column(i).to_numpy() for i in range(keys)])
+        cuts = np.flatnonzero((values[:, 1:] != values[:, :-1]).any(axis=0)) + 1
+        for first, end in zip(np.concatenate(([0], cuts[:-1])), cuts):
+            yield table.slice(first, end - first)
+        held = table.slice(cuts[-1]).to_batches() if len(cuts) else held
+    if held and sum(b.num_rows for b in held):
+        yield pa.Table.from_batches(held)
+
+
+def matrix(column: pa.ChunkedArray) -> np.ndarray:
+    return np.stack(column.to_numpy())
+
+
+def compare_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each run of (band, one, two): nodes and the chunks of other components that size and sketch allow a link to."""
+    for run in groups_of(batches, 3):
+        one, two = run.column(1)[0].as_py(), run.column(2)[0].as_py()
+        ids, component, block, size, chunk = (run.column(i).to_numpy() for i in range(3, 8))
+        if (component == component[0]).all():
+            continue
+        sketch, found = matrix(run.column(8)), []
+        _, which, often = np.unique(component, return_inverse=True, return_counts=True)
+        often = often[which]
+        right = np.flatnonzero(block == two)
         for i in np.flatnonzero(block == one):
-            j = np.flatnonzero((block == two) & (component != component[i]) & ((ids > ids[i]) | (one != two)))
-            j = j[(sketch[j] == sketch[i]).mean(axis=1) >= floor]
-            found += [(min(ids[i], k), max(ids[i], k)) for k in ids[j]]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-    return compare
+            j = right[(component[right] != component[i]) & ((ids[right] > ids[i]) | (one != two))]
+            j = j[100 * np.minimum(size[j], size[i]) >= PERCENT * np.maximum(size[j], size[i])]
+            j = j[(sketch[j] == sketch[i]).mean(axis=1) >= SKETCH_FLOOR]
+            # The node of the rarer component goes to the other's chunk.
+            to = often[j] >= often[i]
+            found.append(np.stack([np.where(to, ids[i], ids[j]), np.where(to, chunk[j], chunk[i])]))
+        pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
+        if pairs.shape[1]:
+            yield pa.record_batch([pa.array(pairs[0]), pa.array(pairs[1])], names=["id", "chunk"])
+
+
+def confirm_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each run of (chunk, part): one confirmed link of every visiting node to the chunk's members, if there is any."""
+    for run in groups_of(batches, 2):
+        ids, visits = run.column(2).to_numpy(), run.column(3).to_numpy(zero_copy_only=False).astype(bool)
+        hashes, owner = [], []
+        for first, end, texts in blocks(run.column(4).combine_chunks(), 1 << 20):
+            x, of = shingles(texts)
+            hashes.append(x), owner.append(of + first)
+        hashes, owner = np.concatenate(hashes), np.concatenate(owner)
+        size = np.bincount(owner, minlength=len(ids))
+        at = np.concatenate(([0], np.cumsum(size)))
+        _, number = np.unique(hashes, return_inverse=True)
+        mine = ~visits[owner]
+        members, of = number[mine], owner[mine]
+        held, links = np.zeros(len(hashes), bool), []
+        for i in np.flatnonzero(visits):
+            held[number[at[i]:at[i + 1]]] = True
+            common = np.bincount(of, held[members], len(ids)).astype(np.int64)
+            held[number[at[i]:at[i + 1]]] = False
+            linked = np.flatnonzero((common > 0) & (100 * common >= PERCENT * (size[i] + size - common)) & (ids != ids[i]))
+            if len(linked):
+                links.append((ids[i], ids[linked[0]]))
+        if links:
+            a, b = zip(*links)
+            yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def rest_links(open_rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between different components of the bands in ``open_rows``
+    (band, n, id, component, size, n_shingles, sketch).
+
+    Bands are compared in pairs of blocks by size and sketch. What is left,
+    nodes and the chunk of one other component they may touch, is confirmed on
+    full sets: a chunk's members and some of its visitors meet in one task, and
+    one link joins a visitor to the component, so the links are as few as nodes.
+    """
+    spread = F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / CHUNK))
+    rows = open_rows.withColumn("chunk", F.xxhash64("component", spread))
+    dealt = (rows.withColumn("blocks", F.ceil(F.col("n") / BLOCK))
+             .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .withColumn("one", F.least("block", "other")).withColumn("two", F.greatest("block", "other"))
+             .select("band", "one", "two", "id", "component", "block", "n_shingles", "chunk", "sketch")
+             .repartition("band", "one", "two").sortWithinPartitions("band", "one", "two"))
+    visits = staged(dealt.mapInArrow(compare_blocks, "id long, chunk long").distinct(), "minhash-visits")
+    parts = visits.groupBy("chunk").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("parts"))
+    visiting = visits.join(parts, "chunk").select(
+        "chunk", F.pmod(F.xxhash64("id"), F.col("parts")).alias("part"), "id", F.lit(True).alias("visits"))
+    members = (rows.select("id", "chunk").distinct().join(parts, "chunk")
+               .select("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "id",
+                       F.lit(False).alias("visits")))
+    meeting = (visiting.union(members).join(texts, "id").select("chunk", "part", "id", "visits", "text")
+               .repartition("chunk", "part").sortWithinPartitions("chunk", "part"))
+    return staged(meeting.mapInArrow(confirm_chunks, "a long, b long"), "minhash-links")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -181,7 +265,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
              .groupBy(*key).agg(F.min("doc_id").alias("node")))
     nodes = staged(nodes, "minhash-nodes")
     distinct = (signed.where("n_shingles > 0").join(nodes, key).where("doc_id = node")
-                .select(F.col("node").alias("id"), "sketch", "bands"))
+                .select(F.col("node").alias("id"), "n_shingles", "sketch", "bands"))
     banded = distinct.select("id", F.explode("bands").alias("band"))
     shared = (banded.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("pivot")).where("n > 1"))
     members = staged(banded.join(shared, "band"), "minhash-members")
@@ -192,23 +276,15 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
                    "minhash-pairs")
     links = staged(confirmed(tried, texts), "minhash-links")
     groups = components(links)
-    named = members.join(groups, "id", "left").select(
-        "band", "id", "n", F.coalesce("component_id", "id").alias("component"))
+    sizes = groups.groupBy("component_id").agg(F.count(F.lit(1)).alias("size"))
+    named = (members.join(groups.join(sizes, "component_id"), "id", "left")
+             .select("band", "n", "id", F.coalesce("component_id", "id").alias("component"),
+                     F.coalesce("size", F.lit(1)).alias("size")))
     open_bands = (named.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
                   .where("low <> high").select("band"))
-    count = F.ceil(F.col("n") / BLOCK).cast("int")
-    rest = (named.join(open_bands, "band").withColumn("blocks", count)
-            .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-            .join(distinct.select("id", "sketch"), "id")
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .withColumn("one", F.least("block", "other")).withColumn("two", F.greatest("block", "other")))
-    more = (rest.select("band", "id", "component", "block", "one", "two", "sketch")
-            .groupBy("band", "one", "two").applyInPandas(block_pairs(SKETCH_FLOOR), "a long, b long")
-            .distinct().join(tried, ["a", "b"], "left_anti"))
-    more = staged(more, "minhash-pairs")
+    more = rest_links(named.join(open_bands, "band").join(distinct.select("id", "n_shingles", "sketch"), "id"), texts)
     if not more.isEmpty():
-        links = links.union(staged(confirmed(more, texts), "minhash-links"))
-        groups = components(links)
+        groups = components(links.union(more))
     discard(members, texts)
     classes = (nodes.join(groups.withColumnRenamed("id", "node"), "node", "left")
                .select(*key, F.coalesce("component_id", "node").alias("component_id")))
