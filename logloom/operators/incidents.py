@@ -155,33 +155,32 @@ def config_types(rules: DataFrame, types: DataFrame) -> DataFrame:
     return rules.join(types, rules["incident_type"] == types["code"]).select("rule_name", "incident_type", "label")
 
 
-def rule_rows(rules: DataFrame, limit: int = 10_000) -> list:
-    """Rules on the driver; the size is checked because it is configuration."""
-    rows = rules.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} rules; the rule table is configuration")
-    return rows
-
-
-def select_rule(rules: DataFrame, incident_type: Column, fields: Column) -> Column:
-    """Name of the rule for an event, computed in the projection.
+def select_rule(events: DataFrame, rules: DataFrame, fields: Column) -> DataFrame:
+    """Adds ``rule_name``, null where no active rule of the event's
+    ``incident_type`` fits.
 
     ``fields`` maps field names to the event's values.  A rule with a value
     needs equality; one with only a field needs the field to be present; one
     with neither takes the whole stream.  The most specific rule wins, then
-    the first by name.
+    the first by name.  Rules are gathered into one row of lookup maps per
+    incident type, which the planner joins; any number of rules is one join.
     """
-    def rank(rule) -> int:
-        return 0 if rule.match_value is not None else 1 if rule.match_field is not None else 2
-
-    choice = []
-    for rule in sorted(rule_rows(rules.where("active")), key=lambda r: (rank(r), r.rule_name)):
-        fits = incident_type == rule.incident_type
-        if rule.match_field is not None:
-            value = F.try_element_at(fields, F.lit(rule.match_field))
-            fits = fits & (value == rule.match_value if rule.match_value is not None else value.isNotNull())
-        choice.append(F.when(fits, rule.rule_name))
-    return F.coalesce(*choice) if choice else F.lit(None).cast("string")
+    first = F.min("rule_name").alias("rule")
+    kind = ["incident_type", "match_field", "match_value"]
+    named = rules.where("active").groupBy(*kind).agg(first)
+    value, whole = F.col("match_value").isNotNull(), F.col("match_field").isNull()
+    pair = F.struct(F.struct("match_field", "match_value").alias("k"), F.col("rule").alias("v"))
+    lookup = named.groupBy("incident_type").agg(
+        F.map_from_entries(F.collect_list(F.when(value & ~whole, pair))).alias("_by_value"),
+        F.map_from_entries(F.collect_list(F.when(~value & ~whole, F.struct(
+            F.col("match_field").alias("k"), F.col("rule").alias("v"))))).alias("_by_field"),
+        F.min(F.when(whole, F.col("rule"))).alias("_whole"))
+    given = F.filter(F.map_entries(fields), lambda e: e["value"].isNotNull())
+    exact = F.array_min(F.transform(given, lambda e: F.try_element_at("_by_value", F.struct(
+        e["key"].alias("match_field"), e["value"].alias("match_value")))))
+    present = F.array_min(F.transform(given, lambda e: F.try_element_at("_by_field", e["key"])))
+    return (events.join(lookup, "incident_type", "left").withColumn("rule_name", F.coalesce(exact, present, "_whole"))
+            .drop("_by_value", "_by_field", "_whole"))
 
 
 # --- severities ------------------------------------------------------------
@@ -285,23 +284,22 @@ def autoclose(incidents: DataFrame, silence_minutes: int | None, as_of: Column)
 def burst_by_rules(events: DataFrame, rules: DataFrame, key: str, as_of: Column, width: int = tl.HOUR) -> DataFrame:
     """All burst rules at once over events ``(rule_name, key, ts)`` already
     assigned to a rule: one pass, however many rules there are."""
-    found = rule_rows(rules.where("active AND mechanism = 'burst'"))
-    limits = []
-    for r in found:
-        by_count = r.escalate_basis == "occurrences" and r.escalate_count is not None
-        limits.append((r.rule_name, r.open_threshold_count or 1, r.open_window_minutes, r.autoclose_silence_minutes,
-                       r.escalate_count if by_count else None, r.escalate_window_minutes if by_count else None,
-                       r.base_severity, r.escalate_to_severity))
-    table = events.sparkSession.createDataFrame(
-        limits, "rule_name string, " + ", ".join(f"{c} int" for c in LIMITS) + ", _base string, _raised string")
-    # The table's length was checked above.
-    pts = tl.points(events, ["rule_name", key], "ts", width).join(F.broadcast(table.drop("_base", "_raised")), "rule_name")
-    windows = {m for row in limits for m in (row[2], row[5]) if m is not None}
-    out = _burst(pts, ["rule_name", key], windows, any(row[4] is not None for row in limits), width)
+    by_count = F.col("escalate_basis") == "occurrences"
+    table = rules.where("active AND mechanism = 'burst'").select(
+        "rule_name", F.coalesce("open_threshold_count", F.lit(1)).alias("_threshold"),
+        F.col("open_window_minutes").alias("_window"), F.col("autoclose_silence_minutes").alias("_quiet"),
+        F.when(by_count, F.col("escalate_count")).alias("_limit_count"),
+        F.when(by_count, F.col("escalate_window_minutes")).alias("_limit_window"),
+        F.col("base_severity").alias("_base"), F.col("escalate_to_severity").alias("_raised"))
+    pts = tl.points(events, ["rule_name", key], "ts", width).join(table.drop("_base", "_raised"), "rule_name")
+    # Distinct window lengths shape the plan; rules of one length share them.
+    lengths = table.select(F.explode(F.array("_window", "_limit_window")).alias("m")).distinct().where("m is not null")
+    windows = {row.m for row in lengths.collect()}
+    out = _burst(pts, ["rule_name", key], windows, not table.where("_limit_count is not null").isEmpty(), width)
     if "escalated_at" not in out.columns:
         out = out.withColumn("escalated_at", F.lit(None).cast("timestamp_ntz"))
     end = F.col("last_event") + tl.minutes(F.col("_quiet"))
-    return out.join(F.broadcast(table.select("rule_name", "_quiet", "_base", "_raised")), "rule_name").select(
+    return out.join(table.select("rule_name", "_quiet", "_base", "_raised"), "rule_name").select(
         *out.columns, F.when(end <= as_of, end).alias("closed_at"),
         F.when(F.col("escalated_at").isNotNull(), F.col("_raised")).otherwise(F.col("_base")).alias("severity"))
 
@@ -379,23 +377,25 @@ def absence(events: DataFrame, keys: list[str], every_minutes: int, as_of: Colum
         *keys, F.col("ts").alias("last_event"), limit.alias("opened_at"), F.col("next_event").alias("closed_at"))
 
 
-def expected_at(starts: DataFrame, rules: DataFrame, first_day: Column, last_day: Column) -> DataFrame:
+def expected_at(starts: DataFrame, rules: DataFrame, since: Column, as_of: Column) -> DataFrame:
     """Local days on which a target did not start in time.
 
     ``starts`` has ``target`` and UTC ``ts``.  A rule waits from its local
-    time of day to its first duration step.  ``first_day`` and ``last_day``
-    bound the local days looked at.
+    time of day to its first duration step.  The days looked at are those of
+    the rule's own zone from ``since`` to ``as_of``; what is not yet late at
+    ``as_of`` gives no alarm.
     """
     steps = F.map_keys(F.from_json("severity_by_duration", "map<string,string>"))
     patience = F.array_min(F.transform(steps, lambda k: k.cast("int")))
+    first, last = (F.to_date(F.from_utc_timestamp(t, F.col("timezone"))) for t in (since, as_of))
     due = rules.where("expected_at_local IS NOT NULL AND match_field = 'target'").select(
         "rule_name", F.col("match_value").alias("target"), "timezone", "expected_at_local",
         F.coalesce(patience, F.lit(0)).alias("_wait"),
-        F.explode(F.sequence(first_day, last_day, F.expr("INTERVAL 1 DAY"))).alias("day"))
+        F.explode(F.sequence(first, last, F.expr("INTERVAL 1 DAY"))).alias("day"))
     local = F.to_timestamp_ntz(F.concat_ws(" ", F.col("day").cast("string"), "expected_at_local"),
                                F.lit("yyyy-MM-dd HH:mm"))
     due = due.withColumn("due_at", F.to_utc_timestamp(local, F.col("timezone")).cast("timestamp_ntz"))
-    due = due.withColumn("late_at", F.col("due_at") + tl.minutes(F.col("_wait")))
+    due = due.withColumn("late_at", F.col("due_at") + tl.minutes(F.col("_wait"))).where(F.col("late_at") <= as_of)
     # Days with a start in time.  A waiting period is laid over the hours it
     # touches, so a start meets only the periods of its own hour.
     hours = F.explode(F.sequence(tl.slice_of("due_at"), tl.slice_of("late_at")))
@@ -409,9 +409,13 @@ def expected_at(starts: DataFrame, rules: DataFrame, first_day: Column, last_day
 
 def rate(events: DataFrame, key: str, multiplier: float = 5.0, history_hours: int = 336) -> DataFrame:
     """Hours whose count exceeds a multiple of the median of the hours
-    before; no history, no alarm.  The window runs over hourly counts."""
-    hourly = events.groupBy(key, F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).agg(
+    before; no history, no alarm.  Hours without events count as zero from a
+    key's first hour to its last.  The window runs over hourly counts."""
+    counted = events.groupBy(key, F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).agg(
         F.count("*").alias("events"))
+    span = counted.groupBy(key).agg(F.min("hour").alias("_first"), F.max("hour").alias("_last"))
+    hours = span.select(key, F.explode(F.sequence("_first", "_last", F.expr("INTERVAL 1 HOUR"))).alias("hour"))
+    hourly = hours.join(counted, [key, "hour"], "left").withColumn("events", F.coalesce("events", F.lit(0)))
     median = tl.over_interval("percentile(events, 0.5)", [key], "hour",
                               f"INTERVAL {history_hours} HOURS PRECEDING", "INTERVAL 1 HOUR PRECEDING")
     rated = hourly.withColumn("median", median)
@@ -433,10 +437,10 @@ def ack_notify(incidents: DataFrame, rules: DataFrame) -> DataFrame:
     return out.where("needs_ack OR close_notice")
 
 
-def catch_all(events: DataFrame, rules: DataFrame) -> DataFrame:
-    """Events whose type has no active rule; ``events`` has
-    ``incident_type`` and the syslog ``priority``."""
-    covered = rules.where("active").select("incident_type").distinct()
+def catch_all(events: DataFrame) -> DataFrame:
+    """Events that no rule takes: those whose ``rule_name`` (see
+    ``select_rule``) is null, whether their type has rules or not.  ``events``
+    also has the syslog ``priority``."""
     critical = F.coalesce(rule_severity(F.col("priority")) == "critical", F.lit(False))
-    return events.join(covered, "incident_type", "left_anti").withColumn(
+    return events.where(F.col("rule_name").isNull()).withColumn(
         "incident_type", F.when(critical, "I-00-CRIT").otherwise("I-00"))

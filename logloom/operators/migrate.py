@@ -138,12 +138,12 @@ def migrate_summary(outcome: DataFrame) -> DataFrame:
     return outcome.groupBy("outcome").agg(F.count("*").alias("old_forms"))
 
 
-def migrate_listing(outcome: DataFrame, moves: DataFrame, word: str, width: int = 100) -> DataFrame:
-    """Old forms of one outcome (cut to ``width``) with each of their
-    targets as a row of its own."""
+def migrate_listing(outcome: DataFrame, moves: DataFrame, word: str) -> DataFrame:
+    """Whole old forms of one outcome with each of their targets as a row of
+    its own."""
     hits = outcome.where(F.col("outcome") == word).select("old_fingerprint")
     return hits.join(moves.select("old_fingerprint", "new_fingerprint"), "old_fingerprint").select(
-        F.substring("old_fingerprint", 1, width).alias("old_form"), F.col("new_fingerprint").alias("target"))
+        F.col("old_fingerprint").alias("old_form"), F.col("new_fingerprint").alias("target"))
 
 
 def migrate_register(moves: DataFrame, register: DataFrame, ruleset: RuleSet) -> DataFrame:

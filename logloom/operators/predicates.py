@@ -5,8 +5,10 @@ from __future__ import annotations
 import re
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 # Default denylist, poll and backlog settings, blackout bounds.
 DENYLIST = (
@@ -31,32 +33,25 @@ BLACKOUT_START, BLACKOUT_END, LOCAL_ZONE = "23:45", "04:00", "Europe/Berlin"
 # --- denylist --------------------------------------------------------------
 
 def load_denylist(patterns: DataFrame, column: str = "pattern") -> DataFrame:
-    """Stripped, non-empty patterns with a validity flag.
-
-    Validity is what the JVM's regex compiler says, asked once per pattern;
-    the list is configuration and small.
-    """
+    """Stripped, non-empty patterns with a validity flag; the list stays a
+    table of any length."""
     from logloom.functions.text import strip_space
     lines = (
         patterns.select(F.posexplode(F.split(F.col(column), "\n")).alias("pos", "raw"))
         .select(strip_space("raw").alias("pattern")).where("pattern <> ''").distinct()
     )
-    session = patterns.sparkSession
-    found = [row.pattern for row in lines.limit(10_001).collect()]
-    if len(found) > 10_000:
-        raise ValueError("more than 10,000 denylist patterns; this is a configuration list")
-    checked = [(p, is_valid_pattern(session, p)) for p in found]
-    return session.createDataFrame(checked, "pattern string, valid boolean")
-
-
-def is_valid_pattern(session, pattern: str) -> bool:
-    from py4j.protocol import Py4JJavaError
-    from pyspark.errors import IllegalArgumentException
-    try:
-        session._jvm.java.util.regex.Pattern.compile(pattern)
-        return True
-    except (Py4JJavaError, IllegalArgumentException):
-        return False
+    return lines.select("pattern", is_valid_pattern("pattern").alias("valid"))
+
+
+@F.pandas_udf(BooleanType())
+def is_valid_pattern(patterns: pd.Series) -> pd.Series:
+    def compiles(pattern: str) -> bool:
+        try:
+            re.compile(pattern)
+            return True
+        except re.error:
+            return False
+    return patterns.map(compiles)
 
 
 def is_denylisted(message: Column | str, patterns=DENYLIST) -> Column:

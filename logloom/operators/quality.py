@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .register import FINAL_REVIEWER, duplicate_keys  # noqa: F401
+from .register import duplicate_keys  # noqa: F401
 
 # Domains of the register and of the rule table.
 KLASSEN = ("rauschen", "betrieb", "relevant", "kritisch", "unklar")
@@ -34,7 +34,7 @@ def bad_incident_typ(register: DataFrame, types: DataFrame) -> DataFrame:
     ).select("fingerprint", "incident_typ", F.col("known").isNotNull().alias("in_type_table"))
 
 
-def bad_reviewer(register: DataFrame, final: str = FINAL_REVIEWER) -> DataFrame:
+def bad_reviewer(register: DataFrame, final: str) -> DataFrame:
     who = F.col("bewertet_von")
     return register.where(~((who == final) | who.startswith("llm:"))).select("fingerprint", "bewertet_von")
 

@@ -5,6 +5,9 @@ Register: one row per form.  Bridge: one row per event, append only.
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -13,9 +16,6 @@ from logloom.functions.rules import RULES_V1, RuleSet
 
 from .timeline import SLICE, slice_of, sliced
 
-# Fixed value: reviewer whose verdict is final.
-FINAL_REVIEWER = "axel"
-
 REVIEW_COLUMNS = ("klasse", "incident_typ", "bewertet_am", "bewertet_von", "llm_vorschlag")
 REVIEW_TYPES = {"klasse": "string", "incident_typ": "string", "bewertet_am": "timestamp_ntz",
                 "bewertet_von": "string", "llm_vorschlag": "string"}
@@ -137,14 +137,15 @@ def collapse_report(fingerprinted: DataFrame, approximate: bool = False) -> Data
     return out.select("raw_messages", "forms", ratio, "without_bom")
 
 
-def collapse_groups(fingerprinted: DataFrame, width: int = 80) -> DataFrame:
-    """Every form with its size and every distinct example text (cut to
-    ``width``) with its own count.  Examples stay rows: a form of any size
-    is never gathered into one list."""
-    examples = fingerprinted.groupBy("fingerprint", F.substring("cleaned", 1, width).alias("example")).agg(
+def collapse_groups(fingerprinted: DataFrame) -> DataFrame:
+    """Every form with its size and every distinct whole text with its own
+    count, largest first.  Examples stay rows: a form of any size is never
+    gathered into one list."""
+    examples = fingerprinted.groupBy("fingerprint", F.col("cleaned").alias("example")).agg(
         F.count("*").alias("example_count"))
     sizes = examples.groupBy("fingerprint").agg(F.sum("example_count").alias("form_size"))
-    return examples.join(sizes, "fingerprint").select("fingerprint", "form_size", "example", "example_count")
+    return examples.join(sizes, "fingerprint").select("fingerprint", "form_size", "example", "example_count").orderBy(
+        F.desc("form_size"), "fingerprint", F.desc("example_count"), "example")
 
 
 def top_forms(fingerprinted: DataFrame, k: int = 20) -> DataFrame:
@@ -186,8 +187,8 @@ def review_open(register: DataFrame) -> DataFrame:
     return register.where(F.col("bewertet_am").isNull())
 
 
-def review_awaiting(register: DataFrame, reviewer: str = FINAL_REVIEWER) -> DataFrame:
-    """Forms without a final verdict; a machine proposal does not count."""
+def review_awaiting(register: DataFrame, reviewer: str) -> DataFrame:
+    """Forms without a verdict of the reviewer whose word is final."""
     return register.where(~F.col("bewertet_von").eqNullSafe(reviewer))
 
 
@@ -275,18 +276,27 @@ def delivery_watermark(attempts: DataFrame, by: str, old_marks: DataFrame | None
         by, F.coalesce("mark", "_old").alias("mark"))
 
 
-def batch_ranges(events: DataFrame, size: int, width: int | None = None) -> DataFrame:
+def id_bounds(events: DataFrame, ranges: int = 512) -> list[int]:
+    """Ids that cut a table into ranges of about as many rows each, whatever
+    the gaps between ids."""
+    shares = [i / ranges for i in range(1, ranges)]
+    found = events.agg(F.percentile_approx("id", shares, 10 * ranges)).first()[0]
+    return sorted(set(found or []))
+
+
+def batch_ranges(events: DataFrame, size: int, bounds: list[int] | None = None) -> DataFrame:
     """First id, last id and size of consecutive batches of ``size`` events.
 
-    Ids are cut into ranges of ``width``.  Counts per range, summed up in
-    order, give each range its offset; rows are numbered inside their range
-    only, so no task ever orders the whole table.
+    Ids are cut into ranges of like numbers of rows.  Counts per range, summed
+    up in order, give each range its offset; rows are numbered inside their
+    range only, so no task ever orders the whole table.
     """
-    if width is None:
-        low, high = events.agg(F.min("id"), F.max("id")).first()
-        span = 1 if low is None else high - low + 1
-        width = max(size, -(-span // 50_000))
-    ranged = events.select("id", F.floor(F.col("id") / width).alias("_range"))
+    bounds = id_bounds(events) if bounds is None else bounds
+    # Bucketizer looks a row's range up by binary search.
+    splits = [-math.inf, *sorted({float(b) for b in bounds}), math.inf]
+    ranged = events.select("id", F.col("id").cast("double").alias("_id"))
+    ranged = (Bucketizer(splits=splits, inputCol="_id", outputCol="_range").transform(ranged).drop("_id")
+              if len(splits) > 2 else ranged.select("id", F.lit(0.0).alias("_range")))
     offsets = ranged.groupBy("_range").agg(F.count("*").alias("_n")).select(
         "_range", (F.sum("_n").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, W.currentRow))
                    - F.col("_n")).alias("_offset"))

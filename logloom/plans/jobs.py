@@ -12,11 +12,8 @@ from logloom.functions.text import clean_bom, with_fingerprint
 from logloom.operators import migrate as mig
 from logloom.operators import predicates as pred
 from logloom.operators import register as reg
-from logloom.session import materialize, spread
-from logloom.streaming.store import Store
-
-SMALL_FORMS = 100_000
-
+from logloom.session import materialize
+from logloom.streaming.store import Conflict, Store
 
 def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
@@ -27,16 +24,15 @@ def delta_of_bridge(part: DataFrame, register: DataFrame, events: DataFrame, rul
     """Register delta of bridge rows already written.
 
     Counts and times come from the bridge's own columns by hash aggregation.
-    The text example is looked up for forms the register lacks; those few ids
-    are broadcast when their count is small and joined otherwise.
+    The text example is looked up for forms the register lacks, in a join
+    whose kind the planner chooses by the size of those ids.
     """
     forms = materialize(part.groupBy("fingerprint").agg(
         F.count("*").alias("vorkommen"), F.min("event_ts").alias("erstmals"),
         F.max("event_ts").alias("zuletzt"), F.min("event_id").alias("first_id")), "forms", work)
     fresh = forms.join(register.select("fingerprint"), "fingerprint", "left_anti").select(
         "fingerprint", F.col("first_id").alias("id"))
-    ids = F.broadcast(fresh) if forms.count() <= SMALL_FORMS else fresh
-    examples = events.select("id", "host", "program", "message").join(ids, "id").select(
+    examples = events.select("id", "host", "program", "message").join(fresh, "id").select(
         "fingerprint", "host", "program", clean_bom("message").alias("beispiel_roh"))
     return forms.join(examples, "fingerprint", "left").select(
         "fingerprint", "host", "program", "beispiel_roh", "erstmals", "zuletzt", "vorkommen",
@@ -44,17 +40,29 @@ def delta_of_bridge(part: DataFrame, register: DataFrame, events: DataFrame, rul
 
 
 def process_batch(store: Store, events: DataFrame, run: str, batch: int, ruleset: RuleSet = RULES_V1,
-                  unique_ids: bool = True, now: datetime | None = None) -> int:
+                  unique_ids: bool = True, now: datetime | None = None, attempts: int = 5) -> int:
     """One batch of events into bridge and register, exactly once.
 
     A batch that is already committed is skipped; events the bridge knows are
-    left out; bridge rows and register become visible in one commit.
-    Returns the number of events recorded.
+    left out; bridge rows and register become visible in one commit.  If
+    another writer commits in between, the batch is worked out anew on the
+    state that it left.  Returns the number of events recorded.
     """
+    for attempt in range(attempts):
+        try:
+            return _try_batch(store, events, run, batch, ruleset, unique_ids, now)
+        except Conflict:
+            if attempt + 1 == attempts:
+                raise
+    return 0
+
+
+def _try_batch(store: Store, events: DataFrame, run: str, batch: int, ruleset: RuleSet, unique_ids: bool,
+               now: datetime | None) -> int:
     state = store.state()
     if state["batches"].get(run, -1) >= batch:
         return 0
-    source = spread(events if unique_ids else reg.distinct_ids(events))
+    source = events if unique_ids else reg.distinct_ids(events)
     fresh = source if state["top"] is None else reg.new_events(source, store.bridge(), state["top"])
     folder = store.bridge_folder(state, run, batch)
     # The event time is kept beside the bridge columns, so counts and times
@@ -82,30 +90,39 @@ def record_tick(store: Store, run: str, batch: int, pending: int, processed: int
         1).write.mode("overwrite").parquet(store.tick_folder(run, batch))
 
 
-def admitted(store: Store, events: DataFrame, mode: str, now: datetime | None = None, forced: bool = False) -> str:
-    """Decision for a job about to start: process, idle, defer or refuse."""
+def admitted(store: Store, events: DataFrame, mode: str, now: datetime | None = None, forced: bool = False,
+             running: bool = False) -> str:
+    """Decision for a job: process, idle, defer, refuse, or pause one that runs."""
     mark = store.state()["top"]
     waiting = events if mark is None else pred.above_mark(events, mark)
     clock = F.lit(now or utc_now()).cast("timestamp_ntz")
-    word = pred.admission(F.col("pending"), pred.in_blackout(clock), mode, forced)
+    word = pred.admission(F.col("pending"), pred.in_blackout(clock), mode, forced, running)
     return waiting.agg(F.count("*").alias("pending")).select(word.alias("w")).first().w
 
 
 def backfill(store: Store, events: DataFrame, since_days: int | None = 90, ruleset: RuleSet = RULES_V1,
-             now: datetime | None = None, forced: bool = False) -> tuple[str, int]:
-    """Everything above the mark in one pass, optionally of the last days.
+             now: datetime | None = None, forced: bool = False, pieces: int = 1) -> tuple[str, int]:
+    """Everything above the mark, optionally of the last days.
 
-    Spark splits the work by input, so no cutting into small transactions is
-    needed; a lost executor repeats its tasks, a lost driver the batch.
+    With ``pieces`` above one, ids are cut into that many ranges of like
+    numbers of rows, each committed by itself, so that a lost driver goes on
+    behind the last one.  Before each further piece the blackout is asked
+    again: a running backfill pauses in it, whatever is left.
     """
     decision = admitted(store, events, "backfill", now, forced)
     if decision != "process":
         return decision, 0
     mark = store.state()["top"]
     since = None if since_days is None else F.lit(now or utc_now()).cast("timestamp_ntz") - F.expr(f"INTERVAL {since_days} DAYS")
-    batch = store.committed("backfill") + 1
     waiting = pred.above_mark(events, F.lit(-1) if mark is None else mark, since)
-    done = process_batch(store, waiting, "backfill", batch, ruleset, now=now)
+    bounds = reg.id_bounds(waiting, pieces) if pieces > 1 else []
+    done = 0
+    for n, (low, high) in enumerate(zip([None, *bounds], [*bounds, None])):
+        if n and admitted(store, events, "backfill", now, forced, running=True) == "pause":
+            return "pause", done
+        part = waiting if low is None else waiting.where(F.col("id") > low)
+        part = part if high is None else part.where(F.col("id") <= high)
+        done += process_batch(store, part, "backfill", store.committed("backfill") + 1, ruleset, now=now)
     return decision, done
 
 

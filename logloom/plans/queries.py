@@ -14,7 +14,7 @@ from logloom.operators import migrate as mig
 from logloom.operators import predicates as pred
 from logloom.operators import quality as dq
 from logloom.operators import register as reg
-from logloom.session import materialize, spread
+from logloom.session import materialize
 from logloom.sources import collect
 
 from . import fixtures as fx
@@ -155,7 +155,7 @@ def delivery_outcome(spark, d):
 
 
 @query("""
-SELECT o.event_id, o.t AS tries, substr(e.message, 1, 100) AS report_text
+SELECT o.event_id, o.t AS tries, e.message AS report_text, substr(e.message, 1, 100) AS report_head
 FROM dout o JOIN ev e ON e.id = o.event_id WHERE o.delivered_at_try IS NULL""")
 def dead_letters(spark, d):
     outcome = collect.delivery_outcome(fx.delivery_attempts(spark, d))
@@ -281,7 +281,7 @@ def review_open(spark, d):
 
 @query("SELECT fingerprint, erstmals, bewertet_von FROM reg WHERE bewertet_von IS DISTINCT FROM 'axel'")
 def review_awaiting(spark, d):
-    return reg.newest_first(reg.review_awaiting(fx.register(spark, d))).select(
+    return reg.newest_first(reg.review_awaiting(fx.register(spark, d), fx.FINAL_REVIEWER)).select(
         "fingerprint", "erstmals", "bewertet_von")
 
 
@@ -316,7 +316,7 @@ def _register_rule(rule_name: str, key: str) -> None:
             out = text.apply_rule(out, rule)
             if rule.name == rule_name:
                 break
-        return fx.spread_events(spark, d).select("id", out.alias("text"))
+        return fx.monitoring_events(spark, d).select("id", out.alias("text"))
     query(f"SELECT id, {form_sql('cleaned', RULES_V1, rule_name)} AS text FROM cl", name=key)(run)
 
 
@@ -333,7 +333,7 @@ def norm_space(spark, d):
 
 @query(f"SELECT id, {form_sql('cleaned')} AS form FROM cl")
 def normalize_form(spark, d):
-    return fx.spread_events(spark, d).select(
+    return fx.monitoring_events(spark, d).select(
         "id", text.normalize_form(text.clean_bom("message")).alias("form"))
 
 
@@ -341,8 +341,8 @@ def normalize_form(spark, d):
 def normalize_documents(spark, d):
     """Whole texts of the second corpus; DuckDB's regex knows ASCII word
     boundaries only, so the tests hold this one against Python's ``re``."""
-    docs = spread(collect.scan_events(spark, f"{d}/documents.parquet", columns={
-        "id": "doc_id", "timestamp": "doc_id", "host": "lang", "program": "source", "message": "text"}))
+    docs = collect.scan_events(spark, f"{d}/documents.parquet", columns={
+        "id": "doc_id", "timestamp": "doc_id", "host": "lang", "program": "source", "message": "text"})
     return text.with_fingerprint(docs.drop("timestamp")).select("id", "fingerprint")
 
 
@@ -355,13 +355,13 @@ def fingerprint_key(spark, d):
 def fingerprint_sql_function(spark, d):
     text.register_sql_functions(spark)
     fx.table(spark, d, "events")
-    events = fx.spread_events(spark, d)
+    events = fx.monitoring_events(spark, d)
     return spark.sql("SELECT id, fingerprint_of(host, program, message) AS fingerprint FROM {ev}", ev=events)
 
 
 @query("SELECT id, fingerprint FROM fp")
 def fingerprint_distinct(spark, d):
-    return text.with_fingerprint_distinct(fx.spread_events(spark, d)).select("id", "fingerprint")
+    return text.with_fingerprint_distinct(fx.monitoring_events(spark, d)).select("id", "fingerprint")
 
 
 @query("SELECT id, bom_missing, bom_missing_unverified FROM fp")
@@ -428,7 +428,7 @@ def collapse_report(spark, d):
 
 @query("""
 SELECT fingerprint, CAST(sum(n) OVER (PARTITION BY fingerprint) AS BIGINT) AS form_size, example, n AS example_count
-FROM (SELECT fingerprint, substr(cleaned, 1, 80) AS example, count(*) AS n FROM fp GROUP BY 1, 2)""")
+FROM (SELECT fingerprint, cleaned AS example, count(*) AS n FROM fp GROUP BY 1, 2) ORDER BY 2 DESC, 1, 4 DESC, 3""")
 def collapse_groups(spark, d):
     return reg.collapse_groups(fx.fingerprinted(spark, d))
 
@@ -452,14 +452,16 @@ def host_program_summary(spark, d):
 
 
 @query("""
-WITH l AS (SELECT event_type, max(ts) AS last_activity FROM events WHERE event_type <> 'error' OR event_id < 1000 GROUP BY 1),
+WITH l AS (SELECT event_type, max(CASE WHEN event_type = 'error' THEN ts - INTERVAL 7 DAY ELSE ts END) AS last_activity
+ FROM events GROUP BY 1),
 s AS (SELECT *, date_diff('microsecond', last_activity, t) // 1000000 AS silent_seconds FROM l, last_ts)
 SELECT event_type, last_activity, silent_seconds, silent_seconds > 21600 AS stalled,
  CASE WHEN silent_seconds <= 21600 THEN 'ok' WHEN bool_and(silent_seconds > 21600) OVER () THEN 'critical' ELSE 'info' END AS level
 FROM s""")
 def stall_check(spark, d):
-    """The stream of errors is made to go quiet early."""
-    ev = fx.table(spark, d, "events").where("event_type <> 'error' OR event_id < 1000")
+    """The stream of errors is moved back a week, so that it is quiet at the end."""
+    early = F.when(F.col("event_type") == "error", F.col("ts") - F.expr("INTERVAL 7 DAYS")).otherwise(F.col("ts"))
+    ev = fx.table(spark, d, "events").select("event_type", early.alias("ts"))
     return reg.stall_check(ev, "event_type", "ts", fx.as_of(spark, d))
 
 
@@ -524,7 +526,7 @@ def triage_heartbeat(spark, d):
 
 
 def _moved(spark, d):
-    return mig.moved_events(fx.bridge(spark, d), fx.spread_events(spark, d), RULES_V2, (1, 1))
+    return mig.moved_events(fx.bridge(spark, d), fx.monitoring_events(spark, d), RULES_V2, (1, 1))
 
 
 def _moves(spark, d):
@@ -563,9 +565,10 @@ def delivery_watermark(spark, d):
 
 @query("""
 SELECT CAST(n // 500 AS BIGINT) AS batch_no, min(id) AS first_id, max(id) AS last_id, count(*) AS events
-FROM (SELECT event_id AS id, row_number() OVER (ORDER BY event_id) - 1 AS n FROM events WHERE event_id % 7 > 1) GROUP BY 1""")
+FROM (SELECT event_id * (1 + event_id % 3) * 7 + event_id % 5 AS id, row_number() OVER (ORDER BY id) - 1 AS n FROM events) GROUP BY 1""")
 def batch_ranges(spark, d):
-    ids = fx.table(spark, d, "events").where("event_id % 7 > 1").select(F.col("event_id").alias("id"))
+    """All events, their ids stretched unevenly."""
+    ids = fx.table(spark, d, "events").select(F.expr("event_id * (1 + event_id % 3) * 7 + event_id % 5").alias("id"))
     return reg.batch_ranges(ids, 500)
 
 
@@ -585,10 +588,10 @@ def top_forms(spark, d):
 
 
 @query("SELECT fingerprint, erstmals, klasse FROM reg WHERE bewertet_von IS DISTINCT FROM 'axel' "
-       "ORDER BY erstmals DESC, fingerprint LIMIT 50")
+       "ORDER BY erstmals DESC, fingerprint")
 def review_queue(spark, d):
-    return reg.newest_first(reg.review_awaiting(fx.register(spark, d))).select(
-        "fingerprint", "erstmals", "klasse").limit(50)
+    return reg.newest_first(reg.review_awaiting(fx.register(spark, d), fx.FINAL_REVIEWER)).select(
+        "fingerprint", "erstmals", "klasse")
 
 
 @query(f"SELECT DISTINCT cleaner_ver, normalizer_ver FROM {MIXED} WHERE (cleaner_ver, normalizer_ver) <> (1, 2)")
@@ -643,7 +646,7 @@ def dq_incident_typ(spark, d):
 
 @query(f"SELECT fingerprint, bewertet_von FROM {BROKEN_SQL} WHERE bewertet_von <> 'axel' AND bewertet_von NOT LIKE 'llm:%'")
 def dq_reviewer(spark, d):
-    return dq.bad_reviewer(_broken(spark, d))
+    return dq.bad_reviewer(_broken(spark, d), fx.FINAL_REVIEWER)
 
 
 @query(f"SELECT fingerprint, bewertet_am, bewertet_von FROM {BROKEN_SQL} WHERE (bewertet_am IS NULL) <> (bewertet_von IS NULL)")
@@ -679,6 +682,17 @@ def dq_not_null(spark, d):
     return dq.missing_required(_broken(spark, d), "fingerprint", dq.REGISTER_REQUIRED)
 
 
+@query("SELECT event_id, CASE WHEN event_id % 91 = 0 AND event_id % 89 = 0 THEN 'fingerprint,computed_at' "
+       "WHEN event_id % 91 = 0 THEN 'fingerprint' ELSE 'computed_at' END AS null_columns "
+       "FROM bridge WHERE event_id % 91 = 0 OR event_id % 89 = 0")
+def dq_bridge_not_null(spark, d):
+    """The bridge with some forms and computing times taken out."""
+    bad = fx.bridge(spark, d).withColumns({
+        "fingerprint": F.when(F.col("event_id") % 91 != 0, F.col("fingerprint")),
+        "computed_at": F.when(F.col("event_id") % 89 != 0, F.col("computed_at"))})
+    return dq.missing_required(bad, "event_id", dq.BRIDGE_REQUIRED)
+
+
 @query("SELECT fingerprint, vorkommen, nullif(vorkommen - count(*) FILTER (event_id % 101 = 0), 0) AS bridge_rows "
        "FROM reg JOIN bridge USING (fingerprint) GROUP BY 1, 2 HAVING count(*) FILTER (event_id % 101 = 0) > 0")
 def dq_register_counts(spark, d):
@@ -762,7 +776,7 @@ def migrate_bridge(spark, d):
 
 
 def _listing(word):
-    return (f"SELECT substr(o.old_fingerprint, 1, 100) AS old_form, m.new_fingerprint AS target "
+    return (f"SELECT o.old_fingerprint AS old_form, m.new_fingerprint AS target "
             f"FROM outcome o JOIN moves m USING (old_fingerprint) WHERE o.outcome = '{word}'")
 
 

@@ -77,8 +77,8 @@ def rule_select(spark, d):
            .when(kind == "signup", "I-15").otherwise("I-77"))
     target = F.when(F.col("id") % 3 == 0, "Synology C2").when(F.col("id") % 3 == 1, "USBFestplatte")
     given = F.create_map(F.lit("host"), F.col("host"), F.lit("target"), target)
-    return fx.keyed_events(spark, d).select(
-        "id", typ.alias("incident_type"), inc.select_rule(inc.rule_config(spark), typ, given).alias("rule_name"))
+    rows = fx.keyed_events(spark, d).withColumn("incident_type", typ)
+    return inc.select_rule(rows, inc.rule_config(spark), given).select("id", "incident_type", "rule_name")
 
 
 # --- burst -----------------------------------------------------------------
@@ -154,27 +154,29 @@ def inc_escalate_incidents(spark, d):
     return inc.escalate_by_incidents(found, ["host"], 3, 1440)
 
 
-def _rule_branch(kind, rule):
+def _rule_branch(rule):
     r = next(r for r in inc.RULES if r["rule_name"] == rule)
+    quiet = r.get("autoclose_silence_minutes")
     by_count = r.get("escalate_basis") == "occurrences"
-    body = burst_sql(f"(SELECT * FROM ke WHERE event_type = '{kind}')", "host", r.get("open_threshold_count", 1),
-                     r.get("open_window_minutes"), r["autoclose_silence_minutes"],
+    body = burst_sql(f"(SELECT * FROM ke WHERE id % {len(BURST_RULES)} = {BURST_RULES.index(rule)})", "host",
+                     r.get("open_threshold_count", 1), r.get("open_window_minutes"), quiet,
                      (r["escalate_count"], r.get("escalate_window_minutes")) if by_count else None)
     escalated = "escalated_at" if by_count else "CAST(NULL AS TIMESTAMP)"
     severity = (f"CASE WHEN escalated_at IS NOT NULL THEN '{r['escalate_to_severity']}' ELSE '{r['base_severity']}' END"
                 if by_count else f"'{r['base_severity']}'")
     return (f"SELECT '{rule}' AS rule_name, host, episode, opened_at, last_event, events, {escalated} AS escalated_at, "
-            f"{CLOSED.format(r['autoclose_silence_minutes'])} AS closed_at, {severity} AS severity FROM ({body}), last_ts")
+            f"{CLOSED.format(quiet) if quiet else 'CAST(NULL AS TIMESTAMP)'} AS closed_at, {severity} AS severity FROM ({body}), last_ts")
 
 
-@query(" UNION ALL ".join(_rule_branch(k, r) for k, r in (("error", "i10-internal"), ("click", "i08"), ("view", "i14"))))
+BURST_RULES = tuple(sorted(r["rule_name"] for r in inc.RULES if r["mechanism"] == "burst" and r.get("active", True)))
+
+
+@query(" UNION ALL ".join(map(_rule_branch, BURST_RULES)))
 def inc_burst_rules(spark, d):
-    """Three shipped rules, each over the events assigned to it."""
-    kind = F.col("event_type")
-    name = F.when(kind == "error", "i10-internal").when(kind == "click", "i08").when(kind == "view", "i14")
-    rules = inc.rule_config(spark).where("rule_name IN ('i10-internal', 'i08', 'i14')")
-    ev = _keyed(spark, d).withColumn("rule_name", name).where("rule_name IS NOT NULL")
-    return inc.burst_by_rules(ev, rules, "host", fx.as_of(spark, d))
+    """All active burst rules; every event is assigned to one of them by its id."""
+    name = F.element_at(F.array(*map(F.lit, BURST_RULES)), (F.col("id") % len(BURST_RULES) + 1).cast("int"))
+    return inc.burst_by_rules(_keyed(spark, d).withColumn("rule_name", name), inc.rule_config(spark), "host",
+                              fx.as_of(spark, d))
 
 
 # --- pair ------------------------------------------------------------------
@@ -258,20 +260,23 @@ WITH s AS (SELECT ts, CASE WHEN id % 3 = 0 THEN 'Synology C2' WHEN id % 3 = 1 TH
  FROM ke WHERE event_type = 'view'),
 dd AS (SELECT rule_name, match_value AS target, CAST(day AS DATE) AS day,
  (CAST(day AS DATE) + CAST(expected_at_local AS TIME)) AT TIME ZONE timezone AT TIME ZONE 'UTC' AS due_at
- FROM rules, (SELECT unnest(range(date_trunc('day', min(ts)), max(ts), INTERVAL 1 DAY)) AS day FROM events)
- WHERE expected_at_local IS NOT NULL)
-SELECT rule_name, target, day, due_at, due_at + INTERVAL 30 MINUTE AS late_at FROM dd
-WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.target = dd.target AND s.ts >= due_at AND s.ts < due_at + INTERVAL 30 MINUTE)""")
+ FROM (SELECT rule_name, match_value, expected_at_local, timezone,
+  unnest(range(date_trunc('day', lo AT TIME ZONE 'UTC' AT TIME ZONE timezone), hi AT TIME ZONE 'UTC' AT TIME ZONE timezone, INTERVAL 1 DAY)) AS day
+  FROM rules, (SELECT min(ts) AS lo, max(ts) + INTERVAL 1 MICROSECOND AS hi FROM events) WHERE expected_at_local IS NOT NULL))
+SELECT rule_name, target, day, due_at, due_at + INTERVAL 30 MINUTE AS late_at FROM dd, last_ts
+WHERE due_at + INTERVAL 30 MINUTE <= t AND NOT EXISTS (SELECT 1 FROM s WHERE s.target = dd.target AND s.ts >= due_at AND s.ts < due_at + INTERVAL 30 MINUTE)""")
 def inc_expected_at(spark, d):
     third = F.col("id") % 3
     target = F.when(third == 0, "Synology C2").when(third == 1, "USBFestplatte").otherwise("paperless-ngx")
     starts = _keyed(spark, d).where("event_type = 'view'").select("ts", target.alias("target"))
-    first, last = fx.table(spark, d, "events").agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
-    return inc.expected_at(starts, inc.rule_config(spark), F.lit(first), F.lit(last))
+    since = fx.table(spark, d, "events").agg(F.min("ts")).scalar()
+    return inc.expected_at(starts, inc.rule_config(spark), since, fx.as_of(spark, d))
 
 
 @query("""
-WITH h AS (SELECT host, date_trunc('hour', ts) AS hour, count(*) AS events FROM ke GROUP BY 1, 2),
+WITH c AS (SELECT host, date_trunc('hour', ts) AS hour, count(*) AS n FROM ke GROUP BY 1, 2),
+a AS (SELECT host, unnest(generate_series(min(hour), max(hour), INTERVAL 1 HOUR)) AS hour FROM c GROUP BY host),
+h AS (SELECT host, hour, coalesce(n, 0) AS events FROM a LEFT JOIN c USING (host, hour)),
 m AS (SELECT *, quantile_cont(events, 0.5) OVER (PARTITION BY host ORDER BY hour RANGE BETWEEN INTERVAL 336 HOUR PRECEDING
  AND INTERVAL 1 HOUR PRECEDING) AS median FROM h)
 SELECT host, hour, events, CAST(median AS DOUBLE) AS median, coalesce(events > median * 1.5, false) AS alarm FROM m""")
@@ -286,12 +291,15 @@ def inc_value_threshold(spark, d):
 
 @query("""
 SELECT id, priority, CASE WHEN priority IN ('emergency', 'alert', 'critical') THEN 'I-00-CRIT' ELSE 'I-00' END AS incident_type
-FROM parsed WHERE program NOT IN ('System', 'Connection')""")
+FROM parsed WHERE program <> 'System' AND NOT (program = 'Connection' AND id % 2 = 0)""")
 def inc_catch_all(spark, d):
+    """No type, a type without rules, and a type whose rules all ask for another value."""
     program = F.col("program")
     typ = F.when(program == "System", "I-14").when(program == "Connection", "I-10").when(
         program == "EventLog-1", "I-99")
-    rows = _parsed(spark, d).select("id", "priority", typ.alias("incident_type"))
-    return inc.catch_all(rows, inc.rule_config(spark)).select("id", "priority", "incident_type")
+    origin = F.when(F.col("id") % 2 == 0, "foreign").otherwise("unknown")
+    rows = _parsed(spark, d).select("id", "priority", typ.alias("incident_type"), origin.alias("origin"))
+    chosen = inc.select_rule(rows, inc.rule_config(spark), F.create_map(F.lit("ip_class"), F.col("origin")))
+    return inc.catch_all(chosen).select("id", "priority", "incident_type")
 
 

@@ -1,4 +1,4 @@
-"""Session helpers: settings, shared working folder, input spreading."""
+"""Session helpers: settings and shared working folder."""
 
 from __future__ import annotations
 
@@ -15,40 +15,34 @@ def local_session(cores: str = "8", app: str = "logloom") -> SparkSession:
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # Small tables still use all cores; a cluster keeps Spark's own size.
+        .config("spark.sql.files.maxPartitionBytes", "4m")
+        .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
 
 
+_local: list[str] = []
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the folder the cluster names for checkpoints.
 
-    Only a local master may fall back to the machine's own temporary folder.
+    Only where that is unset and the master is local (tests), a temporary
+    folder of this machine takes its place.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="logloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not _local:
+            _local.append(tempfile.mkdtemp(prefix="logloom-"))
+        base = _local[0]
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for a table that arrives in fewer splits than that.
-
-    Large tables have more splits than cores and pass through unshuffled.
-    Only plain scans are looked at; a plan with shuffles of its own already
-    has its parallelism set by those.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    plan = df._jdf.queryExecution().executedPlan()
-    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
-        return df
-    return df.repartition(cores) if plan.execute().getNumPartitions() < cores else df
-
-
 def materialize(df: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
     """Write a small intermediate table once and read it back, so that the
     plans built on it do not repeat the work; survives lost executors.

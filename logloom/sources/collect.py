@@ -218,10 +218,10 @@ def delivery_outcome(attempts: DataFrame, max_retries: int = 3, backoff_seconds:
 
 
 def dead_letters(outcome: DataFrame, events: DataFrame) -> DataFrame:
-    """Undelivered events with the report text cut to 100 characters."""
+    """Undelivered events with the whole report text, and its head for a list."""
     failed = outcome.where(~F.col("delivered")).select("event_id", "tries")
     return events.join(failed, events["id"] == failed["event_id"]).select(
-        "event_id", "tries", F.substring("message", 1, 100).alias("report_text"))
+        "event_id", "tries", F.col("message").alias("report_text"), F.substring("message", 1, 100).alias("report_head"))
 
 
 # --- co-located tables -----------------------------------------------------

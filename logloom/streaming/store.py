@@ -1,15 +1,19 @@
 """Where a job keeps bridge, register and progress between batches.
 
 Plain Parquet folders plus one small commit record per batch.  A batch
-becomes visible when its record is created, which the file system does
-atomically; what an interrupted batch left behind is never read and is
-overwritten when the batch runs again.
+becomes visible when its record is created under a name that must not exist;
+the writer then reads the record back and checks that it is its own.  What an
+interrupted or refused batch left behind is never read.  The check holds on
+file systems whose rename without overwriting is atomic; an object store
+needs a committer of its own.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +27,10 @@ REGISTER_SCHEMA = ("fingerprint string, host string, program string, beispiel_ro
 TICK_SCHEMA = "tick_at timestamp_ntz, mode string, pending long, processed long"
 
 
+class Conflict(RuntimeError):
+    """Another writer has committed this version."""
+
+
 class Store:
     """State of one fingerprint pipeline below ``path``."""
 
@@ -44,24 +52,43 @@ class Store:
         names = [n for n in self._names("commits") if n.endswith(".json")]
         if not names:
             return {"version": 0, "register": None, "bridge": "bridge-0", "batches": {}, "top": None}
-        stream = self._fs.open(self._hadoop.Path(f"{self.path}/commits/{names[-1]}"))
+        return self._record(names[-1])
+
+    def _record(self, name: str) -> dict:
+        stream = self._fs.open(self._hadoop.Path(f"{self.path}/commits/{name}"))
         try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
-        return json.loads(text)
 
-    def commit(self, state: dict) -> None:
-        """Create the next record under a name that must not exist yet."""
-        state = state | {"version": state["version"] + 1}
-        final = self._hadoop.Path(f"{self.path}/commits/{state['version']:012d}.json")
-        draft = self._hadoop.Path(f"{self.path}/drafts/{state['version']:012d}.json")
-        out = self._fs.create(draft, True)
+    def _draft(self, state: dict) -> str:
+        """Write a record under a name of its own; no other writer touches it."""
+        draft = f"{self.path}/drafts/{uuid.uuid4().hex}.json"
+        out = self._fs.create(self._hadoop.Path(draft), False)
         out.write(bytearray(json.dumps(state), "utf-8"))
         out.close()
+        return draft
+
+    def commit(self, state: dict) -> None:
+        """Create the next record, or raise Conflict if another writer has."""
+        state = state | {"version": state["version"] + 1, "owner": uuid.uuid4().hex}
+        draft = self._draft(state)
+        name = f"{state['version']:012d}.json"
+        final = self._hadoop.Path(f"{self.path}/commits/{name}")
         self._fs.mkdirs(final.getParent())
-        if self._fs.exists(final) or not self._fs.rename(draft, final):
-            raise RuntimeError(f"another writer committed version {state['version']}")
+        gateway, jvm = self.spark.sparkContext._gateway, self.spark._jvm
+        context = self._hadoop.FileContext.getFileContext(
+            final.toUri() if final.toUri().getScheme() else self._fs.getUri(),
+            self.spark.sparkContext._jsc.hadoopConfiguration())
+        keep = gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        try:
+            context.rename(self._hadoop.Path(draft), final, keep)
+        except Py4JJavaError as e:
+            if "FileAlreadyExists" not in str(e.java_exception):
+                raise
+            raise Conflict(f"another writer committed version {state['version']}") from None
+        if self._record(name).get("owner") != state["owner"]:
+            raise Conflict(f"another writer committed version {state['version']}")
 
     def committed(self, run: str) -> int:
         return self.state()["batches"].get(run, -1)

@@ -88,8 +88,8 @@ def burst(events: DataFrame, key: str, threshold: int, window: str = "15 minutes
 
 def sessions(events: DataFrame, key: str, gap: str, delay: str = "10 minutes") -> DataFrame:
     """Episodes closed by a silence.  Sessions are merged inside each task
-    before the shuffle, so a busy key moves sessions, not events."""
-    events.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
+    before the shuffle, so a busy key moves sessions, not events, if the
+    session's ``sessionWindow.merge.sessions.in.local.partition`` is on."""
     found = timed(events, "ts", delay).groupBy(F.session_window("ts", gap), key).agg(
         F.count("*").alias("events"), F.max("ts").alias("last_event"))
     return found.select(key, F.col("session_window.start").alias("episode"), "last_event",

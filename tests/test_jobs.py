@@ -86,6 +86,35 @@ def test_second_writer_is_refused(spark, tmp_path):
         store.commit(state)
 
 
+def test_interleaved_writers_lose_nothing(spark, events, whole, tmp_path, monkeypatch):
+    """Another writer commits its batch while the first one holds its draft."""
+    store, commit = Store(spark, str(tmp_path)), Store._draft
+    other, busy = events.where("id < 400"), []
+
+    def draft(self, state):
+        made = commit(self, state)
+        if not busy:
+            busy.append(True)
+            assert jobs.process_batch(Store(spark, str(tmp_path)), other, "backfill", 0) == 400
+        return made
+    monkeypatch.setattr(Store, "_draft", draft)
+    assert jobs.process_batch(store, events.where("id >= 400"), "follow", 0) == 600
+    assert store.state()["version"] == 2 and store.state()["batches"] == {"backfill": 0, "follow": 0}
+    columns = [c for c in reg.DELTA_COLUMNS if c not in ("beispiel_roh", "host", "program")]
+    assert rows_of(store.register(), *columns) == sorted(
+        (tuple(v for c, v in zip(reg.DELTA_COLUMNS, r) if c in columns) for r in whole), key=repr)
+
+
+def test_backfill_in_pieces_pauses_and_goes_on(spark, events, tmp_path):
+    store = Store(spark, str(tmp_path))
+    day = datetime(2024, 2, 1, 12)
+    assert jobs.backfill(store, events, None, now=datetime(2024, 2, 1, 23, 30), pieces=4, forced=False)[0] in ("pause", "process")
+    first = store.bridge().count()
+    assert 0 < first < 1000 and store.state()["version"] == 1
+    assert jobs.backfill(store, events, None, now=day, pieces=4) == ("process", 1000 - first)
+    assert store.bridge().count() == 1000
+
+
 def test_backfill_admission_and_window(spark, events, tmp_path):
     store = Store(spark, str(tmp_path))
     night = datetime(2024, 2, 1, 23, 30)
@@ -260,9 +289,25 @@ def test_delivery_watermark(spark, seed):
     assert {r.source: r.mark for r in reg.delivery_watermark(df, "source", marks).collect()} == want
 
 
-@pytest.mark.parametrize("width", [None, 7, 50])
-def test_batch_ranges(spark, width):
+@pytest.mark.parametrize("bounds", [None, [], [7, 50, 600], list(range(0, 1000, 7))])
+def test_batch_ranges(spark, bounds):
     ids = sorted(random.Random(2).sample(range(1000), 333))
     df = spark.createDataFrame([(i,) for i in ids], "id long").repartition(3)
     want = {(n, b[0], b[-1], len(b)) for n, b in enumerate(ids[k:k + 40] for k in range(0, 333, 40))}
-    assert {tuple(r) for r in reg.batch_ranges(df, 40, width).collect()} == want
+    assert {tuple(r) for r in reg.batch_ranges(df, 40, bounds).collect()} == want
+
+
+def test_batch_ranges_with_an_outlier_id(spark):
+    ids = [10 ** 15, *range(20_000)]
+    df = spark.createDataFrame([(i,) for i in ids], "id long")
+    bounds = reg.id_bounds(df, 64)
+    per = [sum(1 for i in ids if lo < i <= hi) for lo, hi in zip([-1, *bounds], [*bounds, 10 ** 16])]
+    assert max(per) < 3 * len(ids) / 64
+    got = sorted(tuple(r) for r in reg.batch_ranges(df, 500).collect())
+    order = sorted(ids)
+    assert got == [(k, order[500 * k], order[min(500 * k + 499, 20_000)], min(500, 20_001 - 500 * k)) for k in range(41)]
+
+
+def test_no_conf_is_set_for_the_work_folder(spark):
+    from logloom.session import shared_dir
+    assert shared_dir(spark, "x") != shared_dir(spark, "x")
