@@ -160,7 +160,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = K, scale: int = SC
                                    pa.array(s[rows, columns])], names=["q_row", "query_id", "vec_id", "score"])
 
     def bounds(cell: dict, q_row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        place = {r: (b, a) for r, b, a in zip(cell["known_rows"], cell["known_bins"], cell["known_above"])}
+        place = {r: (b, a) for r, b, a in zip(*(cell[c] or [] for c in ("known_rows", "known_bins", "known_above")))}
         pairs = np.array([place.get(r, (least, 0)) for r in q_row.tolist()], np.int64).reshape(-1, 2)
         return pairs[:, 0], np.where(pairs[:, 0] == least, 0, k - pairs[:, 1])
 
@@ -174,7 +174,8 @@ def with_known(cells: DataFrame, known: DataFrame) -> DataFrame:
     """Cells with what is known of their queries; a block's list is as long as the block."""
     lists = known.groupBy("q_block").agg(F.collect_list("q_row").alias("known_rows"), F.collect_list("bin").alias("known_bins"),
                                          F.collect_list("above").alias("known_above"), F.max("shift").alias("known_shift"))
-    return cells.join(lists, "q_block")
+    # A block whose queries all have fewer than k candidates is no longer listed.
+    return cells.join(lists, "q_block", "left")
 
 
 def histogram(cells: DataFrame, shift: int, refine: bool, k: int) -> DataFrame:
@@ -187,9 +188,9 @@ def histogram(cells: DataFrame, shift: int, refine: bool, k: int) -> DataFrame:
             wanted = s > least
             wanted &= s >= local_floor(s, k)[:, None]
             if refine:
-                place = dict(zip(cell["known_rows"], cell["known_bins"]))
+                place = dict(zip(cell["known_rows"] or [], cell["known_bins"] or []))
                 known = np.array([place.get(r, least) for r in q_row.tolist()], np.int64)
-                wanted &= ((s >> cell["known_shift"]) == known[:, None]) & (known != least)[:, None]
+                wanted &= ((s >> (cell["known_shift"] or 0)) == known[:, None]) & (known != least)[:, None]
             rows, columns = np.nonzero(wanted)
             pairs, n = np.unique(np.stack([rows, s[rows, columns] >> shift]), axis=1, return_counts=True)
             yield pa.record_batch([pa.array(np.full(len(n), cell["q_block"])), pa.array(q_row[pairs[0]]),

@@ -12,9 +12,9 @@ block and payload are checked against their digests. Memory is bounded by the
 largest record, not by the archive.
 
 Results: a null html is an empty payload. Pages of null id are written with an
-empty id and come after all others in the choice of the response; repeated rows are
-records each, and of rows that repeat the chosen id one is the response.
-Extra columns stay aside.
+empty id and come after all others in the choice of the response; repeated rows
+are records each, and rows that repeat the chosen id are all responses. Extra
+columns stay aside.
 """
 
 from __future__ import annotations
@@ -46,22 +46,19 @@ def digest_of(payload: bytes) -> str:
 
 
 def marked(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
-    """Rows (page_id, url, payload, response_id, first): who answers for the payload, and whether this row does.
+    """Rows (page_id, url, payload, response_id, first): the page that answers for the payload, and whether it is this one.
 
     Payloads meet by their digest: a maximum by partial aggregation, then a
     join that the planner can split where one payload is hot.
     """
     rows = pages.select(
         F.col("page_id").cast("long"), F.coalesce("url", F.lit("")).alias("url"),
-        F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"),
-        F.monotonically_increasing_id().alias("row"))
+        F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("sha1", F.sha1("payload"))
-    order = F.struct(F.coalesce("page_id", F.lit(-(1 << 63))).alias("id"), "row")
-    largest = rows.groupBy("sha1").agg(F.max(order).alias("top"))
-    joined = rows.join(largest.select("sha1", F.col("top.row").alias("top_row"), F.col("top.id").alias("top_id")), "sha1")
+    largest = rows.groupBy("sha1").agg(F.max("page_id").alias("response_id"))
     small = F.octet_length("payload") < min_bytes
-    return joined.select("page_id", "url", "payload", F.when(F.col("top_id") > -(1 << 63), F.col("top_id")).alias("response_id"),
-                         (small | (F.col("row") == F.col("top_row"))).alias("first"))
+    return rows.join(largest, "sha1").select("page_id", "url", "payload", "response_id",
+                                             (small | F.col("page_id").eqNullSafe(F.col("response_id"))).alias("first"))
 
 
 def record(page_id: int | None, url: str, payload: bytes, response_id: int | None, first: bool) -> bytes:

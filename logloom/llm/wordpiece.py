@@ -62,7 +62,7 @@ class Automaton:
         while at < len(order):
             order += children[order[at]].values()
             at += 1
-        inner = [n for n in order if children[n]]
+        inner = [n for n in order if children[n] or not n]
         row_of = {n: k for k, n in enumerate(inner)}
         fail, pops = {0: -1}, {0: 0}
         self.state = np.full((len(inner), 256), -1, np.int32)
