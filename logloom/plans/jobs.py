@@ -90,6 +90,12 @@ def record_tick(store: Store, run: str, batch: int, pending: int, processed: int
         1).write.mode("overwrite").parquet(store.tick_folder(run, batch))
 
 
+def decision(spark, pending: int, mode: str, now: datetime, limit: int = pred.LARGE_BACKLOG) -> str:
+    """The admission rule for a known backlog."""
+    word = pred.admission(F.lit(pending), pred.in_blackout(F.lit(now).cast("timestamp_ntz")), mode, limit=limit)
+    return spark.range(1).select(word.alias("w")).first().w
+
+
 def admitted(store: Store, events: DataFrame, mode: str, now: datetime | None = None, forced: bool = False,
              running: bool = False) -> str:
     """Decision for a job: process, idle, defer, refuse, or pause one that runs."""

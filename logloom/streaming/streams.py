@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import time
+from collections.abc import Callable, Iterator
+from datetime import datetime
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from logloom.functions.rules import RULES_V1, RuleSet
 from logloom.functions.syslog import parse_lines
-from logloom.operators.predicates import DENYLIST, is_denylisted
+from logloom.operators.predicates import DENYLIST, LARGE_BACKLOG, is_denylisted
 from logloom.plans import jobs
 from logloom.sources import collect
 
@@ -32,16 +35,18 @@ def file_stream(spark: SparkSession, path: str, fmt: str, schema, files_per_trig
 
 
 def run_fingerprints(events: DataFrame, store: Store, run: str, checkpoint: str, trigger: dict | None = None,
-                     ruleset: RuleSet = RULES_V1, unique_ids: bool = False) -> StreamingQuery:
+                     ruleset: RuleSet = RULES_V1, unique_ids: bool = False,
+                     hold: Callable[[int], None] | None = None) -> StreamingQuery:
     """Feed a stream of events into the store, batch by batch.
 
     The checkpoint fixes what belongs to a batch, the store skips batches it
     has committed, and events already in the bridge are left out; together a
-    replay of any kind adds nothing.
+    replay of any kind adds nothing.  ``hold`` may keep a batch waiting.
     """
     def one(batch: DataFrame, batch_id: int) -> None:
-        # Every tick is recorded, also one that finds nothing new.
         pending = batch.count()
+        if hold:
+            hold(pending)
         processed = jobs.process_batch(store, batch, run, batch_id, ruleset, unique_ids)
         jobs.record_tick(store, run, batch_id, pending, processed)
 
@@ -49,6 +54,45 @@ def run_fingerprints(events: DataFrame, store: Store, run: str, checkpoint: str,
             .trigger(**(trigger or EVERY)).start())
 
 
+class IdleTicks(StreamingQueryListener):
+    """A tick also when a query finds nothing to do, so that a quiet stream is
+    idle and not dead.  Only the latest is kept."""
+
+    def __init__(self, store: Store, run: str):
+        self.store, self.run, self.query_id = store, run, None
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        pass  # batches record their own ticks
+
+    def onQueryIdle(self, event) -> None:
+        if str(event.id) == self.query_id:
+            jobs.record_tick(self.store, self.run, -1, 0, 0)
+
+    def onQueryTerminated(self, event) -> None:
+        if str(event.id) == self.query_id:
+            self.store.spark.streams.removeListener(self)
+
+
+def follow(events: DataFrame, store: Store, checkpoint: str, trigger: dict | None = None, ruleset: RuleSet = RULES_V1,
+           limit: int = LARGE_BACKLOG, now: Callable[[], datetime] = jobs.utc_now,
+           wait: Callable[[float], None] = time.sleep) -> StreamingQuery:
+    """The live job: a large batch waits while the blackout lasts, ticking
+    once a minute, and an idle stream keeps ticking."""
+    def hold(pending: int) -> None:
+        while jobs.decision(store.spark, pending, "follow", now(), limit) == "defer":
+            jobs.record_tick(store, "follow", -1, pending, 0)
+            wait(60.0)
+
+    ticks = IdleTicks(store, "follow")
+    store.spark.streams.addListener(ticks)
+    query = run_fingerprints(events, store, "follow", checkpoint, trigger, ruleset, hold=hold)
+    ticks.query_id = str(query.id)
+    return query
+
+
 def to_parquet(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     return (df.writeStream.format("parquet").outputMode("append").option("path", path)
             .option("checkpointLocation", checkpoint).trigger(**(trigger or EVERY)).start())

@@ -311,3 +311,25 @@ def test_batch_ranges_with_an_outlier_id(spark):
 def test_no_conf_is_set_for_the_work_folder(spark):
     from logloom.session import shared_dir
     assert shared_dir(spark, "x") != shared_dir(spark, "x")
+
+
+def test_follow_waits_for_the_blackout_and_ticks_when_idle(spark, events, tmp_path):
+    import time
+    events.where("id < 50").write.parquet(str(tmp_path / "in"))
+    store, clock, waited = Store(spark, str(tmp_path / "store")), [datetime(2024, 2, 1, 23, 30), datetime(2024, 2, 1, 12)], []
+    stream = streams.file_stream(spark, str(tmp_path / "in"), "parquet", events.schema)
+    spark.conf.set("spark.sql.streaming.noDataProgressEventInterval", "500")
+    query = streams.follow(stream, store, str(tmp_path / "cp"), {"processingTime": "1 second"}, limit=10,
+                           now=lambda: clock.pop(0), wait=waited.append)
+    try:
+        idle, end = [], time.time() + 60
+        while not idle and time.time() < end:
+            time.sleep(1)
+            idle = [r for r in store.ticks().where("pending = 0").collect()] if store.bridge().count() == 50 else []
+    finally:
+        query.stop()
+        spark.conf.unset("spark.sql.streaming.noDataProgressEventInterval")
+    assert waited == [60.0] and idle
+    now = max(r.tick_at for r in store.ticks().collect())
+    beat = reg.heartbeat(store.ticks())
+    assert reg.heartbeat_state(beat, F.lit(now + timedelta(hours=7)).cast("timestamp_ntz"), 8 * 3600).first().state == "idle"
