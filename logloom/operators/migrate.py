@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom.functions.rules import RuleSet
-from logloom.functions.text import with_fingerprint
+from logloom.functions.text import clean_bom, with_fingerprint
 
 from .register import REVIEW_COLUMNS, with_review_columns
 
@@ -52,16 +52,21 @@ def moved_events(bridge: DataFrame, events: DataFrame, ruleset: RuleSet, version
     old = bridge.where(is_version(*version)).select("event_id", F.col("fingerprint").alias("old_fingerprint"))
     joined = old.join(events, old["event_id"] == events["id"]).drop("id").withColumnRenamed("event_id", "id")
     return with_fingerprint(joined, ruleset).select(
-        F.col("id").alias("event_id"), "timestamp", "host", "program", "cleaned", "old_fingerprint",
-        F.col("fingerprint").alias("new_fingerprint"))
+        F.col("id").alias("event_id"), "timestamp", "old_fingerprint", F.col("fingerprint").alias("new_fingerprint"))
 
 
-def moves_of(moved: DataFrame) -> DataFrame:
-    """Count, times and one example per (old form, new form)."""
-    return moved.groupBy("old_fingerprint", "new_fingerprint").agg(
+def moves_of(moved: DataFrame, events: DataFrame | None = None) -> DataFrame:
+    """Count and times per (old form, new form).  With ``events``, the texts
+    of each move's first event are looked up as its example; the moved events
+    themselves carry no texts."""
+    moves = moved.groupBy("old_fingerprint", "new_fingerprint").agg(
         F.count("*").alias("events"), F.min("timestamp").alias("erstmals"), F.max("timestamp").alias("zuletzt"),
-        F.min("event_id").alias("first_id"),
-        F.min_by(F.struct("host", "program", "cleaned"), "event_id").alias("example"))
+        F.min("event_id").alias("first_id"))
+    if events is None:
+        return moves
+    texts = events.select(F.col("id").alias("first_id"), F.struct(
+        "host", "program", clean_bom("message").alias("cleaned")).alias("example"))
+    return moves.join(texts, "first_id", "left").select(*moves.columns, "example")
 
 
 def migrate_targets(moves: DataFrame) -> DataFrame:

@@ -142,7 +142,7 @@ def migrate(store: Store, events: DataFrame, ruleset: RuleSet, version: tuple[in
     if old is None:
         return None
     moved = materialize(mig.moved_events(bridge, events, ruleset, old), "moved", f"{store.path}/work/moved")
-    moves = materialize(mig.moves_of(moved), "moves", f"{store.path}/work/moves")
+    moves = materialize(mig.moves_of(moved, events), "moves", f"{store.path}/work/moves")
     if dry_run:
         return mig.dry_run(moves)
     register, state = store.register(), store.state()

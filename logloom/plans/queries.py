@@ -530,7 +530,7 @@ def _moved(spark, d):
 
 
 def _moves(spark, d):
-    return materialize(mig.moves_of(_moved(spark, d)), "moves")
+    return materialize(mig.moves_of(_moved(spark, d), fx.monitoring_events(spark, d)), "moves")
 
 
 def _register(spark, d):

@@ -190,7 +190,7 @@ def migrated(spark):
         "same": ("rauschen", None, None), "null 1": (None, "I-02", None), "null 2": (None, "I-02", None)}
     bridge, ev, register = history(spark, messages, classes)
     moved = mig.moved_events(bridge, ev, NEW, (1, 1))
-    moves = mig.moves_of(moved)
+    moves = mig.moves_of(moved, ev)
     return {"outcome": {r.old_fingerprint[4:]: r.outcome for r in mig.migrate_outcome(moves, register).collect()},
             "register": {r.fingerprint[4:]: r for r in mig.migrate_register(moves, register, NEW).collect()},
             "frames": (mig.migrate_bridge(bridge, moved, NEW), mig.migrate_register(moves, register, NEW))}
@@ -231,7 +231,7 @@ def test_split_leaves_targets_unclassified(spark):
     register = reg.register_delta(fp).withColumns({
         "klasse": F.lit("betrieb"), "incident_typ": F.lit(None).cast("string"), "bewertet_am": F.lit(T).cast("timestamp_ntz"),
         "bewertet_von": F.lit("axel"), "llm_vorschlag": F.lit(None).cast("string")})
-    moves = mig.moves_of(mig.moved_events(reg.bridge_rows(fp), ev, back, (1, 1)))
+    moves = mig.moves_of(mig.moved_events(reg.bridge_rows(fp), ev, back, (1, 1)), ev)
     assert [r.outcome for r in mig.migrate_outcome(moves, register).collect()] == ["split_needs_review"]
     after = mig.migrate_register(moves, register, back)
     assert after.count() == 3 and after.where("klasse IS NOT NULL").count() == 0
