@@ -3,7 +3,7 @@
 Every whole text is measured by counting rules. Each measure becomes an excess
 over the range that labelled good rows span, so ordinary texts lie at one point
 and odd ones apart. An isolation forest splits random subsamples at random
-features and values; rows that few splits isolate are anomalous. The threshold
+features (by their span) and values; rows that few splits isolate are anomalous. The threshold
 is the score that rejects most labelled bad rows while it loses no more than
 ``MAX_GOOD_LOSS`` of the labelled good ones.
 
@@ -36,6 +36,8 @@ MAX_GOOD_LOSS = 0.001
 WINDOW = 5
 #: Least width of a measure's good range, so that ratios that good rows lack stay finite.
 MIN_WIDTH = 0.02
+#: How many times as often bad rows must leave a good range for it to be used.
+TELLING = 5
 
 SYMBOL = np.zeros(256, bool)
 SYMBOL[list(b"#*$%&|<>")] = True
@@ -112,12 +114,14 @@ class Forest:
     norm: float
     low: np.ndarray
     high: np.ndarray
+    used: np.ndarray
     threshold: float = field(default=np.inf)
 
     def excess(self, x: np.ndarray) -> np.ndarray:
         """Distance outside the good rows' range, in widths of that range."""
         width = np.maximum(self.high - self.low, MIN_WIDTH)
-        return np.log1p(np.concatenate([np.maximum(0, x - self.high) / width, np.maximum(0, self.low - x) / width], axis=1))
+        out = np.concatenate([np.maximum(0, x - self.high) / width, np.maximum(0, self.low - x) / width], axis=1)
+        return np.log1p(out[:, self.used])
 
     def score(self, x: np.ndarray) -> np.ndarray:
         """Anomaly from 0 to 1, higher where paths are short."""
@@ -144,11 +148,11 @@ def grow(x: np.ndarray, rng: np.random.Generator, depth: int) -> tuple[list, lis
     while todo:
         node, rows, at = todo.pop()
         span = x[rows].max(axis=0) - x[rows].min(axis=0)
-        wide = np.flatnonzero(span > 0)
-        if at >= depth or not len(wide):
+        if at >= depth or not span.any():
             length[node] = at + float(average_path(len(rows)))
             continue
-        f = rng.choice(wide)
+        # A measure is drawn by its span, so that specks of excess split rarely.
+        f = rng.choice(len(span), p=span / span.sum())
         cut = x[rows, f].min() + (1 - rng.random()) * span[f]
         feature[node], value[node], left[node] = f, cut, len(feature)
         right = x[rows, f] >= cut
@@ -159,7 +163,7 @@ def grow(x: np.ndarray, rng: np.random.Generator, depth: int) -> tuple[list, lis
 
 
 def fit(counts: np.ndarray, good: np.ndarray, seed: int = 0) -> Forest | None:
-    """Forest and threshold from the counts of labelled rows; None if a class is absent."""
+    """Forest and threshold from the counts of labelled rows; None if a class is absent or no measure tells them apart."""
     open_ = ~base_failed(counts)
     x, good = features(counts)[open_], good[open_]
     if good.all() or not good.any():
@@ -167,7 +171,12 @@ def fit(counts: np.ndarray, good: np.ndarray, seed: int = 0) -> Forest | None:
     rng = np.random.default_rng(seed)
     low, high = np.quantile(x[good], [MAX_GOOD_LOSS, 1 - MAX_GOOD_LOSS], axis=0)
     rows = min(TREE_ROWS, len(x))
-    forest = Forest(*[np.zeros(0)] * 4, float(average_path(rows)) or 1.0, low, high)
+    forest = Forest(*[np.zeros(0)] * 4, float(average_path(rows)) or 1.0, low, high, np.ones(2 * x.shape[1], bool))
+    # A measure that good rows leave as often as bad ones says nothing; its outliers would only raise the threshold.
+    y = forest.excess(x) > 0
+    forest.used = y[~good].mean(axis=0) > TELLING * y[good].mean(axis=0)
+    if not forest.used.any():
+        return None
     y = forest.excess(x)
     trees = [grow(y[rng.choice(len(y), rows, replace=False)], rng, int(np.ceil(np.log2(max(rows, 2)))))
              for _ in range(TREES)]
