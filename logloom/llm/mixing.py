@@ -31,7 +31,9 @@ from .work import discard, staged
 NONE = "(none)"
 ADDED = ("topic", "tokens", "weight", "probability", "sampled")
 MAX_ROUNDS = 40
-TOLERANCE = 1e-6
+TOLERANCE = 1e-5
+#: Where cells are missing, targets may contradict each other: raking ends when a round no longer shrinks the error so far.
+STALLED = 0.98
 BUDGET = 0.5
 STEPS = 32
 
@@ -89,6 +91,7 @@ def rake(cells: DataFrame, targets: dict[str, Target], max_rounds: int = MAX_ROU
     share = F.col("tokens") / F.lit(float(total)) if total else F.lit(0.0)
     weighted = staged(cells.withColumn("share", share).withColumn("weight", F.col("share")), "mix-cells")
     wanted = {by: staged(marginal_targets(cells, by, target), "mix-targets") for by, target in targets.items()}
+    before = float("inf")
     for _ in range(max_rounds):
         step, off = weighted, F.lit(0.0)
         for by, target in wanted.items():
@@ -102,8 +105,9 @@ def rake(cells: DataFrame, targets: dict[str, Target], max_rounds: int = MAX_ROU
         worst = step.agg(F.max("off")).first()[0]
         discard(weighted)
         weighted = step.drop("off", *(f"{by}_factor" for by in wanted))
-        if worst is None or worst <= tolerance:
+        if worst is None or worst <= tolerance or worst > STALLED * before:
             break
+        before = worst
     return weighted
 
 
@@ -123,7 +127,7 @@ def budget_factor(cells: DataFrame, budget: float) -> float:
 
 
 def mixed(documents: DataFrame, targets: dict[str, Target] | None = None, budget: float = BUDGET, seed: int = 42,
-          topic: Column | None = None) -> DataFrame:
+          topic: Column | None = None, max_rounds: int = MAX_ROUNDS) -> DataFrame:
     """Every document with its cell's topic, tokens, raked weight, probability and whether it is sampled."""
     targets = targets or TARGETS
     kept = [c for c in documents.columns if c not in ADDED]
@@ -136,7 +140,7 @@ def mixed(documents: DataFrame, targets: dict[str, Target] | None = None, budget
     cells = (keyed.groupBy(*names.values()).agg(F.sum("tokens").alias("tokens"))
              .withColumnsRenamed({v: k for k, v in names.items()}))
     cells = staged(cells, "mix-tokens")
-    raked = rake(cells, targets)
+    raked = rake(cells, targets, max_rounds)
     factor = budget_factor(raked, budget)
     share = F.col("share")
     table = staged(raked.select(
