@@ -60,26 +60,31 @@ def _frames_of(content: bytes) -> Iterator[str]:
         position = stop
 
 
-def split_frames(captures: DataFrame, batch_rows: int = 10_000) -> DataFrame:
-    """Octet-counted frames of ``(path, content)`` rows, one row per frame.
+def split_frames(captures: DataFrame, batch_rows: int = 10_000, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Octet-counted frames of ``(path, content)`` rows, one row per frame,
+    with the capture's columns named in ``keep``.
 
     Incomplete tails stay unread and a non-numeric header blocks the rest of
     its capture.  Captures are spread over tasks by file; a task holds one
     capture and emits its frames in batches.
     """
+    names = ["path", "frame_no", "line", *keep]
+
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            for path, content in zip(part["path"], part["content"]):
-                rows: list[tuple[str, int, str]] = []
+            for path, content, *more in zip(part["path"], part["content"], *(part[c] for c in keep)):
+                rows: list[tuple] = []
                 for number, text in enumerate(_frames_of(bytes(content))):
-                    rows.append((path, number, text))
+                    rows.append((path, number, text, *more))
                     if len(rows) == batch_rows:
-                        yield pd.DataFrame(rows, columns=["path", "frame_no", "line"])
+                        yield pd.DataFrame(rows, columns=names)
                         rows = []
                 if rows:
-                    yield pd.DataFrame(rows, columns=["path", "frame_no", "line"])
+                    yield pd.DataFrame(rows, columns=names)
 
-    return captures.select("path", "content").mapInPandas(run, "path string, frame_no long, line string")
+    taken = captures.select("path", "content", *keep)
+    kinds = [f"`{c}` {taken.schema[c].dataType.simpleString()}" for c in keep]
+    return taken.mapInPandas(run, ", ".join(["path string, frame_no long, line string", *kinds]))
 
 
 def read_captures(spark: SparkSession, path: str) -> DataFrame:
@@ -90,8 +95,8 @@ def read_syslog(spark: SparkSession, path: str) -> DataFrame:
     """Framed captures to events; the file's own time stands in for the
     time of receipt of unparsed lines."""
     files = spark.read.format("binaryFile").load(path)
-    times = files.select("path", F.date_format("modificationTime", ISO).alias("received_at"))
-    return parse_lines(split_frames(files).join(times, "path"), "line", "received_at")
+    timed = files.select("path", "content", F.date_format("modificationTime", ISO).alias("received_at"))
+    return parse_lines(split_frames(timed, keep=("received_at",)), "line", "received_at")
 
 
 # --- router ----------------------------------------------------------------
