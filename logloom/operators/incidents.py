@@ -340,6 +340,22 @@ def pair(events: DataFrame, keys: list[str], width: int = tl.HOUR) -> DataFrame:
         F.coalesce("_end_after", "_end_slice").alias("closed_at"))
 
 
+def pair_by_rules(events: DataFrame, rules: DataFrame, key: str, as_of: Column, width: int = tl.HOUR) -> DataFrame:
+    """All pair rules at once over events ``(rule_name, key, ts, id, role)``
+    already assigned to a rule: delay, longest opening and severity by
+    duration come from the rule table."""
+    limits = rules.where("active AND mechanism = 'pair'").select(
+        "rule_name", "open_delay_seconds", "max_open_minutes", "base_severity", "severity_by_duration")
+    found = pair(events, ["rule_name", key], width).join(limits, "rule_name")
+    settled = F.col("opened_at") + F.make_dt_interval(secs=F.coalesce("open_delay_seconds", F.lit(-1)))
+    limit, end = F.col("opened_at") + tl.minutes(F.col("max_open_minutes")), F.coalesce("closed_at", as_of)
+    severity = severity_at(F.col("severity_by_duration"), F.col("_open"), F.col("base_severity"))
+    kept = found.where(F.col("closed_at").isNull() | (F.col("closed_at") > settled))
+    return kept.withColumn("_open", elapsed_minutes(F.col("opened_at"), end)).select(
+        "rule_name", key, "start_id", "opened_at", "closed_at", F.when(end > limit, limit).alias("overdue_at"),
+        severity.alias("severity"))
+
+
 def without_short(incidents: DataFrame, delay_seconds: int) -> DataFrame:
     """Drop incidents that closed within the delay; they never opened."""
     limit = F.col("opened_at") + F.make_dt_interval(secs=F.lit(delay_seconds))
@@ -377,6 +393,17 @@ def absence(events: DataFrame, keys: list[str], every_minutes: int, as_of: Colum
         *keys, F.col("ts").alias("last_event"), limit.alias("opened_at"), F.col("next_event").alias("closed_at"))
 
 
+def absence_by_rules(events: DataFrame, rules: DataFrame, key: str, as_of: Column, width: int = tl.HOUR) -> DataFrame:
+    """All rules with an expected interval at once over events ``(rule_name,
+    key, ts)`` already assigned to a rule."""
+    limits = rules.where("active AND expected_every_minutes IS NOT NULL").select("rule_name", "expected_every_minutes")
+    scope = ["rule_name", key]
+    pts = tl.following(tl.points(events, scope, "ts", width), scope, ["ts"], F.col("ts"), "next_event")
+    limit = F.col("ts") + tl.minutes(F.col("expected_every_minutes"))
+    return pts.join(limits, "rule_name").where(F.coalesce("next_event", as_of) > limit).select(
+        *scope, F.col("ts").alias("last_event"), limit.alias("opened_at"), F.col("next_event").alias("closed_at"))
+
+
 def expected_at(starts: DataFrame, rules: DataFrame, since: Column, as_of: Column) -> DataFrame:
     """Local days on which a target did not start in time.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from logloom.operators import incidents as inc
@@ -237,8 +239,66 @@ def inc_ack_notify(spark, d):
     return inc.ack_notify(pairs, inc.rule_config(spark))
 
 
+def _rules_with(**fields):
+    return sorted((r for r in inc.RULES if r.get("active", True) and all(
+        (r.get(k) is not None) if v is None else r.get(k) == v for k, v in fields.items())), key=lambda r: r["rule_name"])
+
+
+def _assigned(names, source):
+    listed = ", ".join(f"'{n}'" for n in names)
+    return f"(SELECT *, ([{listed}])[CAST(id % {len(names)} AS INTEGER) + 1] AS rule_name FROM {source})"
+
+
+def _by_id(ev, rules):
+    names = F.array(*[F.lit(r["rule_name"]) for r in rules])
+    return ev.withColumn("rule_name", F.element_at(names, (F.col("id") % len(rules) + 1).cast("int")))
+
+
+PAIR_RULES = _rules_with(mechanism="pair")
+
+
+def _severity_case(rule):
+    steps = sorted(((int(k), v) for k, v in json.loads(rule.get("severity_by_duration") or "{}").items()), reverse=True)
+    cases = " ".join(f"WHEN m >= {k} THEN '{v}'" for k, v in steps)
+    return f"WHEN '{rule['rule_name']}' THEN " + (f"CASE {cases} ELSE '{rule['base_severity']}' END" if cases
+                                                 else f"'{rule['base_severity']}'")
+
+
+def _limit_case(rules, column):
+    return "CASE rule_name " + " ".join(f"WHEN '{r['rule_name']}' THEN {r[column]}" for r in rules if r.get(column)) + " END"
+
+
+@query(f"""
+WITH p AS (SELECT rule_name, user_id, id AS start_id, ts AS opened_at, nxt AS closed_at FROM (
+ SELECT *, lead(ts) OVER w AS nxt FROM (SELECT *, lag(role) OVER (PARTITION BY rule_name, user_id ORDER BY ts, id) AS before
+  FROM {_assigned([r["rule_name"] for r in PAIR_RULES], "ke")} WHERE role IS NOT NULL) WHERE role IS DISTINCT FROM before
+ WINDOW w AS (PARTITION BY rule_name, user_id ORDER BY ts, id)) WHERE role = 'start'),
+q AS (SELECT *, opened_at + to_minutes({_limit_case(PAIR_RULES, "max_open_minutes")}) AS due,
+ date_diff('microsecond', opened_at, coalesce(closed_at, t)) // 60000000 AS m FROM p, last_ts)
+SELECT rule_name, user_id, start_id, opened_at, closed_at, CASE WHEN coalesce(closed_at, t) > due THEN due END AS overdue_at,
+ CASE rule_name {" ".join(map(_severity_case, PAIR_RULES))} END AS severity FROM q
+WHERE closed_at IS NULL OR closed_at > opened_at + to_seconds(coalesce({_limit_case(PAIR_RULES, "open_delay_seconds")}, -1))""")
+def inc_pair_rules(spark, d):
+    """All active pair rules; every event is assigned to one of them by its id."""
+    return inc.pair_by_rules(_by_id(_keyed(spark, d), PAIR_RULES), inc.rule_config(spark), "user_id", fx.as_of(spark, d))
+
+
 # --- absence, rate, value --------------------------------------------------
 
+ABSENCE_RULES = _rules_with(expected_every_minutes=None)
+
+
+@query(f"""
+SELECT rule_name, host, ts AS last_event, due AS opened_at, nxt AS closed_at FROM (
+ SELECT *, ts + to_minutes({_limit_case(ABSENCE_RULES, "expected_every_minutes")}) AS due,
+  lead(ts) OVER (PARTITION BY rule_name, host ORDER BY ts, id) AS nxt
+ FROM {_assigned([r["rule_name"] for r in ABSENCE_RULES], "ke")}), last_ts
+WHERE coalesce(nxt, t) > due""")
+def inc_absence_rules(spark, d):
+    """All rules with an expected interval; every event is assigned to one of them by its id."""
+    return inc.absence_by_rules(_by_id(_keyed(spark, d), ABSENCE_RULES), inc.rule_config(spark), "host", fx.as_of(spark, d))
+
+
 def absence_sql(key: str, minutes: int) -> str:
     part = f"PARTITION BY {key}" if key else ""
     head = key or "'all' AS host"
