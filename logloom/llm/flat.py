@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 
 U64 = np.uint64
 #: Bytes of text worked on at once; a longer text is worked on alone.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 BASE = U64(0x9E3779B97F4A7C15)
 BASE_INVERSE = U64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 

@@ -44,6 +44,8 @@ SAMPLES = 2
 POWER = 1.0
 SHIFT = 2.7
 UNKNOWN_PENALTY = 10.0
+#: Text bytes whose lattice is held at once: about 100 bytes of arrays each.
+TEXT_BYTES = 3 << 18
 MARK = "▁".encode()
 SPACE = 32
 
@@ -161,7 +163,7 @@ def lattice(texts: Texts, starts: np.ndarray, ends: np.ndarray, v: Vocabulary) -
             parts += edges(texts, starts, length, first, chosen[at:at + per], v)
         size *= 2
     width = max((int(p[1].max()) + 1 for p in parts if len(p[1])), default=1)
-    wide = [np.full((total, width), fill, kind) for fill, kind in ((-np.inf, np.float64), (-1, np.int32), (0, np.int32))]
+    wide = [np.full((total, width), fill, kind) for fill, kind in ((-np.inf, np.float64), (-1, np.int32), (0, np.int16))]
     for row, column, *values in parts:
         for target, value in zip(wide, values):
             target[row, column] = value
@@ -295,8 +297,8 @@ def sampled(texts: Texts, keys: np.ndarray, v: Vocabulary, k: int, seed: int) ->
     starts, ends, owner = chunks(texts, v)
     _, one, which = np.unique(texts.hashes(starts, ends), return_index=True, return_inverse=True)
     lat = lattice(texts, starts[one], ends[one], v)
-    odds = np.exp(lat.log_q)
-    cumulative = np.cumsum(odds, axis=1).astype(np.float32)
+    cumulative = lat.log_q.astype(np.float32)
+    np.cumsum(np.exp(cumulative, out=cumulative), axis=1, out=cumulative)
     key = mix(keys.view(U64) ^ mix(np.array([seed], np.int64).view(U64) + U64(1)))
     n, of = texts.n, np.searchsorted(owner, np.arange(texts.n + 1))
     number = np.arange(len(which)) - of[owner]
@@ -332,15 +334,15 @@ def sampled(texts: Texts, keys: np.ndarray, v: Vocabulary, k: int, seed: int) ->
             cut_chunk[mine], cut_row[mine], cut_barred[mine] = p.chunk[at], p.row[at], p.barred[at]
             p.rest[at] = -np.inf
         # Another option at the place of the split, among those not barred.
-        bits = np.arange(odds.shape[1], dtype=U64)
+        bits, odds = np.arange(lat.log_q.shape[1], dtype=U64), np.exp(lat.log_q[cut_row])
         free = ((cut_barred[:, None] >> bits) & U64(1)) == 0
-        mass = np.cumsum(np.where(free, odds[cut_row], 0), axis=1)
+        mass = np.cumsum(np.where(free, odds, 0), axis=1)
         u = uniform(mix(key[some] ^ U64(turn)), cut - low) * mass[:, -1]
-        option = np.argmax((mass >= u[:, None]) & free & (odds[cut_row] > 0), axis=1)
+        option = np.argmax((mass >= u[:, None]) & free & (odds > 0), axis=1)
         cut_barred |= U64(1) << option.astype(U64)
         taken_there = ((cut_barred[:, None] >> bits) & U64(1)) == 1
         at_cut = np.where(taken_there.sum(axis=1) == lat.options[cut_row], 1.0,
-                          np.where(taken_there, odds[cut_row], 0).sum(axis=1))
+                          np.where(taken_there, odds, 0).sum(axis=1))
         # The rest of the chunk that was split, and all later chunks, are drawn anew.
         todo = ranges(cut_chunk, of[some + 1] - cut_chunk)
         text = np.repeat(some, of[some + 1] - cut_chunk)
@@ -363,7 +365,7 @@ def sampled(texts: Texts, keys: np.ndarray, v: Vocabulary, k: int, seed: int) ->
         to = ranges(to + 1, tail)
         chunk[to], rows[to], columns[to] = np.repeat(todo, taken), new_row, new_column
         barred[to] = U64(1) << new_column.astype(U64)
-        gone[to] = np.where(lat.options[new_row] == 1, 1.0, odds[new_row, new_column])
+        gone[to] = np.where(lat.options[new_row] == 1, 1.0, np.exp(lat.log_q[new_row, new_column]))
         path = path_of(counts, chunk, rows, columns, barred, np.where(ok, best, -np.inf))
         frontier(path, gone, key, turn)
         paths.append(path), alive.append(ok)
@@ -424,7 +426,7 @@ def encoder(model: bytes, k: int, seed: int, digest: bool):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(model)
         for batch in batches:
-            for first, end, texts in blocks(batch.column(1), 1 << 20):
+            for first, end, texts in blocks(batch.column(1), TEXT_BYTES):
                 ids = batch.column(0).slice(first, end - first)
                 keys = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
                 for turn, (some, counts, piece, at, step, data, logp, inclusion) in enumerate(sampled(texts, keys, v, k, seed)):
