@@ -3,13 +3,17 @@
 A page becomes a tree of elements with blocks of text. Every paragraph-like
 block gives points for its length and its commas to the elements above it: all
 to the nearest container, half to the next, less further up. A container's
-points are discounted by its link density. The best container is kept, with
-those siblings whose points or own text say that they belong to the article.
+points are discounted by its link density. Around the best container the
+article is its outermost article or main element, with the others of that
+element that have a fair share of its points; where there is none, it is the
+least element that holds all headings and all paragraphs that are not mostly
+links, or the best container's parent, if that is more.
 What is boilerplate by element or by name (menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles, reader comments) takes no part.
 
-Inside what is kept every block counts, in page order: white space becomes one
-space, blocks are joined by one space.
+Inside the article every block and every bare text counts, in page order: white
+space becomes one space, blocks are joined by one space. Beside the best
+container, lists of nothing but links are menus and are left out.
 
 Results: a null or empty page, or one without text, gives an empty text. Broken
 or unclosed markup is read as far as it goes. Repeated pages are extracted each
@@ -53,8 +57,12 @@ ARTICLE_WORDS = frozenset("article content entry post story body main text page
 
 LAYOUT = frozenset("has no with without is not".split())
 
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
 LENGTH_STEP, MOST_LENGTH_POINTS, SHORTEST = 100, 3.0, 25
 SIBLING_SHARE = 0.2
+#: Share of link text from which a block tells nothing itself, and from which several links are a menu.
+MOSTLY_LINKS, MENU_LINKS = 0.5, 0.75
 
 TAG = re.compile(r"""<(?:(!--)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|([!?/][^>]*)>)""")
 ATTRIBUTE = re.compile(r"""([^\s=/"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -62,12 +70,12 @@ NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "skip", "points", "chars", "link_chars", "good")
+    __slots__ = ("tag", "parent", "children", "skip", "points", "chars", "link_chars", "links", "told", "good")
 
     def __init__(self, tag: str, parent: Node | None, skip: bool, good: bool = False):
         self.tag, self.parent, self.skip, self.good = tag, parent, skip, good
         self.children: list[Node | str | None] = []
-        self.points, self.chars, self.link_chars = 0.0, 0, 0
+        self.points, self.chars, self.link_chars, self.links, self.told = 0.0, 0, 0, 0, 0
 
 
 def attributes(raw: str) -> dict[str, str]:
@@ -200,7 +208,10 @@ def text_blocks(node: Node) -> list[str]:
 
 
 def score(root: Node) -> list[Node]:
-    """Give points from paragraphs to their ancestors; returns the containers that got some, in page order."""
+    """Give points from paragraphs to their ancestors; returns the containers that got some, in page order.
+
+    ``told`` of a node becomes the number of headings and paragraphs in it that are not mostly links.
+    """
     scored: list[Node] = []
     stack: list[tuple[Node, bool, int]] = [(root, False, 0)]
     order: list[tuple[Node, bool]] = []
@@ -214,14 +225,19 @@ def score(root: Node) -> list[Node]:
         own = sum(len(c.strip()) for c in node.children if isinstance(c, str))
         node.chars += own
         node.link_chars += own if in_link else 0
+        node.links += node.tag == "a"
         if node.parent:
             node.parent.chars += node.chars
             node.parent.link_chars += node.link_chars
+            node.parent.links += node.links
     for node, in_link in order:
         if node.tag not in PARAGRAPHS or in_link:
             continue
         text = direct_text(node)
-        if len(text) < SHORTEST:
+        long = len(text) >= SHORTEST
+        if text and (long or node.tag in HEADINGS):
+            node.told = not node.links or len(direct_text(node, links=False)) > (1 - MOSTLY_LINKS) * len(text)
+        if not long:
             continue
         points = 1 + text.count(",") + text.count("，") + text.count("、") + min(len(text) / LENGTH_STEP, MOST_LENGTH_POINTS)
         up, level = (node if node.tag in CONTAINERS else node.parent), 0
@@ -233,10 +249,13 @@ def score(root: Node) -> list[Node]:
                 up.points += points / (1, 2, 6, 9, 12, 15)[min(level, 5)]
                 level += 1
             up = up.parent
+    for node, _ in reversed(order):
+        if node.parent:
+            node.parent.told += node.told
     return [n for n, _ in order if n.points]
 
 
-def direct_text(node: Node) -> str:
+def direct_text(node: Node, links: bool = True) -> str:
     """The node's text outside of blocks below it."""
     parts: list[str] = []
     stack = [iter(node.children)]
@@ -246,7 +265,7 @@ def direct_text(node: Node) -> str:
             stack.pop()
         elif isinstance(child, str):
             parts.append(child)
-        elif child is not None and not child.skip and child.tag not in BLOCKS:
+        elif child is not None and not child.skip and child.tag not in BLOCKS and (links or child.tag != "a"):
             stack.append(iter(child.children))
     return " ".join("".join(parts).split())
 
@@ -255,8 +274,36 @@ def discounted(node: Node) -> float:
     return node.points * (1 - node.link_chars / node.chars) if node.chars else 0.0
 
 
+def outermost(node: Node) -> Node | None:
+    """The outermost article or main element that holds the node."""
+    found, up = None, node
+    while up is not None:
+        if up.tag in ("article", "main"):
+            found = up
+        up = up.parent
+    return found
+
+
+def skip_menus(top: Node, best: Node) -> None:
+    """Skip lists of nothing but links that lie in top beside the best container."""
+    around, up = set(), best
+    while up is not None:
+        around.add(id(up))
+        up = up.parent
+    stack = [top]
+    while stack:
+        for child in stack.pop().children:
+            if not isinstance(child, Node) or child.skip or child is best:
+                continue
+            if (id(child) not in around and child.tag in BLOCKS and child.links > 1 and not child.told
+                    and child.link_chars >= MENU_LINKS * child.chars):
+                child.skip = True
+            else:
+                stack.append(child)
+
+
 def main_text(page: str | None) -> str:
-    """Blocks of the best container and the siblings that belong to it."""
+    """All blocks of the article around the best container."""
     if not page:
         return ""
     root = tree_of(page)
@@ -265,28 +312,16 @@ def main_text(page: str | None) -> str:
         return " ".join(text_blocks(root))
     best = max(containers, key=discounted)
     # An article or main element around the best container is the article as a whole.
-    up = best.parent
-    while up is not None:
-        if up.tag in ("article", "main"):
-            best = up
-        up = up.parent
-    if best.parent is None:
-        return " ".join(text_blocks(best))
-    limit = SIBLING_SHARE * discounted(best)
-    kept = []
-    for child in best.parent.children:
-        if child is best:
-            kept += text_blocks(child)
-        elif isinstance(child, Node) and not child.skip and best.tag not in ("article", "main"):
-            text = direct_text(child)
-            dense = child.link_chars / child.chars if child.chars else 1.0
-            if (child.points and discounted(child) >= limit) or (
-                    child.tag in ("p", "h1", "h2", "h3", "pre", "blockquote", "ul", "ol", "table", "figure") and dense < 0.25
-                    and (len(text) >= 80 or child.tag != "p" or text.endswith((".", "!", "?", "。")))):
-                kept += text_blocks(child)
-        elif isinstance(child, Node) and not child.skip and child.tag == best.tag and discounted(child) >= limit:
-            kept += text_blocks(child)
-    return " ".join(kept)
+    marked = outermost(best)
+    if marked is not None:
+        limit = SIBLING_SHARE * discounted(marked)
+        return " ".join(text for n in containers if n is marked or (
+            n.tag == marked.tag and discounted(n) >= limit and outermost(n) is n) for text in text_blocks(n))
+    top = best
+    while top.parent is not None and (top.told < root.told or top is best):
+        top = top.parent
+    skip_menus(top, best)
+    return " ".join(text_blocks(top))
 
 
 EXTRACTED = "page_id long, url string, text string, n_chars long"

@@ -119,6 +119,26 @@ def test_pages(spark):
         assert r.text == " ".join(plain.split())
 
 
+PARAGRAPH = "<p>" + "One, two, three, four, and " + "more words " * 25 + "of row {}.</p>"
+
+
+def test_parts_of_an_article_without_article_element():
+    rows = ["".join(PARAGRAPH.format(f"{row} {k}") for k in range(5)) for row in "ab"]
+    page = ('<body><div class="links"><a href="/">Home</a> <a href="/b">The archive of all the years</a></div><h4>Head</h4>'
+            '<div class="content">' + "".join(f'<div class="row"><div class="col">{row}</div></div>' for row in rows)
+            + "<dl><dt>Key</dt><dd>value</dd></dl><div><p>Short.</p></div>bare <em>text</em><section><h5>End</h5></section>"
+            "<ul><li><a>Sign in to this wonderful site</a></li><li><a>Top</a></li></ul></div></body>")
+    want = " ".join(re.sub("<.*?>", " ", "Head" + "".join(rows)).split())
+    assert article.main_text(page) == want + " Key value Short. bare text End"
+    # Without any wrapper, and beside a much better container.
+    page = f"<body><h1>Head</h1><div><div>{rows[0]}</div></div><div><div><p>A last word, far from the rest.</p></div></div></body>"
+    want = " ".join(re.sub("<.*?>", " ", "Head " + rows[0]).split())
+    assert article.main_text(page) == want + " A last word, far from the rest."
+    # Article elements that are not siblings.
+    page = "<body>" + "".join(f"<div><article>{row}</article></div>" for row in rows) + "</body>"
+    assert article.main_text(page) == " ".join(re.sub("<.*?>", " ", "".join(rows)).split())
+
+
 def test_deep_nesting_and_long_pages():
     deep = "<div>" * 5000 + "<p>Deep down, there is a paragraph, with text.</p>" + "</div>" * 5000
     assert article.main_text(deep) == "Deep down, there is a paragraph, with text."
