@@ -9,7 +9,12 @@ element that have a fair share of its points; where there is none, it is the
 least element that holds all headings and all paragraphs that are not mostly
 links, or the best container's parent, if that is more.
 What is boilerplate by element or by name (menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles, reader comments) takes no part.
+notices, adverts, forms, scripts, styles, reader comments) takes no part. But a
+form, or an element that only a part of its name calls boilerplate, stays where
+it holds most of the page's paragraph text and no other marked article stands
+beside it; so does any of them, whatever its name, around the heading or marked
+article of a page that has no paragraph elsewhere. Controls, and boilerplate
+inside what stays, go as before.
 
 Inside the article every block and every bare text counts, in page order: white
 space becomes one space, blocks are joined by one space. Beside the best
@@ -40,7 +45,7 @@ BLOCKS = frozenset("""address article aside blockquote body br caption center dd
     footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr
     ul""".split())
 CONTAINERS = frozenset("article main section div body blockquote td center html root".split())
-PARAGRAPHS = frozenset("p pre td blockquote li dd h1 h2 h3 h4 h5 h6 div section article main body figcaption".split())
+PARAGRAPHS = frozenset("p pre td blockquote li dd h1 h2 h3 h4 h5 h6 div section article main body figcaption form".split())
 CLOSED_BY_BLOCK = frozenset("p".split())
 SELF_CLOSING_PEERS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table", "tbody", "thead", "tfoot"},
                       "td": {"tr"}, "th": {"tr"}, "option": {"select"}}
@@ -53,6 +58,7 @@ BOILERPLATE = frozenset("""ad ads adv advert adverts advertisement advertising a
     newsletter subscribe subscription signup login share sharing social socials cookie cookies consent gdpr notice notices
     alert popup modal overlay toast comment comments commentlist respond disqus discussion replies reply copyright legal
     disclaimer skip toolbar search contentinfo complementary hidden paywall feedback""".split())
+COMMENTS = frozenset("comment comments commentlist respond disqus discussion replies reply".split())
 ARTICLE_WORDS = frozenset("article content entry post story body main text page hentry blog prose".split())
 
 LAYOUT = frozenset("has no with without is not".split())
@@ -70,14 +76,30 @@ NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "skip", "points", "chars", "link_chars", "links", "told", "good")
+    __slots__ = ("tag", "parent", "children", "skip", "points", "chars", "link_chars", "links", "told", "good",
+                 "doubt")
 
     def __init__(self, tag: str, parent: Node | None, skip: bool, good: bool = False):
         self.tag, self.parent, self.skip, self.good = tag, parent, skip, good
+        self.doubt: Doubt | None = None
         self.children: list[Node | str | None] = []
         self.points, self.chars, self.link_chars, self.links, self.told = 0.0, 0, 0, 0, 0
 
 
+class Doubt:
+    """An element that is boilerplate by name, or a form: whether it holds the article is judged over the page."""
+
+    __slots__ = ("name", "sure", "comments", "node", "inner", "own", "own_marked", "chars", "whole", "marked", "around")
+
+    def __init__(self, name: str = "", sure: bool = False, comments: bool = False):
+        self.name, self.sure, self.comments = name, sure, comments
+        self.node: Node | None = None
+        self.inner: list[Doubt] = []
+        self.own, self.chars, self.whole, self.marked = 0, 0, 0, False
+        self.own_marked: dict[Node, int] = {}
+        self.around: Node | None = None
+
+
 def attributes(raw: str) -> dict[str, str]:
     return {k.lower(): unescape(v.strip("\"'")) for k, v in reversed(ATTRIBUTE.findall(raw))} if raw.strip() else {}
 
@@ -86,20 +108,27 @@ def parts_of(names: str) -> set[str]:
     return {p.lower() for p in NAME_PART.findall(names)}
 
 
-def is_boilerplate(tag: str, attrs: dict[str, str]) -> bool:
-    if tag in SKIPPED:
+def boilerplate(tag: str, attrs: dict[str, str]) -> bool | Doubt:
+    """Whether an element is boilerplate, as far as that is certain from the element alone."""
+    if tag in SKIPPED and tag != "form":
         return True
+    doubt = Doubt() if tag == "form" else None
     if not attrs or tag in ("html", "body"):
-        return False
+        return doubt or False
     if "hidden" in attrs or attrs.get("aria-hidden") == "true":
         return True
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", "")):
         return True
     tokens = [[p.lower() for p in NAME_PART.findall(t)] for k in ("class", "id", "role") for t in attrs.get(k, "").split()]
     if any(t and set(t) <= ARTICLE_WORDS for t in tokens):
-        return False
+        return doubt or False
     # A name such as has-sidebar says what a layout holds, not what the element is.
-    return any(t and t[0] not in LAYOUT and (t[0] in BOILERPLATE or t[-1] in BOILERPLATE) for t in tokens)
+    named = [t for t in tokens if t and t[0] not in LAYOUT and (t[0] in BOILERPLATE or t[-1] in BOILERPLATE)]
+    if not named:
+        return doubt or False
+    comments = any(COMMENTS.intersection(t) for t in named)
+    sure = comments or any(all(p in BOILERPLATE or p.isdigit() for p in t) for t in named)
+    return Doubt(" ".join("-".join(t) for t in named), sure, comments)
 
 
 def tree_of(page: str) -> Node:
@@ -125,14 +154,16 @@ def tree_of(page: str) -> Node:
             continue
         node = opened(node, tag)
         attrs = attributes(found[4])
-        skip = node.skip or is_boilerplate(tag, attrs)
         if tag in VOID:
             if tag in BLOCKS:
                 node.children.append(None)
             continue
-        child = Node(tag, node, skip, tag in ("article", "main") or bool(
+        skip = (node.skip and not node.doubt) or boilerplate(tag, attrs)
+        child = Node(tag, node, bool(skip), tag in ("article", "main") or bool(
             attrs and parts_of(attrs.get("class", "") + " " + attrs.get("id", "")) & ARTICLE_WORDS))
         node.children.append(child)
+        if isinstance(skip, Doubt):
+            child.doubt, skip.node = skip, child
         if tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}[^>]*>", re.I).search(page, at)
             at = close.end() if close else end
@@ -270,6 +301,73 @@ def direct_text(node: Node, links: bool = True) -> str:
     return " ".join("".join(parts).split())
 
 
+def keep_article(root: Node) -> None:
+    """End the skipping of elements in doubt that hold the page's article."""
+    page = Doubt()
+    doubts: list[Doubt] = []
+    # Per doubt: the characters of paragraphs outside inner doubts, and of those below each innermost marked container.
+    stack: list[tuple[Node, Doubt, Node | None, bool]] = [(root, page, None, False)]
+    above: dict[Node, Node | None] = {}
+    while stack:
+        node, owner, mark, in_link = stack.pop()
+        if node.doubt:
+            node.doubt.around = mark
+            owner.inner.append(node.doubt)
+            owner = node.doubt
+            doubts.append(owner)
+        if node.good and node.tag not in ("html", "body"):
+            above[node] = mark
+            mark = node
+        if node.tag in PARAGRAPHS and not in_link:
+            text = direct_text(node)
+            if text and node.tag == "h1":
+                owner.marked = True
+            if len(text) >= SHORTEST and len(direct_text(node, links=False)) > (1 - MOSTLY_LINKS) * len(text):
+                owner.own += len(text)
+                if mark is not None:
+                    owner.own_marked[mark] = owner.own_marked.get(mark, 0) + len(text)
+                    # Each reader comment may be an article of its own.
+                    owner.marked |= mark is not owner.around and (not owner.comments or mark.tag == "main")
+        stack += [(c, owner, mark, in_link or c.tag == "a") for c in reversed(node.children)
+                  if isinstance(c, Node) and (not c.skip or c.doubt)]
+    if not doubts or (page.own and all(d.sure for d in page.inner)):
+        return
+    for doubt in reversed([page, *doubts]):  # inner ones first
+        doubt.chars = doubt.own + sum(d.chars for d in doubt.inner if not d.sure)
+        doubt.whole = doubt.own + sum(d.whole for d in doubt.inner)
+        doubt.marked |= any(d.marked for d in doubt.inner)
+    open_, total, marked, judged = page.own, page.chars, dict(page.own_marked), page.inner
+    while judged:
+        # An article may be cut into elements of one name.
+        groups: dict[str | Doubt, list[Doubt]] = {}
+        for doubt in judged:
+            if not doubt.sure:
+                groups.setdefault(doubt.name or doubt, []).append(doubt)
+        kept = []
+        for group in groups.values():
+            chars = sum(d.chars for d in group)
+            if 2 * chars > total:
+                kept += [d for d in group if not beside(d, chars, marked, above)]
+        if not kept and not open_:
+            kept = sorted((d for d in judged if d.marked), key=lambda d: -d.whole)[:1]
+        for doubt in kept:
+            doubt.node.skip = False
+            open_ += doubt.own
+            total += doubt.chars if doubt.sure else 0
+            for mark, chars in doubt.own_marked.items():
+                marked[mark] = marked.get(mark, 0) + chars
+        judged = [d for doubt in kept for d in doubt.inner]
+
+
+def beside(doubt: Doubt, chars: int, marked: dict[Node, int], above: dict[Node, Node | None]) -> bool:
+    """Whether a marked container that is not around the element in doubt holds an article by itself."""
+    around, up = set(), doubt.around
+    while up is not None:
+        around.add(up)
+        up = above[up]
+    return any(m not in around and (m.tag in ("article", "main") or n >= SIBLING_SHARE * chars) for m, n in marked.items())
+
+
 def discounted(node: Node) -> float:
     return node.points * (1 - node.link_chars / node.chars) if node.chars else 0.0
 
@@ -307,6 +405,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = tree_of(page)
+    keep_article(root)
     containers = score(root)
     if not containers:
         return " ".join(text_blocks(root))

@@ -139,6 +139,36 @@ def test_parts_of_an_article_without_article_element():
     assert article.main_text(page) == " ".join(re.sub("<.*?>", " ", "".join(rows)).split())
 
 
+ARTICLE = "<h1>Head</h1>" + PARAGRAPH.format(1) + PARAGRAPH.format(2)
+TEASER = "<p>Some other page, with a text that is no part of this one.</p>"
+
+
+@pytest.mark.parametrize("page", [
+    '<body><form action="x"><input value="v"><label>Find</label>{}<button>Go</button><select><option>o</select></form></body>',
+    '<body><div class="sidebar-open"><div class="ad">Buy, buy, buy all of the things, all of them.</div>{}</div></body>',
+    '<body><div class="menu-right"><div class="menu-item"><p>Menu</p></div><article>{}</article></div></body>',
+    f'<body><div class="legal-opinion">{{}}</div><div class="x-related">{TEASER}</div></body>',
+    '<body><form class="menu-open"><div class="popular-science"><div class="text">{}</div></div></form></body>',
+    '<body><article class="trending-story">{}</article><div class="cookie-notice">' + 9 * PARAGRAPH + "</div></body>",
+    '<body><div class="overlay"><div class="content">{}</div></div><div class="trending">' + TEASER + "</div></body>",
+    # As before: what stands beside the article, or in it, stays out.
+    '<body><div class="post">{}</div><div class="related-stories">' + 9 * PARAGRAPH + "</div></body>",
+    '<body><div class="post">{}<form>' + TEASER + '</form></div><div class="comments"><article>' + 9 * PARAGRAPH
+    + "</article></div></body>",
+    '<body><div>{}</div><div class="comments-list">' + 9 * PARAGRAPH + '</div><div class="ad-1">' + 9 * PARAGRAPH + "</div></body>",
+    f'<body><article>{{}}<div class="related-posts">{TEASER}</div></article></body>',
+])
+def test_boilerplate_names_around_the_article(page):
+    assert article.main_text(page.replace("{}", ARTICLE, 1)) == " ".join(re.sub("<.*?>", " ", ARTICLE).split())
+
+
+def test_boilerplate_alone_stays_out():
+    for name in ("comments", "cookie-notice", "sidebar"):
+        assert article.main_text(f'<body><p>Hi.</p><div class="{name}">{TEASER}</div></body>') == "Hi."
+    nested = '<div class="menu-x">' * 3000 + TEASER + "</div>" * 3000
+    assert article.main_text(nested) == re.sub("<.*?>", "", TEASER)
+
+
 def test_deep_nesting_and_long_pages():
     deep = "<div>" * 5000 + "<p>Deep down, there is a paragraph, with text.</p>" + "</div>" * 5000
     assert article.main_text(deep) == "Deep down, there is a paragraph, with text."
