@@ -7,10 +7,16 @@ the cell's raked weight over its tokens, times one factor that spends the token
 budget, and at most 1. A hash of the id decides, so that reruns and lost
 executors change nothing.
 
-Only DataFrame functions run here. What is raked is the table of cells, made by
-partial aggregation and kept as a table: it never reaches the driver, and the
-planner joins it to the documents by broadcast or by a shuffle with split hot
-cells, as its size says.
+Only DataFrame functions run on the executors. What is raked is the table of
+cells, made by partial aggregation. Up to ``LOCAL_CELLS`` cells are raked on the
+driver, more of them as a table, by the same rounds. The raked cells are a table
+again, and the planner joins it to the documents by broadcast or by a shuffle
+with split hot cells, as its size says.
+
+Raking goes on until all marginals agree with their targets. Where cells are
+missing, targets can contradict each other; then it goes on until no cell grows
+any more, which is the limit of the rounds. What a marginal is off by at the end
+is returned by ``rake``, and ``mixed`` warns of it.
 
 Results: null source or language is a value of its own, ``(none)``. Null or
 empty text has no tokens; its cell's probability still applies, and documents
@@ -21,8 +27,12 @@ named as the added ones are not passed on.
 
 from __future__ import annotations
 
+import math
+import warnings
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,10 +40,12 @@ from .work import discard, staged
 
 NONE = "(none)"
 ADDED = ("topic", "tokens", "weight", "probability", "sampled")
-MAX_ROUNDS = 40
+MAX_ROUNDS = 20_000
 TOLERANCE = 1e-5
-#: Where cells are missing, targets may contradict each other: raking ends when a round no longer shrinks the error so far.
-STALLED = 0.98
+#: Growth of a cell in one round below which the cells are at the limit of the rounds.
+SETTLED = 1e-9
+#: Cells that the driver rakes, about 100 bytes each.
+LOCAL_CELLS = 200_000
 BUDGET = 0.5
 STEPS = 32
 
@@ -84,31 +96,109 @@ def marginal_targets(cells: DataFrame, by: str, target: Target) -> DataFrame:
     return marginal.select(by, (raw / total).alias("target"))
 
 
-def rake(cells: DataFrame, targets: dict[str, Target], max_rounds: int = MAX_ROUNDS,
-         tolerance: float = TOLERANCE) -> DataFrame:
-    """Adds ``share`` and ``weight``, shares of all tokens before and after raking, to cells (marginals, tokens)."""
-    total = cells.agg(F.sum("tokens")).first()[0] or 0
+@dataclass(frozen=True)
+class Outcome:
+    """How raking ended: rounds, each marginal's largest relative error, and whether the targets contradict each other."""
+
+    rounds: int
+    errors: dict[str, float]
+    contradictory: bool
+
+    @property
+    def error(self) -> float:
+        return max(self.errors.values(), default=0.0)
+
+
+@dataclass
+class Rounds:
+    """When rounds of raking end.
+
+    A table that meets all targets weighs the logarithms of a round's factors to the sum of the marginals' divergences
+    from their targets, which therefore cannot exceed the largest growth of a cell: if it does, there is no such table.
+    """
+
+    most: int
+    tolerance: float
+    done: int = 0
+    contradictory: bool = False
+
+    def end(self, off: float, growth: float, divergence: float) -> bool:
+        """``off``: largest error of a factor; ``growth``: largest logarithm of a cell's factor."""
+        self.done += 1
+        self.contradictory |= off > self.tolerance and divergence > max(growth, 0.0) + SETTLED
+        return off <= self.tolerance or growth <= SETTLED or self.done >= self.most
+
+
+def rake_local(cells: DataFrame, wanted: dict[str, DataFrame], total: int, rounds: Rounds) -> tuple[DataFrame, dict[str, float]]:
+    table = cells.select(*wanted, F.col("tokens").cast("long")).toArrow()
+    values, codes, targets = {}, {}, {}
+    for by, target in wanted.items():
+        values[by], codes[by] = np.unique(np.array(table.column(by).to_pylist(), object), return_inverse=True)
+        found = {r[0]: r[1] for r in target.collect()}
+        targets[by] = np.array([found.get(v, 0.0) for v in values[by]])
+    # In the order of their values, so that sums do not depend on the order in which cells arrive.
+    order = np.lexsort(list(codes.values()))
+    codes = {by: code[order] for by, code in codes.items()}
+    share = table.column("tokens").to_numpy()[order] / float(total)
+    weight = share
+    while rounds.most > 0:
+        off, divergence, grown = 0.0, 0.0, np.zeros(len(weight))
+        for by, code in codes.items():
+            now = np.bincount(code, weight, len(targets[by]))
+            factor = np.divide(targets[by], now, out=np.zeros(len(now)), where=now > 0)
+            off = max(off, float(np.abs(factor[now > 0] - 1).max(initial=0.0)))
+            log = np.log(factor, out=np.zeros(len(now)), where=factor > 0)
+            divergence += float(targets[by] @ log)
+            grown += log[code]
+            weight = weight * factor[code]
+        if rounds.end(off, float(grown[weight > 0].max(initial=-math.inf)), divergence):
+            break
+    errors = {}
+    for by, code in codes.items():
+        target = targets[by]
+        now = np.bincount(code, weight, len(target))
+        errors[by] = float(np.abs(now[target > 0] / target[target > 0] - 1).max(initial=0.0))
+    made = pa.table({**{by: pa.array(values[by][code].tolist(), pa.string()) for by, code in codes.items()},
+                     "tokens": table.column("tokens").to_numpy()[order], "share": share, "weight": weight})
+    return staged(cells.sparkSession.createDataFrame(made), "mix-cells"), errors
+
+
+def rake_table(cells: DataFrame, wanted: dict[str, DataFrame], total: int, rounds: Rounds) -> tuple[DataFrame, dict[str, float]]:
     share = F.col("tokens") / F.lit(float(total)) if total else F.lit(0.0)
     weighted = staged(cells.withColumn("share", share).withColumn("weight", F.col("share")), "mix-cells")
-    wanted = {by: staged(marginal_targets(cells, by, target), "mix-targets") for by, target in targets.items()}
-    before = float("inf")
-    for _ in range(max_rounds):
-        step, off = weighted, F.lit(0.0)
+    while rounds.most > 0:
+        step = weighted.withColumns({"off": F.lit(0.0), "grown": F.lit(0.0), "divergence": F.lit(0.0)})
         for by, target in wanted.items():
             now = step.groupBy(by).agg(F.sum("weight").alias("now")).join(target, by, "left")
             factor = now.select(by, F.when(F.col("now") > 0, F.coalesce("target", F.lit(0.0)) / F.col("now"))
                                 .otherwise(0.0).alias("factor"))
-            off = F.greatest(off, F.when(F.col("weight") > 0, F.abs(F.col(f"{by}_factor") - 1)).otherwise(0.0))
-            step = (step.join(factor, by).withColumn("weight", F.col("weight") * F.col("factor"))
-                    .withColumnRenamed("factor", f"{by}_factor"))
-        step = staged(step.withColumn("off", off), "mix-cells")
-        worst = step.agg(F.max("off")).first()[0]
+            log = F.when(F.col("factor") > 0, F.log("factor")).otherwise(0.0)
+            step = step.join(factor, by).withColumns({
+                "off": F.greatest("off", F.when(F.col("weight") > 0, F.abs(F.col("factor") - 1)).otherwise(0.0)),
+                "grown": F.col("grown") + log, "divergence": F.col("divergence") + F.col("weight") * F.col("factor") * log,
+                "weight": F.col("weight") * F.col("factor")}).drop("factor")
+        step = staged(step, "mix-cells")
+        off, growth, divergence = step.agg(F.max("off"), F.max(F.when(F.col("weight") > 0, F.col("grown"))),
+                                           F.sum("divergence")).first()
         discard(weighted)
-        weighted = step.drop("off", *(f"{by}_factor" for by in wanted))
-        if worst is None or worst <= tolerance or worst > STALLED * before:
+        weighted = step.drop("off", "grown", "divergence")
+        if off is None or rounds.end(off, -math.inf if growth is None else growth, divergence):
             break
-        before = worst
-    return weighted
+    errors = {}
+    for by, target in wanted.items():
+        now = weighted.groupBy(by).agg(F.sum("weight").alias("now")).join(target.where("target > 0"), by)
+        errors[by] = now.agg(F.max(F.abs(F.col("now") / F.col("target") - 1))).first()[0] or 0.0
+    return weighted, errors
+
+
+def rake(cells: DataFrame, targets: dict[str, Target], max_rounds: int = MAX_ROUNDS,
+         tolerance: float = TOLERANCE) -> tuple[DataFrame, Outcome]:
+    """Adds ``share`` and ``weight``, shares of all tokens before and after raking, to cells (marginals, tokens)."""
+    n, total = cells.agg(F.count("*"), F.sum("tokens")).first()
+    wanted = {by: staged(marginal_targets(cells, by, target), "mix-targets") for by, target in targets.items()}
+    rounds = Rounds(max_rounds, tolerance)
+    made, errors = (rake_local if total and n <= LOCAL_CELLS else rake_table)(cells, wanted, total or 0, rounds)
+    return made, Outcome(rounds.done, errors, rounds.contradictory)
 
 
 def budget_factor(cells: DataFrame, budget: float) -> float:
@@ -128,7 +218,10 @@ def budget_factor(cells: DataFrame, budget: float) -> float:
 
 def mixed(documents: DataFrame, targets: dict[str, Target] | None = None, budget: float = BUDGET, seed: int = 42,
           topic: Column | None = None, max_rounds: int = MAX_ROUNDS) -> DataFrame:
-    """Every document with its cell's topic, tokens, raked weight, probability and whether it is sampled."""
+    """Every document with its cell's topic, tokens, raked weight, probability and whether it is sampled.
+
+    Warns with the errors that remain where marginals miss their targets.
+    """
     targets = targets or TARGETS
     kept = [c for c in documents.columns if c not in ADDED]
     text = F.col("text")
@@ -140,7 +233,11 @@ def mixed(documents: DataFrame, targets: dict[str, Target] | None = None, budget
     cells = (keyed.groupBy(*names.values()).agg(F.sum("tokens").alias("tokens"))
              .withColumnsRenamed({v: k for k, v in names.items()}))
     cells = staged(cells, "mix-tokens")
-    raked = rake(cells, targets, max_rounds)
+    raked, outcome = rake(cells, targets, max_rounds)
+    if outcome.error > TOLERANCE:
+        why = "they contradict each other" if outcome.contradictory else "they may be out of reach"
+        off = ", ".join(f"{by} by up to {error:.3g}" for by, error in outcome.errors.items())
+        warnings.warn(f"marginals miss their targets after {outcome.rounds} rounds ({why}): {off}", stacklevel=2)
     factor = budget_factor(raked, budget)
     share = F.col("share")
     table = staged(raked.select(

@@ -73,3 +73,56 @@ def test_plan_is_native(docs):
 def test_budget_ends(spark, docs, budget):
     rows = mixing.mixed(docs, budget=budget, max_rounds=1).where("tokens > 0").collect()
     assert all(r.sampled == (budget == 1.0) for r in rows)
+
+
+def table_of(spark, tokens, topics=(("prose", 700), ("table", 300))):
+    cells = {(f"s{i}", lang, topic): int(t * n) for i, row in enumerate(tokens)
+             for lang, t in zip(("en", "de", "fr", "es"), row) if t for topic, n in topics}
+    return cells, spark.createDataFrame([(*c, t) for c, t in cells.items()],
+                                        "source string, lang string, topic string, tokens long")
+
+
+SLOW = [[[1000, .5, .5, .5], [.15, 300, .15, .15], [.1, .1, 200, .1], [.05, .05, .05, 100]],
+        [[999, 1, 0, 0], [1, 500, 250, 250]]]
+
+
+@pytest.mark.parametrize("tokens", SLOW)
+def test_slow_but_feasible_targets_are_met(spark, tokens):
+    cells, table = table_of(spark, tokens)
+    made, outcome = mixing.rake(table, mixing.TARGETS)
+    assert outcome.error <= 2e-5 and not outcome.contradictory and outcome.rounds > 40
+    rows = {(r.source, r.lang, r.topic): r for r in made.collect()}
+    assert set(rows) == set(cells) and all(rows[c].tokens == t for c, t in cells.items())
+    targets = {d: shares(cells, k, mixing.TARGETS[d]) for k, d in enumerate(DIMS)}
+    want = brute(cells, targets, 3000)
+    assert max(abs(rows[c].weight - want[c]) for c in cells) < 1e-4
+    for k, d in enumerate(DIMS):
+        for v, share in targets[d].items():
+            assert abs(sum(r.weight for c, r in rows.items() if c[k] == v) - share) < 2e-5
+
+
+def test_contradictory_targets_are_reported(spark):
+    cells, table = table_of(spark, [[1, 0, 0, 0], [0, 2, 0, 0], [0, 0, 1, 1]])
+    made, outcome = mixing.rake(table, mixing.TARGETS)
+    assert outcome.contradictory and outcome.rounds < 100
+    rows = {(r.source, r.lang, r.topic): r.weight for r in made.collect()}
+    targets = {d: shares(cells, k, mixing.TARGETS[d]) for k, d in enumerate(DIMS)}
+    for k, d in enumerate(DIMS):
+        off = max(abs(sum(w for c, w in rows.items() if c[k] == v) / share - 1) for v, share in targets[d].items())
+        assert abs(outcome.errors[d] - off) < 1e-9
+    assert outcome.error > 0.1
+    docs = [(i, "word " * 40, lang, source) for i, (source, lang, _) in enumerate(cells)]
+    with pytest.warns(UserWarning, match="contradict each other.*source by up to 0"):
+        mixing.mixed(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string"))
+
+
+@pytest.mark.parametrize("tokens", [[[3, 1, 0, 0], [1, 2, 1, 1]], [[1, 0, 0, 0], [0, 2, 0, 0]]])
+def test_table_and_driver_rake_alike(spark, tokens, monkeypatch):
+    _, table = table_of(spark, tokens)
+    made, outcome = mixing.rake(table, mixing.TARGETS, 6)
+    monkeypatch.setattr(mixing, "LOCAL_CELLS", 0)
+    again, outcome_again = mixing.rake(table, mixing.TARGETS, 6)
+    assert (outcome.rounds, outcome.contradictory) == (outcome_again.rounds, outcome_again.contradictory)
+    assert outcome_again.errors == pytest.approx(outcome.errors, abs=1e-9)
+    a, b = ({r[:3]: r.weight for r in t.select(*DIMS, "weight").collect()} for t in (made, again))
+    assert b == pytest.approx(a, abs=1e-12)
