@@ -9,7 +9,8 @@ is the score that rejects most labelled bad rows while it loses no more than
 
 The forest and the threshold are fitted on the driver from at most
 ``SAMPLE_ROWS`` labelled rows, those of the smallest hash of their id; all
-documents are measured and judged in one pass.
+documents are measured and judged in one pass. Of the rows that repeat a labelled
+id, the one with the smallest counts is fitted.
 
 Results: a null text counts as empty and fails the base rules. Without
 labelled rows of both classes the base rules alone decide. Labels with null id
@@ -204,13 +205,16 @@ def labelled_counts(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_
         for batch in batches:
             for first, end, texts in blocks(batch.column(0)):
                 made = measure(texts).T
-                yield pa.record_batch([batch.column(1).slice(first, end - first), *map(pa.array, made)],
-                                      names=["quality", *COUNTS, *MORE])
+                rows = batch.slice(first, end - first)
+                yield pa.record_batch([rows.column(1), rows.column(2), *map(pa.array, made)],
+                                      names=["doc_id", "quality", *COUNTS, *MORE])
 
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    # The sample's size is bounded by its limit, so that it may be broadcast.
-    rows_ = (texts.join(F.broadcast(sample), "doc_id").select("text", F.col("quality").cast("long"))
-             .mapInArrow(count, ", ".join(f"{c} long" for c in ("quality", *COUNTS, *MORE))).toPandas())
+    # The sample's size is bounded by its limit, so that it may be broadcast. Rows that repeat an id are one row of it.
+    rows_ = (texts.join(F.broadcast(sample), "doc_id").select("text", "doc_id", F.col("quality").cast("long"))
+             .mapInArrow(count, ", ".join(f"{c} long" for c in ("doc_id", "quality", *COUNTS, *MORE)))
+             .groupBy("doc_id", "quality").agg(F.min(F.struct(*COUNTS, *MORE)).alias("counts"))
+             .select("doc_id", "quality", "counts.*").toPandas().sort_values("doc_id"))
     return rows_[[*COUNTS, *MORE]].to_numpy(np.int64).reshape(-1, 8), rows_["quality"].to_numpy() > 0
 
 

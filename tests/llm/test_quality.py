@@ -48,6 +48,16 @@ def test_labels_with_nulls_ties_and_one_class(spark, docs):
     assert quality.fit(counts, np.array([True, True])) is None
 
 
+def test_rows_that_repeat_a_labelled_id_are_fitted_once(spark):
+    texts = [(5, "some words of a text " * (2 + i % 7)) for i in range(300)] + [(6, "bad ### text"), (7, "not labelled")]
+    labels = spark.createDataFrame([(5, 1), (6, 0)], "doc_id long, quality int")
+    for parts in (1, 5):
+        docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(parts)
+        counts, good = quality.labelled_counts(docs, labels)
+        assert good.tolist() == [True, False]
+        assert [tuple(c[:5]) for c in counts.tolist()] == [counts_of(texts[0][1]), counts_of("bad ### text")]
+
+
 def test_path_lengths():
     rng = np.random.default_rng(1)
     good = np.zeros((400, 8), np.int64)
