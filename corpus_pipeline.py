@@ -23,7 +23,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest id. Rows without id stay."""
+    """One document id of each group of near copies stays: the smallest.
+
+    Ids go, not rows: all rows that repeat the id that stays are kept, and so are
+    all rows without id, copies among them. Such a group leaves more than one row.
+    """
     gone = near_duplicates(docs).where("not kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
