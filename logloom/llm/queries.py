@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .article import extracted
 from .chat import CONTROL, formatted, read_back
 from .licences import scanned
+from .merkle import manifest
 from .minhash import near_duplicates
 from .mixing import ADDED, mixed
 from .pieces import encoded_digest
@@ -67,9 +68,13 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents")).select("doc_id", "source", "lang", *ADDED)
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_topk, op2_quality_rules, op3_html_extraction, op4_piece_encoding, op5_minhash_dedup, op6_chat_format,
-    op7_token_counts, op8_warc_archive, op9_licence_scan, op10_source_mixing)}
+    op7_token_counts, op8_warc_archive, op9_licence_scan, op10_source_mixing, op12_merkle_manifest)}
 
 ORACLE: dict[str, str] = {}
 
@@ -121,3 +126,50 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, array_to_string(
   CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
 FROM b
 """
+
+_leaf = " || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+                    for c in ("doc_id", "source", "lang", "{n}", "text"))
+_bits = "list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))"
+_crc = f"""xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(
+  string_split(CAST(doc_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT))), lambda c, b: {_bits}))"""
+
+
+def _tree(name: str, base: str) -> str:
+    return f"""{name} AS (
+  {base}
+  UNION ALL
+  SELECT k, level + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx)), any_value(size) // 2 + any_value(size) % 2
+  FROM {name} WHERE size > 1 GROUP BY k, level, idx // 2)"""
+
+
+def _walk(name: str, tree: str, base: str) -> str:
+    return f"""{name} AS (
+  {base}
+  UNION ALL
+  SELECT w.id, w.k, w.level + 1, w.idx // 2, w.size // 2 + w.size % 2, w.proof || coalesce(s.h, ''),
+    sha256(CASE WHEN w.idx % 2 = 1 THEN s.h || w.now ELSE w.now || coalesce(s.h, '') END)
+  FROM {name} w LEFT JOIN {tree} s ON s.k = w.k AND s.level = w.level AND s.idx = xor(w.idx, 1) WHERE w.size > 1)"""
+
+
+ORACLE["op12_merkle_manifest"] = f"""
+WITH RECURSIVE d AS (
+  SELECT *, coalesce('=' || lang, '') AS k, sha256({_leaf.format(n="n_chars")}) AS leaf,
+    sha256({_leaf.format(n="n_chars + 1")}) AS other, coalesce({_crc} % 7 = 0 AND n_chars IS NOT NULL, false) AS bad
+  FROM documents),
+p AS (
+  SELECT doc_id, k, leaf, CASE WHEN bad THEN other ELSE leaf END AS now,
+    row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+    count(*) OVER (PARTITION BY k) AS size, row_number() OVER () AS id
+  FROM d),
+{_tree("low", "SELECT k, 0 AS level, idx, leaf AS h, size FROM p")},
+r AS (
+  SELECT k AS lang_key, h AS subroot, row_number() OVER (ORDER BY k) - 1 AS idx, count(*) OVER () AS size
+  FROM low WHERE size = 1),
+{_tree("up", "SELECT 0 AS k, 0 AS level, idx, subroot AS h, size FROM r")},
+{_walk("a", "low", "SELECT id, k, 0 AS level, idx, size, '' AS proof, now FROM p")},
+{_walk("b", "up", "SELECT a.id, 0 AS k, 0 AS level, r.idx, r.size, a.proof, a.now "
+       "FROM a JOIN r ON r.lang_key = a.k WHERE a.size = 1")}
+SELECT p.doc_id, p.leaf, r.subroot, t.h AS root, sha256(b.proof) AS proof_sha256, b.now AS folded_root,
+  b.now = t.h AS verified
+FROM p JOIN r ON r.lang_key = p.k JOIN b ON b.id = p.id AND b.size = 1 JOIN up t ON t.size = 1
+"""
