@@ -14,6 +14,7 @@ from .licences import scanned
 from .merkle import manifest
 from .minhash import near_duplicates
 from .mixing import ADDED, mixed
+from .phrases import collocations
 from .pieces import encoded_digest
 from .quality import COUNTS, judged
 from .topk import top_k
@@ -68,13 +69,18 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents")).select("doc_id", "source", "lang", *ADDED)
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_exact_topk, op2_quality_rules, op3_html_extraction, op4_piece_encoding, op5_minhash_dedup, op6_chat_format,
-    op7_token_counts, op8_warc_archive, op9_licence_scan, op10_source_mixing, op12_merkle_manifest)}
+    op7_token_counts, op8_warc_archive, op9_licence_scan, op10_source_mixing, op11_phrase_mining,
+    op12_merkle_manifest)}
 
 ORACLE: dict[str, str] = {}
 
@@ -127,6 +133,40 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, array_to_string(
 FROM b
 """
 
+_alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+ORACLE["op11_phrase_mining"] = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, list_filter(string_split_regex(p, '[ \\t]+'), lambda x: x <> '') AS w
+  FROM (SELECT lang, unnest(string_split_regex(translate(coalesce(text, ''), '{_alphabet}', '{_alphabet.lower()}'),
+    '[.,;:!?\\n\\x0b\\x0c\\r]')) AS p FROM documents)),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM pieces, (SELECT unnest([1, 2, 3]) AS k)),
+f AS (SELECT lang, k, phrase, CAST(count(*) AS HUGEINT) AS f FROM grams GROUP BY ALL),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
+cuts AS (
+  SELECT lang, phrase, a, k, w, unnest(range(1, k)) AS cut FROM c),
+s AS (
+  SELECT cuts.*, x.f AS l, y.f AS r, (1000000 * a * a) // (x.f * y.f) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = array_to_string(w[1:cut], ' ')
+  JOIN f y ON y.lang = cuts.lang AND y.phrase = array_to_string(w[cut + 1:], ' ')),
+best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase FROM c WHERE k = 3)
+  GROUP BY ALL),
+ranked AS (
+  SELECT best.lang, row_number() OVER (PARTITION BY best.lang ORDER BY score DESC, a DESC, best.phrase) AS rank,
+    best.phrase, a, l, r, score
+  FROM best LEFT JOIN inside i ON i.lang = best.lang AND i.phrase = best.phrase
+  WHERE i.longer IS NULL OR 100 * i.longer < 50 * a)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+  CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
 _leaf = " || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
                     for c in ("doc_id", "source", "lang", "{n}", "text"))
 _bits = "list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))"
