@@ -17,6 +17,7 @@ from .mixing import ADDED, mixed
 from .phrases import collocations
 from .pieces import encoded_digest
 from .quality import COUNTS, judged
+from .setjoin import linked_sets
 from .topk import top_k
 from .warc import round_trip
 from .wordpiece import token_counts
@@ -77,10 +78,14 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(table(spark, sf_dir, "documents"))
 
 
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_sets(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_topk, op2_quality_rules, op3_html_extraction, op4_piece_encoding, op5_minhash_dedup, op6_chat_format,
     op7_token_counts, op8_warc_archive, op9_licence_scan, op10_source_mixing, op11_phrase_mining,
-    op12_merkle_manifest)}
+    op12_merkle_manifest, op13_ngram_join)}
 
 ORACLE: dict[str, str] = {}
 
@@ -213,3 +218,21 @@ SELECT p.doc_id, p.leaf, r.subroot, t.h AS root, sha256(b.proof) AS proof_sha256
   b.now = t.h AS verified
 FROM p JOIN r ON r.lang_key = p.k JOIN b ON b.id = p.id AND b.size = 1 JOIN up t ON t.size = 1
 """
+
+ORACLE["op13_ngram_join"] = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{_alphabet}', '{_alphabet.lower()}'),
+    '[ \\t\\n\\x0b\\x0c\\r]+'), lambda x: x <> '') AS w FROM documents),
+g AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s FROM w),
+z AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM g a JOIN g b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (
+  SELECT a, b FROM c JOIN z x ON x.doc_id = a JOIN z y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT a AS id, a AS other FROM e UNION SELECT r.id, e.b FROM r JOIN e ON e.a = r.other),
+m AS (SELECT id, min(other) AS component_id FROM r GROUP BY id)
+SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles, coalesce(m.component_id, d.doc_id) AS component_id
+FROM documents d LEFT JOIN z ON z.doc_id = d.doc_id LEFT JOIN m ON m.id = d.doc_id
+"""
