@@ -75,19 +75,25 @@ def _try_batch(store: Store, events: DataFrame, run: str, batch: int, ruleset: R
     new_state = state | {"batches": state["batches"] | {run: batch}}
     if recorded:
         new_state["top"] = max(top, state["top"] if state["top"] is not None else top)
-        register = store.register()
+        # Only the partitions that hold a form of the batch are read and rewritten.
+        touched = [r.part for r in written.select(store.part_of("fingerprint").alias("part")).distinct().collect()]
+        register = store.register(touched)
         merged = reg.register_upsert(register, delta_of_bridge(
             written, register, source, ruleset, f"{store.path}/work/{run}-forms"))
-        new_state["register"] = f"register/{run}-{batch}-{state['version'] + 1}"
-        merged.write.mode("overwrite").parquet(f"{store.path}/{new_state['register']}")
+        new_state["register"] = state["register"] | store.write_register(
+            merged, f"register/{run}-{batch}-{state['version'] + 1}")
     store.commit(new_state)
     return recorded
 
 
-def record_tick(store: Store, run: str, batch: int, pending: int, processed: int, now: datetime | None = None) -> None:
-    row = [(now or utc_now(), run, int(pending), int(processed))]
-    store.spark.createDataFrame(row, "tick_at timestamp_ntz, mode string, pending long, processed long").coalesce(
-        1).write.mode("overwrite").parquet(store.tick_folder(run, batch))
+def record_tick(store: Store, run: str, pending: int, processed: int, now: datetime | None = None) -> None:
+    store.record_tick(now or utc_now(), run, pending, processed)
+
+
+def waiting(store: Store, events: DataFrame) -> DataFrame:
+    """Events above the bridge's highest id."""
+    mark = store.state()["top"]
+    return events if mark is None else pred.above_mark(events, mark)
 
 
 def decision(spark, pending: int, mode: str, now: datetime, limit: int = pred.LARGE_BACKLOG) -> str:
@@ -99,11 +105,9 @@ def decision(spark, pending: int, mode: str, now: datetime, limit: int = pred.LA
 def admitted(store: Store, events: DataFrame, mode: str, now: datetime | None = None, forced: bool = False,
              running: bool = False) -> str:
     """Decision for a job: process, idle, defer, refuse, or pause one that runs."""
-    mark = store.state()["top"]
-    waiting = events if mark is None else pred.above_mark(events, mark)
     clock = F.lit(now or utc_now()).cast("timestamp_ntz")
     word = pred.admission(F.col("pending"), pred.in_blackout(clock), mode, forced, running)
-    return waiting.agg(F.count("*").alias("pending")).select(word.alias("w")).first().w
+    return waiting(store, events).agg(F.count("*").alias("pending")).select(word.alias("w")).first().w
 
 
 def backfill(store: Store, events: DataFrame, since_days: int | None = 90, ruleset: RuleSet = RULES_V1,
@@ -120,13 +124,13 @@ def backfill(store: Store, events: DataFrame, since_days: int | None = 90, rules
         return decision, 0
     mark = store.state()["top"]
     since = None if since_days is None else F.lit(now or utc_now()).cast("timestamp_ntz") - F.expr(f"INTERVAL {since_days} DAYS")
-    waiting = pred.above_mark(events, F.lit(-1) if mark is None else mark, since)
-    bounds = reg.id_bounds(waiting, pieces) if pieces > 1 else []
+    rest = pred.above_mark(events, F.lit(-1) if mark is None else mark, since)
+    bounds = reg.id_bounds(rest, pieces) if pieces > 1 else []
     done = 0
     for n, (low, high) in enumerate(zip([None, *bounds], [*bounds, None])):
         if n and admitted(store, events, "backfill", now, forced, running=True) == "pause":
             return "pause", done
-        part = waiting if low is None else waiting.where(F.col("id") > low)
+        part = rest if low is None else rest.where(F.col("id") > low)
         part = part if high is None else part.where(F.col("id") <= high)
         done += process_batch(store, part, "backfill", store.committed("backfill") + 1, ruleset, now=now)
     return decision, done
@@ -149,8 +153,8 @@ def migrate(store: Store, events: DataFrame, ruleset: RuleSet, version: tuple[in
     outcome = materialize(mig.migrate_outcome(moves, register), "outcome", f"{store.path}/work/outcome")
     nxt = state["version"] + 1
     tagged = mig.migrate_bridge(bridge, moved, ruleset)
-    new = {"bridge": f"bridge-{nxt}", "register": f"register/migrate-{nxt}", "batches": state["batches"] | {"migrate": nxt}}
+    new = {"bridge": f"bridge-{nxt}", "batches": state["batches"] | {"migrate": nxt}}
     tagged.write.mode("overwrite").parquet(f"{store.path}/{new['bridge']}/run=migrate/batch={nxt}")
-    mig.migrate_register(moves, register, ruleset).write.mode("overwrite").parquet(f"{store.path}/{new['register']}")
+    new["register"] = store.write_register(mig.migrate_register(moves, register, ruleset), f"register/migrate-{nxt}")
     store.commit(state | new)
     return outcome

@@ -11,10 +11,12 @@ needs a committer of its own.
 from __future__ import annotations
 
 import json
+import time
 import uuid
+from datetime import datetime
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BRIDGE_SCHEMA = ("event_id long, fingerprint string, cleaner_ver int, normalizer_ver int, "
@@ -25,6 +27,11 @@ REGISTER_SCHEMA = ("fingerprint string, host string, program string, beispiel_ro
                    "normalizer_ver int, klasse string, incident_typ string, bewertet_am timestamp_ntz, "
                    "bewertet_von string, llm_vorschlag string")
 TICK_SCHEMA = "tick_at timestamp_ntz, mode string, pending long, processed long"
+#: Partitions of the register, by a hash of the form.  Many next to the forms
+#: of a batch, so that a batch rewrites little more than it changes.
+REGISTER_PARTS = 256
+#: Age in seconds after which a tick may go.
+KEEP_TICKS = 2 * 86400
 
 
 class Conflict(RuntimeError):
@@ -47,11 +54,11 @@ class Store:
         return sorted(s.getPath().getName() for s in self._fs.listStatus(at)) if self._fs.exists(at) else []
 
     def state(self) -> dict:
-        """Latest commit: register folder, bridge folder, the bridge's highest
+        """Latest commit: folder of each register partition, bridge folder, the bridge's highest
         event id, and the last committed batch of each run."""
         names = [n for n in self._names("commits") if n.endswith(".json")]
         if not names:
-            return {"version": 0, "register": None, "bridge": "bridge-0", "batches": {}, "top": None}
+            return {"version": 0, "register": {}, "bridge": "bridge-0", "batches": {}, "top": None}
         return self._record(names[-1])
 
     def _record(self, name: str) -> dict:
@@ -101,8 +108,24 @@ class Store:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(at)
 
-    def register(self) -> DataFrame:
-        return self._read(self.state()["register"], REGISTER_SCHEMA)
+    def part_of(self, fingerprint: Column | str) -> Column:
+        return F.pmod(F.xxhash64(fingerprint), F.lit(REGISTER_PARTS)).cast("int")
+
+    def register(self, parts: list[int] | None = None) -> DataFrame:
+        """The register, or only the given partitions of it."""
+        held = self.state()["register"]
+        paths = [f"{self.path}/{folder}/part={part}" for part, folder in held.items()
+                 if parts is None or int(part) in parts]
+        if not paths:
+            return self.spark.createDataFrame([], REGISTER_SCHEMA)
+        return self.spark.read.schema(REGISTER_SCHEMA).parquet(*paths)
+
+    def write_register(self, rows: DataFrame, folder: str) -> dict[str, str]:
+        """Write rows to a new folder, one file per partition; returns where
+        each partition that has rows now lies."""
+        rows.withColumn("part", self.part_of("fingerprint")).repartition("part").write.mode("overwrite").partitionBy(
+            "part").parquet(f"{self.path}/{folder}")
+        return {name.removeprefix("part="): folder for name in self._names(folder) if name.startswith("part=")}
 
     def bridge(self) -> DataFrame:
         """Rows of committed batches; others are pruned as partitions."""
@@ -113,11 +136,56 @@ class Store:
             visible = visible | ((F.col("run") == run) & (F.col("batch") <= last))
         return rows.where(visible).drop("run", "batch")
 
+    # --- ticks: one small file each, never overwritten ---
+
+    def record_tick(self, tick_at: datetime, mode: str, pending: int, processed: int) -> None:
+        """Append a tick; no Spark job, so that a listener may call it."""
+        row = {"tick_at": tick_at.isoformat(sep=" "), "mode": mode, "pending": int(pending), "processed": int(processed)}
+        name = f"{time.time_ns():020d}~{mode}~{'work' if processed else 'idle'}~{uuid.uuid4().hex}.json"
+        folder = f"{self.path}/ticks"
+        draft = self._hadoop.Path(f"{folder}/_{name}")
+        out = self._fs.create(draft, False)
+        out.write(bytearray(json.dumps(row), "utf-8"))
+        out.close()
+        self._fs.rename(draft, self._hadoop.Path(f"{folder}/{name}"))
+        for old in stale_ticks(self._tick_names(), time.time_ns() - KEEP_TICKS * 10 ** 9):
+            self._fs.delete(self._hadoop.Path(f"{folder}/{old}"), False)
+
+    def _tick_names(self) -> list[str]:
+        return [n for n in self._names("ticks") if n.endswith(".json") and n[0].isdigit()]
+
     def ticks(self) -> DataFrame:
-        return self._read("ticks", TICK_SCHEMA + ", run string, batch long").drop("run", "batch")
+        """Recent ticks, and the last ones of each job.  The files are named
+        one by one: nobody changes them, and none that is read here is due to
+        go while it is read."""
+        names = recent_ticks(self._tick_names(), time.time_ns() - KEEP_TICKS * 10 ** 9 // 2)
+        if not names:
+            return self.spark.createDataFrame([], TICK_SCHEMA)
+        rows = self.spark.read.schema(TICK_SCHEMA.replace("timestamp_ntz", "string")).json(
+            [f"{self.path}/ticks/{n}" for n in names])
+        return rows.withColumn("tick_at", F.col("tick_at").cast("timestamp_ntz"))
 
     def bridge_folder(self, state: dict, run: str, batch: int) -> str:
         return f"{self.path}/{state['bridge']}/run={run}/batch={batch}"
 
-    def tick_folder(self, run: str, batch: int) -> str:
-        return f"{self.path}/ticks/run={run}/batch={batch}"
+
+def _last_of(names: list[str]) -> dict[tuple[str, str], str]:
+    """Latest tick of each job, and its latest one with work."""
+    last = {}
+    for name in sorted(names):
+        _, mode, kind, _ = name.split("~")
+        last[mode, "any"] = name
+        if kind == "work":
+            last[mode, kind] = name
+    return last
+
+
+def recent_ticks(names: list[str], since_ns: int) -> list[str]:
+    return sorted({n for n in names if int(n.split("~")[0]) >= since_ns} | set(_last_of(names).values()))
+
+
+def stale_ticks(names: list[str], before_ns: int) -> list[str]:
+    """Ticks that are old and were already superseded that long ago, so that
+    no reader who listed the folder since then waits for them."""
+    old = [n for n in names if int(n.split("~")[0]) < before_ns]
+    return sorted(set(old) - set(_last_of(old).values()))

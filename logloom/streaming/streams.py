@@ -36,19 +36,20 @@ def file_stream(spark: SparkSession, path: str, fmt: str, schema, files_per_trig
 
 def run_fingerprints(events: DataFrame, store: Store, run: str, checkpoint: str, trigger: dict | None = None,
                      ruleset: RuleSet = RULES_V1, unique_ids: bool = False,
-                     hold: Callable[[int], None] | None = None) -> StreamingQuery:
+                     backlog: Callable[[DataFrame], int] = DataFrame.count,
+                     hold: Callable[[Callable[[], int]], int] | None = None) -> StreamingQuery:
     """Feed a stream of events into the store, batch by batch.
 
     The checkpoint fixes what belongs to a batch, the store skips batches it
     has committed, and events already in the bridge are left out; together a
-    replay of any kind adds nothing.  ``hold`` may keep a batch waiting.
+    replay of any kind adds nothing.  ``backlog`` tells how much waits, by
+    default the batch itself; ``hold`` may keep a batch waiting and returns
+    the backlog it let through.
     """
     def one(batch: DataFrame, batch_id: int) -> None:
-        pending = batch.count()
-        if hold:
-            hold(pending)
+        pending = hold(lambda: backlog(batch)) if hold else backlog(batch)
         processed = jobs.process_batch(store, batch, run, batch_id, ruleset, unique_ids)
-        jobs.record_tick(store, run, batch_id, pending, processed)
+        jobs.record_tick(store, run, pending, processed)
 
     return (events.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or EVERY)).start())
@@ -56,7 +57,7 @@ def run_fingerprints(events: DataFrame, store: Store, run: str, checkpoint: str,
 
 class IdleTicks(StreamingQueryListener):
     """A tick also when a query finds nothing to do, so that a quiet stream is
-    idle and not dead.  Only the latest is kept."""
+    idle and not dead."""
 
     def __init__(self, store: Store, run: str):
         self.store, self.run, self.query_id = store, run, None
@@ -69,7 +70,7 @@ class IdleTicks(StreamingQueryListener):
 
     def onQueryIdle(self, event) -> None:
         if str(event.id) == self.query_id:
-            jobs.record_tick(self.store, self.run, -1, 0, 0)
+            jobs.record_tick(self.store, self.run, 0, 0)
 
     def onQueryTerminated(self, event) -> None:
         if str(event.id) == self.query_id:
@@ -78,17 +79,28 @@ class IdleTicks(StreamingQueryListener):
 
 def follow(events: DataFrame, store: Store, checkpoint: str, trigger: dict | None = None, ruleset: RuleSet = RULES_V1,
            limit: int = LARGE_BACKLOG, now: Callable[[], datetime] = jobs.utc_now,
-           wait: Callable[[float], None] = time.sleep) -> StreamingQuery:
-    """The live job: a large batch waits while the blackout lasts, ticking
-    once a minute, and an idle stream keeps ticking."""
-    def hold(pending: int) -> None:
+           wait: Callable[[float], None] = time.sleep, source: Callable[[], DataFrame] | None = None) -> StreamingQuery:
+    """The live job: while the blackout lasts a large backlog waits, ticking
+    once a minute, and an idle stream keeps ticking.
+
+    ``source`` reads the streamed table as it is now; the backlog is what it
+    holds above the bridge's highest id, however small the batches are in
+    which it arrives.  Without it the backlog is the batch.
+    """
+    def backlog(batch: DataFrame) -> int:
+        return jobs.waiting(store, source()).count() if source else batch.count()
+
+    def hold(count: Callable[[], int]) -> int:
+        pending = count()
         while jobs.decision(store.spark, pending, "follow", now(), limit) == "defer":
-            jobs.record_tick(store, "follow", -1, pending, 0)
+            jobs.record_tick(store, "follow", pending, 0)
             wait(60.0)
+            pending = count()
+        return pending
 
     ticks = IdleTicks(store, "follow")
     store.spark.streams.addListener(ticks)
-    query = run_fingerprints(events, store, "follow", checkpoint, trigger, ruleset, hold=hold)
+    query = run_fingerprints(events, store, "follow", checkpoint, trigger, ruleset, backlog=backlog, hold=hold)
     ticks.query_id = str(query.id)
     return query
 

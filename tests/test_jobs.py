@@ -333,3 +333,66 @@ def test_follow_waits_for_the_blackout_and_ticks_when_idle(spark, events, tmp_pa
     now = max(r.tick_at for r in store.ticks().collect())
     beat = reg.heartbeat(store.ticks())
     assert reg.heartbeat_state(beat, F.lit(now + timedelta(hours=7)).cast("timestamp_ntz"), 8 * 3600).first().state == "idle"
+
+
+def test_a_backlog_in_small_files_defers(spark, events, tmp_path):
+    """Batches of one file each never reach the limit; what waits in all files does."""
+    for k in range(10):
+        events.where(f"id % 10 = {k}").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    store, clock, waited = Store(spark, str(tmp_path / "store")), [datetime(2024, 2, 1, 23, 50)] * 2, []
+
+    def now():
+        return clock.pop() if clock else datetime(2024, 2, 1, 12)
+    stream = streams.file_stream(spark, str(tmp_path / "in"), "parquet", events.schema, files_per_trigger=1)
+    query = streams.follow(stream, store, str(tmp_path / "cp"), {"availableNow": True}, limit=900, now=now, wait=waited.append,
+                           source=lambda: spark.read.schema(events.schema).parquet(str(tmp_path / "in")))
+    assert query.awaitTermination(300)
+    assert waited == [60.0, 60.0] and store.bridge().count() == 1000
+    ticks = sorted(store.ticks().collect())
+    assert [(r.pending, r.processed) for r in ticks[:3]] == [(1000, 0), (1000, 0), (1000, 100)]
+    assert sum(r.processed for r in ticks) == 1000
+
+
+def test_ticks_are_read_while_they_are_written(spark, tmp_path):
+    import threading
+    store, failed = Store(spark, str(tmp_path)), []
+
+    def write():
+        try:
+            for k in range(200):
+                jobs.record_tick(store, "follow", k, k % 2)
+        except Exception as e:  # noqa: BLE001
+            failed.append(e)
+    writer = threading.Thread(target=write)
+    writer.start()
+    reads = 0
+    while writer.is_alive() or not reads:
+        store.ticks().count()
+        reads += 1
+    writer.join()
+    assert not failed and reads and store.ticks().count() == 200
+
+
+def test_old_ticks_go_once_superseded():
+    from logloom.streaming.store import recent_ticks, stale_ticks
+    names = [f"{at:020d}~{mode}~{kind}~x.json" for at, mode, kind in
+             [(1, "a", "work"), (2, "a", "idle"), (3, "b", "work"), (4, "a", "work"), (5, "a", "idle"), (9, "a", "idle")]]
+    assert stale_ticks(names, 6) == [names[0], names[1]]       # superseded before 6
+    assert stale_ticks(names, 5) == [names[0], names[1]]
+    assert stale_ticks(names, 4) == []
+    assert recent_ticks(names, 6) == [names[2], names[3], names[5]]
+    assert not set(recent_ticks(names, 6)) & set(stale_ticks(names, 6))
+
+
+def test_a_batch_rewrites_only_the_partitions_it_touches(spark, events, tmp_path):
+    store = Store(spark, str(tmp_path))
+    jobs.process_batch(store, events.where("id < 990"), "t", 0)
+    before = store.state()["register"]
+    jobs.process_batch(store, events.where("id >= 990"), "t", 1)
+    after = store.state()["register"]
+    moved = [p for p in after if after[p] != before.get(p)]
+    forms = store.bridge().where("event_id >= 990").select(store.part_of("fingerprint")).distinct().count()
+    assert len(moved) == forms < len(after)
+    written = spark.read.parquet(str(tmp_path / after[moved[0]])).count()
+    assert written < store.register().count() / 2
+    assert dq.count_mismatch(store.register(), store.bridge()).count() == 0
