@@ -162,25 +162,33 @@ def select_rule(events: DataFrame, rules: DataFrame, fields: Column) -> DataFram
     ``fields`` maps field names to the event's values.  A rule with a value
     needs equality; one with only a field needs the field to be present; one
     with neither takes the whole stream.  The most specific rule wins, then
-    the first by name.  Rules are gathered into one row of lookup maps per
-    incident type, which the planner joins; any number of rules is one join.
+    the first by name.
+
+    Which rule wins depends on type and fields alone, so it is found once per
+    distinct combination: each lists the keys that a rule may have for it,
+    keys meet rules as rows, and the best match is a partial minimum.  No row
+    grows with the number of rules.
     """
-    first = F.min("rule_name").alias("rule")
-    kind = ["incident_type", "match_field", "match_value"]
-    named = rules.where("active").groupBy(*kind).agg(first)
+    given = F.array_sort(F.filter(F.map_entries(fields), lambda e: e["value"].isNotNull()))
+    events = events.withColumn("_given", F.coalesce(given, F.array().cast("array<struct<key:string,value:string>>")))
+
+    def key(rank: int, field: Column, value: Column) -> Column:
+        return F.struct(F.lit(rank).alias("rank"), field.alias("field"), value.alias("value"))
+
+    none = F.lit(None).cast("string")
+    keys = F.concat(F.transform("_given", lambda e: key(1, e["key"], e["value"])),
+                    F.transform("_given", lambda e: key(2, e["key"], none)), F.array(key(3, none, none)))
     value, whole = F.col("match_value").isNotNull(), F.col("match_field").isNull()
-    pair = F.struct(F.struct("match_field", "match_value").alias("k"), F.col("rule").alias("v"))
-    lookup = named.groupBy("incident_type").agg(
-        F.map_from_entries(F.collect_list(F.when(value & ~whole, pair))).alias("_by_value"),
-        F.map_from_entries(F.collect_list(F.when(~value & ~whole, F.struct(
-            F.col("match_field").alias("k"), F.col("rule").alias("v"))))).alias("_by_field"),
-        F.min(F.when(whole, F.col("rule"))).alias("_whole"))
-    given = F.filter(F.map_entries(fields), lambda e: e["value"].isNotNull())
-    exact = F.array_min(F.transform(given, lambda e: F.try_element_at("_by_value", F.struct(
-        e["key"].alias("match_field"), e["value"].alias("match_value")))))
-    present = F.array_min(F.transform(given, lambda e: F.try_element_at("_by_field", e["key"])))
-    return (events.join(lookup, "incident_type", "left").withColumn("rule_name", F.coalesce(exact, present, "_whole"))
-            .drop("_by_value", "_by_field", "_whole"))
+    named = rules.where("active").groupBy(
+        "incident_type", F.when(whole, 3).when(value, 1).otherwise(2).alias("rank"),
+        F.coalesce("match_field", F.lit("")).alias("field"),
+        F.coalesce(F.when(~whole, F.col("match_value")), F.lit("")).alias("value")).agg(F.min("rule_name").alias("rule"))
+    combos = events.select("incident_type", "_given").distinct()
+    wanted = combos.select("incident_type", "_given", F.explode(keys).alias("k")).select(
+        "incident_type", "_given", "k.rank", *[F.coalesce(f"k.{c}", F.lit("")).alias(c) for c in ("field", "value")])
+    best = (wanted.join(named, ["incident_type", "rank", "field", "value"]).groupBy("incident_type", "_given")
+            .agg(F.min(F.struct("rank", "rule"))["rule"].alias("rule_name")))
+    return events.join(best, ["incident_type", "_given"], "left").drop("_given")
 
 
 # --- severities ------------------------------------------------------------
@@ -393,15 +401,57 @@ def absence(events: DataFrame, keys: list[str], every_minutes: int, as_of: Colum
         *keys, F.col("ts").alias("last_event"), limit.alias("opened_at"), F.col("next_event").alias("closed_at"))
 
 
-def absence_by_rules(events: DataFrame, rules: DataFrame, key: str, as_of: Column, width: int = tl.HOUR) -> DataFrame:
-    """All rules with an expected interval at once over events ``(rule_name,
-    key, ts)`` already assigned to a rule."""
-    limits = rules.where("active AND expected_every_minutes IS NOT NULL").select("rule_name", "expected_every_minutes")
-    scope = ["rule_name", key]
-    pts = tl.following(tl.points(events, scope, "ts", width), scope, ["ts"], F.col("ts"), "next_event")
+def rule_scopes(rules: DataFrame) -> DataFrame:
+    """What each rule with an expected interval listens to, as data: a scope
+    and its value, or all values of the scope where that is null.
+
+    Absence rules listen to the whole stream or to a field; rules of other
+    mechanisms listen to the events of their own incident type.
+    """
+    absent, field = F.col("mechanism") == "absence", F.col("match_field")
+    return rules.where("active AND expected_every_minutes IS NOT NULL").select(
+        "rule_name", "expected_every_minutes", "base_severity", "severity_by_duration",
+        F.when(~absent, "incident_type").when(field.isNull(), "stream").otherwise(field).alias("scope"),
+        F.when(~absent, F.col("incident_type")).when(field.isNull(), "all").otherwise(F.col("match_value")).alias("value"))
+
+
+def absence_by_rules(events: DataFrame, rules: DataFrame, fields: Column, since: Column, as_of: Column,
+                     expected: DataFrame | None = None, width: int = tl.HOUR) -> DataFrame:
+    """Silences of all rules with an expected interval, each in its own scope.
+
+    ``events`` has ``ts`` and ``incident_type``, ``fields`` maps field names
+    to an event's values.  Gaps are found once per scope and value, whatever
+    the number of rules, and then meet the rules.  A value that a rule names,
+    and each (scope, value) of ``expected`` for rules that take any value, is
+    listened for from ``since`` on, so one that never spoke alarms too; its
+    ``last_event`` is null.
+    """
+    scopes = rule_scopes(rules)
+    entry = "array<struct<key:string,value:string>>"
+    heard = F.concat(F.array(F.struct(F.lit("stream").alias("key"), F.lit("all").alias("value")),
+                             F.struct(F.lit("incident_type").alias("key"), F.col("incident_type").alias("value"))).cast(entry),
+                     F.coalesce(F.map_entries(fields), F.array()).cast(entry))
+    rows = events.select("ts", F.explode(heard).alias("_e")).select("ts", F.col("_e.key").alias("scope"), "_e.value")
+    rows = rows.join(scopes.select("scope").distinct(), "scope")
+    keys = ["scope", "value"]
+    named = scopes.where("value IS NOT NULL").select(*keys)
+    if expected is not None:
+        named = named.union(expected.select(*keys).join(scopes.where("value IS NULL").select("scope").distinct(), "scope")
+                            .select(*keys))
+    begin = tl.sliced(named.distinct().select(*keys, since.cast("timestamp_ntz").alias("ts"), F.lit(0).cast("long").alias("n")),
+                      "ts", width)
+    pts = tl.points(rows, keys, "ts", width).where(F.col("ts") >= since).unionByName(begin)
+    pts = tl.following(pts, keys, ["ts", "n"], F.col("ts"), "next_event")
+    one = scopes.where("value IS NOT NULL")
+    anyone = scopes.where("value IS NULL").drop("value")
+    gaps = pts.join(one, keys).unionByName(pts.join(anyone, "scope"))
     limit = F.col("ts") + tl.minutes(F.col("expected_every_minutes"))
-    return pts.join(limits, "rule_name").where(F.coalesce("next_event", as_of) > limit).select(
-        *scope, F.col("ts").alias("last_event"), limit.alias("opened_at"), F.col("next_event").alias("closed_at"))
+    late = gaps.where(F.coalesce("next_event", as_of) > limit).withColumn(
+        "_open", elapsed_minutes(limit, F.coalesce("next_event", as_of)))
+    return late.select(
+        "rule_name", F.col("value").alias("key"), F.when(F.col("n") > 0, F.col("ts")).alias("last_event"),
+        limit.alias("opened_at"), F.col("next_event").alias("closed_at"),
+        severity_at(F.col("severity_by_duration"), F.col("_open"), F.col("base_severity")).alias("severity"))
 
 
 def expected_at(starts: DataFrame, rules: DataFrame, since: Column, as_of: Column) -> DataFrame:

@@ -5,10 +5,8 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
 
 # Default denylist, poll and backlog settings, blackout bounds.
 DENYLIST = (
@@ -43,15 +41,29 @@ def load_denylist(patterns: DataFrame, column: str = "pattern") -> DataFrame:
     return lines.select("pattern", is_valid_pattern("pattern").alias("valid"))
 
 
-@F.pandas_udf(BooleanType())
-def is_valid_pattern(patterns: pd.Series) -> pd.Series:
-    def compiles(pattern: str) -> bool:
-        try:
-            re.compile(pattern)
-            return True
-        except re.error:
-            return False
-    return patterns.map(compiles)
+def is_valid_pattern(pattern: Column | str) -> Column:
+    """Whether the matcher that will run the pattern accepts it."""
+    pattern = F.col(pattern) if isinstance(pattern, str) else pattern
+    return F.try_reflect(F.lit("java.util.regex.Pattern"), F.lit("compile"), F.concat(F.lit("(?U)"), pattern)).isNotNull()
+
+
+def flag_denylisted(lines: DataFrame, denylist: DataFrame, message: str = "message", flag: str = "denylisted") -> DataFrame:
+    """Adds whether any valid pattern of a loaded denylist (see
+    ``load_denylist``) is found anywhere in the message.
+
+    The valid patterns become one alternation, a scalar of the plan, whose
+    compiled form the search keeps from row to row.  Patterns with groups that
+    are named or referred to stay apart, because joining would renumber them.
+    """
+    apart = F.col("pattern").rlike(r"\\[1-9k]|\(\?<[A-Za-z]")
+    joined = F.array_join(F.array_sort(F.collect_list(F.when(~apart, F.concat(F.lit("(?:"), "pattern", F.lit(")"))))), "|")
+    alone = F.array_sort(F.collect_list(F.when(apart, F.concat(F.lit("(?U)"), "pattern"))))
+    valid = denylist.where("valid")
+    rows = lines.withColumns({"_one": valid.agg(F.concat(F.lit("(?U)"), F.nullif(joined, F.lit(""))).alias("p")).scalar(),
+                              "_rest": valid.agg(alone.alias("p")).scalar()})
+    found = F.coalesce(F.regexp_instr(message, F.col("_one")) > 0, F.lit(False))
+    rest = F.coalesce(F.exists("_rest", lambda p: F.regexp_instr(message, p) > 0), F.lit(False))
+    return rows.withColumn(flag, found | rest).drop("_one", "_rest")
 
 
 def is_denylisted(message: Column | str, patterns=DENYLIST) -> Column:

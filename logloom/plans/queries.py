@@ -187,7 +187,9 @@ def denylist_load(spark, d):
 @query(f"SELECT id, stream, message FROM csplit WHERE NOT ({DENY_SQL})")
 def denylist_filter(spark, d):
     parts = collect.split_container_lines(fx.container_lines(spark, d), "line", "received_at")
-    return parts.where(~pred.is_denylisted("message")).select("id", "stream", "message")
+    listed = spark.createDataFrame([(p + "\n(" + p,) for p in pred.DENYLIST], "pattern string")
+    denylist = pred.load_denylist(listed)
+    return pred.flag_denylisted(parts, denylist).where(~F.col("denylisted")).select("id", "stream", "message")
 
 
 @query(f"""

@@ -285,18 +285,52 @@ def inc_pair_rules(spark, d):
 
 # --- absence, rate, value --------------------------------------------------
 
-ABSENCE_RULES = _rules_with(expected_every_minutes=None)
+#: One more rule than the shipped ones: any host, among them one that never speaks.
+SILENT_HOST = dict(rule_name="x-any-host", incident_type="I-13", match_field="host", mechanism="absence",
+                   base_severity="info", severity_by_duration='{"60": "warning"}', expected_every_minutes=90)
+TYPE_OF_KE = "CASE event_type WHEN 'click' THEN 'I-12' WHEN 'error' THEN 'I-13' END"
 
 
-@query(f"""
-SELECT rule_name, host, ts AS last_event, due AS opened_at, nxt AS closed_at FROM (
- SELECT *, ts + to_minutes({_limit_case(ABSENCE_RULES, "expected_every_minutes")}) AS due,
-  lead(ts) OVER (PARTITION BY rule_name, host ORDER BY ts, id) AS nxt
- FROM {_assigned([r["rule_name"] for r in ABSENCE_RULES], "ke")}), last_ts
-WHERE coalesce(nxt, t) > due""")
+def _silence_sql(rule, who, heard):
+    """Silences of one rule in the words of the rule: ``who`` lists the keys, ``heard`` the events each of them is heard by."""
+    steps = sorted(((int(k), v) for k, v in json.loads(rule.get("severity_by_duration") or "{}").items()), reverse=True)
+    cases = " ".join(f"WHEN m >= {k} THEN '{v}'" for k, v in steps)
+    severity = f"CASE {cases} ELSE '{rule['base_severity']}' END" if cases else f"'{rule['base_severity']}'"
+    every = f"INTERVAL {rule['expected_every_minutes']} MINUTE"
+    return f"""
+SELECT '{rule["rule_name"]}' AS rule_name, key, last_event, opened_at, closed_at, {severity} AS severity FROM (
+ SELECT key, CASE WHEN spoke THEN ts END AS last_event, ts + {every} AS opened_at, nxt AS closed_at,
+  date_diff('microsecond', ts + {every}, coalesce(nxt, t)) // 60000000 AS m
+ FROM (SELECT *, lead(ts) OVER (PARTITION BY key ORDER BY ts, spoke) AS nxt FROM (
+   SELECT DISTINCT key, ts, true AS spoke FROM ({heard}) UNION ALL SELECT key, (SELECT min(ts) FROM ke), false FROM ({who}))), last_ts
+ WHERE coalesce(nxt, t) > ts + {every})"""
+
+
+def _absence_rule_sql(rule):
+    if rule["mechanism"] != "absence":
+        kind = rule["incident_type"]
+        return _silence_sql(rule, f"SELECT '{kind}' AS key", f"SELECT '{kind}' AS key, ts FROM ke WHERE {TYPE_OF_KE} = '{kind}'")
+    if rule.get("match_value"):
+        value = rule["match_value"]
+        return _silence_sql(rule, f"SELECT '{value}' AS key", f"SELECT host AS key, ts FROM ke WHERE host = '{value}'")
+    if rule.get("match_field"):
+        return _silence_sql(rule, "SELECT DISTINCT host AS key FROM ke UNION ALL SELECT 'NeverSeen'", "SELECT host AS key, ts FROM ke")
+    return _silence_sql(rule, "SELECT 'all' AS key", "SELECT 'all' AS key, ts FROM ke")
+
+
+ABSENCE_RULES = [*_rules_with(expected_every_minutes=None), SILENT_HOST]
+
+
+@query(" UNION ALL ".join(map(_absence_rule_sql, ABSENCE_RULES)))
 def inc_absence_rules(spark, d):
-    """All rules with an expected interval; every event is assigned to one of them by its id."""
-    return inc.absence_by_rules(_by_id(_keyed(spark, d), ABSENCE_RULES), inc.rule_config(spark), "host", fx.as_of(spark, d))
+    """All rules with an expected interval, each over its own scope: the whole stream, a host, an incident type, any host."""
+    kind = F.col("event_type")
+    ev = _keyed(spark, d).withColumn("incident_type", F.when(kind == "click", "I-12").when(kind == "error", "I-13"))
+    hosts = ev.select(F.lit("host").alias("scope"), F.col("host").alias("value")).distinct()
+    expected = hosts.union(spark.createDataFrame([("host", "NeverSeen")], "scope string, value string"))
+    since = fx.table(spark, d, "events").agg(F.min("ts")).scalar()
+    return inc.absence_by_rules(ev, inc.rule_config(spark, (*inc.RULES, SILENT_HOST)), F.create_map(F.lit("host"), F.col("host")),
+                                since, fx.as_of(spark, d), expected)
 
 
 def absence_sql(key: str, minutes: int) -> str:

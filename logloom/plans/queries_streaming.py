@@ -73,13 +73,7 @@ def stream_progress(spark, d):
 RECEIVED = "2024-02-01T00:00:00.000000"
 
 
-@query(f"""
-WITH allowed AS (SELECT * FROM cmap WHERE NOT regexp_matches(message, 'INFO \\(\\d+\\): Skipping operation'))
-SELECT CASE WHEN parsed THEN "timestamp" ELSE '{RECEIVED}' END AS "timestamp", host, facility, priority, program, message FROM parsed
-UNION ALL SELECT CASE WHEN seq % 40 = 0 THEN '{RECEIVED}' ELSE "timestamp" END, host, facility, priority, program, trim(message) FROM routed
-UNION ALL SELECT CASE WHEN id % 60 = 0 OR id % 59 = 0 THEN '{RECEIVED}' ELSE "timestamp" END, host, facility, priority, program, message
-FROM allowed""")
-def stream_ingest_union(spark, d):
+def _line_streams(spark, d):
     """Line files of the three collectors, written from the tables."""
     base = shared_dir(spark, "lines")
     fx.syslog_lines(spark, d).select("line").write.text(f"{base}/syslog")
@@ -98,10 +92,38 @@ def stream_ingest_union(spark, d):
         return read.select(F.col("value").alias(column), F.lit(RECEIVED).alias("received_at"))
     container = lines("stdout", "line").withColumn("stream", F.lit("stdout")).unionByName(
         lines("stderr", "line").withColumn("stream", F.lit("stderr")))
-    out = streams.ingest(lines("syslog", "line"), lines("router", "xml"), container)
+    return lines("syslog", "line"), lines("router", "xml"), container
+
+
+@query(f"""
+WITH allowed AS (SELECT * FROM cmap WHERE NOT regexp_matches(message, 'INFO \\(\\d+\\): Skipping operation'))
+SELECT CASE WHEN parsed THEN "timestamp" ELSE '{RECEIVED}' END AS "timestamp", host, facility, priority, program, message FROM parsed
+UNION ALL SELECT CASE WHEN seq % 40 = 0 THEN '{RECEIVED}' ELSE "timestamp" END, host, facility, priority, program, trim(message) FROM routed
+UNION ALL SELECT CASE WHEN id % 60 = 0 OR id % 59 = 0 THEN '{RECEIVED}' ELSE "timestamp" END, host, facility, priority, program, message
+FROM allowed""")
+def stream_ingest_union(spark, d):
+    out = streams.ingest(*_line_streams(spark, d))
     return _collected(spark, out.select("timestamp", "host", "facility", "priority", "program", "message"))
 
 
+def _ingested(spark, d):
+    path = shared_dir(spark, "ingest")
+    _finish(streams.run_ingest(*_line_streams(spark, d), path, shared_dir(spark, "checkpoint"), streams.CATCH_UP))
+    return path
+
+
+@query(f"""
+SELECT 'container' AS source, concat(stream, ' ', CASE WHEN id % 60 = 0 THEN '{RECEIVED}' ELSE ts_text END, ' ', message) AS value FROM csplit
+UNION ALL SELECT 'syslog', line FROM lines""")
+def stream_raw_backup(spark, d):
+    """What the live job has backed up before it filtered: all lines, also those that no event came from."""
+    path = _ingested(spark, d)
+
+    def kept(source):
+        return spark.read.text(f"{path}/backup/*/source={source}").select(F.lit(source).alias("source"), "value")
+    return kept("syslog").union(kept("container"))
+
+
 @query('SELECT "timestamp", message, min(id) AS id FROM ev GROUP BY 1, 2')
 def stream_resume(spark, d):
     """Two runs on one checkpoint; the second run's files replay the boundary."""

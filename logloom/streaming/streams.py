@@ -125,6 +125,51 @@ def ingest(syslog: DataFrame, router: DataFrame, container: DataFrame, patterns=
         collect.map_container(parts, "stream", "timestamp", "message"))
 
 
+RAW_SCHEMA = "source string, stream string, raw string, received_at string"
+
+
+def raw_lines(syslog: DataFrame, router: DataFrame, container: DataFrame) -> DataFrame:
+    """The three line streams of ``ingest`` as one, with the collector's name."""
+    def part(df: DataFrame, source: str, raw: str) -> DataFrame:
+        stream = F.col("stream") if "stream" in df.columns else F.lit(None).cast("string")
+        return df.select(F.lit(source).alias("source"), stream.alias("stream"), F.col(raw).alias("raw"), "received_at")
+
+    return part(syslog, "syslog", "line").unionByName(part(router, "router", "xml")).unionByName(
+        part(container, "container", "line"))
+
+
+def backup_rows(raw: DataFrame) -> DataFrame:
+    """Every line as it goes into the backup, before any filter."""
+    lines = collect.split_container_lines(raw.where("source = 'container'"), "raw", "received_at").select(
+        "source", collect.backup_line("stream", "ts_text", "message").alias("value"))
+    return lines.unionByName(raw.where("source <> 'container'").select(
+        "source", collect.backup_line("raw").alias("value")))
+
+
+def ingest_batch(raw: DataFrame, path: str, batch: int, patterns=DENYLIST) -> None:
+    """Backup first, then the events, both under the batch's own folder: a
+    batch that runs again replaces what it wrote.
+
+    Events keep the time as it came and get it as an instant beside it.
+    """
+    raw.transform(backup_rows).write.mode("overwrite").partitionBy("source").text(f"{path}/backup/batch={batch}")
+
+    def part(source: str, name: str) -> DataFrame:
+        return raw.where(F.col("source") == source).withColumnRenamed("raw", name)
+
+    events = ingest(part("syslog", "line"), part("router", "xml"), part("container", "line"), patterns)
+    events.withColumn("event_ts", F.try_to_timestamp("timestamp")).write.mode("overwrite").parquet(
+        f"{path}/events/batch={batch}")
+
+
+def run_ingest(syslog: DataFrame, router: DataFrame, container: DataFrame, path: str, checkpoint: str,
+               trigger: dict | None = None, patterns=DENYLIST) -> StreamingQuery:
+    """The live collectors with both sinks under one batch id."""
+    return (raw_lines(syslog, router, container).writeStream
+            .foreachBatch(lambda batch, number: ingest_batch(batch, path, number, patterns))
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or EVERY)).start())
+
+
 def timed(events: DataFrame, ts: str, delay: str) -> DataFrame:
     """Event time as the instant type watermarks need."""
     return events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
