@@ -34,6 +34,8 @@ from .work import staged, work_dir
 
 ARCHIVE_BYTES = 256 << 20
 READ_BYTES = 1 << 16
+#: Tasks that read archives; each reads one after the other.
+READ_TASKS = 20_000
 LEVEL = 6
 MIN_REVISIT_BYTES = 0
 
@@ -179,7 +181,8 @@ def records(archives: DataFrame) -> DataFrame:
                 if rows:
                     yield table_of(rows)
 
-    spread = archives.select("path").repartition(F.col("path"))
+    # As many tasks as archives, up to a bound; a number that is given is not coalesced again.
+    spread = archives.select("path").repartition(min(max(archives.count(), 1), READ_TASKS))
     return spread.mapInArrow(read, RECORDS)
 
 
