@@ -2,10 +2,12 @@
 
 Documents fall into cells of source, language and topic. Each cell's token
 weight starts at its share of all tokens and is raked: one marginal after the
-other is scaled to its target, until all agree. A document's probability is
-the cell's raked weight over its tokens, times one factor that spends the token
-budget, and at most 1. A hash of the id decides, so that reruns and lost
-executors change nothing.
+other is scaled to its target, until all agree. The raked weights, times the
+token budget, are then raked once more as what the sample is expected to hold:
+no cell can give more than it has, so full cells stay fixed and the others make
+up for them, and a marginal's value whose whole supply is below its target gives
+all. A document's probability is what its cell gives over what it has. A hash of
+the id decides, so that reruns and lost executors change nothing.
 
 Only DataFrame functions run on the executors. What is raked is the table of
 cells, made by partial aggregation. Up to ``LOCAL_CELLS`` cells are raked on the
@@ -16,7 +18,7 @@ with split hot cells, as its size says.
 Raking goes on until all marginals agree with their targets. Where cells are
 missing, targets can contradict each other; then it goes on until no cell grows
 any more, which is the limit of the rounds. What a marginal is off by at the end
-is returned by ``rake``, and ``mixed`` warns of it.
+is returned by ``rake`` and ``capped``, and ``mixed`` warns of it.
 
 Results: null source or language is a value of its own, ``(none)``. Null or
 empty text has no tokens; its cell's probability still applies, and documents
@@ -44,10 +46,12 @@ MAX_ROUNDS = 20_000
 TOLERANCE = 1e-5
 #: Growth of a cell in one round below which the cells are at the limit of the rounds.
 SETTLED = 1e-9
+#: Error of the sample's expected marginals that is not worth a warning.
+SAMPLE_TOLERANCE = 1e-3
 #: Cells that the driver rakes, about 100 bytes each.
 LOCAL_CELLS = 200_000
 BUDGET = 0.5
-STEPS = 32
+STEPS = 64
 
 
 @dataclass(frozen=True)
@@ -64,7 +68,7 @@ class Target:
 
 
 #: Large sources, languages and topics are damped. Where a cell has fewer tokens than its target asks for, its
-#: probability stops at 1 and the others share the budget.
+#: probability stops at 1 and the others of its source, language and topic give more.
 TARGETS = {
     "source": Target(0.5),
     "lang": Target(0.7, {"en": 0.4, "de": 0.19, "fr": 0.19, "es": 0.19}),
@@ -201,19 +205,100 @@ def rake(cells: DataFrame, targets: dict[str, Target], max_rounds: int = MAX_ROU
     return made, Outcome(rounds.done, errors, rounds.contradictory)
 
 
-def budget_factor(cells: DataFrame, budget: float) -> float:
-    """The factor c at which the expected tokens, sum of min(tokens, c * weight), are the budget's share."""
-    ratio = F.max(F.when(F.col("weight") > 0, F.col("share") / F.col("weight")))
-    high = cells.agg(ratio).first()[0] or 0.0
-    low = 0.0
+def supplied(marginal: DataFrame, by: str, budget: float) -> DataFrame:
+    """Rows (by, wanted): what each value is to give, shares of all tokens that add up to the budget.
+
+    A value gives all it has where that is less than its target, and the others
+    share the rest in proportion, so that ``wanted = min(supply, c * target)``.
+    The c is found among the values' own limits: counted from the shortest
+    supply on, what the full ones give and what the others ask for at that c.
+    """
+    limit = F.when(F.col("target") > 0, F.col("supply") / F.col("target"))
+    rows = staged(marginal.where("target > 0").select(by, "supply", "target", limit.alias("limit")), "mix-supply")
+    low, high = 0.0, rows.agg(F.max("limit")).first()[0] or 0.0
     for _ in range(3):
         at = [low + (high - low) * i / STEPS for i in range(STEPS + 1)]
-        spent = cells.agg(*(F.sum(F.least(F.col("share"), F.col("weight") * c)) for c in at)).first()
-        above = [i for i, s in enumerate(spent) if s is not None and s >= budget]
+        given = rows.agg(*(F.sum(F.least(F.col("supply"), F.col("target") * c)) for c in at)).first()
+        above = [i for i, g in enumerate(given) if g is not None and g >= budget]
         if not above:
-            return high
+            low = high
+            break
         low, high = at[max(above[0] - 1, 0)], at[above[0]]
-    return high
+    # Between the two last limits the sum is a straight line, but for values that get full there.
+    ends = rows.agg(*(F.sum(F.least(F.col("supply"), F.col("target") * c)) for c in (low, high))).first()
+    a, b = (x or 0.0 for x in ends)
+    c = low if b <= a else low + (high - low) * min(max((budget - a) / (b - a), 0.0), 1.0)
+    return rows.select(by, F.least(F.col("supply"), F.col("target") * c).alias("wanted"))
+
+
+def capped_local(raked: DataFrame, wanted: dict[str, DataFrame], budget: float, most: int) -> tuple[DataFrame, Outcome]:
+    table = raked.toArrow()
+    codes, goals = {}, {}
+    for by, rows in wanted.items():
+        values, codes[by] = np.unique(np.array(table.column(by).to_pylist(), object), return_inverse=True)
+        found = {r[0]: r[1] for r in rows.collect()}
+        goals[by] = np.array([found.get(v, 0.0) for v in values])
+    share, weight = (table.column(c).to_numpy() for c in ("share", "weight"))
+    kept, done = np.minimum(share, weight * budget), 0
+    for done in range(1, most + 1):
+        before = kept
+        for by, code in codes.items():
+            full = kept >= share
+            held, free = (np.bincount(code, np.where(m, kept, 0.0), len(goals[by])) for m in (full, ~full))
+            goal = goals[by]
+            down = goal < held + free
+            grow = np.divide(goal - held, free, out=np.ones(len(goal)), where=free > 0)
+            shrink = np.divide(goal, held + free, out=np.zeros(len(goal)), where=held + free > 0)
+            factor = np.where(down[code], shrink[code], np.where(full, 1.0, grow[code]))
+            kept = np.minimum(share, kept * factor)
+        if np.abs(kept - before).max(initial=0.0) <= SETTLED * budget:
+            break
+    errors = {}
+    for by, code in codes.items():
+        now, goal = np.bincount(code, kept, len(goals[by])), goals[by]
+        errors[by] = float(np.abs(now[goal > 0] / goal[goal > 0] - 1).max(initial=0.0))
+    made = pa.table({c: table.column(c) for c in raked.columns} | {"kept": kept})
+    return staged(raked.sparkSession.createDataFrame(made), "mix-kept"), Outcome(done, errors, False)
+
+
+def capped_table(raked: DataFrame, wanted: dict[str, DataFrame], budget: float, most: int) -> tuple[DataFrame, Outcome]:
+    now = staged(raked.withColumn("kept", F.least(F.col("share"), F.col("weight") * budget)), "mix-kept")
+    full, done = F.col("kept") >= F.col("share"), 0
+    for done in range(1, most + 1):
+        step = now.withColumn("before", F.col("kept"))
+        for by, rows in wanted.items():
+            sums = step.groupBy(by).agg(F.sum(F.when(full, F.col("kept")).otherwise(0.0)).alias("held"),
+                                        F.sum(F.when(full, 0.0).otherwise(F.col("kept"))).alias("free"))
+            sums = sums.join(rows, by, "left").withColumn("goal", F.coalesce("wanted", F.lit(0.0)))
+            had = F.col("held") + F.col("free")
+            sums = sums.select(by, F.when(F.col("goal") < had, F.when(had > 0, F.col("goal") / had).otherwise(0.0)).alias("down"),
+                               F.when(F.col("free") > 0, (F.col("goal") - F.col("held")) / F.col("free")).otherwise(1.0).alias("up"))
+            factor = F.coalesce("down", F.when(full, 1.0).otherwise(F.col("up")))
+            step = step.join(sums, by).withColumn("kept", F.least(F.col("share"), F.col("kept") * factor)).drop("down", "up")
+        step = staged(step, "mix-kept")
+        moved = step.agg(F.max(F.abs(F.col("kept") - F.col("before")))).first()[0]
+        discard(now)
+        now = step.drop("before")
+        if moved is None or moved <= SETTLED * budget:
+            break
+    errors = {}
+    for by, rows in wanted.items():
+        both = now.groupBy(by).agg(F.sum("kept").alias("now")).join(rows.where("wanted > 0"), by)
+        errors[by] = both.agg(F.max(F.abs(F.col("now") / F.col("wanted") - 1))).first()[0] or 0.0
+    return now, Outcome(done, errors, False)
+
+
+def capped(raked: DataFrame, targets: dict[str, Target], budget: float,
+           max_rounds: int = MAX_ROUNDS) -> tuple[DataFrame, Outcome]:
+    """Adds ``kept``, the share of all tokens that a cell is expected to give, to raked cells.
+
+    No cell gives more than it has. Cells that are full stay fixed and the
+    others of a marginal's value are scaled to what is left, marginal after
+    marginal, until nothing moves. The outcome holds the errors that remain.
+    """
+    wanted = {by: staged(supplied(marginal_targets(raked, by, target).join(
+        raked.groupBy(by).agg(F.sum("share").alias("supply")), by), by, budget), "mix-wanted") for by, target in targets.items()}
+    return (capped_local if raked.count() <= LOCAL_CELLS else capped_table)(raked, wanted, budget, max_rounds)
 
 
 def mixed(documents: DataFrame, targets: dict[str, Target] | None = None, budget: float = BUDGET, seed: int = 42,
@@ -238,11 +323,14 @@ def mixed(documents: DataFrame, targets: dict[str, Target] | None = None, budget
         why = "they contradict each other" if outcome.contradictory else "they may be out of reach"
         off = ", ".join(f"{by} by up to {error:.3g}" for by, error in outcome.errors.items())
         warnings.warn(f"marginals miss their targets after {outcome.rounds} rounds ({why}): {off}", stacklevel=2)
-    factor = budget_factor(raked, budget)
+    raked, sample = capped(raked, targets, budget, max_rounds)
+    if sample.error > SAMPLE_TOLERANCE:
+        off = ", ".join(f"{by} by up to {error:.3g}" for by, error in sample.errors.items())
+        warnings.warn(f"the sample's expected marginals miss what supply and targets ask for: {off}", stacklevel=2)
     share = F.col("share")
     table = staged(raked.select(
         *(F.col(by).alias(name) for by, name in names.items()), F.col("weight"),
-        F.when(share > 0, F.least(F.lit(1.0), F.col("weight") * factor / share)).otherwise(0.0).alias("probability")),
+        F.when(share > 0, F.least(F.lit(1.0), F.col("kept") / share)).otherwise(0.0).alias("probability")),
         "mix-probabilities")
     drawn = F.pmod(F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))),
                    F.lit(1 << 53)) / float(1 << 53)

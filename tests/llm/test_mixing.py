@@ -43,9 +43,14 @@ def test_weights_and_probabilities(spark):
     assert max(abs(r.weight - want[r.source, r.lang, r.topic]) for r in rows) < 1e-6
     spent = sum(r.tokens * r.probability for r in rows) / total
     assert abs(spent - mixing.BUDGET) < 1e-3
-    free = {(r.source, r.lang, r.topic): r.probability for r in rows if r.probability < 1}
-    factors = [p * cells[c] / total / want[c] for c, p in free.items()]
-    assert max(factors) - min(factors) < 1e-3 * max(factors)
+    # Every marginal has supply enough here, so the sample is expected to meet each target.
+    for k, d in enumerate(DIMS):
+        for v, share in targets[d].items():
+            have = sum(r.tokens for r in rows if r[d] == v) / total
+            assert have >= share * mixing.BUDGET
+            expected = sum(r.tokens * r.probability for r in rows if r[d] == v) / total
+            assert abs(expected / (share * mixing.BUDGET) - 1) < 1e-3, (d, v)
+    assert any(r.probability == 1 for r in rows)
     taken = sum(r.tokens for r in rows if r.sampled) / total
     assert abs(taken - mixing.BUDGET) < 0.08
 
@@ -126,3 +131,50 @@ def test_table_and_driver_rake_alike(spark, tokens, monkeypatch):
     assert outcome_again.errors == pytest.approx(outcome.errors, abs=1e-9)
     a, b = ({r[:3]: r.weight for r in t.select(*DIMS, "weight").collect()} for t in (made, again))
     assert b == pytest.approx(a, abs=1e-12)
+
+
+def brute_capped(cells, weight, targets, budget, rounds=2000):
+    """Expected shares by plain loops: full cells fixed, the rest scaled."""
+    total = sum(cells.values())
+    has = {c: t / total for c, t in cells.items()}
+    goals = {}
+    for k, d in enumerate(DIMS):
+        supply = defaultdict(float)
+        for c, h in has.items():
+            supply[c[k]] += h
+        low, high = 0.0, max(supply[v] / t for v, t in targets[d].items())
+        for _ in range(200):
+            mid = (low + high) / 2
+            low, high = (mid, high) if sum(min(supply[v], mid * t) for v, t in targets[d].items()) < budget else (low, mid)
+        goals[d] = {v: min(supply[v], high * t) for v, t in targets[d].items()}
+    kept = {c: min(has[c], budget * weight[c]) for c in cells}
+    for _ in range(rounds):
+        for k, d in enumerate(DIMS):
+            for v, goal in goals[d].items():
+                mine = [c for c in cells if c[k] == v]
+                full = [c for c in mine if kept[c] >= has[c]]
+                held, now = sum(kept[c] for c in full), sum(kept[c] for c in mine)
+                for c in mine:
+                    if goal < now:
+                        kept[c] *= goal / now
+                    elif c not in full and now > held:
+                        kept[c] = min(has[c], kept[c] * (goal - held) / (now - held))
+    return kept, goals
+
+
+@pytest.mark.parametrize("budget", [0.3, 0.6, 0.9])
+@pytest.mark.parametrize("local", [True, False])
+def test_capped_cells_against_plain_loops(spark, monkeypatch, budget, local):
+    if not local and budget != 0.6:
+        pytest.skip("one budget is enough for the table")
+    cells, table = table_of(spark, [[50, 9, 9, 9], [6, 10, 3, 5], [8, 4, 12, 1]])
+    targets = {d: shares(cells, k, mixing.TARGETS[d]) for k, d in enumerate(DIMS)}
+    raked, _ = mixing.rake(table, mixing.TARGETS)
+    monkeypatch.setattr(mixing, "LOCAL_CELLS", 10 ** 6 if local else 0)
+    made, outcome = mixing.capped(raked, mixing.TARGETS, budget, mixing.MAX_ROUNDS if local else 12)
+    want, goals = brute_capped(cells, brute(cells, targets, 500), targets, budget, 400 if local else 12)
+    got = {r[:3]: r.kept for r in made.select(*DIMS, "kept").collect()}
+    assert got == pytest.approx(want, abs=1e-4)
+    for k, d in enumerate(DIMS):
+        off = max(abs(sum(x for c, x in got.items() if c[k] == v) / g - 1) for v, g in goals[d].items())
+        assert abs(outcome.errors[d] - off) < 1e-4
