@@ -9,8 +9,9 @@ from logloom.llm import article, licences, wordpiece
 
 def greedy(pieces, word):
     word, n, at = b" " + word, 0, 0
+    longest = max(map(len, pieces), default=0)
     while at < len(word):
-        end = next((j for j in range(len(word), at, -1) if word[at:j] in pieces), None)
+        end = next((j for j in range(min(len(word), at + longest), at, -1) if word[at:j] in pieces), None)
         if end is None:
             return None
         n, at = n + 1, end
