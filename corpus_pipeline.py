@@ -6,20 +6,32 @@ and read again as the next stage's docs.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from logloom.llm.minhash import near_duplicates
-from logloom.llm.mixing import mixed
+from logloom.llm.mixing import ADDED, mixed
 from logloom.llm.pieces import encoded
-from logloom.llm.quality import judged
+from logloom.llm.quality import COUNTS, judged
 from logloom.llm.work import staged, table
 
 
+def beside(docs: DataFrame, names: Iterable[str], stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A stage's rows with the columns of ``docs`` as they were, also where the stage adds ``names`` of its own."""
+    mark = "own_"
+    while any(c.startswith(mark) for c in docs.columns):
+        mark += "_"
+    away = {c: mark + c for c in docs.columns if c in set(names)}
+    made = stage(docs.withColumnsRenamed(away))
+    return made.select(*[F.col(away.get(c, c)).alias(c) for c in docs.columns])
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go."""
-    return judged(docs, table(spark, sf_dir, "labels")).where("kept").select(*docs.columns)
+    labels = table(spark, sf_dir, "labels")
+    return beside(docs, [*COUNTS, "base_failed", "anomaly", "kept"], lambda rows: judged(rows, labels).where("kept"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +46,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sample whose sources, languages and topics have their target weights."""
-    return mixed(docs).where("sampled").select(*docs.columns)
+    return beside(docs, ADDED, lambda rows: mixed(rows).where("sampled"))
 
 
 def piece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

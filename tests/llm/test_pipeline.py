@@ -35,3 +35,18 @@ def test_run_and_empty(spark, sf_dir, no_docs):
     assert cp.run(spark, sf_dir).count() > 0
     for _, stage in cp.STAGES:
         assert stage(spark, no_docs, sf_dir).count() == 0
+
+
+def test_columns_of_the_input_stay(spark, sf_dir, docs):
+    """Columns named as those that stages add, nulls and repeated rows pass the stages unchanged."""
+    from pyspark.sql import functions as F
+    rows = docs.withColumns({"weight": F.lit("w"), "tokens": F.concat(F.lit("t"), F.col("doc_id").cast("string")),
+                             "own_kept": F.lit(1), "n_words": F.lit(None).cast("string")})
+    before = {tuple(r) for r in rows.collect()}
+    for _, stage in cp.STAGES[:-1]:
+        made = stage(spark, rows, sf_dir)
+        assert made.dtypes == rows.dtypes
+        got = made.collect()
+        assert got and {tuple(r) for r in got} <= before
+    encoded = cp.STAGES[-1][1](spark, rows, sf_dir)
+    assert {r.doc_id for r in encoded.collect()} <= {r.doc_id for r in rows.collect()}
