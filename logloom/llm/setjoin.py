@@ -73,7 +73,7 @@ def first_grams(s: np.ndarray, percent: int = PERCENT) -> np.ndarray:
 
 # --- one pass over all texts: set sizes, set keys, gram counts ---
 
-DESCRIBED = "doc_id long, n_shingles long, key_a long, key_b long, slice int, cells binary"
+DESCRIBED = "doc_id long, n_shingles long, key_a long, key_b long, slice int, cells binary, grams array<long>"
 
 
 def set_sums(hashes: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
@@ -92,7 +92,7 @@ def gram_values(hashes: np.ndarray) -> np.ndarray:
 
 
 def described(documents: DataFrame, width: int) -> DataFrame:
-    """Per row: doc_id, set size and key; and the gram counts of each task, in slices."""
+    """Per row: doc_id, set size and key, and the grams of a small set; and the gram counts of each task, in slices."""
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(CELLS, np.int64)
         for batch in batches:
@@ -100,20 +100,26 @@ def described(documents: DataFrame, width: int) -> DataFrame:
                 hashes, owner = shingles(texts, width)
                 seen += np.bincount((hashes % U64(CELLS)).astype(np.int64), minlength=CELLS)
                 key, none = set_sums(hashes, owner, texts.n).view(np.int64), pa.nulls(texts.n)
+                size = np.bincount(owner, minlength=texts.n)
+                small = size <= SMALL_MAX
                 yield pa.record_batch([
-                    batch.column(0).slice(first, end - first), pa.array(np.bincount(owner, minlength=texts.n)),
-                    pa.array(key[0]), pa.array(key[1]), none.cast(pa.int32()), none.cast(pa.binary())],
-                    names=["doc_id", "n_shingles", "key_a", "key_b", "slice", "cells"])
+                    batch.column(0).slice(first, end - first), pa.array(size),
+                    pa.array(key[0]), pa.array(key[1]), none.cast(pa.int32()), none.cast(pa.binary()),
+                    ragged(hashes[small[owner]].view(np.int64), np.where(small, size, 0))], names=FIELDS)
         if seen.any():
             yield slices(seen.reshape(SLICES, -1), range(SLICES))
 
     return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(describe, DESCRIBED)
 
 
+FIELDS = ["doc_id", "n_shingles", "key_a", "key_b", "slice", "cells", "grams"]
+
+
 def slices(rows: np.ndarray, numbers) -> pa.RecordBatch:
     none = pa.nulls(len(rows), pa.int64())
-    return pa.record_batch([none] * 4 + [pa.array(list(numbers), pa.int32()), pa.array([r.tobytes() for r in rows], pa.binary())],
-                           names=["doc_id", "n_shingles", "key_a", "key_b", "slice", "cells"])
+    return pa.record_batch(
+        [none] * 4 + [pa.array(list(numbers), pa.int32()), pa.array([r.tobytes() for r in rows], pa.binary()),
+                      pa.nulls(len(rows), pa.list_(pa.int64()))], names=FIELDS)
 
 
 def grades(rows: DataFrame) -> np.ndarray:
@@ -180,11 +186,11 @@ def small_links(sets: DataFrame, limit: int, percent: int) -> DataFrame:
 
 # --- large sets: inverted lists ---
 
-INDEXED = "token long, key_a long, at long, grams array<long>"
+INDEXED = "token long, key_a long, at long"
 
 
 def indexed(documents: DataFrame, grade: np.ndarray, width: int, percent: int) -> DataFrame:
-    """Rows of the inverted lists (token, key_a, size and position of the gram), and small sets whole."""
+    """Rows of the inverted lists (token, key_a, size and position of the gram)."""
     scale = grade.tobytes()
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,15 +208,8 @@ def indexed(documents: DataFrame, grade: np.ndarray, width: int, percent: int) -
                 short = np.flatnonzero(place < first_grams(size, percent)[owner])
                 of = owner[short]
                 yield pa.record_batch([
-                    pa.array(hashes[by[short]].view(np.int64)), pa.array(key[of]),
-                    pa.array((size[of] << 32) + place[short]), pa.nulls(len(short), pa.list_(pa.int64()))],
-                    names=["token", "key_a", "at", "grams"])
-                small = np.flatnonzero((size > 0) & (size <= SMALL_MAX))
-                if len(small):
-                    kept = np.isin(owner, small)
-                    yield pa.record_batch([
-                        pa.nulls(len(small), pa.int64()), pa.array(key[small]), pa.array(size[small] << 32),
-                        ragged(hashes[kept].view(np.int64), size[small])], names=["token", "key_a", "at", "grams"])
+                    pa.array(hashes[by[short]].view(np.int64)), pa.array(key[of]), pa.array((size[of] << 32) + place[short])],
+                    names=["token", "key_a", "at"])
 
     return documents.select("text").mapInArrow(index, INDEXED)
 
@@ -235,27 +234,74 @@ def room(s: Column, p: Column, t: Column, q: Column, limit: int, percent: int) -
     return (F.least(s - p, t - q) >= least_common_of(s, t, percent)) & (F.greatest(s, t) > limit)
 
 
+def common_listed(s: Column, t: Column, percent: int) -> Column:
+    """How many grams two similar sets of sizes s and t have in common among those they are listed under, at least.
+
+    The m-th common gram, in order, stands behind at most m - 1 common ones and the s - c that are not common.
+    """
+    least = least_common_of(s, t, percent)
+
+    def spare(n: Column) -> Column:
+        return n - F.ceil(percent * n / 100) + 1 - (n - least)
+
+    return F.greatest(F.least(spare(s), spare(t)), F.lit(1))
+
+
+def whole_runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Tables of whole runs of rows that agree in the first ``keys`` integer columns of a sorted partition."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        table = pa.Table.from_batches([*held, batch]).combine_chunks()
+        values = np.stack([table.column(i).to_numpy() for i in range(keys)])
+        cuts = np.flatnonzero((values[:, 1:] != values[:, :-1]).any(axis=0)) + 1
+        if len(cuts):
+            yield table.slice(0, cuts[-1])
+        held = table.slice(cuts[-1] if len(cuts) else 0).to_batches()
+    if held and sum(b.num_rows for b in held):
+        yield pa.Table.from_batches(held)
+
+
+#: Runs up to this length are compared side by side with the others of their batch.
+SHORT_RUN = 64
+
+
 def compare_blocks(limit: int, percent: int):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """For each run of (token, group, one, two): nodes and the chunks of other components they may be similar to."""
-        for run in groups_of(batches, 4):
-            group, one, two = (run.column(i)[0].as_py() for i in (1, 2, 3))
-            ids, block, kind, size, place, component, often, chunk = (run.column(i).to_numpy() for i in range(4, 12))
-            if (component == component[0]).all():
-                continue
-            right, found = np.flatnonzero(block == two), []
-            for i in np.flatnonzero(block == one):
-                j = right[(component[right] != component[i]) & ((kind[right] == group) | (kind[i] == group))]
-                if one == two:
-                    j = j[j > i]
-                least = least_common(size[j], size[i], percent)
-                j = j[(np.minimum(size[j] - place[j], size[i] - place[i]) >= least) & (np.maximum(size[j], size[i]) > limit)]
+        """For runs of (token, group, one, two): pairs of nodes of different components that may be similar, the one to
+        visit first, with their sizes and the other's chunk."""
+        for table in whole_runs(batches, 4):
+            token, group, one, two, ids, block, kind, size, place, component, often, chunk = (
+                c.to_numpy() for c in table.columns)
+            new = np.ones(len(ids), bool)
+            new[1:] = (token[1:] != token[:-1]) | (group[1:] != group[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+            start = np.flatnonzero(new)
+            length = np.diff(np.append(start, len(ids)))
+            run, found = np.cumsum(new) - 1, []
+
+            def keep(i, j):
+                """Pairs of rows of one run that may be similar."""
+                ok = (component[i] != component[j]) & ((kind[i] == group[i]) | (kind[j] == group[j]))
+                i, j = i[ok], j[ok]
+                ok = ((block[i] == one[i]) & (block[j] == two[i])) | ((block[j] == one[i]) & (block[i] == two[i]))
+                ok &= np.minimum(size[j] - place[j], size[i] - place[i]) >= least_common(size[i], size[j], percent)
+                ok &= np.maximum(size[i], size[j]) > limit
+                i, j = i[ok], j[ok]
                 # The node of the smaller component goes to the other's chunk.
                 to = often[j] >= often[i]
-                found.append(np.stack([np.where(to, ids[i], ids[j]), np.where(to, chunk[j], chunk[i])]))
-            pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), np.int64)
-            if pairs.shape[1]:
-                yield pa.record_batch([pa.array(pairs[0]), pa.array(pairs[1])], names=["id", "chunk"])
+                found.append((np.where(to, i, j), np.where(to, j, i)))
+
+            short = np.flatnonzero(length[run] <= SHORT_RUN)
+            for d in range(1, int(length[length <= SHORT_RUN].max(initial=1))):
+                i, j = short[:-d], short[d:]
+                near = run[i] == run[j]
+                keep(i[near], j[near])
+            for low, n in zip(start[length > SHORT_RUN], length[length > SHORT_RUN]):
+                for i in range(low, low + n - 1):
+                    keep(np.full(low + n - 1 - i, i), np.arange(i + 1, low + n))
+            i, j = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, int),) * 2
+            if len(i):
+                pairs = np.unique(np.stack([ids[i], ids[j], size[i], size[j], chunk[j]]), axis=1)
+                yield pa.record_batch([pa.array(x) for x in pairs], names=["id", "other", "size", "other_size", "chunk"])
 
     return compare
 
@@ -325,23 +371,32 @@ def rest_of(members: DataFrame, groups: DataFrame, limit: int, percent: int) ->
              .withColumn("one", F.least("block", "other")).withColumn("two", F.greatest("block", "other"))
              .select("token", "group", "one", "two", "id", "block", "kind", "size", "place", "component", "often", "chunk")
              .repartition("token", "group", "one", "two").sortWithinPartitions("token", "group", "one", "two"))
-    visits = staged(dealt.mapInArrow(compare_blocks(limit, percent), "id long, chunk long").distinct(), "setjoin-visits")
-    return visits, rows.select("chunk", "id").distinct()
+    pairs = dealt.mapInArrow(compare_blocks(limit, percent),
+                             "id long, other long, size long, other_size long, chunk long").distinct()
+    # A pair that is similar has many of its listed grams in common, not just one.
+    tokens = members.groupBy("id", "size").agg(F.collect_set("token").alias("tokens"))
+    both = pairs.join(tokens, ["id", "size"]).join(
+        tokens.select(F.col("id").alias("other"), F.col("size").alias("other_size"), F.col("tokens").alias("theirs")),
+        ["other", "other_size"])
+    visits = both.where(F.size(F.array_intersect("tokens", "theirs"))
+                        >= common_listed(F.col("size"), F.col("other_size"), percent)).select("id", "chunk").distinct()
+    visits = staged(visits, "setjoin-visits")
+    return visits, rows.select("chunk", "id").distinct().join(visits.select("chunk").distinct(), "chunk", "left_semi")
 
 
 def linked_sets(documents: DataFrame, percent: int = PERCENT, width: int = WIDTH, limit: int | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of documents (doc_id, text). ``limit`` fixes the boundary."""
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     table = staged(described(documents, width), "setjoin-described")
-    rows, key = table.where("slice is null").drop("slice", "cells"), ["key_a", "key_b", "n_shingles"]
+    rows, key = table.where("slice is null").select("doc_id", "n_shingles", "key_a", "key_b", "grams"), ["key_a", "key_b", "n_shingles"]
     full = rows.where("n_shingles > 0 and doc_id is not null")
     nodes = staged(full.groupBy(*key).agg(F.min("doc_id").alias("id")), "setjoin-nodes")
     # Ids with several rows; each of their texts joins the id to the node of its set.
     again = staged(full.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "setjoin-again")
-    own = full.join(again, "doc_id", "left_semi").join(nodes, key).select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
+    own = full.drop("grams").join(again, "doc_id", "left_semi").join(nodes, key).select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
 
     index = indexed(documents.where("doc_id is not null"), grades(table), width, percent)
-    listed = index.where("token is not null").select("token", "key_a", "at")
+    listed = index
     lists = listed.groupBy("token").agg(F.min("key_a").alias("least"), F.max("key_a").alias("most")).where("least <> most")
     size, place = F.shiftright("at", 32), F.col("at").bitwiseAND(0xFFFFFFFF)
     members = listed.join(lists.select("token"), "token").distinct().select(
@@ -353,23 +408,31 @@ def linked_sets(documents: DataFrame, percent: int = PERCENT, width: int = WIDTH
     members = members.join(heads, "token")
     if limit is None:
         limit = boundary(nodes, members, percent)
-    small = index.where("grams is not null").select("key_a", size.alias("n_shingles"), "grams").where(
-        F.col("n_shingles") <= limit).distinct().join(nodes, ["key_a", "n_shingles"]).select("id", "grams")
+    small = full.where(F.col("n_shingles") <= limit).select(*key, "grams").distinct().join(nodes, key).select("id", "grams")
     links = own.union(small_links(small, limit, percent))
 
+    # The first tries skip pairs that have few lists in common; those left out meet again below.
     head = F.col("head")
-    tried = staged(members.where((F.col("id") != head.id) & room(
-        F.col("size"), F.col("place"), head.size, head.place, limit, percent)).select(
-            head.id.alias("chunk"), "id").distinct(), "setjoin-tried")
-    wanted = members.select("id").distinct()
-    once = documents.withColumnRenamed("doc_id", "id").join(wanted, "id", "left_semi")
-    repeated = again.withColumnRenamed("doc_id", "id")
-    texts = staged(once.join(repeated, "id", "left_anti").union(once.join(repeated, "id", "left_semi").distinct()),
-                   "setjoin-texts")
+    tried = members.where((F.col("id") != head.id) & room(
+        F.col("size"), F.col("place"), head.size, head.place, limit, percent)).groupBy(
+            head.id.alias("chunk"), "id").agg(
+                F.count(F.lit(1)).alias("n"), F.min(common_listed(F.col("size"), head.size, percent)).alias("least"))
+    tried = staged(tried.where(F.col("n") * 8 >= F.col("least")).select("chunk", "id"), "setjoin-tried")
     hosts = tried.select("chunk", F.col("chunk").alias("id")).distinct()
+    repeated = again.withColumnRenamed("doc_id", "id")
+
+    def texts_of(ids: DataFrame) -> DataFrame:
+        """One row per id and text."""
+        found = documents.withColumnRenamed("doc_id", "id").join(ids.distinct(), "id", "left_semi")
+        return staged(found.join(repeated, "id", "left_anti").union(found.join(repeated, "id", "left_semi").distinct()),
+                      "setjoin-texts")
+
+    texts = texts_of(tried.select("id").union(hosts.select("id")))
     links = staged(links.union(met(tried, hosts, texts, width, percent)), "setjoin-all")
     groups = components(links)
     visits, hosts = rest_of(members.select("token", "id", "size", "place"), groups, limit, percent)
+    discard(texts)
+    texts = texts_of(visits.select("id").union(hosts.select("id")))
     more = met(visits, hosts, texts, width, percent)
     if not more.isEmpty():
         groups = components(links.union(more))
