@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .flat import U64, Texts, blocks, mix, windows
+from .flat import U64, Texts, blocks, mix
 from .work import staged
 
 LONGEST = 3

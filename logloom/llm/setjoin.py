@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .flat import BASE, U64, blocks, mix, ragged
+from .flat import U64, blocks, mix, ragged
 from .minhash import groups_of, shingles
 from .work import discard, staged
 
