@@ -5,9 +5,12 @@ block gives points for its length and its commas to the elements above it: all
 to the nearest container, half to the next, less further up. A container's
 points are discounted by its link density. Around the best container the
 article is its outermost article or main element, with the others of that
-element that have a fair share of its points; where there is none, it is the
-least element that holds all headings and all paragraphs that are not mostly
-links, or the best container's parent, if that is more.
+element that have a fair share of its points. Where there is none, it is the
+least element around the containers whose own discounted points are a fair share
+of the largest. Beside it, and beside each element around it, stay blocks of the
+same structure (tags and class names, as the columns of one article have),
+blocks named as its lead, plain paragraphs, the headings before it, and what
+stands between those; other containers go, whatever their name.
 What is boilerplate by element or by name (menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles, reader comments) takes no part. But a
 form, or an element that only a part of its name calls boilerplate, stays where
@@ -17,8 +20,8 @@ article of a page that has no paragraph elsewhere. Controls, and boilerplate
 inside what stays, go as before.
 
 Inside the article every block and every bare text counts, in page order: white
-space becomes one space, blocks are joined by one space. Beside the best
-container, lists of nothing but links are menus and are left out.
+space becomes one space, blocks are joined by one space. Without an article or
+main element, lists of nothing but links are menus and are left out.
 
 Results: a null or empty page, or one without text, gives an empty text. Broken
 or unclosed markup is read as far as it goes. Repeated pages are extracted each
@@ -57,9 +60,11 @@ BOILERPLATE = frozenset("""ad ads adv advert adverts advertisement advertising a
     masthead topbar footer foot sidebar side aside rail widget widgets related recommended recommendations trending popular
     newsletter subscribe subscription signup login share sharing social socials cookie cookies consent gdpr notice notices
     alert popup modal overlay toast comment comments commentlist respond disqus discussion replies reply copyright legal
-    disclaimer skip toolbar search contentinfo complementary hidden paywall feedback""".split())
-COMMENTS = frozenset("comment comments commentlist respond disqus discussion replies reply".split())
+    disclaimer skip toolbar search contentinfo complementary hidden paywall feedback responses onetrust next prev
+    previous""".split())
+COMMENTS = frozenset("comment comments commentlist respond responses disqus discussion replies reply".split())
 ARTICLE_WORDS = frozenset("article content entry post story body main text page hentry blog prose".split())
+LEADS = frozenset("lead lede intro introduction abstract standfirst deck subtitle conclusion".split())
 
 LAYOUT = frozenset("has no with without is not".split())
 
@@ -67,6 +72,11 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 LENGTH_STEP, MOST_LENGTH_POINTS, SHORTEST = 100, 3.0, 25
 SIBLING_SHARE = 0.2
+#: Share of the largest container's own points from which another one belongs to the article, whatever its structure.
+FAIR_SHARE = 0.35
+#: Length from which a paragraph beside the article needs no sentence mark.
+LONG_PARAGRAPH = 80
+PAGE_ELEMENTS = frozenset("root html body".split())
 #: Share of link text from which a block tells nothing itself, and from which several links are a menu.
 MOSTLY_LINKS, MENU_LINKS = 0.5, 0.75
 
@@ -77,11 +87,13 @@ NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 class Node:
     __slots__ = ("tag", "parent", "children", "skip", "points", "chars", "link_chars", "links", "told", "good",
-                 "doubt")
+                 "doubt", "names", "direct", "held", "scored")
 
     def __init__(self, tag: str, parent: Node | None, skip: bool, good: bool = False):
         self.tag, self.parent, self.skip, self.good = tag, parent, skip, good
         self.doubt: Doubt | None = None
+        self.names: frozenset[str] = frozenset()
+        self.direct, self.held, self.scored = 0.0, 0, False
         self.children: list[Node | str | None] = []
         self.points, self.chars, self.link_chars, self.links, self.told = 0.0, 0, 0, 0, 0
 
@@ -161,6 +173,8 @@ def tree_of(page: str) -> Node:
         skip = (node.skip and not node.doubt) or boilerplate(tag, attrs)
         child = Node(tag, node, bool(skip), tag in ("article", "main") or bool(
             attrs and parts_of(attrs.get("class", "") + " " + attrs.get("id", "")) & ARTICLE_WORDS))
+        if attrs and tag in BLOCKS:
+            child.names = frozenset(re.sub(r"\d+", "", n).lower() for k in ("class", "id") for n in attrs.get(k, "").split())
         node.children.append(child)
         if isinstance(skip, Doubt):
             child.doubt, skip.node = skip, child
@@ -278,6 +292,7 @@ def score(root: Node) -> list[Node]:
                     up.points = BASE_POINTS.get(up.tag, 0.0) + (10.0 if up.good else 0.0) + 1e-9
                     scored.append(up)
                 up.points += points / (1, 2, 6, 9, 12, 15)[min(level, 5)]
+                up.direct += 0.0 if level else points
                 level += 1
             up = up.parent
     for node, _ in reversed(order):
@@ -382,6 +397,107 @@ def outermost(node: Node) -> Node | None:
     return found
 
 
+def own_points(node: Node) -> float:
+    """Points of the paragraphs next to the container, discounted by its link density."""
+    return node.direct * (1 - node.link_chars / node.chars) if node.chars else 0.0
+
+
+def strongest(node: Node) -> Node | None:
+    """The child with the most points, the first of equal ones."""
+    return max((c for c in node.children if isinstance(c, Node) and c.points and not c.skip), key=lambda c: c.points, default=None)
+
+
+def continues(other: Node | None, node: Node | None) -> bool:
+    """Whether two blocks look alike all the way down: same tags, shared names or, down to the paragraphs, none at all."""
+    named = False
+    while other is not None and node is not None:
+        if other.tag != node.tag or bool(other.names) != bool(node.names) or (node.names and not node.names & other.names):
+            return False
+        named |= bool(node.names)
+        other, node = strongest(other), strongest(node)
+    return named or other is node
+
+
+def plain_paragraph(node: Node) -> bool:
+    """A paragraph with a sentence of its own."""
+    if node.tag not in ("p", "pre") or not node.told:
+        return False
+    text = direct_text(node)
+    return len(text) >= LONG_PARAGRAPH or (not node.links and text.endswith((".", "!", "?", "…", "。")))
+
+
+def heads(node: Node) -> bool:
+    """A heading, or a block that tells something without any paragraph long enough for points."""
+    return bool(node.told and not node.scored and (node.tag in HEADINGS or any(
+        isinstance(c, Node) and c.tag in HEADINGS for c in node.children)))
+
+
+def span(kept: list[int]) -> range:
+    return range(kept[0], kept[-1] + 1) if kept else range(0)
+
+
+def prune(node: Node, parts: list[Node], whole: bool) -> None:
+    """Keep of an element's children the article's parts and what belongs to them.
+
+    ``whole``: whether children without points stay wherever they stand, as in the article's own element.
+    """
+    def alike(child: Node) -> bool:
+        named = any(p and p <= ARTICLE_WORDS | LEADS for p in map(parts_of, child.names))
+        return bool(child.told) and (named or any(continues(child, p) for p in parts))
+
+    held = set(map(id, parts))
+    main = [i for i, c in enumerate(node.children) if isinstance(c, Node) and not c.skip and (id(c) in held or alike(c))]
+    first = main[0] if main else len(node.children)
+    kept = set(span(main))
+    beside = main + [i for i, c in enumerate(node.children) if isinstance(c, Node) and not c.skip
+                     and (plain_paragraph(c) or (i < first and heads(c)))]
+    # Between a heading or paragraph and the parts, only containers with points of their own go.
+    loose = range(len(node.children)) if whole else span(sorted(beside))
+    kept |= {i for i in loose if not isinstance(node.children[i], Node) or not node.children[i].scored
+             or node.children[i].tag == "blockquote"}
+    node.children = [c for i, c in enumerate(node.children) if i in kept or c is None]
+
+
+def keep_parts(root: Node, containers: list[Node]) -> None:
+    """Reduce a page without article element to the containers with a fair share and what continues them."""
+    most = max(map(own_points, containers))
+    fair = [n for n in containers if own_points(n) >= FAIR_SHARE * most > 0] or containers[:1]
+    chosen = set(map(id, fair))
+    for node in fair:
+        node.held = 1
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack += [c for c in node.children if isinstance(c, Node) and not c.skip]
+    for node in reversed(order):
+        node.scored |= bool(node.points)
+        if node.parent:
+            node.parent.held += node.held
+            node.parent.scored |= node.scored
+    top = root
+    while id(top) not in chosen:
+        inner = next((c for c in top.children if isinstance(c, Node) and c.held == len(fair)), None)
+        if inner is None:
+            break
+        top = inner
+    around, up = top, top.parent
+    parts = [c for c in top.children if isinstance(c, Node) and not c.skip and c.held]
+    if id(top) not in chosen:
+        prune(top, parts, top.tag not in PAGE_ELEMENTS)
+    elif top.tag in PAGE_ELEMENTS:
+        prune(top, parts + [c for c in top.children if isinstance(c, Node) and c.told and not c.skip
+                            and (c.tag not in CONTAINERS or c.tag == "blockquote")], False)
+    line = []
+    while up is not None:
+        line.append(up)
+        up = up.parent
+    named = max((i for i, n in enumerate(line) if n.good and n.tag not in PAGE_ELEMENTS), default=-1)
+    for i, node in enumerate(line):
+        prune(node, [around], i <= named)
+        around = node
+
+
 def skip_menus(top: Node, best: Node) -> None:
     """Skip lists of nothing but links that lie in top beside the best container."""
     around, up = set(), best
@@ -416,11 +532,9 @@ def main_text(page: str | None) -> str:
         limit = SIBLING_SHARE * discounted(marked)
         return " ".join(text for n in containers if n is marked or (
             n.tag == marked.tag and discounted(n) >= limit and outermost(n) is n) for text in text_blocks(n))
-    top = best
-    while top.parent is not None and (top.told < root.told or top is best):
-        top = top.parent
-    skip_menus(top, best)
-    return " ".join(text_blocks(top))
+    skip_menus(root, best)
+    keep_parts(root, containers)
+    return " ".join(text_blocks(root))
 
 
 EXTRACTED = "page_id long, url string, text string, n_chars long"

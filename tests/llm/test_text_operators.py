@@ -163,6 +163,56 @@ def test_boilerplate_names_around_the_article(page):
     assert article.main_text(page.replace("{}", ARTICLE, 1)) == " ".join(re.sub("<.*?>", " ", ARTICLE).split())
 
 
+FIVE = "".join(PARAGRAPH.format(k) for k in range(5))
+NOTICE = "<p>" + "We, our partners, and others, " + "store some data " * 15 + "here.</p>"
+
+
+@pytest.mark.parametrize("block", [
+    '<div id="onetrust-banner-sdk">{}</div>', "<div>{}</div>", '<div class="read-next">{}</div>', '<div id="user-responses">{}</div>',
+    '<div class="site-info">{}</div>', '<section class="box"><div class="inner">{}</div></section>', "<table><tr><td>{}</td></tr></table>"])
+@pytest.mark.parametrize("before", [False, True])
+@pytest.mark.parametrize("frame", ["{}", '<div class="wrap">{}</div>', '<div class="page-x"><div id="outer">{}</div></div>'])
+@pytest.mark.parametrize("article_text", [
+    FIVE, f'<div class="col">{FIVE}</div><div class="col">{FIVE}</div>', f"<div><div>{FIVE}</div></div><div><p>Short</p></div>"])
+def test_blocks_beside_the_article_go_by_score(block, before, frame, article_text):
+    block, text = block.format(NOTICE), f'<div class="content"><h1>Head</h1>{article_text}</div>'
+    page = "<body>" + frame.format(block + text if before else text + block) + "</body>"
+    assert article.main_text(page) == " ".join(re.sub("<.*?>", " ", text).split())
+
+
+@pytest.mark.parametrize("frame", ["<body>{}</body>", '<body><div class="row">{}</div></body>', "<body><div><div>{}</div></div></body>"])
+def test_three_unequal_columns(frame):
+    for name in ("col {}", "col-{}", ""):
+        columns = [f'<div class="{name.format(i)}">' + FIVE[:n * len(PARAGRAPH.format(0))] + "</div>" for i, n in enumerate((5, 2, 1), 1)]
+        columns = [c.replace(' class=""', "") for c in columns]
+        want = " ".join(re.sub("<.*?>", " ", "".join(columns)).split())
+        for order in (columns, columns[::-1]):
+            want = " ".join(re.sub("<.*?>", " ", "".join(order)).split())
+            assert article.main_text(frame.format("".join(order))) == want
+            if name:
+                box = f'<div class="box">{NOTICE}</div>'
+                assert article.main_text(frame.format(box + "".join(order) + box)) == want
+
+
+def test_lead_and_headings_beside_the_article():
+    text = f'<div class="story-text">{FIVE}</div>'
+    head = '<h1>Head</h1><p class="by">By one</p>'
+    for lead in ('<div class="intro">{}</div>', "{}"):
+        page = f'<body><div id="box">{NOTICE}</div>{head}{lead.format(PARAGRAPH)}{text}<div id="box2">{NOTICE}</div></body>'
+        assert article.main_text(page) == " ".join(re.sub("<.*?>", " ", head + PARAGRAPH + text).split())
+    # Paragraphs of the body itself, a quotation between them, a notice behind them.
+    quote = f"<blockquote>{PARAGRAPH}</blockquote>"
+    page = f'<body><div id="top">{NOTICE}</div>{head}{FIVE}{quote}<p>Short end.</p><div class="low">{NOTICE}</div></body>'
+    want = " ".join(re.sub("<.*?>", " ", head + FIVE + quote).split())
+    assert article.main_text(page) in (want, want + " Short end.")
+
+
+@pytest.mark.parametrize("name", ["read-next", "user-responses"])
+def test_named_blocks_inside_the_article_go(name):
+    text = f'<article>{{}}{FIVE}</article>'
+    assert article.main_text(text.format(f'<div class="{name}">{NOTICE}</div>')) == article.main_text(text.format(""))
+
+
 def test_boilerplate_alone_stays_out():
     for name in ("comments", "cookie-notice", "sidebar"):
         assert article.main_text(f'<body><p>Hi.</p><div class="{name}">{TEASER}</div></body>') == "Hi."
