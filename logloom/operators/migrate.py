@@ -184,15 +184,20 @@ def migrate_register(moves: DataFrame, register: DataFrame, ruleset: RuleSet) ->
                       "cleaner_ver", "normalizer_ver", *[review(c) for c in REVIEW_COLUMNS])
 
 
-def migrate_bridge(bridge: DataFrame, moved: DataFrame, ruleset: RuleSet) -> DataFrame:
-    """Bridge re-tagged with new form and versions; quality flags stay."""
+def migrate_bridge(bridge: DataFrame, moved: DataFrame, ruleset: RuleSet, version: tuple[int, int] | None = None) -> DataFrame:
+    """Bridge re-tagged with new form and versions; quality flags stay.  With
+    the old ``version``, rows of other versions pass by the join."""
     target = moved.select("event_id", "new_fingerprint")
     hit = F.col("new_fingerprint").isNotNull()
-    return bridge.join(target, "event_id", "left").withColumns({
+    old = bridge if version is None else bridge.where(is_version(*version))
+    tagged = old.join(target, "event_id", "left").withColumns({
         "fingerprint": F.coalesce("new_fingerprint", "fingerprint"),
         "cleaner_ver": F.when(hit, ruleset.cleaner_ver).otherwise(F.col("cleaner_ver")),
         "normalizer_ver": F.when(hit, ruleset.normalizer_ver).otherwise(F.col("normalizer_ver")),
     }).drop("new_fingerprint")
+    if version is None:
+        return tagged
+    return tagged.unionByName(bridge.where(~F.coalesce(is_version(*version), F.lit(False))))
 
 
 def bom_backfill(bridge: DataFrame, events: DataFrame) -> DataFrame:

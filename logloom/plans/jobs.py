@@ -152,7 +152,7 @@ def migrate(store: Store, events: DataFrame, ruleset: RuleSet, version: tuple[in
     register, state = store.register(), store.state()
     outcome = materialize(mig.migrate_outcome(moves, register), "outcome", f"{store.path}/work/outcome")
     nxt = state["version"] + 1
-    tagged = mig.migrate_bridge(bridge, moved, ruleset)
+    tagged = mig.migrate_bridge(bridge, moved, ruleset, old)
     new = {"bridge": f"bridge-{nxt}", "batches": state["batches"] | {"migrate": nxt}}
     tagged.write.mode("overwrite").parquet(f"{store.path}/{new['bridge']}/run=migrate/batch={nxt}")
     new["register"] = store.write_register(mig.migrate_register(moves, register, ruleset), f"register/migrate-{nxt}")

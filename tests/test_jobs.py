@@ -196,6 +196,16 @@ def migrated(spark):
             "frames": (mig.migrate_bridge(bridge, moved, NEW), mig.migrate_register(moves, register, NEW))}
 
 
+def test_rows_of_other_versions_pass_by_the_migration(spark):
+    columns = "event_id long, fingerprint string, cleaner_ver int, normalizer_ver int, bom_missing boolean"
+    bridge = spark.createDataFrame([(1, "a", 1, 1, True), (2, "b", 1, 1, False), (3, "c", 1, 0, False), (4, "d", None, None, None)], columns)
+    moved = spark.createDataFrame([(1, "x"), (None, "y")], "event_id long, new_fingerprint string")
+    got = mig.migrate_bridge(bridge, moved, NEW, (1, 1))
+    want = [(1, "x", NEW.cleaner_ver, NEW.normalizer_ver, True), *map(tuple, bridge.where("event_id > 1").collect())]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert sorted(map(tuple, mig.migrate_bridge(bridge, moved, NEW).collect())) == sorted(want)
+
+
 def test_outcomes(migrated):
     assert migrated["outcome"] == {
         "rename 1": "carried_over", "agree 1": "carried_over", "agree 2": "already_consistent", "fight 1": "carried_over",
