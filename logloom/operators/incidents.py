@@ -238,47 +238,31 @@ def burst(events: DataFrame, keys: list[str], threshold: int | None = 1, window_
     values = (threshold or 1, window_minutes, silence_minutes, escalate_count, escalate_window_minutes)
     pts = tl.points(events, keys, "ts", width).withColumns(
         {name: F.lit(v).cast("int") for name, v in zip(LIMITS, values)})
-    windows = {m for m in (window_minutes, escalate_window_minutes if escalate_count else None) if m is not None}
-    return _burst(pts, keys, windows, escalate_count is not None, width)
-
-
-def _within(window: Column, windows: set[int]) -> Column:
-    """Count within the row's own window, of the episode only; no window
-    means the episode so far."""
-    count = F.col("so_far")
-    for m in sorted(windows):
-        count = F.when(window == m, F.least(f"_in_{m}", "so_far")).otherwise(count)
-    return count
+    pts = tl.with_episodes(pts, keys, F.col("_quiet"), keep=LIMITS)
+    windows = {"_count": window_minutes, "_more": escalate_window_minutes if escalate_count else None}
+    pts = tl.rolling_counts(pts, keys, {name: m for name, m in windows.items() if m is not None}, width)
+    pts = pts.withColumns({name: F.col("so_far") for name, m in windows.items() if m is None})
+    out = _burst(pts, keys, escalate_count is not None)
+    return out if escalate_count else out.drop("escalated_at")
 
 
-def _burst(pts: DataFrame, keys: list[str], windows: set[int], escalates: bool, width: int) -> DataFrame:
-    """Points with their limits as columns; ``windows`` lists the distinct
-    window lengths among them, which are counted in one pass."""
-    pts = tl.with_episodes(pts, keys, F.col("_quiet"), keep=LIMITS)
-    pts = tl.rolling_counts(pts, keys, {f"_in_{m}": m for m in sorted(windows)}, width)
+def _burst(pts: DataFrame, keys: list[str], escalates: bool = True) -> DataFrame:
+    """Points with their episode, limits and rolling counts, to one row per
+    episode.  What an episode opened with is carried along its slices, so a
+    hot episode is as spread as a hot key."""
     group = [*keys, "episode"]
-    pts = pts.select(*group, "ts", "n", "so_far", "_threshold", "_limit_count", "_limit_window",
-                     _within(F.col("_window"), windows).alias("_count"),
-                     _within(F.col("_limit_window"), windows).alias("_more"))
+    count, more = F.least("_count", "so_far"), F.least("_more", "so_far")
+    reached = F.when(count >= F.col("_threshold"), F.struct("ts", (F.col("so_far") - F.col("n")).alias("before")))
+    late = F.lit(None).cast("timestamp_ntz")
     if escalates:
-        # Read three times below; written once instead of computed thrice.
+        # Slices and their carry read it twice; written once instead.
         pts = materialize(pts, "counted")
-    reached = F.when(F.col("_count") >= F.col("_threshold"), F.col("ts"))
-    opened = pts.groupBy(*group).agg(
-        F.min(reached).alias("opened_at"), F.max("ts").alias("last_event"), F.sum("n").alias("events"),
-        F.min(F.when(reached.isNotNull(), F.col("so_far") - F.col("n"))).alias("_before"))
-    opened = opened.where(F.col("opened_at").isNotNull())
-    if not escalates:
-        return opened.drop("_before")
-    # Only rows that could escalate meet their episode's opening; a hot
-    # episode in this join is split by AQE like any skewed key.
-    able = pts.where(F.col("_more") >= F.col("_limit_count")).select(
-        *group, "ts", "_more", "_limit_count", "_limit_window")
-    since = F.col("_more") - F.when(F.col("_limit_window").isNull(), F.col("_before")).otherwise(0)
-    escalated = able.join(opened.select(*group, "opened_at", "_before"), group).where(
-        (F.col("ts") >= F.col("opened_at")) & (since >= F.col("_limit_count"))
-    ).groupBy(*group).agg(F.min("ts").alias("escalated_at"))
-    return opened.drop("_before").join(escalated, group, "left")
+        pts = tl.running_min(pts, group, ["ts"], reached, "_open")
+        since = more - F.when(F.col("_limit_window").isNull(), F.col("_open.before")).otherwise(0)
+        late = F.when(F.col("_open").isNotNull() & (since >= F.col("_limit_count")), F.col("ts"))
+    return pts.groupBy(*group).agg(
+        F.min(reached)["ts"].alias("opened_at"), F.max("ts").alias("last_event"), F.sum("n").alias("events"),
+        F.min(late).alias("escalated_at")).where("opened_at IS NOT NULL")
 
 
 def autoclose(incidents: DataFrame, silence_minutes: int | None, as_of: Column) -> DataFrame:
@@ -299,13 +283,10 @@ def burst_by_rules(events: DataFrame, rules: DataFrame, key: str, as_of: Column,
         F.when(by_count, F.col("escalate_count")).alias("_limit_count"),
         F.when(by_count, F.col("escalate_window_minutes")).alias("_limit_window"),
         F.col("base_severity").alias("_base"), F.col("escalate_to_severity").alias("_raised"))
-    pts = tl.points(events, ["rule_name", key], "ts", width).join(table.drop("_base", "_raised"), "rule_name")
-    # Distinct window lengths shape the plan; rules of one length share them.
-    lengths = table.select(F.explode(F.array("_window", "_limit_window")).alias("m")).distinct().where("m is not null")
-    windows = {row.m for row in lengths.collect()}
-    out = _burst(pts, ["rule_name", key], windows, not table.where("_limit_count is not null").isEmpty(), width)
-    if "escalated_at" not in out.columns:
-        out = out.withColumn("escalated_at", F.lit(None).cast("timestamp_ntz"))
+    keys = ["rule_name", key]
+    pts = tl.points(events, keys, "ts", width).join(table.drop("_base", "_raised"), "rule_name")
+    pts = materialize(tl.with_episodes(pts, keys, F.col("_quiet"), keep=LIMITS), "episodes")
+    out = _burst(tl.rolling_by_column(pts, keys, {"_count": "_window", "_more": "_limit_window"}, width), keys)
     end = F.col("last_event") + tl.minutes(F.col("_quiet"))
     return out.join(table.select("rule_name", "_quiet", "_base", "_raised"), "rule_name").select(
         *out.columns, F.when(end <= as_of, end).alias("closed_at"),
@@ -350,17 +331,39 @@ def pair(events: DataFrame, keys: list[str], width: int = tl.HOUR) -> DataFrame:
 
 def pair_by_rules(events: DataFrame, rules: DataFrame, key: str, as_of: Column, width: int = tl.HOUR) -> DataFrame:
     """All pair rules at once over events ``(rule_name, key, ts, id, role)``
-    already assigned to a rule: delay, longest opening and severity by
-    duration come from the rule table."""
+    already assigned to a rule; all limits come from the rule table.
+
+    A rule with a silence closes what is open after it, counted from the
+    key's last start or end; later ends find nothing open.  Openings that end
+    within the delay never opened.  A start within the grace after the last
+    close continues that incident.
+    """
+    keys = ["rule_name", key]
     limits = rules.where("active AND mechanism = 'pair'").select(
-        "rule_name", "open_delay_seconds", "max_open_minutes", "base_severity", "severity_by_duration")
-    found = pair(events, ["rule_name", key], width).join(limits, "rule_name")
+        "rule_name", "open_delay_seconds", "max_open_minutes", "base_severity", "severity_by_duration",
+        F.col("autoclose_silence_minutes").alias("_quiet"), F.col("pair_reopen_grace_minutes").alias("_grace"))
+    roles = events.where(F.col("role").isin("start", "end")).select(*keys, "ts", "id", "role")
+    pts = tl.points(roles, keys, "ts", width).join(limits.select("rule_name", "_quiet"), "rule_name")
+    at = tl.with_episodes(pts, keys, F.col("_quiet")).select(*keys, "ts", "episode")
+    roles = materialize(roles.join(at, [*keys, "ts"]), "pair-episodes")
+    last = roles.groupBy(*keys, "episode").agg(F.max("ts").alias("_last"))
+    found = pair(roles, [*keys, "episode"], width).join(last, [*keys, "episode"]).join(limits, "rule_name")
+    quiet = F.col("_last") + tl.minutes(F.col("_quiet"))
+    found = found.withColumn("closed_at", F.coalesce("closed_at", F.when(quiet <= as_of, quiet)))
     settled = F.col("opened_at") + F.make_dt_interval(secs=F.coalesce("open_delay_seconds", F.lit(-1)))
+    kept = found.where(F.col("closed_at").isNull() | (F.col("closed_at") > settled)).drop("_last", "episode")
+    kept = tl.sliced(materialize(kept, "pairs"), "opened_at", 24 * tl.HOUR)
+    order = ["opened_at", "start_id"]
+    kept = tl.previous(kept, keys, order, F.col("closed_at"), "_closed")
+    again = F.coalesce(F.col("opened_at") <= F.col("_closed") + tl.minutes(F.col("_grace")), F.lit(False))
+    kept = tl.running_max(kept, keys, order, F.when(~again, F.struct(*order)), "_first")
+    whole = kept.groupBy(*keys, "_first", "max_open_minutes", "base_severity", "severity_by_duration").agg(
+        F.when(F.count_if(F.col("closed_at").isNull()) == 0, F.max("closed_at")).alias("closed_at"))
+    whole = whole.select("*", *[F.col("_first")[c].alias(c) for c in order])
     limit, end = F.col("opened_at") + tl.minutes(F.col("max_open_minutes")), F.coalesce("closed_at", as_of)
     severity = severity_at(F.col("severity_by_duration"), F.col("_open"), F.col("base_severity"))
-    kept = found.where(F.col("closed_at").isNull() | (F.col("closed_at") > settled))
-    return kept.withColumn("_open", elapsed_minutes(F.col("opened_at"), end)).select(
-        "rule_name", key, "start_id", "opened_at", "closed_at", F.when(end > limit, limit).alias("overdue_at"),
+    return whole.withColumn("_open", elapsed_minutes(F.col("opened_at"), end)).select(
+        *keys, "start_id", "opened_at", "closed_at", F.when(end > limit, limit).alias("overdue_at"),
         severity.alias("severity"))
 
 
@@ -484,16 +487,17 @@ def expected_at(starts: DataFrame, rules: DataFrame, since: Column, as_of: Colum
     return due.join(met, ["rule_name", "day"], "left_anti").select("rule_name", "target", "day", "due_at", "late_at")
 
 
-def rate(events: DataFrame, key: str, multiplier: float = 5.0, history_hours: int = 336) -> DataFrame:
+def rate(events: DataFrame, key: str | list[str], multiplier: float = 5.0, history_hours: int = 336) -> DataFrame:
     """Hours whose count exceeds a multiple of the median of the hours
     before; no history, no alarm.  Hours without events count as zero from a
     key's first hour to its last.  The window runs over hourly counts."""
-    counted = events.groupBy(key, F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).agg(
+    keys = [key] if isinstance(key, str) else key
+    counted = events.groupBy(*keys, F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).agg(
         F.count("*").alias("events"))
-    span = counted.groupBy(key).agg(F.min("hour").alias("_first"), F.max("hour").alias("_last"))
-    hours = span.select(key, F.explode(F.sequence("_first", "_last", F.expr("INTERVAL 1 HOUR"))).alias("hour"))
-    hourly = hours.join(counted, [key, "hour"], "left").withColumn("events", F.coalesce("events", F.lit(0)))
-    median = tl.over_interval("percentile(events, 0.5)", [key], "hour",
+    span = counted.groupBy(*keys).agg(F.min("hour").alias("_first"), F.max("hour").alias("_last"))
+    hours = span.select(*keys, F.explode(F.sequence("_first", "_last", F.expr("INTERVAL 1 HOUR"))).alias("hour"))
+    hourly = hours.join(counted, [*keys, "hour"], "left").withColumn("events", F.coalesce("events", F.lit(0)))
+    median = tl.over_interval("percentile(events, 0.5)", keys, "hour",
                               f"INTERVAL {history_hours} HOURS PRECEDING", "INTERVAL 1 HOUR PRECEDING")
     rated = hourly.withColumn("median", median)
     return rated.withColumn("alarm", F.coalesce(F.col("events") > F.col("median") * multiplier, F.lit(False)))
@@ -503,6 +507,80 @@ def below_limit(measurements: DataFrame, value: str, limit: float) -> DataFrame:
     return measurements.where(F.col(value) < limit)
 
 
+# --- all rules ---------------------------------------------------------------
+
+SEVERITIES = ("info", "warning", "error", "critical")
+
+
+def worse(a: Column, b: Column) -> Column:
+    """The higher of two severities; null counts as none."""
+    order = F.array(*map(F.lit, SEVERITIES))
+    rank = [F.coalesce(F.array_position(order, c), F.lit(0)) for c in (a, b)]
+    return F.when(rank[0] >= rank[1], a).otherwise(b)
+
+
+def incidents_by_rules(events: DataFrame, rules: DataFrame, key: str, fields: Column, starts: DataFrame,
+                       since: Column, as_of: Column, expected: DataFrame | None = None, multiplier: float = 5.0,
+                       width: int = tl.HOUR) -> DataFrame:
+    """One table of the incidents of all active rules.
+
+    ``events`` has ``rule_name`` (see ``select_rule``), ``incident_type``, the
+    ``key``, ``ts``, ``id`` and ``role``; ``fields`` and ``expected`` are
+    those of ``absence_by_rules``, ``starts`` those of ``expected_at``.  An
+    incident is one of a rule, a kind and a key:
+
+    * ``burst`` and ``pair``: as their evaluators find them,
+    * ``absence``: a silence of the rule's scope, closed by its next event,
+    * ``expected``: a start that did not come; it stays open,
+    * ``rate``: an hour above the limit, closed at the hour's end.
+
+    Rules that escalate by incidents raise an incident at its opening where
+    rule, kind and key then opened the limit's number within the window (all
+    of them without one).  The severity is the worse of what the duration
+    and the escalation ask for.  The plan's size does not depend on the
+    number of rules or of their windows.
+    """
+    active = rules.where("active")
+    own = events.join(active.select("rule_name", F.col("mechanism").alias("_by")), "rule_name")
+    moment = F.lit(None).cast("timestamp_ntz")
+
+    def found(df: DataFrame, kind: str, name: str, opened: Column, closed: Column, raised=moment, overdue=moment) -> DataFrame:
+        return df.select("rule_name", F.lit(kind).alias("kind"), F.col(name).alias("key"), opened.alias("opened_at"),
+                         closed.alias("closed_at"), raised.alias("escalated_at"), overdue.alias("overdue_at"))
+
+    opened, closed = F.col("opened_at"), F.col("closed_at")
+    bursts = burst_by_rules(own.where("_by = 'burst'"), rules, key, as_of, width)
+    pairs = pair_by_rules(own.where("_by = 'pair'"), rules, key, as_of, width)
+    silent = absence_by_rules(events, rules, fields, since, as_of, expected, width)
+    missed = expected_at(starts, active, since, as_of)
+    rated = rate(tl.on_timeline(own.where("_by = 'rate'"), ["rule_name", key]), ["rule_name", key], multiplier).where("alarm")
+    over = F.col("hour") + tl.minutes(60)
+    every = [found(bursts, "burst", key, opened, closed, F.col("escalated_at")),
+             found(pairs, "pair", key, opened, closed, overdue=F.col("overdue_at")),
+             found(silent, "absence", "key", opened, closed),
+             found(missed, "expected", "target", F.col("late_at"), moment),
+             found(rated, "rate", key, F.col("hour"), F.when(over <= as_of, over))]
+    table = every[0]
+    for more in every[1:]:
+        table = table.union(more)
+    table = materialize(table, "incidents")
+
+    by_incidents = F.col("escalate_basis") == "incidents"
+    limits = active.select("rule_name", F.when(by_incidents, F.col("escalate_count")).alias("_limit"),
+                           F.col("escalate_window_minutes").alias("_window"), F.col("base_severity").alias("_base"),
+                           F.col("escalate_to_severity").alias("_raised"), F.col("severity_by_duration").alias("_steps"))
+    keys, day = ["rule_name", "kind", "key"], 24 * tl.HOUR
+    openings = tl.points(table.select(*keys, F.col("opened_at").alias("ts")), keys, "ts", day).join(
+        limits.where("_limit IS NOT NULL").select("rule_name", "_limit", "_window"), "rule_name")
+    counted = tl.rolling_by_column(openings, keys, {"_opened": "_window"}, day)
+    many = counted.where("_opened >= _limit").select(*keys, F.col("ts").alias("opened_at"), F.lit(True).alias("_many"))
+    table = table.join(many, [*keys, "opened_at"], "left").join(limits, "rule_name")
+    raised = F.coalesce("escalated_at", F.when(F.col("_many"), F.col("opened_at")))
+    lasted = elapsed_minutes(F.col("opened_at"), F.coalesce("closed_at", as_of))
+    severity = worse(severity_at(F.col("_steps"), F.col("_open"), F.col("_base")), F.when(raised.isNotNull(), F.col("_raised")))
+    return table.withColumn("_open", lasted).select(*keys, "opened_at", "closed_at", "overdue_at", raised.alias("escalated_at"), severity.alias("severity"))
+
+
 # --- follow-up -------------------------------------------------------------
 
 def ack_notify(incidents: DataFrame, rules: DataFrame) -> DataFrame:

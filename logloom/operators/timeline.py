@@ -75,6 +75,11 @@ def running_max(df: DataFrame, keys: list[str], order: list[str], value: Column,
     return _running(df, keys, order, value, out, F.max, F.greatest)
 
 
+def running_min(df: DataFrame, keys: list[str], order: list[str], value: Column, out: str) -> DataFrame:
+    """Smallest non-null value up to and including the row."""
+    return _running(df, keys, order, value, out, F.min, F.least)
+
+
 def running_sum(df: DataFrame, keys: list[str], order: list[str], value: Column, out: str) -> DataFrame:
     def add(a: Column, b: Column) -> Column:
         return F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
@@ -99,6 +104,25 @@ def rolling_counts(df: DataFrame, keys: list[str], windows: dict[str, int], widt
     return df
 
 
+def rolling_by_column(df: DataFrame, keys: list[str], windows: dict[str, str], width: int = HOUR) -> DataFrame:
+    """As ``rolling_counts``, but ``windows`` names a column of minutes for
+    each count, so rows may differ in their windows: one sweep over rows and
+    probes, whatever the number of lengths.  No window counts all rows of the
+    key up to the row."""
+    rows = df.select(*keys, F.col("ts").alias("_row"), F.col("ts").alias("_t"), "n", F.lit("").alias("_kind"))
+    reach = F.array(*[F.struct(F.lit(name).alias("kind"), F.col(m).alias("m")) for name, m in windows.items()])
+    probes = df.select(*keys, F.col("ts").alias("_row"), F.explode(reach).alias("_p")).where("_p.m IS NOT NULL").select(
+        *keys, "_row", (F.col("_row") - minutes(F.col("_p.m"))).alias("_t"), F.lit(0).cast("bigint").alias("n"), "_p.kind")
+    both = sliced(rows.union(probes), "_t", width).withColumn("_late", F.col("_kind") == "")
+    summed = running_sum(both, keys, ["_t", "_late"], F.col("n"), "_sum")
+
+    def read_at(kind: str) -> Column:
+        return F.max(F.when(F.col("_kind") == kind, F.col("_sum")))
+    counts = summed.groupBy(*keys, F.col("_row").alias("ts")).agg(
+        *[(read_at("") - F.coalesce(read_at(name), F.lit(0))).alias(name) for name in windows])
+    return df.join(counts, [*keys, "ts"])
+
+
 def _rolling_by_copies(df: DataFrame, keys: list[str], windows: dict[str, int], width: int) -> DataFrame:
     """Short windows reach at most into the next slice: a row is copied there,
     feeds the frames, and its copy is dropped again."""

@@ -156,11 +156,11 @@ def inc_escalate_incidents(spark, d):
     return inc.escalate_by_incidents(found, ["host"], 3, 1440)
 
 
-def _rule_branch(rule):
-    r = next(r for r in inc.RULES if r["rule_name"] == rule)
+def _rule_branch(rule, names=None):
+    r, names = next(r for r in inc.RULES if r["rule_name"] == rule), names or BURST_RULES
     quiet = r.get("autoclose_silence_minutes")
     by_count = r.get("escalate_basis") == "occurrences"
-    body = burst_sql(f"(SELECT * FROM ke WHERE id % {len(BURST_RULES)} = {BURST_RULES.index(rule)})", "host",
+    body = burst_sql(f"(SELECT * FROM ke WHERE id % {len(names)} = {names.index(rule)})", "host",
                      r.get("open_threshold_count", 1), r.get("open_window_minutes"), quiet,
                      (r["escalate_count"], r.get("escalate_window_minutes")) if by_count else None)
     escalated = "escalated_at" if by_count else "CAST(NULL AS TIMESTAMP)"
@@ -265,19 +265,36 @@ def _severity_case(rule):
 
 
 def _limit_case(rules, column):
-    return "CASE rule_name " + " ".join(f"WHEN '{r['rule_name']}' THEN {r[column]}" for r in rules if r.get(column)) + " END"
+    cases = " ".join(f"WHEN '{r['rule_name']}' THEN {r[column]}" for r in rules if r.get(column))
+    return f"CASE rule_name {cases} END" if cases else "CAST(NULL AS INTEGER)"
 
 
-@query(f"""
-WITH p AS (SELECT rule_name, user_id, id AS start_id, ts AS opened_at, nxt AS closed_at FROM (
- SELECT *, lead(ts) OVER w AS nxt FROM (SELECT *, lag(role) OVER (PARTITION BY rule_name, user_id ORDER BY ts, id) AS before
-  FROM {_assigned([r["rule_name"] for r in PAIR_RULES], "ke")} WHERE role IS NOT NULL) WHERE role IS DISTINCT FROM before
- WINDOW w AS (PARTITION BY rule_name, user_id ORDER BY ts, id)) WHERE role = 'start'),
-q AS (SELECT *, opened_at + to_minutes({_limit_case(PAIR_RULES, "max_open_minutes")}) AS due,
- date_diff('microsecond', opened_at, coalesce(closed_at, t)) // 60000000 AS m FROM p, last_ts)
-SELECT rule_name, user_id, start_id, opened_at, closed_at, CASE WHEN coalesce(closed_at, t) > due THEN due END AS overdue_at,
- CASE rule_name {" ".join(map(_severity_case, PAIR_RULES))} END AS severity FROM q
-WHERE closed_at IS NULL OR closed_at > opened_at + to_seconds(coalesce({_limit_case(PAIR_RULES, "open_delay_seconds")}, -1))""")
+def _pair_rules_sql(rules, key, source):
+    """Pair rules in the words of the rule table: silence, delay, grace, longest opening, severity by duration."""
+    def limit(column):
+        return f"to_minutes({_limit_case(rules, column)})"
+    return f"""
+WITH r AS (SELECT *, lag(ts) OVER (PARTITION BY rule_name, {key} ORDER BY ts) AS p FROM {source} WHERE role IS NOT NULL),
+e AS (SELECT *, sum(CASE WHEN p IS NULL OR ts > p + {limit("autoclose_silence_minutes")} THEN 1 ELSE 0 END)
+ OVER (PARTITION BY rule_name, {key} ORDER BY ts) AS ep FROM r),
+p AS (SELECT rule_name, {key}, id AS start_id, ts AS opened_at,
+  coalesce(nxt, CASE WHEN last + {limit("autoclose_silence_minutes")} <= t THEN last + {limit("autoclose_silence_minutes")} END) AS closed_at
+ FROM (SELECT *, lead(ts) OVER w AS nxt FROM (SELECT *, lag(role) OVER (PARTITION BY rule_name, {key}, ep ORDER BY ts, id) AS before,
+   max(ts) OVER (PARTITION BY rule_name, {key}, ep) AS last FROM e) WHERE role IS DISTINCT FROM before
+  WINDOW w AS (PARTITION BY rule_name, {key}, ep ORDER BY ts, id)), last_ts WHERE role = 'start'),
+d AS (SELECT *, lag(closed_at) OVER (PARTITION BY rule_name, {key} ORDER BY opened_at, start_id) AS c FROM p
+ WHERE closed_at IS NULL OR closed_at > opened_at + to_seconds(coalesce({_limit_case(rules, "open_delay_seconds")}, -1))),
+g AS (SELECT *, sum(CASE WHEN opened_at <= c + {limit("pair_reopen_grace_minutes")} THEN 0 ELSE 1 END)
+ OVER (PARTITION BY rule_name, {key} ORDER BY opened_at, start_id) AS part FROM d),
+m AS (SELECT rule_name, {key}, min_by(start_id, struct_pack(a := opened_at, b := start_id)) AS start_id, min(opened_at) AS opened_at,
+ CASE WHEN count(*) = count(closed_at) THEN max(closed_at) END AS closed_at FROM g GROUP BY rule_name, {key}, part),
+q AS (SELECT *, opened_at + {limit("max_open_minutes")} AS due,
+ date_diff('microsecond', opened_at, coalesce(closed_at, t)) // 60000000 AS m FROM m, last_ts)
+SELECT rule_name, {key}, start_id, opened_at, closed_at, CASE WHEN coalesce(closed_at, t) > due THEN due END AS overdue_at,
+ CASE rule_name {" ".join(map(_severity_case, rules))} END AS severity FROM q"""
+
+
+@query(_pair_rules_sql(PAIR_RULES, "user_id", _assigned([r["rule_name"] for r in PAIR_RULES], "ke")))
 def inc_pair_rules(spark, d):
     """All active pair rules; every event is assigned to one of them by its id."""
     return inc.pair_by_rules(_by_id(_keyed(spark, d), PAIR_RULES), inc.rule_config(spark), "user_id", fx.as_of(spark, d))
@@ -324,13 +341,23 @@ ABSENCE_RULES = [*_rules_with(expected_every_minutes=None), SILENT_HOST]
 @query(" UNION ALL ".join(map(_absence_rule_sql, ABSENCE_RULES)))
 def inc_absence_rules(spark, d):
     """All rules with an expected interval, each over its own scope: the whole stream, a host, an incident type, any host."""
-    kind = F.col("event_type")
-    ev = _keyed(spark, d).withColumn("incident_type", F.when(kind == "click", "I-12").when(kind == "error", "I-13"))
-    hosts = ev.select(F.lit("host").alias("scope"), F.col("host").alias("value")).distinct()
-    expected = hosts.union(spark.createDataFrame([("host", "NeverSeen")], "scope string, value string"))
     since = fx.table(spark, d, "events").agg(F.min("ts")).scalar()
-    return inc.absence_by_rules(ev, inc.rule_config(spark, (*inc.RULES, SILENT_HOST)), F.create_map(F.lit("host"), F.col("host")),
-                                since, fx.as_of(spark, d), expected)
+    return inc.absence_by_rules(_typed(spark, d), inc.rule_config(spark, (*inc.RULES, SILENT_HOST)), _host_field(),
+                                since, fx.as_of(spark, d), _expected_hosts(spark, d))
+
+
+def _host_field():
+    return F.create_map(F.lit("host"), F.col("host"))
+
+
+def _typed(spark, d):
+    kind = F.col("event_type")
+    return _keyed(spark, d).withColumn("incident_type", F.when(kind == "click", "I-12").when(kind == "error", "I-13"))
+
+
+def _expected_hosts(spark, d):
+    hosts = _keyed(spark, d).select(F.lit("host").alias("scope"), F.col("host").alias("value")).distinct()
+    return hosts.union(spark.createDataFrame([("host", "NeverSeen")], "scope string, value string"))
 
 
 def absence_sql(key: str, minutes: int) -> str:
@@ -349,7 +376,7 @@ def inc_absence(spark, d):
     return inc.absence(ev, ["host"], 100, now).unionByName(stream)
 
 
-@query("""
+EXPECTED_SQL = """
 WITH s AS (SELECT ts, CASE WHEN id % 3 = 0 THEN 'Synology C2' WHEN id % 3 = 1 THEN 'USBFestplatte' ELSE 'paperless-ngx' END AS target
  FROM ke WHERE event_type = 'view'),
 dd AS (SELECT rule_name, match_value AS target, CAST(day AS DATE) AS day,
@@ -358,22 +385,31 @@ dd AS (SELECT rule_name, match_value AS target, CAST(day AS DATE) AS day,
   unnest(range(date_trunc('day', lo AT TIME ZONE 'UTC' AT TIME ZONE timezone), hi AT TIME ZONE 'UTC' AT TIME ZONE timezone, INTERVAL 1 DAY)) AS day
   FROM rules, (SELECT min(ts) AS lo, max(ts) + INTERVAL 1 MICROSECOND AS hi FROM events) WHERE expected_at_local IS NOT NULL))
 SELECT rule_name, target, day, due_at, due_at + INTERVAL 30 MINUTE AS late_at FROM dd, last_ts
-WHERE due_at + INTERVAL 30 MINUTE <= t AND NOT EXISTS (SELECT 1 FROM s WHERE s.target = dd.target AND s.ts >= due_at AND s.ts < due_at + INTERVAL 30 MINUTE)""")
-def inc_expected_at(spark, d):
+WHERE due_at + INTERVAL 30 MINUTE <= t AND NOT EXISTS (SELECT 1 FROM s WHERE s.target = dd.target AND s.ts >= due_at AND s.ts < due_at + INTERVAL 30 MINUTE)"""
+
+
+def _starts(spark, d):
     third = F.col("id") % 3
     target = F.when(third == 0, "Synology C2").when(third == 1, "USBFestplatte").otherwise("paperless-ngx")
-    starts = _keyed(spark, d).where("event_type = 'view'").select("ts", target.alias("target"))
+    return _keyed(spark, d).where("event_type = 'view'").select("ts", target.alias("target"))
+
+
+@query(EXPECTED_SQL)
+def inc_expected_at(spark, d):
     since = fx.table(spark, d, "events").agg(F.min("ts")).scalar()
-    return inc.expected_at(starts, inc.rule_config(spark), since, fx.as_of(spark, d))
+    return inc.expected_at(_starts(spark, d), inc.rule_config(spark), since, fx.as_of(spark, d))
 
 
-@query("""
-WITH c AS (SELECT host, date_trunc('hour', ts) AS hour, count(*) AS n FROM ke GROUP BY 1, 2),
+RATE_SQL = """
+WITH c AS (SELECT host, date_trunc('hour', ts) AS hour, count(*) AS n FROM {0} GROUP BY 1, 2),
 a AS (SELECT host, unnest(generate_series(min(hour), max(hour), INTERVAL 1 HOUR)) AS hour FROM c GROUP BY host),
 h AS (SELECT host, hour, coalesce(n, 0) AS events FROM a LEFT JOIN c USING (host, hour)),
 m AS (SELECT *, quantile_cont(events, 0.5) OVER (PARTITION BY host ORDER BY hour RANGE BETWEEN INTERVAL 336 HOUR PRECEDING
  AND INTERVAL 1 HOUR PRECEDING) AS median FROM h)
-SELECT host, hour, events, CAST(median AS DOUBLE) AS median, coalesce(events > median * 1.5, false) AS alarm FROM m""")
+SELECT host, hour, events, CAST(median AS DOUBLE) AS median, coalesce(events > median * 1.5, false) AS alarm FROM m"""
+
+
+@query(RATE_SQL.format("ke"))
 def inc_rate(spark, d):
     return inc.rate(_keyed(spark, d), "host", 1.5)
 
@@ -397,3 +433,51 @@ def inc_catch_all(spark, d):
     return inc.catch_all(chosen).select("id", "priority", "incident_type")
 
 
+# --- all rules in one table ------------------------------------------------
+
+#: One more rule: pairs that continue within a grace and escalate by incidents of any age.
+REOPENED = dict(rule_name="x-reopen", incident_type="I-03", mechanism="pair", base_severity="info", max_open_minutes=600,
+                pair_reopen_grace_minutes=240, escalate_count=5, escalate_basis="incidents", escalate_to_severity="error")
+ALL_RULES = [*inc.RULES, SILENT_HOST, REOPENED]
+PAIRED = [*PAIR_RULES, REOPENED]
+#: Rules that events are assigned to, by their id.
+OWNED = [*BURST_RULES, *[r["rule_name"] for r in PAIRED], "i15"]
+
+
+def _all_rules_sql():
+    none = "CAST(NULL AS TIMESTAMP)"
+    bursts = " UNION ALL ".join(_rule_branch(r, OWNED) for r in BURST_RULES)
+    pairs = _pair_rules_sql(PAIRED, "host", f"(SELECT * FROM {_assigned(OWNED, 'ke')} WHERE rule_name IN "
+                            f"({', '.join(repr(r['rule_name']) for r in PAIRED)}))")
+    absences = " UNION ALL ".join(map(_absence_rule_sql, ABSENCE_RULES))
+    rates = RATE_SQL.format(f"(SELECT * FROM ke WHERE id % {len(OWNED)} = {OWNED.index('i15')})")
+    counted = [r | {"_n": r["escalate_count"]} for r in ALL_RULES if r.get("escalate_basis") == "incidents"]
+    # A rule without a window counts incidents of any age: a window longer than the data.
+    windows = [r | {"_w": r.get("escalate_window_minutes") or 10**7} for r in counted]
+    base = " ".join(map(_severity_case, ALL_RULES))
+    raised = " ".join(f"WHEN '{r['rule_name']}' THEN '{r['escalate_to_severity']}'" for r in ALL_RULES if r.get("escalate_to_severity"))
+    order = "['info', 'warning', 'error', 'critical']"
+    return f"""
+WITH f AS (
+ SELECT rule_name, 'burst' AS kind, host AS key, opened_at, closed_at, escalated_at AS e, {none} AS overdue_at FROM ({bursts})
+ UNION ALL SELECT rule_name, 'pair', host, opened_at, closed_at, {none}, overdue_at FROM ({pairs})
+ UNION ALL SELECT rule_name, 'absence', key, opened_at, closed_at, {none}, {none} FROM ({absences})
+ UNION ALL SELECT rule_name, 'expected', target, late_at, {none}, {none}, {none} FROM ({EXPECTED_SQL})
+ UNION ALL SELECT 'i15', 'rate', host, hour, CASE WHEN hour + INTERVAL 1 HOUR <= t THEN hour + INTERVAL 1 HOUR END, {none}, {none}
+  FROM ({rates}), last_ts WHERE alarm),
+n AS (SELECT *, (SELECT count(*) FROM f g WHERE g.rule_name = f.rule_name AND g.kind = f.kind AND g.key = f.key
+ AND g.opened_at <= f.opened_at AND g.opened_at >= f.opened_at - to_minutes({_limit_case(windows, "_w")})) AS opened FROM f),
+x AS (SELECT *, coalesce(e, CASE WHEN opened >= {_limit_case(counted, "_n")} THEN opened_at END) AS escalated_at,
+ date_diff('microsecond', opened_at, coalesce(closed_at, t)) // 60000000 AS m FROM n, last_ts),
+s AS (SELECT *, CASE rule_name {base} END AS by_time, CASE WHEN escalated_at IS NOT NULL THEN CASE rule_name {raised} END END AS up FROM x)
+SELECT rule_name, kind, key, opened_at, closed_at, overdue_at, escalated_at,
+ CASE WHEN coalesce(list_position({order}, up), 0) > list_position({order}, by_time) THEN up ELSE by_time END AS severity FROM s"""
+
+
+@query(_all_rules_sql())
+def inc_rules(spark, d):
+    """All rules over the same events, in one table."""
+    names = F.element_at(F.array(*map(F.lit, OWNED)), (F.col("id") % len(OWNED) + 1).cast("int"))
+    since = fx.table(spark, d, "events").agg(F.min("ts")).scalar()
+    return inc.incidents_by_rules(_typed(spark, d).withColumn("rule_name", names), inc.rule_config(spark, ALL_RULES), "host",
+                                  _host_field(), _starts(spark, d), since, fx.as_of(spark, d), _expected_hosts(spark, d), 1.5)

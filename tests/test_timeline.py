@@ -130,3 +130,82 @@ def test_hot_key_is_spread(frame):
 def test_event_without_key_is_left_out(spark):
     df = spark.createDataFrame([(None, START), ("a", START)], "key string, ts timestamp_ntz")
     assert inc.burst(df, ["key"], 1).count() == 1
+
+
+def test_windows_given_as_column(frame, events):
+    """Keys with windows of their own, among them none, in one sweep."""
+    windows = {"hot": 40, "a": 5, "b": None, "c": 700}
+    pts = tl.points(frame, ["key"]).withColumn("m", F.create_map(*[F.lit(x) for kv in windows.items() for x in kv])[F.col("key")])
+    got = {(r.key, r.ts): r.c for r in tl.rolling_by_column(pts, ["key"], {"c": "m"}, 900).collect()}
+    for key, rows in by_key(events).items():
+        for t in {r[0] for r in rows}:
+            low = START - timedelta(days=1) if windows[key] is None else t - timedelta(minutes=windows[key])
+            assert got[(key, t)] == sum(low <= r[0] <= t for r in rows)
+
+
+PAIRS = [dict(rule_name="quiet", autoclose_silence_minutes=30), dict(rule_name="grace", pair_reopen_grace_minutes=90),
+         dict(rule_name="both", autoclose_silence_minutes=45, pair_reopen_grace_minutes=60, open_delay_seconds=200),
+         dict(rule_name="plain")]
+
+
+def plain_pairs(rows, rule, as_of):
+    quiet, grace = (rule.get(c) for c in ("autoclose_silence_minutes", "pair_reopen_grace_minutes"))
+    delay, out, opened, before = rule.get("open_delay_seconds", -1), [], None, None
+    for ts, i, role in [r for r in rows if r[2]] + [(as_of + timedelta(days=99), None, None)]:
+        if opened and quiet and ts > before + timedelta(minutes=quiet):
+            end = before + timedelta(minutes=quiet)
+            out.append((*opened, end if end <= as_of else None))
+            opened = None
+        if opened and (role == "end" or role is None):
+            out.append((*opened, ts if role else None))
+            opened = None
+        elif role == "start" and not opened:
+            opened = (i, ts)
+        before = ts
+    out = [r for r in out if r[2] is None or r[2] > r[1] + timedelta(seconds=delay)]
+    merged = []
+    for i, ts, end in out:
+        last = merged[-1] if merged else None
+        if last and grace and last[2] and ts <= last[2] + timedelta(minutes=grace):
+            merged[-1] = (last[0], last[1], end)
+        else:
+            merged.append((i, ts, end))
+    return set(merged)
+
+
+def test_pair_rules_close_by_silence_and_continue_within_grace(spark, frame, events):
+    rules = inc.rule_config(spark, [dict(incident_type="I-03", mechanism="pair", base_severity="info") | r for r in PAIRS])
+    rows = frame.crossJoin(spark.createDataFrame([(r["rule_name"],) for r in PAIRS], "rule_name string"))
+    as_of = max(e[2] for e in events)
+    out = inc.pair_by_rules(rows, rules, "key", F.lit(as_of).cast("timestamp_ntz"), 1800).collect()
+    for rule in PAIRS:
+        for key, own in by_key(events).items():
+            got = {(r.start_id, r.opened_at, r.closed_at) for r in out if r.rule_name == rule["rule_name"] and r.key == key}
+            assert got == plain_pairs(own, rule, as_of), (rule, key)
+
+
+def test_rules_escalate_by_incidents(spark):
+    """The third incident within an hour is raised, one of another key is not; the plan does not grow with the rules."""
+    at = lambda m: START + timedelta(minutes=m)
+    rule = dict(rule_name="r", incident_type="I-08", mechanism="burst", base_severity="warning", autoclose_silence_minutes=5,
+                escalate_count=3, escalate_window_minutes=60, escalate_basis="incidents", escalate_to_severity="error")
+    schema = "id int, key string, ts timestamp_ntz, role string, rule_name string, incident_type string"
+    rows = [(i, k, at(m), None, "r", "I-08") for i, (k, m) in enumerate(
+        [("a", 0), ("a", 20), ("b", 25), ("a", 60), ("a", 121)])]
+    rows += [(9, None, at(1), None, "r", "I-08"), (10, "a", None, None, "r", "I-08"), (11, "a", at(2), None, None, None)]
+    events = spark.createDataFrame(rows, schema)
+    starts, now = spark.createDataFrame([], "target string, ts timestamp_ntz"), F.lit(at(200)).cast("timestamp_ntz")
+
+    def found(rules):
+        return inc.incidents_by_rules(events, inc.rule_config(spark, rules), "key", F.create_map(F.lit("host"), F.col("key")),
+                                      starts, F.lit(START).cast("timestamp_ntz"), now)
+
+    def exchanges(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+    one = found([rule])
+    size = exchanges(one)
+    got = {(r.kind, r.key, r.opened_at, r.closed_at, r.escalated_at, r.severity) for r in one.collect()}
+    assert got == {("burst", k, at(m), at(m + 5), at(m) if up else None, "error" if up else "warning")
+                   for k, m, up in [("a", 0, 0), ("a", 20, 0), ("b", 25, 0), ("a", 60, 1), ("a", 121, 0)]}
+    many = [rule] + [rule | dict(rule_name=f"r{n}", escalate_window_minutes=n, open_window_minutes=n) for n in range(1, 20)]
+    assert exchanges(found(many)) == size
