@@ -428,23 +428,33 @@ def absence_by_rules(events: DataFrame, rules: DataFrame, fields: Column, since:
     and each (scope, value) of ``expected`` for rules that take any value, is
     listened for from ``since`` on, so one that never spoke alarms too; its
     ``last_event`` is null.
+
+    No two events of a stretch as short as the scope's shortest limit are a
+    silence apart, so only the first and last event of each such stretch are
+    kept, found by partial aggregation; no task sorts the events of a scope.
     """
     scopes = rule_scopes(rules)
+    # One row per scope, so small whatever the number of rules.  Shuffled by
+    # scope instead, the whole stream would be one task's.
+    shortest = F.broadcast(scopes.groupBy("scope").agg(F.min("expected_every_minutes").alias("_every")))
     entry = "array<struct<key:string,value:string>>"
     heard = F.concat(F.array(F.struct(F.lit("stream").alias("key"), F.lit("all").alias("value")),
                              F.struct(F.lit("incident_type").alias("key"), F.col("incident_type").alias("value"))).cast(entry),
                      F.coalesce(F.map_entries(fields), F.array()).cast(entry))
     rows = events.select("ts", F.explode(heard).alias("_e")).select("ts", F.col("_e.key").alias("scope"), "_e.value")
-    rows = rows.join(scopes.select("scope").distinct(), "scope")
     keys = ["scope", "value"]
+    rows = tl.on_timeline(rows.join(shortest, "scope"), keys).where(F.col("ts") >= since)
+    heard = tl.stretches(rows, keys, F.col("_every")).select(*keys, "_every", "ts", "last", F.lit(1).alias("n"))
     named = scopes.where("value IS NOT NULL").select(*keys)
     if expected is not None:
         named = named.union(expected.select(*keys).join(scopes.where("value IS NULL").select("scope").distinct(), "scope")
                             .select(*keys))
-    begin = tl.sliced(named.distinct().select(*keys, since.cast("timestamp_ntz").alias("ts"), F.lit(0).cast("long").alias("n")),
-                      "ts", width)
-    pts = tl.points(rows, keys, "ts", width).where(F.col("ts") >= since).unionByName(begin)
-    pts = tl.following(pts, keys, ["ts", "n"], F.col("ts"), "next_event")
+    begin = named.distinct().join(shortest, "scope").select(*keys, "_every", since.cast("timestamp_ntz").alias("ts"))
+    begin = begin.select("*", F.col("ts").alias("last"), F.lit(0).alias("n"))
+    pts = tl.following(tl.sliced(heard.unionByName(begin), "ts", width), keys, ["ts", "n"], F.col("ts"), "next_event")
+    pts = pts.select(*keys, F.col("last").alias("ts"), "n", "next_event", "_every")
+    # Only what is a silence for some rule meets the rules.
+    pts = pts.where(F.coalesce("next_event", as_of) > F.col("ts") + tl.minutes(F.col("_every")))
     one = scopes.where("value IS NOT NULL")
     anyone = scopes.where("value IS NULL").drop("value")
     gaps = pts.join(one, keys).unionByName(pts.join(anyone, "scope"))

@@ -42,6 +42,17 @@ def on_timeline(events: DataFrame, keys: list[str], ts: str = "ts") -> DataFrame
     return events.dropna(subset=[*keys, ts])
 
 
+def stretches(events: DataFrame, keys: list[str], length: Column, ts: str = "ts") -> DataFrame:
+    """First event (``ts``) and ``last`` event of each key's stretches of
+    ``length`` minutes, a column of one value per key that is kept; without
+    a positive length each instant is one.  Events of a stretch lie less than
+    its length apart."""
+    at, span = F.unix_micros(F.col(ts).cast("timestamp")), F.greatest(length, F.lit(0)).cast("bigint") * 60_000_000
+    begins = at - F.pmod(at, F.greatest(span, F.lit(1)))
+    return events.withColumn("_begins", begins).groupBy(*keys, length, "_begins").agg(
+        F.min(ts).alias("ts"), F.max(ts).alias("last")).drop("_begins")
+
+
 def _neighbour(df: DataFrame, keys: list[str], order: list[str], value: Column, out: str, ahead: bool) -> DataFrame:
     """Value of the previous (or next) row of the same key."""
     by = [*keys, SLICE]

@@ -1,5 +1,6 @@
 """Rule selection, silences by scope, and loaded denylists against plain Python."""
 
+import random
 import re
 from datetime import datetime, timedelta
 
@@ -82,3 +83,51 @@ def test_backup_holds_filtered_lines_and_replays_once(spark, tmp_path):
     assert sorted(r.message for r in events.collect()) == ["kept line", "m", "text"]
     times = {r.message: r.t for r in events.select("message", F.col("event_ts").cast("timestamp_ntz").alias("t")).collect()}
     assert times == {"kept line": T + timedelta(seconds=0.5), "text": T, "m": T}
+
+
+def _scope_rules(spark, minutes=(7, 20, 45)):
+    rules = [dict(rule_name=f"all{m}", mechanism="absence", base_severity="info", expected_every_minutes=m) for m in minutes]
+    rules.append(dict(rule_name="any", mechanism="absence", base_severity="info", match_field="host", expected_every_minutes=30))
+    return inc.rule_config(spark, rules)
+
+
+def test_silences_of_several_limits_against_plain_python(spark):
+    """Stretches are as long as the scope's shortest limit, also before 1970 and where gaps equal a limit."""
+    rng, clock, rows = random.Random(5), datetime(1969, 12, 31, 20), []
+    for _ in range(250):
+        clock += timedelta(seconds=rng.choice([0, 0, 1, 60, 419, 420, 421, 1200, 1201, 1800, 1801, 2700, 2701]))
+        rows.append((clock, rng.choice(["h", "h", "g", None])))
+    df = spark.createDataFrame(rows + [(None, "h")], "ts timestamp_ntz, host string").withColumn("incident_type", F.lit(None).cast("string"))
+    since, now = (F.lit(t).cast("timestamp_ntz") for t in (rows[3][0], clock))
+    got = inc.absence_by_rules(df, _scope_rules(spark), F.create_map(F.lit("host"), F.col("host")), since, now, width=900)
+    got = sorted(((r.rule_name, r.key, r.last_event, r.closed_at) for r in got.collect()), key=repr)
+    want = []
+    for name, minutes in (("all7", 7), ("all20", 20), ("all45", 45), ("any", 30)):
+        for key in ("h", "g") if name == "any" else ("all",):
+            at = sorted(t for t, host in rows if t >= rows[3][0] and key in ("all", host))
+            at = [(t, 1) for t in at] if name == "any" else [(rows[3][0], 0), *((t, 1) for t in at)]
+            want += [(name, key, a if heard else None, b if b is not None else None)
+                     for (a, heard), b in zip(at, [*(t for t, _ in at[1:]), None])
+                     if (b or clock) > a + timedelta(minutes=minutes)]
+    assert got == sorted(want, key=repr) and len({r[0] for r in got}) == 4
+
+
+def _exchanges(df):
+    """The keys by which the plan's shuffles deal rows out, before anything has run."""
+    plan = df._jdf.queryExecution().executedPlan().treeString()
+    return [re.sub(r"#\d+", "", keys).split(", ")[:-1] for keys in re.findall(r"hashpartitioning\(([^)]*)\)", plan)]
+
+
+def _one_rule(spark):
+    df = spark.range(50).select(
+        "id", (F.lit(T).cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id"))).alias("ts"), F.lit("h").alias("host"),
+        F.lit("start").alias("role"), F.lit("I-1").alias("incident_type"), F.lit("r").alias("rule_name"))
+    return df, F.lit(T + timedelta(minutes=1)).cast("timestamp_ntz")
+
+
+def test_no_task_takes_a_whole_scope(spark):
+    df, now = _one_rule(spark)
+    fields, since = F.create_map(F.lit("host"), F.col("host")), F.lit(T).cast("timestamp_ntz")
+    dealt = _exchanges(inc.absence_by_rules(df, _scope_rules(spark), fields, since, now))
+    # Events leave their tasks as stretches, and no shuffle deals single instants.
+    assert [k for k in dealt if "_beginsL" in k] and not [k for k in dealt if k == ["scope", "value", "ts"]]
