@@ -284,11 +284,12 @@ def burst_by_rules(events: DataFrame, rules: DataFrame, key: str, as_of: Column,
         F.when(by_count, F.col("escalate_window_minutes")).alias("_limit_window"),
         F.col("base_severity").alias("_base"), F.col("escalate_to_severity").alias("_raised"))
     keys = ["rule_name", key]
-    pts = tl.points(events, keys, "ts", width).join(table.drop("_base", "_raised"), "rule_name")
+    # The rules go to the events: shuffled by rule, a hot one would be one task's.
+    pts = tl.points(events, keys, "ts", width).join(F.broadcast(table.drop("_base", "_raised")), "rule_name")
     pts = materialize(tl.with_episodes(pts, keys, F.col("_quiet"), keep=LIMITS), "episodes")
     out = _burst(tl.rolling_by_column(pts, keys, {"_count": "_window", "_more": "_limit_window"}, width), keys)
     end = F.col("last_event") + tl.minutes(F.col("_quiet"))
-    return out.join(table.select("rule_name", "_quiet", "_base", "_raised"), "rule_name").select(
+    return out.join(F.broadcast(table.select("rule_name", "_quiet", "_base", "_raised")), "rule_name").select(
         *out.columns, F.when(end <= as_of, end).alias("closed_at"),
         F.when(F.col("escalated_at").isNotNull(), F.col("_raised")).otherwise(F.col("_base")).alias("severity"))
 
@@ -343,11 +344,11 @@ def pair_by_rules(events: DataFrame, rules: DataFrame, key: str, as_of: Column,
         "rule_name", "open_delay_seconds", "max_open_minutes", "base_severity", "severity_by_duration",
         F.col("autoclose_silence_minutes").alias("_quiet"), F.col("pair_reopen_grace_minutes").alias("_grace"))
     roles = events.where(F.col("role").isin("start", "end")).select(*keys, "ts", "id", "role")
-    pts = tl.points(roles, keys, "ts", width).join(limits.select("rule_name", "_quiet"), "rule_name")
+    pts = tl.points(roles, keys, "ts", width).join(F.broadcast(limits.select("rule_name", "_quiet")), "rule_name")
     at = tl.with_episodes(pts, keys, F.col("_quiet")).select(*keys, "ts", "episode")
     roles = materialize(roles.join(at, [*keys, "ts"]), "pair-episodes")
     last = roles.groupBy(*keys, "episode").agg(F.max("ts").alias("_last"))
-    found = pair(roles, [*keys, "episode"], width).join(last, [*keys, "episode"]).join(limits, "rule_name")
+    found = pair(roles, [*keys, "episode"], width).join(last, [*keys, "episode"]).join(F.broadcast(limits), "rule_name")
     quiet = F.col("_last") + tl.minutes(F.col("_quiet"))
     found = found.withColumn("closed_at", F.coalesce("closed_at", F.when(quiet <= as_of, quiet)))
     settled = F.col("opened_at") + F.make_dt_interval(secs=F.coalesce("open_delay_seconds", F.lit(-1)))
@@ -551,7 +552,7 @@ def incidents_by_rules(events: DataFrame, rules: DataFrame, key: str, fields: Co
     number of rules or of their windows.
     """
     active = rules.where("active")
-    own = events.join(active.select("rule_name", F.col("mechanism").alias("_by")), "rule_name")
+    own = events.join(F.broadcast(active.select("rule_name", F.col("mechanism").alias("_by"))), "rule_name")
     moment = F.lit(None).cast("timestamp_ntz")
 
     def found(df: DataFrame, kind: str, name: str, opened: Column, closed: Column, raised=moment, overdue=moment) -> DataFrame:
@@ -581,10 +582,10 @@ def incidents_by_rules(events: DataFrame, rules: DataFrame, key: str, fields: Co
                            F.col("escalate_to_severity").alias("_raised"), F.col("severity_by_duration").alias("_steps"))
     keys, day = ["rule_name", "kind", "key"], 24 * tl.HOUR
     openings = tl.points(table.select(*keys, F.col("opened_at").alias("ts")), keys, "ts", day).join(
-        limits.where("_limit IS NOT NULL").select("rule_name", "_limit", "_window"), "rule_name")
+        F.broadcast(limits.where("_limit IS NOT NULL").select("rule_name", "_limit", "_window")), "rule_name")
     counted = tl.rolling_by_column(openings, keys, {"_opened": "_window"}, day)
     many = counted.where("_opened >= _limit").select(*keys, F.col("ts").alias("opened_at"), F.lit(True).alias("_many"))
-    table = table.join(many, [*keys, "opened_at"], "left").join(limits, "rule_name")
+    table = table.join(many, [*keys, "opened_at"], "left").join(F.broadcast(limits), "rule_name")
     raised = F.coalesce("escalated_at", F.when(F.col("_many"), F.col("opened_at")))
     lasted = elapsed_minutes(F.col("opened_at"), F.coalesce("closed_at", as_of))
     severity = worse(severity_at(F.col("_steps"), F.col("_open"), F.col("_base")), F.when(raised.isNotNull(), F.col("_raised")))

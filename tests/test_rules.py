@@ -131,3 +131,16 @@ def test_no_task_takes_a_whole_scope(spark):
     dealt = _exchanges(inc.absence_by_rules(df, _scope_rules(spark), fields, since, now))
     # Events leave their tasks as stretches, and no shuffle deals single instants.
     assert [k for k in dealt if "_beginsL" in k] and not [k for k in dealt if k == ["scope", "value", "ts"]]
+
+
+def test_no_task_takes_a_whole_rule(spark):
+    df, now = _one_rule(spark)
+    small = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(small)
+    spark.conf.set(small, "-1")  # as where the planner does not know that the rules are few
+    try:
+        for evaluate, kind in ((inc.pair_by_rules, "pair"), (inc.burst_by_rules, "burst")):
+            rules = inc.rule_config(spark, [dict(rule_name="r", mechanism=kind, base_severity="info")])
+            assert ["rule_name"] not in _exchanges(evaluate(df, rules, "host", now))
+    finally:
+        spark.conf.set(small, before)
