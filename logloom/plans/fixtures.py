@@ -63,11 +63,15 @@ def monitoring_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fingerprinted(spark: SparkSession, sf_dir: str, ruleset: RuleSet = RULES_V1) -> DataFrame:
+    # All token rules behind these message columns are one generated method of more than 8,000 bytes, which HotSpot only
+    # interprets; above the limit Spark generates the same projection in smaller methods.
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return with_fingerprint(monitoring_events(spark, sf_dir), ruleset)
 
 
-def bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bridge_rows(fingerprinted(spark, sf_dir))
+def bridge(spark: SparkSession, sf_dir: str, forms: DataFrame | None = None) -> DataFrame:
+    """From ``forms``, where the fingerprinted events are already written."""
+    return bridge_rows(forms or fingerprinted(spark, sf_dir))
 
 
 def reviewed(register: DataFrame) -> DataFrame:
@@ -82,8 +86,8 @@ def reviewed(register: DataFrame) -> DataFrame:
         F.when(r == 1, '{"rolle":"start","severity":"warning","stille_minuten":30}').alias("llm_vorschlag"))
 
 
-def register(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reviewed(register_delta(fingerprinted(spark, sf_dir)))
+def register(spark: SparkSession, sf_dir: str, forms: DataFrame | None = None) -> DataFrame:
+    return reviewed(register_delta(forms or fingerprinted(spark, sf_dir)))
 
 
 def cut_id(spark: SparkSession, sf_dir: str) -> int:
