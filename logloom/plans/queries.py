@@ -527,16 +527,18 @@ def triage_heartbeat(spark, d):
     return reg.triage_heartbeat(runs)
 
 
-def _moved(spark, d):
-    return mig.moved_events(fx.bridge(spark, d), fx.monitoring_events(spark, d), RULES_V2, (1, 1))
+def _moved(spark, d, forms=None):
+    return mig.moved_events(fx.bridge(spark, d, forms), fx.monitoring_events(spark, d), RULES_V2, (1, 1))
 
 
-def _moves(spark, d):
-    return materialize(mig.moves_of(_moved(spark, d), fx.monitoring_events(spark, d)), "moves")
+def _moves(spark, d, forms=None):
+    return materialize(mig.moves_of(_moved(spark, d, forms), fx.monitoring_events(spark, d)), "moves")
 
 
-def _register(spark, d):
-    return materialize(fx.register(spark, d), "register")
+def _moves_and_register(spark, d):
+    """The old forms stand behind both, so they are worked out once."""
+    forms = materialize(fx.fingerprinted(spark, d), "forms")
+    return _moves(spark, d, forms), materialize(fx.register(spark, d, forms), "register")
 
 
 @query("SELECT event_id, old_fingerprint, new_fingerprint FROM moved")
@@ -742,12 +744,12 @@ def migrate_targets(spark, d):
 
 @query("SELECT * FROM outcome")
 def migrate_outcome(spark, d):
-    return mig.migrate_outcome(_moves(spark, d), _register(spark, d))
+    return mig.migrate_outcome(*_moves_and_register(spark, d))
 
 
 @query("SELECT outcome, count(*) AS old_forms FROM outcome GROUP BY outcome")
 def migrate_summary(spark, d):
-    return mig.migrate_summary(mig.migrate_outcome(_moves(spark, d), _register(spark, d)))
+    return mig.migrate_summary(mig.migrate_outcome(*_moves_and_register(spark, d)))
 
 
 @query("SELECT old_fingerprint, count(*) AS targets, CAST(sum(events) AS BIGINT) AS events, 'dry-run' AS outcome "
@@ -768,7 +770,7 @@ SELECT a.fingerprint, a.host, a.program, a.cleaned AS beispiel_roh, a.erstmals,
 FROM a LEFT JOIN verdict v ON v.target = a.fingerprint
 LEFT JOIN src own ON own.old_fingerprint = a.fingerprint AND own.target = a.fingerprint""")
 def migrate_register(spark, d):
-    return mig.migrate_register(_moves(spark, d), _register(spark, d), RULES_V2)
+    return mig.migrate_register(*_moves_and_register(spark, d), RULES_V2)
 
 
 @query("SELECT event_id, new_fingerprint AS fingerprint, 1 AS cleaner_ver, 2 AS normalizer_ver, computed_at, bom_missing, "
@@ -784,14 +786,14 @@ def _listing(word):
 
 @query(_listing("conflict"))
 def migrate_conflicts(spark, d):
-    moves = _moves(spark, d)
-    return mig.migrate_listing(mig.migrate_outcome(moves, _register(spark, d)), moves, "conflict")
+    moves, register = _moves_and_register(spark, d)
+    return mig.migrate_listing(mig.migrate_outcome(moves, register), moves, "conflict")
 
 
 @query(_listing("split_needs_review"))
 def migrate_splits(spark, d):
-    moves = _moves(spark, d)
-    return mig.migrate_listing(mig.migrate_outcome(moves, _register(spark, d)), moves, "split_needs_review")
+    moves, register = _moves_and_register(spark, d)
+    return mig.migrate_listing(mig.migrate_outcome(moves, register), moves, "split_needs_review")
 
 
 @query("SELECT cleaner_ver, normalizer_ver, count(*) AS old_events FROM bridge GROUP BY 1, 2")
