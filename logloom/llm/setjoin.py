@@ -49,6 +49,8 @@ SMALL_MAX = 32
 CELLS, SLICES, SHARES = 1 << 18, 16, 32
 #: Members of a list that are compared in one task; members and visitors that meet in one task.
 BLOCK, CHUNK = 4096, 256
+#: Bits of the table of ids that is sent to the texts, 4 MB whatever the input; where many ids share a bit, more texts are dealt.
+MARKS = 1 << 25
 
 
 def least_common(s, t, percent: int = PERCENT):
@@ -350,6 +352,17 @@ def met(visits: DataFrame, members: DataFrame, texts: DataFrame, width: int, per
     return staged(meeting.mapInArrow(scan_chunks(width, percent), "a long, b long"), "setjoin-links")
 
 
+def marked(documents: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of documents (id, ...) with an id of ids (id), and a few others whose ids share a bit with one; none is shuffled."""
+    cell = F.pmod(F.xxhash64("id"), F.lit(MARKS))
+    bits = ids.groupBy(F.bitmap_bucket_number(cell).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(cell)).alias("bits"))
+    at = F.bitmap_bit_position(cell)
+    byte = F.conv(F.hex(F.substring(F.col("bits"), F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return documents.join(F.broadcast(bits), (F.bitmap_bucket_number(cell) == F.col("bucket"))
+                          & (F.getbit(byte, at.bitwiseAND(7).cast("int")) == 1), "left_semi")
+
+
 def rest_of(members: DataFrame, groups: DataFrame, limit: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Visits between components that still share a list, and the members of the chunks."""
     sizes = groups.groupBy("component_id").agg(F.count(F.lit(1)).alias("often"))
@@ -423,7 +436,8 @@ def linked_sets(documents: DataFrame, percent: int = PERCENT, width: int = WIDTH
 
     def texts_of(ids: DataFrame) -> DataFrame:
         """One row per id and text."""
-        found = documents.withColumnRenamed("doc_id", "id").join(ids.distinct(), "id", "left_semi")
+        ids = staged(ids.distinct(), "setjoin-ids")
+        found = marked(documents.withColumnRenamed("doc_id", "id"), ids).join(ids, "id", "left_semi")
         return staged(found.join(repeated, "id", "left_anti").union(found.join(repeated, "id", "left_semi").distinct()),
                       "setjoin-texts")
 

@@ -102,3 +102,36 @@ def test_bounds():
     values = setjoin.gram_values(np.arange(6, dtype=np.uint64))
     keys = setjoin.subset_keys(values, 6, 4)
     assert keys.shape == (2, 15) and len(set(keys[0].tolist())) == 15
+
+
+def test_texts_that_meet_nobody_are_not_shuffled(spark):
+    docs = spark.range(-10_000, 10_000).selectExpr("id", "'t' || id AS text").union(
+        spark.createDataFrame([(None, "no id")], "id long, text string"))
+    asked = [*range(-10_000, 10_000, 50), 2 ** 62, None]
+    near = setjoin.marked(docs, spark.createDataFrame([(i,) for i in asked * 2], "id long"))
+    found = [r.id for r in near.collect()]
+    assert len(found) == len(set(found)) < 450 and set(found) >= {*asked} - {2 ** 62}
+    assert "hashpartitioning(id" not in near._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("marks", [8, 1 << 16])
+def test_marks_go_before_the_shuffle_of_texts(spark, monkeypatch, marks):
+    """With tables too large to broadcast; ids that share a bit change nothing."""
+    plans, staged = [], setjoin.staged
+
+    def recorded(df, purpose):
+        if purpose == "setjoin-texts":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return staged(df, purpose)
+
+    monkeypatch.setattr(setjoin, "staged", recorded)
+    monkeypatch.setattr(setjoin, "MARKS", marks)
+    rows = corpus(4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        assert found(setjoin.linked_sets(df)) == brute(rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plans and all("bitmap_construct_agg" in p for p in plans)
