@@ -44,3 +44,32 @@ def test_against_brute_force(spark, case, monkeypatch):
     monkeypatch.setattr(topk, "QUERY_BLOCK", 4)
     queries = [r for r in rows if r[0] is None or r[0] % 5 == 0]
     assert run(spark, queries, rows, 7) == brute(queries, rows, 7, 64)
+
+
+@pytest.mark.parametrize("distinct", [9, 400])
+def test_many_cells(spark, distinct, monkeypatch):
+    """Whatever the cut into blocks, tasks and slices of queries, and however many scores tie."""
+    rng = random.Random(distinct)
+    kinds = [[rng.uniform(-1, 1) for _ in range(6)] for _ in range(distinct)]
+    rows = [(i, kinds[rng.randrange(distinct)]) for i in range(400)]
+    for name, value in (("CANDIDATE_BLOCK", 96), ("QUERY_BLOCK", 24), ("SCORED", 5), ("BIN_BITS", 5), ("HELD_BYTES", 5000)):
+        monkeypatch.setattr(topk, name, value)
+    queries = [r for r in rows if r[0] % 5 == 0]
+    assert run(spark, queries, rows, 3) == brute(queries, rows, 3, 64)
+
+
+def test_grid_is_not_broadcast(spark, monkeypatch):
+    """Each query block meets each candidate block without passing through the driver, however small their files seem."""
+    rng = random.Random(4)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(4)]) for i in range(200)]
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 16)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 4)
+    plans, staged = [], topk.staged
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    monkeypatch.setattr(topk, "staged", lambda df, purpose: plans.append(plan(df)) or staged(df, purpose))
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    plans.append(plan(topk.top_k(docs.where("vec_id % 5 = 0"), docs, 7)))
+    assert any("MapInArrow" in p for p in plans) and not [p for p in plans if "Broadcast" in p]
