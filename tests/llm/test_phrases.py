@@ -3,6 +3,8 @@
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from logloom.llm import phrases
@@ -73,3 +75,66 @@ def test_wide_products(spark):
     got = df.select(phrases.wide_product(F.col("a"), F.col("a"), 1_000_000).alias("big"),
                     phrases.wide_product(F.col("l"), F.col("r")).alias("small")).select(F.expr("big div small")).first()[0]
     assert got == 1000000 * 10 ** 26 // ((10 ** 13 + 1) * (10 ** 13 + 7))
+
+
+def test_phrases_travel_as_arrays(spark, sf_dir, monkeypatch):
+    """A step leaves a row for each length, start and range of keys, however many phrases it counts."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    made, staged = [], phrases.staged
+
+    def kept(df, purpose):
+        made.append((purpose, staged(df, purpose)))
+        if purpose == "phrase-step":
+            sizes.append(made[-1][1].groupBy("k", "start").count().collect())
+        return made[-1][1]
+
+    sizes = []
+    monkeypatch.setattr(phrases, "staged", kept)
+    frequent, _ = phrases.counts(docs, least=2)
+    most = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert frequent.count() > 100 * most and sizes and all(r["count"] <= most for step in sizes for r in step)
+
+
+@pytest.mark.parametrize("cells", [1, 1 << 10])
+def test_tables_grow_with_frequent_parts(spark, sf_dir, cells, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id < 60")
+    asked, real = [], phrases.frequent_cells
+    monkeypatch.setattr(phrases, "CELLS", cells)
+    monkeypatch.setattr(phrases, "frequent_cells", lambda total, least, n: asked.append(n) or real(total, least, n))
+    want = brute([(r.lang, r.text) for r in docs.collect()], least=3)
+    assert found(phrases.collocations(docs, least=3)) == want and max(asked) > 1 << 10
+
+
+def test_words_that_share_a_hash(spark, monkeypatch):
+    """Seen where they meet, and all is counted anew with other hashes."""
+    def tally(word, n=1):
+        return phrases.Tally(np.array([[7, 9]], np.uint64), np.array([n, 1]), pa.table({"lang": ["en", "en"], "word": [word, "b"]}))
+
+    one, two = phrases.Tally.summed([tally("a"), tally("a", 4)]), phrases.Tally.summed([tally("a"), tally("c")])
+    assert not one.clash and two.clash and one.n.tolist() == [5, 2] and one.texts["word"].to_pylist() == ["a", "b"]
+
+    calls, real = [], phrases.joining
+
+    def joining(least):
+        calls.append(least)
+        join = real(least)
+        if len(calls) > 1:
+            return join
+
+        def marked(batches):
+            for b in join(batches):
+                yield b.set_column(5, "clash", pa.array([True] * b.num_rows))
+
+        return marked
+
+    monkeypatch.setattr(phrases, "joining", joining)
+    rows = [("en", "a b c a b")] * 4 + [(None, "A B")] * 3
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, lang string, text string")
+    assert found(phrases.collocations(df, least=3)) == brute(rows, least=3)
+
+
+def test_phrases_that_share_a_key(monkeypatch):
+    monkeypatch.setattr(phrases, "longer", lambda keys, words: (keys ^ words) & np.uint64(1))
+    words = np.random.default_rng(0).integers(0, 3, (2, 500)).astype(np.uint64)
+    total = phrases.Tally.summed([phrases.Tally(words[:, at:at + 100], np.ones(100, np.int64)) for at in range(0, 500, 100)])
+    assert dict(zip(map(tuple, total.words.T.tolist()), total.n.tolist())) == Counter(map(tuple, words.T.tolist()))
